@@ -2,20 +2,62 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftline.llm.common import documents
+from weftline.llm.common import documents, shared_dir
+from weftline.llm.language_id import language_id
+from weftline.llm.packing import pack_documents
 from weftline.llm.quality_rules import quality_rules
+from weftline.llm.secret_scans import secret_scans
+from weftline.llm.token_counts import token_counts
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of this call's own, so every distinct text is encoded here."""
+    return token_counts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), f"{shared_dir(spark)}/token-counts-{uuid.uuid4().hex}")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(documents(spark, sf_dir))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    pieces = pack_documents(docs, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(documents(spark, sf_dir))
+
+
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_quality_rules": op7_quality_rules}
+    return {
+        "op5_token_counts": op5_token_counts,
+        "op6_language_id": op6_language_id,
+        "op7_quality_rules": op7_quality_rules,
+        "op8_packing": op8_packing,
+        "op10_secret_scans": op10_secret_scans,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
