@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm.common import documents, shared_dir
+from weftline.llm.fingerprints import fingerprints
 from weftline.llm.language_id import language_id
 from weftline.llm.packing import pack_documents
 from weftline.llm.quality_rules import quality_rules
@@ -22,6 +23,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of this call's own, so every distinct text is encoded here."""
     return token_counts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), f"{shared_dir(spark)}/token-counts-{uuid.uuid4().hex}")
@@ -52,6 +57,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_fingerprints": op3_fingerprints,
         "op5_token_counts": op5_token_counts,
         "op6_language_id": op6_language_id,
         "op7_quality_rules": op7_quality_rules,
