@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weftline.llm.common import documents, shared_dir
 from weftline.llm.fingerprints import fingerprints
 from weftline.llm.language_id import language_id
+from weftline.llm.lm_scoring import lm_scores
 from weftline.llm.ngram_jaccard import jaccard_components
 from weftline.llm.packing import pack_documents
 from weftline.llm.quality_rules import quality_rules
@@ -28,6 +29,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), words=3, num=90, den=100)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
@@ -63,6 +68,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_fingerprints": op3_fingerprints,
         "op5_token_counts": op5_token_counts,
         "op6_language_id": op6_language_id,
