@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -231,3 +232,27 @@ def _across(common: DataFrame, labels: DataFrame, seen: DataFrame, num: int, den
     rest = F.col("c") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
     pairs = pairs.where(F.lit(num + den) * rest >= F.lit(num) * (F.col("na") + F.col("nb")))
     return pairs.select("a", "b").join(seen, ["a", "b"], "left_anti")
+
+
+def keep_representatives(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs without the rows whose component has a smaller id; all columns and all other rows stay.
+
+    Rows with a null id stay, and so do repeated rows of an id that stays: ids name texts. The ids to drop are set in a
+    filter of fixed size; only rows that hit it are shuffled, to be checked against the exact ids.
+    """
+    found = jaccard_components(docs, words, num, den, doc_id, text)
+    drop = saved(found.where("component_id <> doc_id").select(F.col("doc_id").alias("id")).distinct())
+    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(drop))
+
+    @F.pandas_udf("boolean")
+    def maybe(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy(np.int64)
+        return pd.Series(((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).astype(bool))
+
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    slot = (F.xxhash64(F.col(doc_id).cast("long")) % F.lit(1 << FILTER_LOG2) + F.lit(1 << FILTER_LOG2)) % F.lit(1 << FILTER_LOG2)
+    flagged = docs.select(*names, maybe(slot).alias("_maybe"))
+    sure = flagged.where(~F.col("_maybe") | F.col(doc_id).isNull()).select(*names)
+    checked = flagged.where(F.col("_maybe") & F.col(doc_id).isNotNull()).select(*names)
+    checked = checked.join(drop, checked[doc_id] == drop["id"], "left_anti")
+    return sure.unionByName(checked)
