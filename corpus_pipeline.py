@@ -1,15 +1,69 @@
-"""The corpus pipeline: language ID, quality rules, near duplicates, secret scans, packing."""
+"""The corpus pipeline: language ID, quality rules, near duplicates, secret scans, packing.
+
+STAGES lists (name, function); each takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
+read again as the next one's docs. All but the last return the columns of documents. SQL cannot express the stages, so
+ORACLE_SQL is None and the tests compare with a brute-force version.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weftline.llm import common, language_id, ngram_jaccard, quality_rules, queries, secret_scans
+
+#: A text of which a smaller share of trigrams is typical of its best language is in none of them.
+LEAST_LANGUAGE_SCORE = 0.2
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from two of three folds of docs; drops texts that are undetermined or in no learned language."""
+    learned = docs.where(F.coalesce(common.id_remainder("doc_id", 3), F.lit(1)) != 1)
+    filters = language_id.fit(learned)
+    found = language_id.predict(docs, filters, lang_pred="_lang_pred", score="_lang_score")
+    return found.where((F.col("_lang_pred") != language_id.UNDETERMINED) & (F.col("_lang_score") >= LEAST_LANGUAGE_SCORE)).select(*_columns(docs))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that fail the rules themselves or come from a host that does."""
+    carried = tuple(c for c in docs.columns if c != "doc_id")
+    return quality_rules.quality_rules(docs, carry=carried).where("kept").select(*_columns(docs))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of texts linked at five-word shingles and similarity 0.8 the smallest id stays, once."""
+    return ngram_jaccard.keep_representatives(docs, words=5, num=8, den=10)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts [SECRET] in place of every span found; n_chars follows the text."""
+    found = secret_scans.find_spans(docs, base="_base_spans", spans="_all_spans")
+    redacted = found.withColumn("text", secret_scans.redact("text", "_all_spans"))
+    changed = F.size("_all_spans") > 0
+    return redacted.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*_columns(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return queries.packed_pieces(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", language_stage),
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("secret_scans", secret_stage),
+    ("packing", packing_stage),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = common.documents(spark, sf_dir)
+    for i, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        docs = out if i == len(STAGES) - 1 else common.saved(out)
     return docs
