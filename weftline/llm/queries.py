@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from weftline.llm.common import documents, shared_dir
 from weftline.llm.fingerprints import fingerprints
 from weftline.llm.language_id import language_id
+from weftline.llm.license_scans import license_scans
 from weftline.llm.lm_scoring import lm_scores
 from weftline.llm.ngram_jaccard import jaccard_components
 from weftline.llm.packing import pack_documents
+from weftline.llm.piece_encoding import piece_encoding
 from weftline.llm.quality_rules import quality_rules
 from weftline.llm.secret_scans import secret_scans
 from weftline.llm.token_counts import token_counts
@@ -37,6 +39,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
+def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = piece_encoding(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_bytes", "n_pieces", F.crc32("ids").alias("ids_crc32"), "round_trip")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of this call's own, so every distinct text is encoded here."""
     return token_counts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), f"{shared_dir(spark)}/token-counts-{uuid.uuid4().hex}")
@@ -61,6 +68,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(documents(spark, sf_dir))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """matches as start:end:identifier, licenses as names, comma-joined."""
+    found = license_scans(documents(spark, sf_dir))
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["start"], m["end"], m["sentence"]))
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_sentences"), F.array_join(spans, ",").alias("matches"), F.array_join("licenses", ",").alias("licenses"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans(documents(spark, sf_dir))
 
@@ -70,10 +84,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_lm_scoring": op2_lm_scoring,
         "op3_fingerprints": op3_fingerprints,
+        "op4_piece_encoding": op4_piece_encoding,
         "op5_token_counts": op5_token_counts,
         "op6_language_id": op6_language_id,
         "op7_quality_rules": op7_quality_rules,
         "op8_packing": op8_packing,
+        "op9_license_scans": op9_license_scans,
         "op10_secret_scans": op10_secret_scans,
     }
 
