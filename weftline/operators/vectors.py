@@ -88,3 +88,63 @@ def complete_link(edges: pd.DataFrame, least: float, cap: int) -> dict[int, int]
             for j in y:
                 group[j] = x
     return {m: min(g) for m, g in group.items()}
+
+
+def euclidean_neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int, block: int = 2000) -> DataFrame:
+    """(a, b, distance): the k other rows nearest to each query row, ties by id. Blocked like top_neighbours()."""
+    spark = vectors.sparkSession
+    ids = [r[0] for r in queries.select(key).orderBy(key).collect()]
+    out = None
+    for i in range(0, max(1, len(ids)), block):
+        part = ids[i : i + block]
+        rows = (queries.where(F.col(key).between(part[0], part[-1])) if part else queries).select(key, column).toPandas().sort_values(key)
+        shared = spark.sparkContext.broadcast((rows[key].to_numpy(), np.array(rows[column].tolist(), float)))
+
+        def near(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            names, q = shared.value
+            for batch in batches:
+                if not len(batch) or not len(names):
+                    continue
+                m, at = np.array(batch["v"].tolist(), float), batch["id"].to_numpy()
+                d = np.sqrt(np.stack([((m - x) ** 2).sum(1) for x in q]))
+                d[names[:, None] == at[None, :]] = np.inf
+                order = np.lexsort((np.broadcast_to(at, d.shape), d), axis=1)[:, :k]
+                best = np.take_along_axis(d, order, 1)
+                found = pd.DataFrame({"a": np.repeat(names, order.shape[1]), "b": at[order].ravel(), "distance": best.ravel()})
+                yield found[np.isfinite(found["distance"])]
+
+        found = vectors.select(F.col(key).alias("id"), F.col(column).alias("v")).mapInPandas(near, "a long, b long, distance double")
+        top = found.groupBy("a").agg(F.expr(f"slice(array_sort(collect_list(struct(distance as d, b))), 1, {k})").alias("top")).select("a", F.explode("top").alias("x")).select("a", "x.b", F.col("x.d").alias("distance"))
+        out = top if out is None else out.unionByName(top)
+    return out
+
+
+def class_pairs(vectors: DataFrame, key: str, group: str, column: str, least: float) -> DataFrame:
+    """(a, b, similarity) with a < b of one class, cosine at least least: sign-hash bands propose, exact cosine decides.
+
+    Bands of sign bits find pairs with high probability only; groups built on them are of candidate edges.
+    """
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, c: a.cast("double") * c.cast("double")), F.lit(0.0), lambda s, z: s + z)
+    rows = sign_hash(vectors, column, 63).select(key, group, F.col(column).alias("v"), "h")
+    bands = F.posexplode(F.array(*[F.shiftright("h", 7 * i).bitwiseAND(127) for i in range(9)])).alias("band", "value")
+    keyed = rows.select(key, group, bands)
+    x, y = keyed.alias("x"), keyed.alias("y")
+    pairs = x.join(y, (F.col(f"x.{group}") == F.col(f"y.{group}")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col(f"x.{key}") < F.col(f"y.{key}")))
+    pairs = pairs.select(F.col(f"x.{key}").alias("a"), F.col(f"y.{key}").alias("b")).distinct()
+    joined = pairs.join(rows.select(F.col(key).alias("a"), F.col("v").alias("va")), "a").join(rows.select(F.col(key).alias("b"), F.col("v").alias("vb")), "b")
+    s = dot("va", "vb") / F.sqrt(dot("va", "va") * dot("vb", "vb"))
+    return joined.select("a", "b", s.alias("similarity")).where(F.col("similarity") >= least)
+
+
+def complete_link_groups(edges: DataFrame, least: float, cap: int) -> DataFrame:
+    """(id, group) by complete_link() within each connected component of the candidate edges."""
+    from weftline.operators.graphs import components, written
+
+    edges = written(edges)
+    named = edges.join(components(edges), edges["a"] == F.col("id")).select("component", "a", "b", "similarity")
+
+    def link(part: pd.DataFrame) -> pd.DataFrame:
+        found = complete_link(part, least, cap)
+        return pd.DataFrame({"id": list(found), "group": list(found.values())})
+
+    return named.groupBy("component").applyInPandas(link, "id long, group long")

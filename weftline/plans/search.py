@@ -1 +1,139 @@
-"""Queries."""
+"""T*, K10: text, search and retrieval."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from weftline.functions.text import tokens
+from weftline.operators import folds, fulltext
+from weftline.plans.registry import Tables, query
+
+_TOKENS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+_BM25 = """WITH d AS (SELECT {key} AS id, {tokens} AS t FROM {table} WHERE {where}), s AS (SELECT id, len(t) AS n, {tfs} FROM d), g AS (SELECT count(*) AS n, avg(n) AS mean, {dfs} FROM s)
+SELECT s.id AS {alias}, round({score}, 6) AS score FROM s, g WHERE {any} ORDER BY score DESC, 1 LIMIT {limit}"""
+
+
+def _bm25_sql(table: str, key: str, alias: str, words: list[str], limit: int, where: str = "true") -> str:
+    return _BM25.format(
+        table=table, key=key, alias=alias, limit=limit, where=where, tokens=_TOKENS,
+        tfs=", ".join(f"len(list_filter(t, lambda x: x = '{w}')) AS tf{i}" for i, w in enumerate(words)),
+        dfs=", ".join(f"count(*) FILTER (tf{i} > 0) AS df{i}" for i in range(len(words))),
+        score=" + ".join(f"ln(1.0 + (g.n - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} * 2.2 / (tf{i} + 1.2 * (0.25 + 0.75 * s.n / mean))" for i in range(len(words))),
+        any=" OR ".join(f"tf{i} > 0" for i in range(len(words))),
+    )
+
+
+@query("T1_bm25_documents", _bm25_sql("documents", "doc_id", "doc_id", ["worthless", "the", "reserved"], 50))
+def t1(t: Tables) -> DataFrame:
+    found = fulltext.bm25(t.documents, "doc_id", "text", ["worthless", "the", "reserved"])
+    return found.select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(50)
+
+
+@query("T2_bm25_turns", _bm25_sql("conversations", "conv_id * 1000 + turn", "turn_id", ["the", "and"], 100))
+def t2(t: Tables) -> DataFrame:
+    rows = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text")
+    return fulltext.bm25(rows, "turn_id", "text", ["the", "and"]).select("turn_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "turn_id").limit(100)
+
+
+@query("T3_bm25_filtered", _bm25_sql("documents", "doc_id", "doc_id", ["license", "mit"], 200, "lang = 'en' AND source IN ('src0', 'src1', 'src2') AND n_chars > 200"))
+def t3(t: Tables) -> DataFrame:
+    rows = t.documents.where("lang = 'en' and source in ('src0', 'src1', 'src2') and n_chars > 200")
+    return fulltext.bm25(rows, "doc_id", "text", ["license", "mit"]).select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(200)
+
+
+@query("T4_tokeniser", f"SELECT doc_id, CAST(len({_TOKENS}) AS INT) AS n, CAST(len(list_distinct({_TOKENS})) AS INT) AS kinds FROM documents")
+def t4(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", tokens(F.col("text")).alias("t")).select("doc_id", F.size("t").alias("n"), F.size(F.array_distinct("t")).alias("kinds"))
+
+
+@query("T4_postings", f"SELECT term, CAST(count(*) AS BIGINT) AS tf, CAST(count(DISTINCT id) AS BIGINT) AS df FROM (SELECT item_id AS id, unnest({_TOKENS}) AS term FROM benchmark) GROUP BY 1")
+def t4b(t: Tables) -> DataFrame:
+    return fulltext.postings(t.benchmark, "item_id", "text").groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+
+
+@query("T5_search_records", "SELECT conv_id, turn, 'conv-' || CAST(conv_id AS VARCHAR) || '#turn-' || CAST(turn AS VARCHAR) AS url, role, CAST(length(text) AS INT) AS size FROM conversations WHERE trim(text) <> ''")
+def t5(t: Tables) -> DataFrame:
+    url = F.concat(F.lit("conv-"), F.col("conv_id").cast("string"), F.lit("#turn-"), F.col("turn").cast("string"))
+    return t.conversations.where(F.trim("text") != "").select("conv_id", "turn", url.alias("url"), "role", F.char_length("text").alias("size"))
+
+
+@query(
+    "T6_faceted_search",
+    "SELECT source, lang, CAST(count(*) AS BIGINT) AS n FROM documents WHERE contains(lower(text), 'license') OR contains(lower(text), 'licensed') OR contains(lower(text), 'rights') GROUP BY 1, 2",
+)
+def t6(t: Tables) -> DataFrame:
+    """Alias-expanded queries over one scan, merged by document, with facet counts."""
+    low = F.lower("text")
+    hit = F.lit(False)
+    for q in ("license", "licensed", "rights"):
+        hit = hit | (F.instr(low, q) > 0)
+    return t.documents.where(hit).groupBy("source", "lang").agg(F.count("*").alias("n"))
+
+
+@query("T7_snippets", "SELECT doc_id, regexp_replace(substr(text, greatest(instr(lower(text), 'licensed') - 40, 1), 88), '(licensed)', '<mark>\\1</mark>', 'gi') AS snippet FROM documents WHERE instr(lower(text), 'licensed') > 0")
+def t7(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", fulltext.snippet(F.col("text"), "licensed").alias("snippet")).where("snippet is not null")
+
+
+_NAMES = ["Apache License", "MIT License", "GNU General Public License", "License"]
+_MENTION = r"regexp_extract_all(text, '(GNU General Public License|Apache License|MIT License|License)(?:[^\p{L}\p{N}]|$)', 1)"
+
+
+@query("T8_T9_mentions", f"SELECT name, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT doc_id) AS BIGINT) AS docs FROM (SELECT doc_id, unnest({_MENTION}) AS name FROM documents) GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2")
+def t8(t: Tables) -> DataFrame:
+    """Whole-word mentions of gazetteer names, the longest first, kept where two documents or more have them."""
+    found = t.documents.select("doc_id", F.explode(fulltext.mentions(F.col("text"), _NAMES)).alias("name"))
+    return found.groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs")).where("docs >= 2")
+
+
+@query("T10_mention_graph", "SELECT id, CAST(count(*) AS BIGINT) AS n, string_agg(DISTINCT role, ',' ORDER BY role) AS basis FROM (SELECT substr(sha256(lower(trim(substr(text, 1, 20))) || '|' || role), 1, 16) AS id, role FROM conversations) GROUP BY 1")
+def t10(t: Tables) -> DataFrame:
+    key = F.sha2(F.concat_ws("|", F.lower(F.trim(F.substring("text", 1, 20))), "role").cast("binary"), 256)
+    g = t.conversations.select(F.substring(key, 1, 16).alias("id"), "role").groupBy("id").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("role")).alias("b"))
+    return g.select("id", "n", F.array_join("b", ",").alias("basis"))
+
+
+@query(
+    "T11_passage_windows",
+    r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents), n AS (SELECT doc_id, w, len(w) AS n FROM w)
+    SELECT doc_id, CAST(s AS INT) AS start, CAST(len(w[s + 1 : s + 500]) AS INT) AS size, w[s + 1] AS first FROM (SELECT doc_id, w, unnest(CASE WHEN n >= 500 THEN list_distinct(list_append(range(0, n - 499, 500), n - 500)) WHEN n >= 20 THEN [0] ELSE []::BIGINT[] END) AS s FROM n)""",
+)
+def t11(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", F.array_remove(F.split("text", r"\s+"), "").alias("w"))
+    rows = rows.select("doc_id", "w", F.explode(fulltext.windows(F.col("w"))).alias("start"))
+    return rows.select("doc_id", "start", F.size(F.slice("w", F.col("start") + 1, 500)).alias("size"), F.get("w", F.col("start")).alias("first"))
+
+
+@query(
+    "T12_hybrid_retrieval",
+    "WITH b AS (" + _bm25_sql("documents", "doc_id", "doc_id", ["the"], 30) + "), r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS n FROM b), v AS (SELECT vec_id AS doc_id, row_number() OVER (ORDER BY round(list_dot_product(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)) / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 9) DESC, vec_id) AS n FROM embeddings QUALIFY n <= 30) SELECT doc_id, round(sum(1.0 / (60 + n)), 9) AS score FROM (SELECT * FROM r UNION ALL SELECT * FROM v) GROUP BY 1 ORDER BY score DESC, doc_id LIMIT 6",
+)
+def t12(t: Tables) -> DataFrame:
+    """Reciprocal-rank fusion of the thirty best by BM25 and by cosine, six kept."""
+    b = fulltext.bm25(t.documents, "doc_id", "text", ["the"]).select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(30)
+    first = t.embeddings.where("vec_id = 0").select(F.col("embedding").alias("q"))
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, c: a.cast("double") * c.cast("double")), F.lit(0.0), lambda s, z: s + z)
+    v = t.embeddings.join(F.broadcast(first)).select(F.col("vec_id").alias("doc_id"), F.round(dot("embedding", "q") / F.sqrt(dot("embedding", "embedding")), 9).alias("score")).orderBy(F.desc("score"), "doc_id").limit(30)
+    ranked = [x.select("doc_id", F.row_number().over(Window.orderBy(F.desc("score"), "doc_id")).alias("n")) for x in (b, v)]
+    fused = ranked[0].unionByName(ranked[1]).groupBy("doc_id").agg(F.round(F.sum(1.0 / (60 + F.col("n"))), 9).alias("score"))
+    return fused.orderBy(F.desc("score"), "doc_id").limit(6)
+
+
+@query("T15_exact_duplicates", "SELECT min(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS copies, CAST(count(DISTINCT source) AS BIGINT) AS sources FROM documents GROUP BY sha256(text) HAVING count(*) > 1")
+def t15(t: Tables) -> DataFrame:
+    g = t.documents.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.countDistinct("source").alias("sources"))
+    return g.where("copies > 1").drop("digest")
+
+
+@query("T16_rates_per_10k", "SELECT source, round(10000.0 * sum(hits) / sum(words), 6) AS rate FROM (SELECT source, len(regexp_extract_all(text, 'the')) AS hits, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS words FROM documents) GROUP BY 1")
+def t16(t: Tables) -> DataFrame:
+    rows = t.documents.select("source", F.regexp_count("text", F.lit("the")).alias("hits"), F.size(F.array_remove(F.split("text", r"\s+"), "")).alias("words"))
+    return rows.groupBy("source").agg(F.round(10000.0 * F.sum("hits") / F.sum("words"), 6).alias("rate"))
+
+
+@query("K10_W20_document_export")
+def k10(t: Tables) -> DataFrame:
+    """Turns of a conversation packed in order into documents of at most 12,000 characters; longer turns stand alone."""
+    rows = t.conversations.select(F.col("conv_id").alias("key"), F.col("turn").alias("place"), (F.char_length("text") + 1).cast("long").alias("size"))
+    return folds.pack_in_order(rows, most_size=12_000, most_rows=10**9, by_key=True)
