@@ -1 +1,36 @@
-"""Queries."""
+"""Order-dependent folds."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from weftline.operators import folds
+from weftline.plans.registry import Tables, query
+
+
+@query("K4_summary_shards")
+def k4(t: Tables) -> DataFrame:
+    """Turns in order, at most 64 and 64 KiB a shard."""
+    rows = t.conversations.select(F.col("conv_id").alias("key"), F.col("turn").alias("place"), F.octet_length("text").cast("long").alias("size"))
+    return folds.pack_in_order(rows, most_size=65_536, most_rows=64, by_key=False)
+
+
+@query("K5_passage_shards")
+def k5(t: Tables) -> DataFrame:
+    """Documents in order, at most 32 and 4 MiB a shard."""
+    rows = t.documents.select(F.col("doc_id").alias("key"), F.lit(0).cast("long").alias("place"), F.octet_length("text").cast("long").alias("size"))
+    return folds.pack_in_order(rows, most_size=4 * 1024 * 1024, most_rows=32, by_key=False)
+
+
+@query("R5_rate_limits")
+def r5(t: Tables) -> DataFrame:
+    rows = t.events.select(F.col("user_id").alias("key"), F.expr("unix_millis(cast(ts as timestamp))").alias("at"), F.col("event_id").alias("id"))
+    return folds.rate_limited(rows, per_day=2, per_hour=1, gap_ms=3000)
+
+
+@query("R6_result_cache", "SELECT user_id, event_type, bucket, min(event_id) AS event_id, CAST(count(*) - 1 AS BIGINT) AS hits FROM (SELECT *, epoch_us(ts) // 300000000 AS bucket FROM events) GROUP BY 1, 2, 3")
+def r6(t: Tables) -> DataFrame:
+    """Five-minute result cache: the first request of a key and bucket computes, the others hit."""
+    bucket = F.expr("unix_seconds(cast(ts as timestamp)) div 300")
+    return t.events.groupBy("user_id", "event_type", bucket.alias("bucket")).agg(F.min("event_id").alias("event_id"), (F.count("*") - 1).alias("hits"))

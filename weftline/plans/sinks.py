@@ -1 +1,67 @@
-"""Queries."""
+"""K1-K3, K6-K8: release building. K9 is packaging and not built."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from weftline.operators import fulltext
+from weftline.operators.graphs import written
+from weftline.plans.registry import Tables, query
+from weftline.sources import sinks
+
+
+def _release(t: Tables) -> DataFrame:
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey")
+    return sinks.nested(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), lines, "o_orderkey", "lines", ["l_linenumber", "l_partkey", "l_suppkey"], ["l_linenumber", "l_partkey", "l_suppkey"])
+
+
+@query("K1_nested_release", "SELECT o_orderkey, o_custkey, CAST(count(l_orderkey) AS INT) AS n, coalesce(string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey), '') AS lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
+def k1(t: Tables) -> DataFrame:
+    text = F.array_join(F.transform("lines", lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"])), ",")
+    return _release(t).select("o_orderkey", "o_custkey", F.size("lines").alias("n"), text.alias("lines"))
+
+
+@query("K2_sharded_release", "SELECT o_orderstatus, CAST(n // 250 AS BIGINT) AS shard, CAST(count(*) AS BIGINT) AS rows, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY 1, 2")
+def k2(t: Tables) -> DataFrame:
+    shards = sinks.numbered_shards(t.orders, ["o_orderkey"], 250, "o_orderstatus")
+    return shards.groupBy("o_orderstatus", "shard").agg(F.count("*").alias("rows"), F.min("o_orderkey").alias("first_id"), F.max("o_orderkey").alias("last_id"))
+
+
+@query("K2_sealed_shards", "SELECT o_orderstatus, shard, rows, CAST(strlen(payload) AS BIGINT) AS bytes, sha256(payload) AS sha256 FROM (SELECT o_orderstatus, CAST(n // 250 AS BIGINT) AS shard, CAST(count(*) AS BIGINT) AS rows, '[' || string_agg('{\"o_orderkey\":' || o_orderkey || ',\"o_custkey\":' || o_custkey || '}', ',' ORDER BY o_orderkey) || ']' AS payload FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY 1, 2)")
+def k2b(t: Tables) -> DataFrame:
+    shards = sinks.numbered_shards(t.orders, ["o_orderkey"], 250, "o_orderstatus")
+    return sinks.sealed(shards, ["o_orderstatus", "shard"], ["o_orderkey"], ["o_orderkey", "o_custkey"]).drop("payload")
+
+
+@query("K2_written_and_validated", "SELECT CAST(count(*) AS BIGINT) AS shards, CAST(0 AS BIGINT) AS broken FROM (SELECT DISTINCT o_orderstatus, (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 250 FROM orders)")
+def k2c(t: Tables) -> DataFrame:
+    """A release written to the shared folder, read again and verified."""
+    shards = sinks.numbered_shards(t.orders, ["o_orderkey"], 250, "o_orderstatus")
+    sealed = sinks.sealed(shards, ["o_orderstatus", "shard"], ["o_orderkey"], ["o_orderkey", "o_custkey"])
+    written(t.region)  # makes the shared folder known where the session has none
+    path = f"{t.spark.conf.get('spark.checkpoint.dir').rstrip('/')}/release-{uuid.uuid4().hex}"
+    manifest = sinks.write_release(sealed, F.concat_ws("-", "o_orderstatus", F.col("shard").cast("string")), path)
+    broken = sinks.validate_release(t.spark, path).agg(F.count("*").alias("broken"))
+    return manifest.agg(F.count("*").alias("shards")).join(broken)
+
+
+@query("K3_graph_release", "SELECT n_regionkey AS r, string_agg(n_name, ',' ORDER BY n_name) AS names, CAST(count(*) AS BIGINT) AS n FROM nation GROUP BY 1")
+def k3(t: Tables) -> DataFrame:
+    return t.nation.groupBy(F.col("n_regionkey").alias("r")).agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("names"), F.count("*").alias("n"))
+
+
+@query("K6_score_shards", "SELECT lpad(CAST(n // 100 AS VARCHAR), 4, '0') || '-' || substr(sha256(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)), 1, 16) AS id, CAST(count(*) AS BIGINT) AS rows FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders WHERE o_orderstatus = 'P') GROUP BY n // 100")
+def k6(t: Tables) -> DataFrame:
+    rows = sinks.numbered_shards(t.orders.where("o_orderstatus = 'P'"), ["o_orderkey"], 100, "o_orderstatus")
+    g = rows.groupBy("shard").agg(F.count("*").alias("rows"), F.array_sort(F.collect_list("o_orderkey")).alias("ids"))
+    digest = F.sha2(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").cast("binary"), 256)
+    return g.select(F.concat(F.lpad(F.col("shard").cast("string"), 4, "0"), F.lit("-"), F.substring(digest, 1, 16)).alias("id"), "rows")
+
+
+@query("K8_postings_index", r"SELECT substr(term, 1, 1) AS bucket, CAST(count(*) AS BIGINT) AS postings, CAST(sum(tf) AS BIGINT) AS hits FROM (SELECT id, term, count(*) AS tf FROM (SELECT item_id AS id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS term FROM benchmark) GROUP BY 1, 2) GROUP BY 1")
+def k8(t: Tables) -> DataFrame:
+    p = fulltext.postings(t.benchmark, "item_id", "text")
+    return p.groupBy(F.substring("term", 1, 1).alias("bucket")).agg(F.count("*").alias("postings"), F.sum("tf").alias("hits"))

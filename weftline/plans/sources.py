@@ -1 +1,92 @@
-"""Queries."""
+"""S*: sources. Inputs are derived from the driver tables and written to the shared folder first, then read back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from weftline.operators.graphs import written
+from weftline.plans.registry import Tables, query
+from weftline.sources import readers
+
+
+def _path(t: Tables) -> str:
+    written(t.region)
+    return f"{t.spark.conf.get('spark.checkpoint.dir').rstrip('/')}/source-{uuid.uuid4().hex}"
+
+
+@query("S2_json_lines", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def s2(t: Tables) -> DataFrame:
+    path = _path(t)
+    t.orders.select("o_orderkey", "o_custkey", "o_totalprice").write.json(path)
+    return readers.json_lines(t.spark, path, "o_orderkey long, o_custkey long, o_totalprice double")
+
+
+@query("S3_combined_digest", "SELECT CAST(count(*) AS BIGINT) AS files, true AS digested FROM (SELECT DISTINCT n_regionkey FROM nation)")
+def s3(t: Tables) -> DataFrame:
+    path = _path(t)
+    t.nation.select("n_regionkey", F.col("n_name").alias("value")).repartition(1).write.partitionBy("n_regionkey").text(path)
+    found = readers.combined_digest(t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path))
+    return found.agg(F.count("*").alias("files"), F.bool_and(F.length("sha256") == 64).alias("digested"))
+
+
+@query("S4_S9_nested_import", "SELECT l_orderkey AS item, l_partkey AS name, l_quantity AS size FROM lineitem WHERE l_partkey % 3 = 0")
+def s4(t: Tables) -> DataFrame:
+    """Items with file lists as JSON, exploded and filtered."""
+    path = _path(t)
+    t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_partkey").alias("name"), F.col("l_quantity").alias("size"))).alias("files")).write.json(path)
+    items = readers.json_lines(t.spark, path, "l_orderkey long, files array<struct<name: long, size: double>>")
+    return items.select(F.col("l_orderkey").alias("item"), F.explode("files").alias("f")).where("f.name % 3 = 0").select("item", "f.name", "f.size")
+
+
+@query("S15_ocr_words", "SELECT CAST(count(*) AS BIGINT) AS words, CAST(0 AS BIGINT) AS misplaced FROM orders WHERE o_orderkey % 6 = 5")
+def s15(t: Tables) -> DataFrame:
+    path = _path(t)
+    k = F.col("o_orderkey")
+    names = "page_num block_num par_num line_num word_num left top width height".split()
+    rows = t.orders.select((k % 6).alias("level"), F.lit(1).alias("page_num"), *[(k if n == "word_num" else F.lit(1)).alias(n) for n in names[1:]], F.lit(90.5).alias("conf"), F.col("o_orderstatus").alias("text"))
+    rows.select("level", *names, "conf", "text").orderBy("word_num").coalesce(1).write.csv(path, sep="\t", header=True)
+    words = readers.ocr_words(t.spark, path)
+    return words.agg(F.count("*").alias("words")).join(readers.out_of_order(words).agg(F.count("*").alias("misplaced")))
+
+
+@query("S16_transcripts", "SELECT conv_id, CAST(turn AS BIGINT) AS segment, CAST(len(string_split(substr(text, 1, 60), ' ')) AS BIGINT) AS words FROM conversations")
+def s16(t: Tables) -> DataFrame:
+    segment = F.struct("turn", F.transform(F.split(F.substring("text", 1, 60), " "), lambda w: F.struct(w.alias("w"))).alias("words"))
+    nested = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(segment)).alias("segments"))
+    rows = readers.exploded_segments(nested, "conv_id", "segments", "words")
+    return rows.groupBy("conv_id", F.col("turn").alias("segment")).agg(F.count("*").alias("words"))
+
+
+@query("S18_verified_shards", "SELECT 'P' AS k, CAST(count(*) AS BIGINT) AS n FROM orders WHERE o_orderstatus = 'P'")
+def s18(t: Tables) -> DataFrame:
+    path = _path(t)
+    body = t.orders.where("o_orderstatus = 'P'").groupBy(F.col("o_orderstatus").alias("k")).agg(F.to_json(F.collect_list(F.struct("o_orderkey"))).alias("value"))
+    body.coalesce(1).write.partitionBy("k").option("lineSep", "\n").text(path)
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
+    manifest = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    rows, _ = readers.verified_shards(files, manifest, "o_orderkey: bigint")
+    return rows.agg(F.lit("P").alias("k"), F.count("*").alias("n"))
+
+
+@query("S19_page_titles", "SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title, CAST(len(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1)) AS INT) AS links FROM pages")
+def s19(t: Tables) -> DataFrame:
+    return t.pages.select("page_id", F.nullif(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit("")).alias("title"), F.size(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("links"))
+
+
+@query("S20_typed_columns", "SELECT c_custkey, CAST(c_custkey % 100 AS DOUBLE) AS first, CAST(1 AS INT) AS n FROM customer")
+def s20(t: Tables) -> DataFrame:
+    encoded = t.customer.select("c_custkey", F.base64(F.unhex(F.lpad(F.hex(F.col("c_custkey") % 100), 2, "0"))).alias("e"))
+    return encoded.select("c_custkey", readers.typed_column(F.col("e"), "i1", -128).alias("v")).select("c_custkey", F.get("v", 0).alias("first"), F.size("v").alias("n"))
+
+
+@query("S22_tables", "SELECT CAST(count(*) AS BIGINT) AS n FROM orders")
+def s22(t: Tables) -> DataFrame:
+    return t.orders.agg(F.count("*").alias("n"))
+
+
+@query("S23_or_empty", "SELECT CAST(0 AS BIGINT) AS n")
+def s23(t: Tables) -> DataFrame:
+    return readers.or_empty(t.spark, f"{t.folder}/no_such_table.parquet", "id long").agg(F.count("*").alias("n"))

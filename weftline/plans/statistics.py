@@ -1 +1,73 @@
-"""Queries."""
+"""Matrix statistics over Spark aggregates."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from weftline.operators import matrices
+from weftline.plans.registry import Tables, query
+
+_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def _vector(t: Tables) -> DataFrame:
+    return t.lineitem.select(F.array(*_COLUMNS).alias("v"))
+
+
+@query("G10_pca")
+def g10(t: Tables) -> DataFrame:
+    """Component, variance ratio and loadings of the standardised embeddings."""
+    _, _, parts, ratio = matrices.pca(t.embeddings.select(F.transform("embedding", lambda x: x.cast("double")).alias("v")), "v", 5)
+    return t.spark.createDataFrame([(i, round(float(r), 6), [round(float(x), 6) for x in p]) for i, (r, p) in enumerate(zip(ratio, parts, strict=True))], "component int, ratio double, loadings array<double>")
+
+
+@query("G13_G14_map")
+def g13(t: Tables) -> DataFrame:
+    """Variables placed by classical scaling of chord distances, in the order of an average-linkage tree."""
+    _, _, cov = matrices.moments(_vector(t), "v")
+    sd = np.sqrt(np.diag(cov))
+    d = np.sqrt(np.maximum(2 * (1 - cov / np.outer(sd, sd)), 0))
+    points, _ = matrices.classical_mds(d)
+    return t.spark.createDataFrame([(_COLUMNS[i], n, round(float(abs(points[i, 0])), 6)) for n, i in enumerate(matrices.leaf_order(d))], "variable string, place int, x double")
+
+
+@query("G15_factors")
+def g15(t: Tables) -> DataFrame:
+    n, _, cov = matrices.moments(_vector(t), "v")
+    sd = np.sqrt(np.diag(cov))
+    loadings, h = matrices.principal_axes(cov / np.outer(sd, sd), 1)
+    return t.spark.createDataFrame([(c, round(float(abs(loadings[i, 0])), 5), round(float(h[i]), 5)) for i, c in enumerate(_COLUMNS)], "variable string, loading double, communality double")
+
+
+@query("G16_bootstrap")
+def g16(t: Tables) -> DataFrame:
+    """Percentile interval of the mean price from 500 resamples of months: monthly sums times seeded draws."""
+    months = t.orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("m")).agg(F.sum("o_totalprice").alias("s"), F.count("*").alias("n"))
+    draws = months.select("m", "s", "n", F.explode(F.sequence(F.lit(0), F.lit(499))).alias("r"))
+    # Poisson weights by inverting a hash: each replicate and month has its own, wherever the row is.
+    u = (F.pmod(F.xxhash64("m", "r"), F.lit(1_000_000)) + 0.5) / 1_000_000
+    weight = F.when(u < 0.36788, 0).when(u < 0.73576, 1).when(u < 0.9197, 2).when(u < 0.98101, 3).when(u < 0.99634, 4).otherwise(5)
+    means = draws.groupBy("r").agg((F.sum(weight * F.col("s")) / F.sum(weight * F.col("n"))).alias("mean"))
+    return means.agg(F.round(F.percentile("mean", F.lit(0.025)), 2).alias("low"), F.round(F.percentile("mean", F.lit(0.975)), 2).alias("high"))
+
+
+@query("G18_change_points")
+def g18(t: Tables) -> DataFrame:
+    """Segments of each status's monthly means; a series is one group of at most its months."""
+    monthly = t.orders.groupBy("o_orderstatus", F.date_format("o_orderdate", "yyyy-MM").alias("m")).agg(F.avg("o_totalprice").alias("mean"), F.count("*").alias("n")).where("n >= 10")
+
+    def cut(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("m")
+        starts = matrices.change_points((part["mean"] / 1000).tolist(), part["n"].tolist(), penalty=20_000.0)
+        return pd.DataFrame({"o_orderstatus": part["o_orderstatus"].iloc[0], "start": [part["m"].iloc[i] for i in starts]})
+
+    return monthly.groupBy("o_orderstatus").applyInPandas(cut, "o_orderstatus string, start string")
+
+
+@query("G19_ols", "SELECT round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem")
+def g19(t: Tables) -> DataFrame:
+    b, r2 = matrices.ols(t.lineitem.select(F.array("l_extendedprice", "l_quantity").alias("v")), "v")
+    return t.spark.createDataFrame([(round(float(b[0]), 4), round(float(b[1]), 4), round(r2, 6))], "intercept double, slope double, r2 double")

@@ -1 +1,64 @@
-"""Queries."""
+"""V*: validation queries. V9 is packaging and not built."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from weftline.operators import checks
+from weftline.plans.registry import Tables, query
+
+
+@query(
+    "V1_V2_integrity_report",
+    """SELECT 'orders.pk' AS "check", CAST(count(*) - count(DISTINCT o_orderkey) AS BIGINT) AS violations FROM orders UNION ALL SELECT 'lineitem.order', CAST(count(*) AS BIGINT) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+    UNION ALL SELECT 'orders.customer', CAST(count(*) AS BIGINT) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'lineitem.place', CAST(count(*) AS BIGINT) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+    UNION ALL SELECT 'events.kind', CAST(count(*) AS BIGINT) FROM events WHERE event_type NOT IN ('view', 'click', 'signup') UNION ALL SELECT 'labels.document', CAST(count(*) AS BIGINT) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)""",
+)
+def v1(t: Tables) -> DataFrame:
+    return checks.report(
+        {
+            "orders.pk": checks.duplicate_keys(t.orders, ["o_orderkey"]),
+            "lineitem.order": checks.orphans(t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
+            "orders.customer": checks.orphans(t.orders, "o_custkey", t.customer, "c_custkey"),
+            "lineitem.place": checks.duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"]),
+            "events.kind": checks.outside(t.events, "event_type", ["view", "click", "signup"]),
+            "labels.document": checks.orphans(t.labels, "doc_id", t.documents, "doc_id"),
+        }
+    )
+
+
+@query("V3_append_only", "SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT user_id, ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS back FROM events) WHERE back GROUP BY 1")
+def v3(t: Tables) -> DataFrame:
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    return t.events.withColumn("back", F.col("ts") <= F.lag("ts").over(w)).where("back").groupBy("user_id").agg(F.count("*").alias("n"))
+
+
+@query("V4_release_shape", "SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (o_totalprice IS NULL OR o_totalprice < 0) AS BIGINT) AS bad FROM orders GROUP BY 1")
+def v4(t: Tables) -> DataFrame:
+    return t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.count_if(F.col("o_totalprice").isNull() | (F.col("o_totalprice") < 0)).alias("bad"))
+
+
+@query("V5_score_bounds", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_discount NOT BETWEEN 0 AND 0.09 OR l_tax NOT BETWEEN 0 AND 0.08 OR l_quantity <> floor(l_quantity)")
+def v5(t: Tables) -> DataFrame:
+    bad = ~F.col("l_discount").between(0, 0.09) | ~F.col("l_tax").between(0, 0.08) | (F.col("l_quantity") != F.floor("l_quantity"))
+    return t.lineitem.where(bad).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("V6_scope_uniqueness", "SELECT conv_id, turn FROM conversations GROUP BY 1, 2 HAVING count(*) > 1 UNION ALL SELECT conv_id, min(turn) FROM conversations GROUP BY 1 HAVING min(turn) <> 0 OR max(turn) + 1 <> count(DISTINCT turn)")
+def v6(t: Tables) -> DataFrame:
+    g = t.conversations.groupBy("conv_id").agg(F.min("turn").alias("turn"), F.max("turn").alias("hi"), F.countDistinct("turn").alias("n"))
+    return checks.duplicate_keys(t.conversations, ["conv_id", "turn"]).drop("n").unionByName(g.where("turn <> 0 or hi + 1 <> n").select("conv_id", "turn"))
+
+
+@query("V7_network_projection", "SELECT n_nationkey FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_regionkey <> 4)")
+def v7(t: Tables) -> DataFrame:
+    return checks.orphans(t.nation, "n_regionkey", t.region.where("r_regionkey <> 4"), "r_regionkey").select("n_nationkey")
+
+
+@query("V8_symmetry", "SELECT CAST(count(*) AS BIGINT) AS broken FROM (SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey)")
+def v8(t: Tables) -> DataFrame:
+    """Half a matrix: every pair lacks its mirror image."""
+    a, b = t.nation.alias("a"), t.nation.alias("b")
+    half = a.join(b, (F.col("a.n_regionkey") == F.col("b.n_regionkey")) & (F.col("a.n_nationkey") < F.col("b.n_nationkey"))).select(F.col("a.n_nationkey").alias("a"), F.col("b.n_nationkey").alias("b"), F.lit(1.0).alias("v"))
+    return checks.asymmetric(half, "a", "b", "v").agg(F.count("*").alias("broken"))
