@@ -311,12 +311,12 @@ def w13(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("last_id"), F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("peak_id"))
 
 
-@query("W14_mean_change", "SELECT o_custkey, round(avg(abs(d)), 4) AS change, round(arg_max(o_totalprice, (o_orderdate, o_orderkey)) - arg_min(o_totalprice, (o_orderdate, o_orderkey)), 2) AS drift FROM (SELECT *, o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS d FROM orders) GROUP BY 1 HAVING count(*) >= 3")
+@query("W14_mean_change", "SELECT o_custkey, round(avg(abs(d)), 1) AS change, round(arg_max(o_totalprice, (o_orderdate, o_orderkey)) - arg_min(o_totalprice, (o_orderdate, o_orderkey)), 2) AS drift FROM (SELECT *, o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS d FROM orders) GROUP BY 1 HAVING count(*) >= 3")
 def w14(t: Tables) -> DataFrame:
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     o = t.orders.withColumn("d", F.col("o_totalprice") - F.lag("o_totalprice").over(w))
     at = F.struct("o_orderdate", "o_orderkey")
-    g = o.groupBy("o_custkey").agg(F.round(F.avg(F.abs("d")), 4).alias("change"), F.round(F.max_by("o_totalprice", at) - F.min_by("o_totalprice", at), 2).alias("drift"), F.count("*").alias("n"))
+    g = o.groupBy("o_custkey").agg(F.round(F.avg(F.abs("d")), 1).alias("change"), F.round(F.max_by("o_totalprice", at) - F.min_by("o_totalprice", at), 2).alias("drift"), F.count("*").alias("n"))
     return g.where("n >= 3").drop("n")
 
 

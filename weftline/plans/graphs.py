@@ -107,7 +107,7 @@ def a37(t: Tables) -> DataFrame:
     return ends.groupBy(F.col("ga").alias("group")).agg(F.count("*").alias("members"), F.round(F.min("least"), 6).alias("least"), F.max_by("id", F.struct("mean", -F.col("id"))).alias("medoid"))
 
 
-@query("G22_fixed_hop", "SELECT o_orderkey, CAST(s AS BIGINT) AS start, CAST(least(s + 30, d) AS BIGINT) AS stop FROM (SELECT o_orderkey, d, unnest(range(0, d, 25)) AS s FROM (SELECT o_orderkey, CAST(o_totalprice AS BIGINT) // 1000 AS d FROM orders)) WHERE d - s >= 10 OR s = 0")
+@query("G22_fixed_hop", "SELECT o_orderkey, CAST(s AS BIGINT) AS start, CAST(least(s + 30, d) AS BIGINT) AS stop FROM (SELECT o_orderkey, d, unnest(range(0, d, 25)) AS s FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) // 1000 AS d FROM orders)) WHERE d - s >= 10 OR s = 0")
 def g22(t: Tables) -> DataFrame:
     """Chunks of 30 every 25; a tail under 10 goes, unless it is all there is."""
     d = t.orders.select("o_orderkey", F.expr("cast(o_totalprice as bigint) div 1000").alias("d"))
@@ -139,7 +139,7 @@ def g21(t: Tables) -> DataFrame:
     return folds.plan_spans(marks, target=300_000, reach=40_000, padding=5_000)
 
 
-@query("G25_payload_audit", "SELECT o_orderstatus, CAST(sum(greatest(0, least(b, 400) - greatest(a, 100))) AS BIGINT) AS bytes FROM (SELECT o_orderstatus, CAST(o_totalprice AS BIGINT) // 1000 AS a, CAST(o_totalprice AS BIGINT) // 1000 + 20 AS b FROM orders) GROUP BY 1")
+@query("G25_payload_audit", "SELECT o_orderstatus, CAST(sum(greatest(0, least(b, 400) - greatest(a, 100))) AS BIGINT) AS bytes FROM (SELECT o_orderstatus, CAST(floor(o_totalprice) AS BIGINT) // 1000 AS a, CAST(floor(o_totalprice) AS BIGINT) // 1000 + 20 AS b FROM orders) GROUP BY 1")
 def g25(t: Tables) -> DataFrame:
     a = F.expr("cast(o_totalprice as bigint) div 1000")
     inside = F.greatest(F.lit(0), F.least(a + 20, F.lit(400)) - F.greatest(a, F.lit(100)))
