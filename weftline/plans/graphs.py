@@ -144,3 +144,12 @@ def g25(t: Tables) -> DataFrame:
     a = F.expr("cast(o_totalprice as bigint) div 1000")
     inside = F.greatest(F.lit(0), F.least(a + 20, F.lit(400)) - F.greatest(a, F.lit(100)))
     return t.orders.groupBy("o_orderstatus").agg(F.sum(inside).cast("long").alias("bytes"))
+
+
+@query("G9_attach_groups", "SELECT e.user_id, e.event_type, CASE WHEN g.n = 1 AND g.d = sha256(e.event_type) THEN g.grp END AS grp FROM (SELECT DISTINCT user_id, event_type FROM events) e LEFT JOIN (SELECT user_id, min(grp) AS grp, count(*) AS n, min(d) AS d FROM (SELECT user_id, user_id // 10 AS grp, sha256(CASE WHEN user_id % 3 = 0 THEN 'view' ELSE 'click' END) AS d FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 4 <> 0) GROUP BY 1) g USING (user_id)")
+def g9(t: Tables) -> DataFrame:
+    """Group membership attached where it is unique and its digest still agrees; stale or doubled rows fall back to none."""
+    members = t.events.select("user_id").distinct().where("user_id % 4 <> 0").select("user_id", F.expr("user_id div 10").alias("grp"), F.sha2(F.when(F.col("user_id") % 3 == 0, "view").otherwise("click").cast("binary"), 256).alias("d"))
+    g = members.groupBy("user_id").agg(F.min("grp").alias("grp"), F.count("*").alias("n"), F.min("d").alias("d"))
+    good = (F.col("n") == 1) & (F.col("d") == F.sha2(F.col("event_type").cast("binary"), 256))
+    return t.events.select("user_id", "event_type").distinct().join(g, "user_id", "left").select("user_id", "event_type", F.when(good, F.col("grp")).alias("grp"))

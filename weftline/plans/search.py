@@ -137,3 +137,20 @@ def k10(t: Tables) -> DataFrame:
     """Turns of a conversation packed in order into documents of at most 12,000 characters; longer turns stand alone."""
     rows = t.conversations.select(F.col("conv_id").alias("key"), F.col("turn").alias("place"), (F.char_length("text") + 1).cast("long").alias("size"))
     return folds.pack_in_order(rows, most_size=12_000, most_rows=10**9, by_key=True)
+
+
+@query(
+    "T13_containment",
+    r"""WITH w AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark), s AS (SELECT DISTINCT item_id, unnest([array_to_string(w[i : i + 1], ' ') FOR i IN range(1, len(w))]) AS g FROM w), n AS (SELECT item_id, count(*) AS n FROM s GROUP BY 1)
+    SELECT a.item_id AS a, b.item_id AS b, round(count(*) / least(any_value(x.n), any_value(y.n)), 6) AS containment FROM s a JOIN s b ON a.g = b.g AND a.item_id < b.item_id JOIN n x ON x.item_id = a.item_id JOIN n y ON y.item_id = b.item_id GROUP BY 1, 2""",
+)
+def t13(t: Tables) -> DataFrame:
+    """Pairs of passages that share two-word shingles, with the share of the smaller one's."""
+    w = t.benchmark.select("item_id", tokens(F.col("text")).alias("w"), F.size(tokens(F.col("text"))).alias("k"))
+    grams = F.transform(F.sequence(F.lit(1), F.col("k") - 1), lambda i: F.array_join(F.slice("w", i, 2), " "))
+    s = w.where("k >= 2").select("item_id", F.explode(F.array_distinct(grams)).alias("g"))
+    n = s.groupBy("item_id").agg(F.count("*").alias("n"))
+    a, b = s.alias("a"), s.alias("b")
+    shared = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.item_id") < F.col("b.item_id"))).groupBy(F.col("a.item_id").alias("a"), F.col("b.item_id").alias("b")).agg(F.count("*").alias("c"))
+    j = shared.join(n.select(F.col("item_id").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("item_id").alias("b"), F.col("n").alias("nb")), "b")
+    return j.select("a", "b", F.round(F.col("c") / F.least("na", "nb"), 6).alias("containment"))

@@ -90,3 +90,39 @@ def s22(t: Tables) -> DataFrame:
 @query("S23_or_empty", "SELECT CAST(0 AS BIGINT) AS n")
 def s23(t: Tables) -> DataFrame:
     return readers.or_empty(t.spark, f"{t.folder}/no_such_table.parquet", "id long").agg(F.count("*").alias("n"))
+
+
+@query("S1_S12_json_documents", "SELECT 'catalogue' AS name, CAST(count(*) AS BIGINT) AS items, CAST(sum(n_nationkey) AS BIGINT) AS total FROM nation")
+def s1(t: Tables) -> DataFrame:
+    """One document that holds a list, as the snapshot importers read it."""
+    path = _path(t)
+    body = t.nation.agg(F.collect_list(F.struct("n_nationkey", "n_name")).alias("items")).select(F.to_json(F.struct(F.lit("catalogue").alias("name"), "items")).alias("value"))
+    body.coalesce(1).write.text(path)
+    doc = readers.json_documents(t.spark, path, "name string, items array<struct<n_nationkey: int, n_name: string>>")
+    return doc.select("name", F.explode("items").alias("i")).groupBy("name").agg(F.count("*").alias("items"), F.sum("i.n_nationkey").cast("long").alias("total"))
+
+
+@query("S10_S11_torrent_listing", "SELECT CAST(s_suppkey AS VARCHAR) || '.bin' AS path, CAST(place AS BIGINT) AS place, 100 + place AS length, CAST(CASE place WHEN 0 THEN 0 WHEN 1 THEN 100 ELSE 201 END AS BIGINT) AS first FROM supplier, (SELECT unnest([0, 1, 2])::BIGINT AS place)")
+def s10(t: Tables) -> DataFrame:
+    """Bencoded manifests of three files each, listed with running offsets."""
+    file = lambda i: f"d6:lengthi{100 + i}e4:pathl1:{i}ee"
+    body = f"d4:infod5:filesl{file(0)}{file(1)}{file(2)}e4:name1:xee"
+    content = t.supplier.select(F.concat(F.col("s_suppkey").cast("string"), F.lit(".bin")).alias("path"), F.encode(F.lit(body), "UTF-8").alias("content"))
+    return readers.torrent_files(content).select("path", "place", "length", "first")
+
+
+@query("S13_S14_S17_envelopes", "SELECT event_id, CASE WHEN json_extract_string(props, '$.k')::INT > 95 THEN 'too large' WHEN event_type = 'error' THEN 'error entry' END AS problem FROM events WHERE json_extract_string(props, '$.k')::INT > 95 OR event_type = 'error'")
+def s13(t: Tables) -> DataFrame:
+    """Result envelopes: entries that break a rule, with the first rule they break."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    problem = F.when(k > 95, "too large").when(F.col("event_type") == "error", "error entry")
+    return t.events.select("event_id", problem.alias("problem")).where("problem is not null")
+
+
+@query("S21_compact_shards", "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey < 100")
+def s21(t: Tables) -> DataFrame:
+    """Dictionary-coded columns of a shard, decoded by position."""
+    rows = t.customer.where("c_custkey < 100").orderBy("c_custkey").select("c_custkey", "c_mktsegment")
+    shard = rows.agg(F.array_sort(F.collect_set("c_mktsegment")).alias("words"), F.array_sort(F.collect_list(F.struct("c_custkey", "c_mktsegment"))).alias("r"))
+    shard = shard.select("words", F.transform("r", lambda x: x["c_custkey"]).alias("keys"), F.transform("r", lambda x: F.array_position(F.col("words"), x["c_mktsegment"]) - 1).alias("codes"))
+    return shard.select("words", F.explode(F.arrays_zip("keys", "codes")).alias("z")).select(F.col("z.keys").alias("c_custkey"), F.get("words", F.col("z.codes").cast("int")).alias("c_mktsegment"))

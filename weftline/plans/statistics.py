@@ -71,3 +71,16 @@ def g18(t: Tables) -> DataFrame:
 def g19(t: Tables) -> DataFrame:
     b, r2 = matrices.ols(t.lineitem.select(F.array("l_extendedprice", "l_quantity").alias("v")), "v")
     return t.spark.createDataFrame([(round(float(b[0]), 4), round(float(b[1]), 4), round(r2, 6))], "intercept double, slope double, r2 double")
+
+
+@query("G17_chronological_folds", "SELECT fold, CAST(count(*) AS BIGINT) AS n, min(year) AS first, max(year) AS last, round(sqrt(avg(pow(p - prior, 2))), 2) AS rmse FROM (SELECT o_totalprice AS p, year(o_orderdate) AS year, (year(o_orderdate) - 1995) // 2 AS fold FROM orders) o JOIN (SELECT f AS pf, avg(o_totalprice) AS prior FROM (SELECT unnest([1, 2, 3]) AS f) JOIN orders ON (year(o_orderdate) - 1995) // 2 < f GROUP BY 1) ON pf = fold GROUP BY 1")
+def g17(t: Tables) -> DataFrame:
+    """Each later two-year fold predicted by the mean of all earlier ones; sums per fold, few rows, carry it."""
+    from pyspark.sql import Window
+
+    o = t.orders.select(F.col("o_totalprice").alias("p"), F.year("o_orderdate").alias("year")).withColumn("fold", F.expr("(year - 1995) div 2"))
+    cells = o.groupBy("fold").agg(F.count("*").alias("n"), F.sum("p").alias("s"), F.sum(F.col("p") * F.col("p")).alias("q"), F.min("year").alias("first"), F.max("year").alias("last"))
+    before = Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("prior", F.sum("s").over(before) / F.sum("n").over(before)).where("prior is not null")
+    mse = F.col("q") / F.col("n") - 2 * F.col("prior") * F.col("s") / F.col("n") + F.col("prior") * F.col("prior")
+    return cells.select("fold", "n", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), F.round(F.sqrt(mse), 2).alias("rmse"))
