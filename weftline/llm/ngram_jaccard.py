@@ -31,6 +31,8 @@ SKETCH_LOG2 = 22
 SEGMENT_LOG2 = 16
 #: Bits of the filter that keeps the texts of candidate pairs.
 FILTER_LOG2 = 25
+#: Partitions that the rows of one class of copies are dealt over.
+SALTS = 32
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Hashes at which the suffix filter cuts sets.
 _CUTS = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
@@ -188,7 +190,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int =
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = saved(prefixes(docs, sketch(docs, words), words, num, den))
     # Copies: equal sets. n and prefix are functions of the digest, so any row's will do.
-    classes = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
+    classes = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")).where("members > 1")
     first = sets.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("x"))
     postings = first.select(F.col("x.doc_id").alias("rep"), F.col("x.n").alias("n"), F.posexplode("x.prefix").alias("pos", "token")).select("token", "rep", (F.col("pos").cast("long") * F.lit(1 << 31) + F.col("n")).alias("at"))
     # A shingle's leader: the class that has it earliest, so the one with the fewest rare shingles of its own.
@@ -205,9 +207,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int =
     if rest.limit(1).count():
         more = verified(rest, docs, words, num, den)
         labels = components(links.unionByName(more))
-    named = classes.join(labels, classes["rep"] == labels["id"], "left").select("d1", "d2", F.coalesce("label", "rep").alias("component_id"))
-    out = sets.select("doc_id", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    # Rows of one class may be a third of all: they are dealt out over salts, and only classes of copies carry those.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    copies = classes.join(labels, classes["rep"] == labels["id"], "left").select("d1", "d2", F.coalesce("label", "rep").alias("shared"), salts)
+    out = sets.select("doc_id", "n", "d1", "d2", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    out = out.join(copies, ["d1", "d2", "salt"], "left").join(labels, F.col("doc_id") == labels["id"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("shared", "label", "doc_id").alias("component_id"))
 
 
 def _fits(n: Column, pos: Column, n2: Column, pos2: Column, num: int, den: int) -> Column:
