@@ -94,6 +94,16 @@ def test_jaccard(docs, texts, words, num, den):
     assert found == {i: (len(sets[i]), root(i)) for i in sets}
 
 
+def test_jaccard_links(docs, texts):
+    sets = {i: {tuple(w[j : j + 3]) for j in range(max(1, len(w) - 2))} if (w := t.encode().lower().split()) else set() for i, t in texts.items()}
+    pairs, members = ngram_jaccard.jaccard_links(docs, 3, 7, 10)
+    rep = {i: min(j for j in sets if sets[j] == s) if s else i for i, s in sets.items()}
+    assert {r.doc_id: r.rep for r in members.collect()} == rep
+    reps = sorted(set(rep.values()))
+    expected = {(a, b) for a, b in itertools.combinations(reps, 2) if sets[a] and 10 * len(sets[a] & sets[b]) >= 7 * len(sets[a] | sets[b])}
+    assert {(r.a, r.b) for r in pairs.collect()} == expected
+
+
 def test_near_copies_chain(spark):
     base = [f"w{i}" for i in range(300)]
     rows = [(0, " ".join(base))]

@@ -178,6 +178,36 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _prepared(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """docs (doc_id, text); every row's set figures and prefix; and the prefix shingles that two classes or more hold."""
+    small_batches(docs.sparkSession)
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    sets = saved(prefixes(docs, sketch(docs, words), words, num, den))
+    # Copies: equal sets. n and prefix are functions of the digest, so any row's will do.
+    first = sets.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("x"))
+    postings = first.select(F.col("x.doc_id").alias("rep"), F.col("x.n").alias("n"), F.posexplode("x.prefix").alias("pos", "token")).select("token", "rep", (F.col("pos").cast("long") * F.lit(1 << 31) + F.col("n")).alias("at"))
+    # A shingle's leader: the class that has it earliest, so the one with the fewest rare shingles of its own.
+    leaders = postings.groupBy("token").agg(F.count("*").alias("c"), F.min_by("rep", "at").alias("leader"), F.min("at").alias("leader_at")).where("c > 1").drop("c")
+    return docs, sets, saved(postings.join(leaders, "token"))
+
+
+def jaccard_links(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(pairs, members): every link between different texts once, as pairs (a, b) of class representatives, a < b; and
+    (doc_id, n_shingles, rep) for every row of docs. Copies share a representative, the class's smallest id.
+
+    All links are checked and returned, so groups of near copies give as many pairs as they have links; for groups
+    alone jaccard_components() is cheaper. Texts without shingles have no link and, as rep, their own id.
+    """
+    docs, sets, common = _prepared(docs, words, num, den, doc_id, text)
+    spark = docs.sparkSession
+    pairs = saved(_across(common, spark.createDataFrame([], "id long, label long"), spark.createDataFrame([], "a long, b long"), num, den))
+    reps = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")).where("members > 1")
+    reps = reps.select("d1", "d2", "rep", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    rows = sets.select("doc_id", "n", "d1", "d2", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    members = rows.join(reps, ["d1", "d2", "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
+    return verified(pairs, docs, words, num, den), members
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles (long), component_id (smallest id reachable by links, itself included).
 
@@ -185,17 +215,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int =
     shingles and link with nothing. Ids name texts: a repeated row shares its id's component; a row with a null id
     takes its copies' component, or null. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = saved(prefixes(docs, sketch(docs, words), words, num, den))
-    # Copies: equal sets. n and prefix are functions of the digest, so any row's will do.
+    docs, sets, common = _prepared(docs, words, num, den, doc_id, text)
     classes = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")).where("members > 1")
-    first = sets.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("x"))
-    postings = first.select(F.col("x.doc_id").alias("rep"), F.col("x.n").alias("n"), F.posexplode("x.prefix").alias("pos", "token")).select("token", "rep", (F.col("pos").cast("long") * F.lit(1 << 31) + F.col("n")).alias("at"))
-    # A shingle's leader: the class that has it earliest, so the one with the fewest rare shingles of its own.
-    leaders = postings.groupBy("token").agg(F.count("*").alias("c"), F.min_by("rep", "at").alias("leader"), F.min("at").alias("leader_at")).where("c > 1").drop("c")
-    common = saved(postings.join(leaders, "token"))
     n, pos, n2, pos2 = (F.expr(x) for x in ("at % 2147483648L", "at div 2147483648L", "leader_at % 2147483648L", "leader_at div 2147483648L"))
     fits = _fits(n, pos, n2, pos2, num, den)
     star = common.where((F.col("rep") != F.col("leader")) & fits).groupBy("rep", "leader").agg(F.count("*").alias("c"))
