@@ -327,3 +327,10 @@ def test_redaction(spark):
     found = secret_scans.find_spans(frame)
     out = {r.doc_id: r.t for r in found.select("doc_id", secret_scans.redact("text", "all_spans").alias("t")).collect()}
     assert out == {1: "x é [SECRET] y [SECRET] z", 2: None, 3: "clean"}
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_oracles(name, spark, data):
+    from tests.oracle import connect, rows
+
+    assert rows(queries.queries()[name](spark, data).toPandas()) == rows(connect(data).execute(queries.oracle_sql()[name]).df())

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.llm import oracles
 from weftline.llm.common import documents, shared_dir
 from weftline.llm.fingerprints import fingerprints
 from weftline.llm.language_id import language_id
@@ -95,4 +96,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_ngram_jaccard": oracles.NGRAM_JACCARD, "op7_quality_rules": oracles.QUALITY_RULES}

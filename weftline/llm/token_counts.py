@@ -76,9 +76,10 @@ def count_tokens(texts: Column, path: str) -> Column:
 
     @F.pandas_udf("long")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = _COUNTERS.setdefault(path, None) or _COUNTERS.__setitem__(path, WordCounter(path)) or _COUNTERS[path]
+        if path not in _COUNTERS:
+            _COUNTERS[path] = WordCounter(path)
         for batch in batches:
-            yield pd.Series(counter.count(batch.tolist()), dtype="int64")
+            yield pd.Series(_COUNTERS[path].count(batch.tolist()), dtype="int64")
 
     return counted(texts)
 
