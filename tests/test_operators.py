@@ -256,3 +256,17 @@ def test_stream_windows_agree_with_batch(spark, data):
     q.awaitTermination()
     batch = events.groupBy(F.date_trunc("day", F.col("ts").cast("timestamp")).alias("start"), "event_type").agg(F.count("*").alias("n"))
     assert {(r.start, r.event_type): r.n for r in spark.table("w").collect()} == {(r.start, r.event_type): r.n for r in batch.collect()}
+
+
+def test_perceptual_hash(spark):
+    from weftline.functions import images
+
+    rng = np.random.default_rng(2)
+    y, x = np.mgrid[0:32, 0:32]
+    base = 100 + 60 * np.sin(x / 5) + 40 * np.cos(y / 7 + x / 11)
+    rows = [(0, base), (1, base + rng.normal(0, 2, base.shape)), (2, base * 1.1 + 5), (3, rng.uniform(0, 255, base.shape)), (4, None)]
+    frame = spark.createDataFrame([(i, None if p is None else p.ravel().tolist()) for i, p in rows], "id int, p array<double>")
+    h = frame.select("id", images.perceptual_hash(F.col("p")).alias("h"))
+    pairs = h.alias("a").join(h.where("id = 0").select(F.col("h").alias("h0"), F.lit(0).alias("zero")).alias("b"), F.col("b.zero") <= F.col("a.id"))
+    d = {r.id: r.d for r in pairs.select("id", images.hash_distance(F.col("h"), F.col("h0")).alias("d")).collect()}
+    assert d[0] == 0 and d[1] <= 0.25 and d[2] <= 0.05 and d[3] >= 0.3 and d[4] is None

@@ -112,9 +112,9 @@ def t11(t: Tables) -> DataFrame:
 def t12(t: Tables) -> DataFrame:
     """Reciprocal-rank fusion of the thirty best by BM25 and by cosine, six kept."""
     b = fulltext.bm25(t.documents, "doc_id", "text", ["the"]).select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(30)
-    first = t.embeddings.where("vec_id = 0").select(F.col("embedding").alias("q"))
+    asked = F.array(*[F.lit(float(x)) for x in t.embeddings.where("vec_id = 0").first()["embedding"]])
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, c: a.cast("double") * c.cast("double")), F.lit(0.0), lambda s, z: s + z)
-    v = t.embeddings.join(F.broadcast(first)).select(F.col("vec_id").alias("doc_id"), F.round(dot("embedding", "q") / F.sqrt(dot("embedding", "embedding")), 9).alias("score")).orderBy(F.desc("score"), "doc_id").limit(30)
+    v = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.round(dot("embedding", asked) / F.sqrt(dot("embedding", "embedding")), 9).alias("score")).orderBy(F.desc("score"), "doc_id").limit(30)
     ranked = [x.select("doc_id", F.row_number().over(Window.orderBy(F.desc("score"), "doc_id")).alias("n")) for x in (b, v)]
     fused = ranked[0].unionByName(ranked[1]).groupBy("doc_id").agg(F.round(F.sum(1.0 / (60 + F.col("n"))), 9).alias("score"))
     return fused.orderBy(F.desc("score"), "doc_id").limit(6)

@@ -44,8 +44,8 @@ def k2c(t: Tables) -> DataFrame:
     written(t.region)  # makes the shared folder known where the session has none
     path = f"{t.spark.conf.get('spark.checkpoint.dir').rstrip('/')}/release-{uuid.uuid4().hex}"
     manifest = sinks.write_release(sealed, F.concat_ws("-", "o_orderstatus", F.col("shard").cast("string")), path)
-    broken = sinks.validate_release(t.spark, path).agg(F.count("*").alias("broken"))
-    return manifest.agg(F.count("*").alias("shards")).join(broken)
+    broken = sinks.validate_release(t.spark, path).count()
+    return manifest.agg(F.count("*").alias("shards"), F.lit(broken).cast("long").alias("broken"))
 
 
 @query("K3_graph_release", "SELECT n_regionkey AS r, string_agg(n_name, ',' ORDER BY n_name) AS names, CAST(count(*) AS BIGINT) AS n FROM nation GROUP BY 1")

@@ -49,7 +49,8 @@ def s15(t: Tables) -> DataFrame:
     rows = t.orders.select((k % 6).alias("level"), F.lit(1).alias("page_num"), *[(k if n == "word_num" else F.lit(1)).alias(n) for n in names[1:]], F.lit(90.5).alias("conf"), F.col("o_orderstatus").alias("text"))
     rows.select("level", *names, "conf", "text").orderBy("word_num").coalesce(1).write.csv(path, sep="\t", header=True)
     words = readers.ocr_words(t.spark, path)
-    return words.agg(F.count("*").alias("words")).join(readers.out_of_order(words).agg(F.count("*").alias("misplaced")))
+    misplaced = readers.out_of_order(words).count()
+    return words.agg(F.count("*").alias("words"), F.lit(misplaced).cast("long").alias("misplaced"))
 
 
 @query("S16_transcripts", "SELECT conv_id, CAST(turn AS BIGINT) AS segment, CAST(len(string_split(substr(text, 1, 60), ' ')) AS BIGINT) AS words FROM conversations")
