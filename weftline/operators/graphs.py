@@ -27,18 +27,19 @@ def written(df: DataFrame) -> DataFrame:
 def reachable(edges: DataFrame, seeds: DataFrame, rounds: int = 1000) -> DataFrame:
     """(id, label): every vertex reached from seeds (id, label) along edges (a, b), seeds included, with its highest label.
 
-    A vertex is passed on again only when a higher label reaches it, so cycles end.
+    A vertex is passed on again only when a higher label reaches it, so cycles end. Each round writes one table: the
+    labels so far, and which of them are fresh.
     """
-    best = written(seeds.groupBy("id").agg(F.max("label").alias("label")))
-    frontier = best
+    edges = written(edges.select("a", "b"))
+    state = written(seeds.groupBy("id").agg(F.max("label").alias("label")).withColumn("fresh", F.lit(True)))
     for _ in range(rounds):
-        step = frontier.join(edges, frontier["id"] == edges["a"]).groupBy(F.col("b").alias("id")).agg(F.max("label").alias("label"))
-        better = written(step.join(best.withColumnRenamed("label", "old"), "id", "left").where("old is null or label > old").select("id", "label"))
-        if not better.limit(1).count():
+        fresh = state.where("fresh")
+        step = fresh.join(edges, fresh["id"] == edges["a"]).groupBy(F.col("b").alias("id")).agg(F.max("label").alias("new"))
+        better = F.col("new").isNotNull() & (F.col("label").isNull() | (F.col("new") > F.col("label")))
+        state = written(state.drop("fresh").join(step, "id", "full_outer").select("id", F.greatest("label", "new").alias("label"), better.alias("fresh")))
+        if not state.where("fresh").limit(1).count():
             break
-        best = written(best.unionByName(better).groupBy("id").agg(F.max("label").alias("label")))
-        frontier = better
-    return best
+    return state.select("id", "label")
 
 
 def components(edges: DataFrame) -> DataFrame:
