@@ -188,6 +188,8 @@ def _prepared(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text
     postings = first.select(F.col("x.doc_id").alias("rep"), F.col("x.n").alias("n"), F.posexplode("x.prefix").alias("pos", "token")).select("token", "rep", (F.col("pos").cast("long") * F.lit(1 << 31) + F.col("n")).alias("at"))
     # A shingle's leader: the class that has it earliest, so the one with the fewest rare shingles of its own.
     leaders = postings.groupBy("token").agg(F.count("*").alias("c"), F.min_by("rep", "at").alias("leader"), F.min("at").alias("leader_at")).where("c > 1").drop("c")
+    # Written first: a join of two plain exchanges is one whose skewed partitions Spark can split.
+    leaders = saved(leaders)
     return docs, sets, saved(postings.join(leaders, "token"))
 
 
@@ -247,6 +249,7 @@ def _across(common: DataFrame, labels: DataFrame, seen: DataFrame, num: int, den
     named = common.select("token", "rep", "at").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("token", "rep", "at", F.coalesce("label", "rep").alias("label"))
     named = saved(named)
     mixed = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
+    mixed = saved(mixed)
     rows = saved(named.join(mixed, "token").select("token", "rep", "label", F.expr("at % 2147483648L").alias("n"), F.expr("at div 2147483648L").alias("pos")))
     x, y = rows.alias("x"), rows.alias("y")
     near = _fits(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), num, den)
