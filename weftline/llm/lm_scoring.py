@@ -172,11 +172,20 @@ class Slots:
 
     def __init__(self, kind: int, keys: np.ndarray, values: np.ndarray, counts: np.ndarray) -> None:
         order = np.argsort(counts, kind="stable")
-        self.bits = SLOTS_LOG2[kind]
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, SLOT_TYPES[kind])
-        self.keys[self.slot(keys[order])] = keys[order]
-        mine = self.keys[self.slot(keys)] == keys
-        self.values[self.slot(keys[mine])] = values[mine]
+        self.__setstate__((kind, keys[order], values[order]))
+
+    def __getstate__(self) -> tuple:
+        """The keys and values alone travel; each worker lays them out again."""
+        held = np.flatnonzero(self.keys != -1)
+        return self.kind, self.keys[held], self.values[held]
+
+    def __setstate__(self, state: tuple) -> None:
+        self.kind, keys, values = state
+        self.bits = SLOTS_LOG2[self.kind]
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, SLOT_TYPES[self.kind])
+        at = self.slot(keys)
+        # Keys come in ascending order of count: of a slot's keys the last one stays in both arrays.
+        self.keys[at], self.values[at] = keys, values
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
