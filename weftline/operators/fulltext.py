@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.text import tokens
+from weftline.operators.graphs import written
 
 #: The two BM25 constants of the reference's full-text index.
 K1, B = 1.2, 0.75
@@ -24,12 +25,13 @@ def _occurrences(terms: str, word: str) -> Column:
 def bm25(docs: DataFrame, key: str, text: str, query: list[str]) -> DataFrame:
     """(key, score) of documents with any query term, higher is better: sum of idf * tf (k1 + 1) / (tf + k1 norm).
 
-    Only the query's terms are counted, inside each row, so nothing is exploded and only aggregates leave the scan:
-    document frequencies and the mean length are one row, read before the scoring pass.
+    Only the query's terms are counted, inside each row, so nothing is exploded. The counts are written once, without
+    texts; document frequencies and the mean length are one row over them, read before the scoring pass.
     """
     t = tokens(F.col(text))
     rows = docs.select(key, t.alias("_t"))
     rows = rows.select(key, F.size("_t").alias("_n"), *[_occurrences("_t", q).alias(f"_tf{i}") for i, q in enumerate(query)])
+    rows = written(rows)
     stats = rows.agg(F.count("*").alias("n"), F.avg("_n").alias("mean"), *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(query))]).first()
     score = F.lit(0.0)
     norm = F.lit(1 - B) + F.lit(B) * F.col("_n") / F.lit(stats["mean"] or 1.0)
