@@ -16,14 +16,15 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and np.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and np.isnan(v)):
         return None
     if isinstance(v, (list, tuple, np.ndarray)):
         return "[" + ",".join(str(_cell(x)) for x in v) + "]"
     if isinstance(v, (bool, np.bool_)):
         return bool(v)
     if isinstance(v, (float, np.floating)):
-        return f"{v:.9g}"
+        # Whole numbers compare as such: a nullable integer column comes back as floats from one side.
+        return int(v) if float(v).is_integer() and abs(v) < 2**53 else f"{v:.9g}"
     return int(v) if isinstance(v, (int, np.integer)) else str(v)
 
 
