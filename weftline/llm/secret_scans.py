@@ -2,9 +2,10 @@
 
 Each run's encoding is inferred from its characters; three tests (chi-squared uniformity over that alphabet, runs about
 its middle, lag-1 serial correlation) must not reject randomness. Short runs pass such tests whatever they are, so a
-run must also be too even for ordinary text of its length: that p-value is controlled for false discoveries by
-Benjamini-Hochberg within each length class over the whole corpus. Only the counts of p-values by class and bin, a
-table of fixed size, reach the driver; candidates are few and never leave their row.
+run must also have too many rare letters for ordinary text, whatever its case (hex, with six letters: too few equal
+characters). Ordinary text's shares are those of the whole corpus outside the runs. That p-value is controlled for false
+discoveries by Benjamini-Hochberg within each length class over the whole corpus. Only character counts and the counts
+of p-values by class and bin, tables of fixed size, reach the driver; candidates are few and never leave their row.
 """
 
 from __future__ import annotations
@@ -29,32 +30,42 @@ RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings from the narrowest; a run gets the first that has all its characters.
 ENCODINGS = (DIGITS + "abcdef", DIGITS + "ABCDEF", UPPER + "234567", LOWER + "234567", DIGITS + LOWER, DIGITS + UPPER, DIGITS + UPPER + LOWER, DIGITS + UPPER + LOWER + "+/-_")
+HEX_ENCODINGS = 2
 #: Lengths at which a new class of the false-discovery control begins.
 LENGTH_CLASSES = (20, 24, 32, 48, 80, 160)
-#: Ordinary text spreads its letters so unevenly that chi-squared grows by about this much a character.
-TEXT_UNEVENNESS = 1.0
+#: Letters of ordinary text in per mille; with some capitals, digits and signs they count as PRIOR_CHARS characters of the corpus, so that a tiny one has shares too.
+LETTERS = dict(zip(LOWER, (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1), strict=True))
+PRIOR_CHARS = 2000
+#: A run without digits needs so many letters of either case.
+LEAST_OF_CASE = 3
 LEAST_RANDOM_P = 1e-3
 FALSE_DISCOVERIES = 0.05
-BINS = 300
+#: Bins of the normal score of p, so many a unit.
+BINS, A_UNIT = 600, 50
 
 SPAN = "struct<start:long,kind:int,end:long>"
-FOUND = f"base array<{SPAN}>, runs array<struct<start:long,end:long,cls:int,bin:int>>"
+#: pairs: equal characters, pair by pair; -1 where a test rejects randomness. letters: counts of a to z in either case.
+#: chars: counts of a whole batch, in its first row.
+FOUND = f"base array<{SPAN}>, runs array<struct<start:long,end:long,cls:int,enc:int,n:int,pairs:long,letters:array<int>>>, chars array<long>"
 
 
 def _upper(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def battery(run: str) -> tuple[float, float] | None:
-    """p that a random string is this odd (three tests, Bonferroni), and p that text is this even; None: not a candidate.
+def battery(run: str) -> tuple[float, int, int, int, list[int]] | None:
+    """p that a random string is this odd (three tests, Bonferroni), encoding, length, pairs of equal characters and letters; None: not a candidate.
 
-    Runs without a digit or without a letter are words or numbers, not candidates.
+    Runs without a letter are numbers, those without a digit and of one case are words; neither are candidates.
     """
     body = run.rstrip("=")
     chars = set(body)
-    if not chars & set(DIGITS) or not chars - set(DIGITS):
+    if not chars - set(DIGITS):
         return None
-    alphabet = next(a for a in ENCODINGS if chars <= set(a))
+    if not chars & set(DIGITS) and min(sum(map(str.islower, body)), sum(map(str.isupper, body))) < LEAST_OF_CASE:
+        return None
+    enc = next(i for i, a in enumerate(ENCODINGS) if chars <= set(a))
+    alphabet = ENCODINGS[enc]
     n, size = len(body), len(alphabet)
     codes = np.fromiter(map(alphabet.index, body), float, n)
     counts = np.bincount(codes.astype(int), minlength=size)
@@ -69,13 +80,12 @@ def battery(run: str) -> tuple[float, float] | None:
     if codes.std() > 0:
         middle = codes - codes.mean()
         odd.append(2 * _upper(abs(float((middle[1:] * middle[:-1]).sum() / (middle**2).sum())) * math.sqrt(n)))
-    shift = n * TEXT_UNEVENNESS
-    even = 1 - _upper((chi - (size - 1) - shift) / math.sqrt(2 * (size - 1) + 4 * shift))
-    return min(1.0, len(odd) * min(odd)), even
+    letters = list(map(body.lower().count, LOWER))
+    return min(1.0, len(odd) * min(odd)), enc, n, int((counts * (counts - 1)).sum()) // 2, letters
 
 
 def scan_text(text: str | None) -> tuple[list, list]:
-    """Base spans (start, kind, end), and the battery's candidates (start, end, length class, p bin) outside them."""
+    """Base spans (start, kind, end), and the battery's candidates (start, end, length class, encoding, length, pairs, letters)."""
     if not text:
         return [], []
     base, runs = [], []
@@ -85,21 +95,70 @@ def scan_text(text: str | None) -> tuple[list, list]:
         base += [(run.start() + m.start(), k, run.start() + m.end()) for k, p in ((1, ACCESS), (2, HEX)) for m in p.finditer(run[0])]
         if p := battery(run[0]):
             cls = sum(len(run[0]) >= least for least in LENGTH_CLASSES) - 1
-            place = min(BINS, int(-10 * math.log10(max(p[1], 1e-30)))) if p[0] >= LEAST_RANDOM_P else 0
-            runs.append((run.start(), run.end(), cls, place))
+            runs.append((run.start(), run.end(), cls, p[1], p[2], p[3] if p[0] >= LEAST_RANDOM_P else -1, p[4]))
     base.sort()
     return base, runs
 
 
+def _counted(texts: pd.Series) -> list[int]:
+    """How often each character of the widest encoding is in texts, outside runs."""
+    counts = np.zeros(256, np.int64)
+    for t in texts:
+        if t:
+            counts += np.bincount(np.frombuffer(RUN.sub(" ", t).encode("ascii", "ignore"), np.uint8), minlength=256)
+    return counts[[ord(c) for c in ENCODINGS[-1]]].tolist()
+
+
+def _held(counts: list[int]) -> dict[str, float]:
+    """counts by character, with the prior's."""
+    prior = {c: 0.94 * LETTERS[c] for c in LOWER} | {c: 0.04 * LETTERS[c.lower()] for c in UPPER} | dict.fromkeys(DIGITS, 1.5) | dict.fromkeys("+/-_", 1.25)
+    total = sum(prior.values())
+    return {c: n + prior[c] * PRIOR_CHARS / total for c, n in zip(ENCODINGS[-1], counts, strict=True)}
+
+
+def _pairs_score(r: Column, held: dict[str, float]) -> Column:
+    """Normal score of few equal pairs. A gamma distribution with the multinomial's mean and variance is made normal by its cube root."""
+    shares = []
+    for alphabet in ENCODINGS:
+        share = np.array([held[c] for c in alphabet])
+        share /= share.sum()
+        shares.append((float((share**2).sum()), float((share**3).sum())))
+    two, three = (F.get(F.array(*[F.lit(x[i]) for x in shares]), r["enc"]) for i in (0, 1))
+    n = r["n"].cast("double")
+    mean = n * (n - 1) / 2 * two
+    shape = mean * mean / (mean * (1 - two) + n * (n - 1) * (n - 2) * (three - two * two))
+    return (1 - 1 / (9 * shape) - F.cbrt((r["pairs"] + 0.5) / mean)) * 3 * F.sqrt(shape)
+
+
+def _letters_score(r: Column, held: dict[str, float]) -> Column:
+    """Normal score of rare letters: the sum of their negative log shares, as a shifted gamma with its three moments."""
+    share = np.array([held[c] + held[c.upper()] for c in LOWER])
+    share /= share.sum()
+    rare = -np.log(share)
+    mean = float(share @ rare)
+    var, third = (float(share @ (rare - mean) ** k) for k in (2, 3))
+    total = F.aggregate(F.zip_with(r["letters"], F.array(*[F.lit(float(x)) for x in rare]), lambda n, x: n * x), F.lit(0.0), lambda a, x: a + x)
+    m = F.aggregate(r["letters"], F.lit(0), lambda a, x: a + x).cast("double")
+    skew = max(third / var**1.5, 1e-3) / F.sqrt(m)
+    z = (total - m * mean) / F.sqrt(m * var)
+    return 6 / skew * (F.cbrt(F.greatest(F.lit(0.0), 1 + skew * z / 2)) - 1) + skew / 6
+
+
+def _binned(r: Column, held: dict[str, float]) -> Column:
+    """The bin of a run's score against ordinary text; 0 where a test rejects randomness."""
+    score = F.when(r["enc"] < HEX_ENCODINGS, _pairs_score(r, held)).otherwise(_letters_score(r, held))
+    return F.when(r["pairs"] < 0, 0).otherwise(F.least(F.lit(BINS), F.greatest(F.lit(0), F.floor(score * A_UNIT)))).cast("int")
+
+
 def _thresholds(runs: DataFrame) -> dict[int, int]:
-    """Length class -> the least p bin that Benjamini-Hochberg keeps."""
+    """Length class -> the least bin that Benjamini-Hochberg keeps."""
     counts = np.zeros((len(LENGTH_CLASSES), BINS + 1))
     for r in runs.groupBy("cls", "bin").count().collect():
         counts[r["cls"], r["bin"]] = r["count"]
     kept = {}
     for cls, row in enumerate(counts):
         above = row[::-1].cumsum()[::-1]
-        good = [k for k in range(1, BINS + 1) if above[k] and row.sum() * 10 ** (-k / 10) <= FALSE_DISCOVERIES * above[k]]
+        good = [k for k in range(1, BINS + 1) if above[k] and row.sum() * _upper(k / A_UNIT) <= FALSE_DISCOVERIES * above[k]]
         kept[cls] = min(good, default=BINS + 1)
     return kept
 
@@ -119,14 +178,17 @@ def find_spans(docs: DataFrame, text: str = "text", base: str = "base_spans", sp
 
     @F.pandas_udf(FOUND)
     def scanned(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([scan_text(t) for t in texts], columns=["base", "runs"])
+        rows = [(*scan_text(t), None if i else _counted(texts)) for i, t in enumerate(texts)]
+        return pd.DataFrame(rows, columns=["base", "runs", "chars"])
 
     kept = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep) if c not in (base, spans)]
     rows = saved(docs.select(*kept, scanned(F.col(text)).alias("_found")))
-    least = _thresholds(rows.select(F.explode("_found.runs").alias("r")).select("r.cls", "r.bin"))
+    chars = dict(rows.select(F.posexplode("_found.chars").alias("i", "n")).groupBy("i").agg(F.sum("n")).collect())
+    held = _held([chars.get(i, 0) for i in range(len(ENCODINGS[-1]))])
+    least = _thresholds(rows.select(F.explode("_found.runs").alias("r")).select("r.cls", _binned(F.col("r"), held).alias("bin")))
     floors = F.array(*[F.lit(least[c]) for c in range(len(LENGTH_CLASSES))])
     own = F.col("_found.base")
-    random = F.filter(F.col("_found.runs"), lambda r: (r["bin"] >= F.get(floors, r["cls"])) & ~F.exists(own, lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"])))
+    random = F.filter(F.col("_found.runs"), lambda r: (_binned(r, held) >= F.get(floors, r["cls"])) & ~F.exists(own, lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"])))
     random = F.transform(random, lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))
     return rows.select(*kept, own.alias(base), F.array_sort(F.concat(own, random)).alias(spans))
 
