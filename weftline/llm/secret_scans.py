@@ -45,8 +45,8 @@ BINS, A_UNIT = 600, 50
 
 SPAN = "struct<start:long,kind:int,end:long>"
 #: pairs: equal characters, pair by pair; -1 where a test rejects randomness. letters: counts of a to z in either case.
-#: chars: counts of a whole batch, in its first row.
-FOUND = f"base array<{SPAN}>, runs array<struct<start:long,end:long,cls:int,enc:int,n:int,pairs:long,letters:array<int>>>, chars array<long>"
+#: covered: by base spans, whole. chars: counts of a whole batch, in its first row.
+FOUND = f"base array<{SPAN}>, runs array<struct<start:long,end:long,cls:int,enc:int,n:int,pairs:long,letters:array<int>,covered:boolean>>, chars array<long>"
 
 
 def _upper(z: float) -> float:
@@ -84,20 +84,40 @@ def battery(run: str) -> tuple[float, int, int, int, list[int]] | None:
     return min(1.0, len(odd) * min(odd)), enc, n, int((counts * (counts - 1)).sum()) // 2, letters
 
 
+def _gaps(start: int, end: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of start to end outside spans (start, kind, end)."""
+    out = []
+    for a, _, b in sorted(spans):
+        if start < min(a, end):
+            out.append((start, min(a, end)))
+        start = max(start, b)
+    return [*out, (start, end)] if start < end else out
+
+
 def scan_text(text: str | None) -> tuple[list, list]:
-    """Base spans (start, kind, end), and the battery's candidates (start, end, length class, encoding, length, pairs, letters)."""
+    """Base spans (start, kind, end), and the battery's candidates (start, end, length class, encoding, length, pairs, letters, covered).
+
+    Candidates are the runs, and long parts of runs that base spans leave over.
+    """
     if not text:
         return [], []
-    base, runs = [], []
+    assigned, base, runs, first = [], [], [], 0
     if ":" in text or "=" in text:
-        base += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+        assigned = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     for run in RUN.finditer(text):
-        base += [(run.start() + m.start(), k, run.start() + m.end()) for k, p in ((1, ACCESS), (2, HEX)) for m in p.finditer(run[0])]
-        if p := battery(run[0]):
-            cls = sum(len(run[0]) >= least for least in LENGTH_CLASSES) - 1
-            runs.append((run.start(), run.end(), cls, p[1], p[2], p[3] if p[0] >= LEAST_RANDOM_P else -1, p[4]))
-    base.sort()
-    return base, runs
+        own = [(run.start() + m.start(), k, run.start() + m.end()) for k, p in ((1, ACCESS), (2, HEX)) for m in p.finditer(run[0])]
+        base += own
+        while first < len(assigned) and assigned[first][2] <= run.start():
+            first += 1
+        over = first
+        while over < len(assigned) and assigned[over][0] < run.end():
+            over += 1
+        gaps = _gaps(run.start(), run.end(), own + assigned[first:over])
+        for a, b in dict.fromkeys([run.span(), *[g for g in gaps if g[1] - g[0] >= LENGTH_CLASSES[0]]]):
+            if p := battery(text[a:b]):
+                cls = sum(b - a >= least for least in LENGTH_CLASSES) - 1
+                runs.append((a, b, cls, p[1], p[2], p[3] if p[0] >= LEAST_RANDOM_P else -1, p[4], not gaps))
+    return sorted(assigned + base), runs
 
 
 def _counted(texts: pd.Series) -> list[int]:
@@ -172,7 +192,7 @@ def find_spans(docs: DataFrame, text: str = "text", base: str = "base_spans", sp
     """The columns of docs (or those in keep), with arrays of (start, kind, end): the base patterns' spans, and those with the battery's.
 
     Offsets are code points, end exclusive, sorted by start, then kind. Null and empty texts have none. Spans of the
-    battery that overlap a base span are left out, as that one covers them. These columns are written to the shared folder once.
+    battery that base spans cover whole are left out; others may overlap them. These columns are written to the shared folder once.
     """
     small_batches(docs.sparkSession)
 
@@ -188,7 +208,7 @@ def find_spans(docs: DataFrame, text: str = "text", base: str = "base_spans", sp
     least = _thresholds(rows.select(F.explode("_found.runs").alias("r")).select("r.cls", _binned(F.col("r"), held).alias("bin")))
     floors = F.array(*[F.lit(least[c]) for c in range(len(LENGTH_CLASSES))])
     own = F.col("_found.base")
-    random = F.filter(F.col("_found.runs"), lambda r: (_binned(r, held) >= F.get(floors, r["cls"])) & ~F.exists(own, lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"])))
+    random = F.filter(F.col("_found.runs"), lambda r: (_binned(r, held) >= F.get(floors, r["cls"])) & ~r["covered"])
     random = F.transform(random, lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))
     return rows.select(*kept, own.alias(base), F.array_sort(F.concat(own, random)).alias(spans))
 
