@@ -300,6 +300,12 @@ def test_licenses(spark):
     assert found == [(8, 28, "AllRights")]
 
 
+@pytest.mark.parametrize("gap", [" ", "  ", "\n", "\n    ", " \t", "\n> "])
+def test_license_phrases_across_gaps(gap):
+    for text in ("This is free and unencumbered software released into the public{}domain.", "# This is free and unencumbered software released into the public{}domain.", "In no event shall the authors or copyright holders be liable{}for any claim, damages or other liability, whether in an action of contract."):
+        assert license_scans.scan_text(text.format(gap))[0] == [(0, len(text.format(gap)), "MITliability" if "liable" in text else license_scans.scan_text(text.format(" "))[0][0][2])], text
+
+
 def test_secret_base_spans(docs, texts):
     for r in secret_scans.secret_scans(docs).collect():
         t = texts[r.doc_id]

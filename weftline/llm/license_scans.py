@@ -82,8 +82,9 @@ RULES = (
     ("Unlicense", ("Unlicense",)),
     ("Proprietary", ("AllRights",)),
 )
-# Each known sentence has one of these.
-TRIGGERS = ("licen", "warrant", "redistribut", "permission", "reserved", "public domain", "copy of the mpl", "liable for any claim")
+# Each known sentence has one of these; the phrases with anything between their words that normalise() drops.
+TRIGGERS = ("licen", "warrant", "redistribut", "permission", "reserved")
+_PHRASES = re.compile("|".join(p.replace(" ", "[^a-z0-9]+") for p in ("public domain", "copy of the mpl", "liable for any claim")))
 _ENDS = re.compile(r"\n\s*\n|(?<=[.!?;])(?:\s+|$)|\n(?=\s*(?:[*#/-]|\d\.|[A-Z]))")
 _OTHER = re.compile(r"[^a-z0-9]+")
 _KNOWN = re.compile("|".join(f"(?P<{k}>{v})" for k, v in SENTENCES.items()))
@@ -106,7 +107,7 @@ def scan_text(text: str | None) -> tuple[list[tuple[int, int, str]], list[str]]:
     An identifier that begins no rule's sequence is passed over.
     """
     low = (text or "").lower()
-    if not any(t in low for t in TRIGGERS):
+    if not any(t in low for t in TRIGGERS) and not _PHRASES.search(low):
         return [], []
     found, spdx = [], {}
     for a, b in sentences(text):
