@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
 
+#: Rows, and bytes, of one Arrow batch: long texts keep a Python worker's memory bounded. The same for all operators,
+#: as the session's settings are read when a plan runs, not when it is built.
+BATCH_ROWS, BATCH_BYTES = 1000, 4_000_000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, local sessions get one of their own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="weftline-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -23,14 +30,40 @@ def shared_dir(spark: SparkSession) -> str:
 
 def saved(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, and a lost executor re-reads instead of recomputing."""
-    path = f"{shared_dir(df.sparkSession)}/weftline-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).save(df)
+
+
+class Scratch:
+    """Tables in the shared folder, each deleted when its last reader has been written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder, self.names = spark, f"{shared_dir(spark)}/weftline-{uuid.uuid4().hex}", 0
+
+    def save(self, df: DataFrame, name: str | None = None) -> DataFrame:
+        """df written and read back; without a name it stays until the folder is cleared."""
+        self.names += 1
+        path = f"{self.folder}/{name or self.names}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that Python workers get, by rows and by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most so many rows, so that long texts keep a Python worker's memory bounded."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def unused(docs: DataFrame, name: str) -> str:
+    """name, with underscores put in front until docs has no such column (column names ignore case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def id_remainder(doc_id: str | Column, modulus: int) -> Column:

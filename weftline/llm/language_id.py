@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import id_remainder, saved, small_batches
+from weftline.llm.common import Scratch, id_remainder, small_batches, unused
 
 #: Slots of the filter; with HASHES look-ups a trigram. 8 bytes a slot for each 64 languages.
 SLOTS_LOG2 = 20
@@ -87,7 +87,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     small_batches(spark)
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
     counts = rows.mapInPandas(_count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    counts = saved(counts)
+    scratch = Scratch(spark)
+    counts = scratch.save(counts, "counts")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     places = spark.createDataFrame([(x, i, float(totals[x])) for i, x in enumerate(languages)], "lang string, place int, total double")
@@ -99,6 +100,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     masks = kept.select("key", (F.col("x.place") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, x.place % 64)").alias("mask"))
     masks = masks.groupBy("key", "word").agg(F.bit_or("mask").alias("mask")).mapInPandas(_to_slots, "slot long, word int, mask long")
     found = masks.groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    scratch.drop("counts")
     table = np.zeros((max(1, -(-len(languages) // 64)), 1 << SLOTS_LOG2), np.uint64)
     table[found["word"].to_numpy(), found["slot"].to_numpy()] = found["mask"].to_numpy(np.int64).view(np.uint64)
     return Filters(languages, table)
@@ -117,8 +119,9 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text", lang_pred: st
         return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score"])
 
     kept = [c for c in docs.columns if c not in (lang_pred, score)]
-    out = docs.select(*[F.col(f"`{c}`") for c in kept], scored(F.col(text)).alias("_found"))
-    return out.select(*[F.col(f"`{c}`") for c in kept], F.col("_found.lang").alias(lang_pred), F.col("_found.score").alias(score))
+    found = unused(docs, "found")
+    out = docs.select(*[F.col(f"`{c}`") for c in kept], scored(F.col(text)).alias(found))
+    return out.select(*[F.col(f"`{c}`") for c in kept], F.col(found)["lang"].alias(lang_pred), F.col(found)["score"].alias(score))
 
 
 def language_id(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 3, held: int = 1) -> DataFrame:

@@ -28,14 +28,18 @@ from weftline.llm.common import id_remainder, saved, small_batches
 ORDER = 5
 #: Codes: 0 before and after a text, otherwise byte + 1.
 SYMBOLS = 257
-HEAVY_LOG2 = 22
+HEAVY_LOG2 = 21
 #: By kind: slots, and the type of their values.
 SLOTS_LOG2 = (21, 22)
 SLOT_TYPES = (np.float64, np.float32)
 #: Rare occurrences that one group looks up.
 GROUP_KEYS = 4_000_000
-CHUNK_BYTES = 2_000_000
-MERGE_KEYS = 4_000_000
+#: Text that is cut into keys at once; keys that a task holds before it merges, hands on counts, or sends occurrences.
+CHUNK_BYTES = 500_000
+MERGE_KEYS = 1_000_000
+SEND_KEYS = 1_000_000
+#: Rows of one Arrow batch of counts.
+BATCH_KEYS = 100_000
 WORDS, GRAMS = 0, 1
 _BITS = 9
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -97,12 +101,16 @@ def count_keys(rows: DataFrame) -> DataFrame:
     """(kind, key, n_train, n_all) over all texts of rows (doc_id, train, text), summed in each task before the shuffle."""
     schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n_train", pa.int64()), ("n_all", pa.int64())])
 
-    def out(kind: int, parts: list) -> pa.RecordBatch:
+    def out(kind: int, parts: list) -> Iterator[pa.RecordBatch]:
         keys, train, total = _merge(parts)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(train), pa.array(total)], schema=schema)
+        for i in range(0, len(keys), BATCH_KEYS):
+            k, *n = (c[i : i + BATCH_KEYS] for c in (keys, train, total))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), *[pa.array(c, pa.int64()) for c in n]], schema=schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # By kind: parts of (keys, 32-bit counts); how many keys they hold; how many of them are merged already.
         held: dict[int, list] = {WORDS: [], GRAMS: []}
+        size, merged = {WORDS: 0, GRAMS: 0}, {WORDS: 0, GRAMS: 0}
         for _, _, train, texts in _chunks(batches):
             flags = np.array(train, bool)
             for kind, keys_of in ((WORDS, word_keys), (GRAMS, gram_keys)):
@@ -110,15 +118,18 @@ def count_keys(rows: DataFrame) -> DataFrame:
                 learned = flags[owner]
                 for used, k in ((1, keys[learned]), (0, keys[~learned])):
                     u, n = np.unique(k, return_counts=True)
-                    held[kind].append((u, n * used, n))
-                if len(held[kind]) >= 32:
+                    n = n.astype(np.uint32)
+                    held[kind].append((u, n * np.uint32(used), n))
+                    size[kind] += len(u)
+                if size[kind] - merged[kind] > MERGE_KEYS:
                     held[kind] = [_merge(held[kind])]
-                    if len(held[kind][0][0]) > MERGE_KEYS:
-                        yield out(kind, held[kind])
-                        held[kind] = []
+                    size[kind] = merged[kind] = len(held[kind][0][0])
+                    if size[kind] > MERGE_KEYS:
+                        yield from out(kind, held[kind])
+                        held[kind], size[kind], merged[kind] = [], 0, 0
         for kind, parts in held.items():
             if parts:
-                yield out(kind, parts)
+                yield from out(kind, parts)
 
     return rows.mapInArrow(count, "kind int, key long, n_train long, n_all long").groupBy("kind", "key").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
 
@@ -210,7 +221,7 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds
     come. With no training rows the model is uniform; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark, 500)
+    small_batches(spark)
     held = F.coalesce(id_remainder(doc_id, folds), F.lit(0)) == 0
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (~held).alias("train"), F.col(text).alias("text"))
     n_docs = rows.where("train").count()
@@ -258,8 +269,7 @@ def _scored(rows: DataFrame, values: DataFrame, heavy, parts: dict[int, int], to
         held: dict[int, list] = {WORDS: [], GRAMS: []}
         size, names = 0, []
 
-        def flush() -> list[tuple]:
-            out = []
+        def flush() -> Iterator[pa.RecordBatch]:
             ids = np.concatenate(names) if names else np.empty((0, 2), np.int64)
             for kind, got in held.items():
                 if not got:
@@ -268,12 +278,13 @@ def _scored(rows: DataFrame, values: DataFrame, heavy, parts: dict[int, int], to
                 place = _place(keys, parts[kind]).astype(np.uint16 if parts[kind] < 65536 else np.uint32)
                 order = place.argsort(kind="stable")
                 ends = np.cumsum(np.bincount(place, minlength=parts[kind]))
+                out = []
                 for p, (lo, hi) in enumerate(zip(np.concatenate(([0], ends[:-1])), ends, strict=True)):
                     if hi > lo:
                         k, o = keys[order[lo:hi]], owner[order[lo:hi]]
                         new = np.concatenate(([True], o[1:] != o[:-1]))
                         out.append((first[kind] + p, ids[o[new]].tobytes(), (np.cumsum(new) - 1).astype(np.uint32).tobytes(), k.tobytes(), None))
-            return out
+                yield _batch(schema, out)
 
         start = 0
         for row, at, _, texts in _chunks(batches):
@@ -292,10 +303,10 @@ def _scored(rows: DataFrame, values: DataFrame, heavy, parts: dict[int, int], to
                 size += len(held[kind][-1][0])
             yield _batch(schema, [(owners + int(mine[0, 0] % 61), mine.tobytes(), None, None, totals.tobytes())])
             start += len(at)
-            if size > GROUP_KEYS:
-                yield _batch(schema, flush())
+            if size > SEND_KEYS:
+                yield from flush()
                 held, size, names, start = {WORDS: [], GRAMS: []}, 0, [], 0
-        yield _batch(schema, flush())
+        yield from flush()
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
         keys, value, known = (right.column(c).to_numpy() for c in ("key", "value", "known"))

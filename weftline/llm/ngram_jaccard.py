@@ -4,13 +4,15 @@
    hash, so shingles that many texts share come last. Any order gives exact results; this one keeps lists short.
 2. A second pass writes each text's set size, set digest and prefix: the rarest shingles, as many as a partner must
    hit. Copies (equal digests) fall into classes, and only the smallest id of each class goes on.
-3. Prefix shingles held by two classes or more give candidates. First each class is checked with one leader, the class
-   that has its shared shingles earliest; linked classes become components. Then only pairs across components are left
-   to enumerate: length and positional filters in the join, the prefixes' agreement (suffix filter) once per pair.
+3. Prefix shingles held by two classes or more give candidates; the others, nearly all, are dropped by a bit filter
+   before their rows are shuffled. First each class is checked with one leader, the class that has its shared shingles
+   earliest; linked classes become components. Then only pairs across components are left to enumerate: length and
+   positional filters in the join, the prefixes' agreement (suffix filter) once per pair.
 4. Every surviving pair's full sets are compared once. Connected components over all links are the result.
 
 A group of near copies thus costs about one check per member, not one per pair. Hot shingles are spread by map-side
-sums or by Spark's splitting of skewed sort-merge joins; what is broadcast (sketch, id filter) has a fixed size.
+sums or by Spark's splitting of skewed sort-merge joins; what is broadcast (sketch, filters) has a bounded size, beyond
+which filters only let more rows through to the exact joins.
 """
 
 from __future__ import annotations
@@ -25,12 +27,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import saved, small_batches
+from weftline.llm.common import Scratch, small_batches, unused
 
 SKETCH_LOG2 = 22
 SEGMENT_LOG2 = 16
-#: Bits of the filter that keeps the texts of candidate pairs.
-FILTER_LOG2 = 25
+#: Least and most bits of the filters for ids and shingles; between them, FILTER_BITS for each key.
+FILTER_LOG2, FILTER_BITS = (20, 28), 8
 #: Partitions that the rows of one class of copies are dealt over.
 SALTS = 32
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -119,27 +121,41 @@ def prefixes(docs: DataFrame, counts: np.ndarray, words: int, num: int, den: int
     return docs.mapInArrow(cut, "doc_id long, n long, d1 long, d2 long, prefix array<long>")
 
 
-def _id_filter(ids: DataFrame) -> np.ndarray:
-    """Bits at the hashes of the ids; 2**FILTER_LOG2 bits however many there are."""
-    slot = (F.xxhash64("id") % F.lit(1 << FILTER_LOG2) + F.lit(1 << FILTER_LOG2)) % F.lit(1 << FILTER_LOG2)
-    found = ids.select(slot.alias("slot")).groupBy((F.col("slot") / 32).cast("long").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).toPandas()
-    table = np.zeros(1 << (FILTER_LOG2 - 5), np.uint32)
-    table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
-    return table
+class KeyFilter:
+    """Bits at the hashes of the keys: what does not hit them is no key. Broadcast; its size is bounded by FILTER_LOG2."""
+
+    def __init__(self, keys: DataFrame, key: str, hashed: bool = False) -> None:
+        """hashed: the keys are hashes themselves."""
+        self.hashed = hashed
+        self.log2 = min(FILTER_LOG2[1], max(FILTER_LOG2[0], (FILTER_BITS * keys.count()).bit_length()))
+        bits = keys.select(self.slot(F.col(key)).alias("slot")).groupBy(F.shiftright("slot", 5).alias("word"))
+        found = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).toPandas()
+        table = np.zeros(1 << (self.log2 - 5), np.uint32)
+        table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
+        self.shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    def slot(self, key: Column) -> Column:
+        return F.shiftrightunsigned(key if self.hashed else F.xxhash64(key.cast("long")), 64 - self.log2)
+
+    def hit(self, slots: np.ndarray) -> np.ndarray:
+        return ((self.shared.value[slots >> 5] >> (slots & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
+
+    def may_hold(self, key: Column) -> Column:
+        @F.pandas_udf("boolean")
+        def maybe(slots: pd.Series) -> pd.Series:
+            return pd.Series(self.hit(slots.to_numpy(np.int64)))
+
+        return maybe(self.slot(key))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets' Jaccard similarity is num/den or more; each pair's sets are compared once."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(ids))
-    slot = (F.xxhash64("doc_id") % F.lit(1 << FILTER_LOG2) + F.lit(1 << FILTER_LOG2)) % F.lit(1 << FILTER_LOG2)
+    ids = KeyFilter(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id")
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            kept = (shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)
-            batch = batch.filter(pa.array(kept.astype(bool)))
+            batch = batch.filter(pa.array(ids.hit(batch.column(2).to_numpy())))
             yield _rows(schema, [(i, shingle_set(t, words).tobytes()) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,40 +173,71 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int)
                     out.append(i)
             yield batch.select([0, 1]).take(pa.array(out, pa.int64()))
 
-    found = docs.where("doc_id is not null").select("doc_id", "text", slot.alias("slot")).mapInArrow(sets, "id long, set binary")
+    found = docs.where("doc_id is not null").select("doc_id", "text", ids.slot(F.col("doc_id")).alias("slot")).mapInArrow(sets, "id long, set binary")
     joined = pairs.join(found.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     joined = joined.join(found.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     return joined.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(id, label): the smallest id each linked id reaches. Rounds of least neighbour label and pointer jumping."""
-    edges = saved(links.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*").distinct())
-    labels = saved(edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("m")).select("id", F.least("id", "m").alias("label")))
+def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(id, label): the smallest id each linked id reaches, saved under name. Rounds of least neighbour label and pointer jumping."""
+    both = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
+    edges = scratch.save(links.select(F.explode(both).alias("e")).select("e.*").distinct(), f"{name}/edges")
+    labels = edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("m")).select("id", F.least("id", "m").alias("label"))
+    labels, at = scratch.save(labels, f"{name}/0"), 0
     while True:
         near = edges.join(labels, edges["v"] == labels["id"]).groupBy(F.col("u").alias("id")).agg(F.min("label").alias("m"))
         step = labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         jump = labels.select(F.col("id").alias("label"), F.col("label").alias("far"))
-        step = saved(step.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("far", "label")).alias("label")))
+        step = step.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("far", "label")).alias("label"))
+        step = scratch.save(step, f"{name}/{at + 1}")
         changed = step.where("label <> old").limit(1).count()
         labels = step.select("id", "label")
+        scratch.drop(f"{name}/{at}")
+        at += 1
         if not changed:
+            scratch.drop(f"{name}/edges")
             return labels
 
 
-def _prepared(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """docs (doc_id, text); every row's set figures and prefix; and the prefix shingles that two classes or more hold."""
+def _prepared(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text: str, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """docs (doc_id, text); every row's set figures; and the prefix shingles that two classes or more hold, with their leaders."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = saved(prefixes(docs, sketch(docs, words), words, num, den))
-    # Copies: equal sets. n and prefix are functions of the digest, so any row's will do.
-    first = sets.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("x"))
-    postings = first.select(F.col("x.doc_id").alias("rep"), F.col("x.n").alias("n"), F.posexplode("x.prefix").alias("pos", "token")).select("token", "rep", (F.col("pos").cast("long") * F.lit(1 << 31) + F.col("n")).alias("at"))
+    sets = scratch.save(prefixes(docs, sketch(docs, words), words, num, den), "prefixes")
+    # Copies: equal sets. n and prefix are functions of the digest, so any row's will do. Different sets share at most
+    # n of n + 1 shingles: where that is too little, as in the shortest texts, a set links with none but its copies.
+    linkable = sets.where("n > 0 and doc_id is not null").where(F.lit(den) * F.col("n") >= F.lit(num) * (F.col("n") + 1))
+    first = scratch.save(linkable.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("x")).select("x.*"), "classes")
+    sets = scratch.save(sets.drop("prefix"), "sets")
+    scratch.drop("prefixes")
+    shared = scratch.save(first.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared")
+    postings = scratch.save(_shared_postings(first, KeyFilter(shared, "token", hashed=True)), "postings")
+    scratch.drop("shared", "classes")
     # A shingle's leader: the class that has it earliest, so the one with the fewest rare shingles of its own.
     leaders = postings.groupBy("token").agg(F.count("*").alias("c"), F.min_by("rep", "at").alias("leader"), F.min("at").alias("leader_at")).where("c > 1").drop("c")
     # Written first: a join of two plain exchanges is one whose skewed partitions Spark can split.
-    leaders = saved(leaders)
-    return docs, sets, saved(postings.join(leaders, "token"))
+    common = scratch.save(postings.join(scratch.save(leaders, "leaders"), "token"), "common")
+    scratch.drop("postings", "leaders")
+    return docs, sets, common
+
+
+def _shared_postings(classes: DataFrame, shared: KeyFilter) -> DataFrame:
+    """(token, rep, at) of each class's prefix shingles that hit the filter; at orders by place in the prefix, then size."""
+    schema = pa.schema([("token", pa.int64()), ("rep", pa.int64()), ("at", pa.int64())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep, n, prefix = batch.columns
+            size = prefix.value_lengths().to_numpy(zero_copy_only=False)
+            token = prefix.flatten().to_numpy()
+            pos = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
+            kept = shared.hit((token.view(np.uint64) >> np.uint64(64 - shared.log2)).astype(np.int64))
+            at = (pos << 31) + np.repeat(n.to_numpy(), size)
+            columns = [token[kept], np.repeat(rep.to_numpy(), size)[kept], at[kept]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+    return classes.select("doc_id", "n", "prefix").mapInArrow(cut, "token long, rep long, at long")
 
 
 def jaccard_links(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -200,9 +247,9 @@ def jaccard_links(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10,
     All links are checked and returned, so groups of near copies give as many pairs as they have links; for groups
     alone jaccard_components() is cheaper. Texts without shingles have no link and, as rep, their own id.
     """
-    docs, sets, common = _prepared(docs, words, num, den, doc_id, text)
-    spark = docs.sparkSession
-    pairs = saved(_across(common, spark.createDataFrame([], "id long, label long"), spark.createDataFrame([], "a long, b long"), num, den))
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    docs, sets, common = _prepared(docs, words, num, den, doc_id, text, scratch)
+    pairs = _across(common, spark.createDataFrame([], "id long, label long"), spark.createDataFrame([], "a long, b long"), num, den, scratch)
     reps = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")).where("members > 1")
     reps = reps.select("d1", "d2", "rep", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     rows = sets.select("doc_id", "n", "d1", "d2", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
@@ -217,19 +264,25 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int =
     shingles and link with nothing. Ids name texts: a repeated row shares its id's component; a row with a null id
     takes its copies' component, or null. An empty table gives no rows.
     """
-    docs, sets, common = _prepared(docs, words, num, den, doc_id, text)
+    return _components(docs, words, num, den, doc_id, text, Scratch(docs.sparkSession))
+
+
+def _components(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text: str, scratch: Scratch) -> DataFrame:
+    docs, sets, common = _prepared(docs, words, num, den, doc_id, text, scratch)
     classes = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")).where("members > 1")
     n, pos, n2, pos2 = (F.expr(x) for x in ("at % 2147483648L", "at div 2147483648L", "leader_at % 2147483648L", "leader_at div 2147483648L"))
     fits = _fits(n, pos, n2, pos2, num, den)
     star = common.where((F.col("rep") != F.col("leader")) & fits).groupBy("rep", "leader").agg(F.count("*").alias("c"))
     star = star.groupBy("rep").agg(F.max_by("leader", "c").alias("leader"))
-    star = saved(star.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct())
-    links = saved(verified(star, docs, words, num, den))
-    labels = components(links)
-    rest = saved(_across(common, labels, star, num, den))
+    star = scratch.save(star.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct(), "star")
+    links = scratch.save(verified(star, docs, words, num, den), "links")
+    labels = components(links, scratch, "stars")
+    rest = _across(common, labels, star, num, den, scratch)
+    scratch.drop("star")
     if rest.limit(1).count():
         more = verified(rest, docs, words, num, den)
-        labels = components(links.unionByName(more))
+        labels = components(links.unionByName(more), scratch, "groups")
+    scratch.drop("across", "links")
     # Rows of one class may be a third of all: they are dealt out over salts, and only classes of copies carry those.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     copies = classes.join(labels, classes["rep"] == labels["id"], "left").select("d1", "d2", F.coalesce("label", "rep").alias("shared"), salts)
@@ -241,16 +294,20 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int =
 def _fits(n: Column, pos: Column, n2: Column, pos2: Column, num: int, den: int) -> Column:
     """Length and positional filters for a common shingle at these places: may the rest still reach the overlap?"""
     length = (F.lit(den) * n >= F.lit(num) * n2) & (F.lit(den) * n2 >= F.lit(num) * n)
+    # Different sets of one size agree in all but one at most.
+    length &= (n != n2) | (F.lit(num + den) * (n - 1) >= F.lit(2 * num) * n)
     return length & (F.lit(num + den) * F.least(n - pos, n2 - pos2) >= F.lit(num) * (n + n2))
 
 
-def _across(common: DataFrame, labels: DataFrame, seen: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b) of classes in different components, past all filters and not checked yet."""
-    named = common.select("token", "rep", "at").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("token", "rep", "at", F.coalesce("label", "rep").alias("label"))
-    named = saved(named)
-    mixed = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
-    mixed = saved(mixed)
-    rows = saved(named.join(mixed, "token").select("token", "rep", "label", F.expr("at % 2147483648L").alias("n"), F.expr("at div 2147483648L").alias("pos")))
+def _across(common: DataFrame, labels: DataFrame, seen: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Candidate pairs (a, b) of classes in different components, past all filters and not checked yet; takes common's place."""
+    named = common.select("token", "rep", "at").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    named = scratch.save(named.select("token", "rep", "at", F.coalesce("label", "rep").alias("label")), "named")
+    scratch.drop("common")
+    mixed = scratch.save(named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token"), "mixed")
+    rows = named.join(mixed, "token").select("token", "rep", "label", F.expr("at % 2147483648L").alias("n"), F.expr("at div 2147483648L").alias("pos"))
+    rows = scratch.save(rows, "rows")
+    scratch.drop("named", "mixed")
     x, y = rows.alias("x"), rows.alias("y")
     near = _fits(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), num, den)
     hits = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label")) & near)
@@ -260,7 +317,9 @@ def _across(common: DataFrame, labels: DataFrame, seen: DataFrame, num: int, den
     # Suffix filter: past the last common prefix shingle at most the shorter rest can agree, before it only those counted.
     rest = F.col("c") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
     pairs = pairs.where(F.lit(num + den) * rest >= F.lit(num) * (F.col("na") + F.col("nb")))
-    return pairs.select("a", "b").join(seen, ["a", "b"], "left_anti")
+    pairs = scratch.save(pairs.select("a", "b").join(seen, ["a", "b"], "left_anti"), "across")
+    scratch.drop("rows")
+    return pairs
 
 
 def keep_representatives(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -269,19 +328,15 @@ def keep_representatives(docs: DataFrame, words: int = 5, num: int = 8, den: int
     Rows with a null id stay, and so do repeated rows of an id that stays: ids name texts. The ids to drop are set in a
     filter of fixed size; only rows that hit it are shuffled, to be checked against the exact ids.
     """
-    found = jaccard_components(docs, words, num, den, doc_id, text)
-    drop = saved(found.where("component_id <> doc_id").select(F.col("doc_id").alias("id")).distinct())
-    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(drop))
-
-    @F.pandas_udf("boolean")
-    def maybe(slots: pd.Series) -> pd.Series:
-        at = slots.to_numpy(np.int64)
-        return pd.Series(((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).astype(bool))
-
+    scratch = Scratch(docs.sparkSession)
+    found = _components(docs, words, num, den, doc_id, text, scratch)
+    drop = scratch.save(found.where("component_id <> doc_id").select(F.col("doc_id").alias("id")).distinct(), "drop")
+    scratch.drop("sets", "stars", "groups")
+    at = F.col(f"`{doc_id}`").cast("long")
     names = [F.col(f"`{c}`") for c in docs.columns]
-    slot = (F.xxhash64(F.col(doc_id).cast("long")) % F.lit(1 << FILTER_LOG2) + F.lit(1 << FILTER_LOG2)) % F.lit(1 << FILTER_LOG2)
-    flagged = docs.select(*names, maybe(slot).alias("_maybe"))
-    sure = flagged.where(~F.col("_maybe") | F.col(doc_id).isNull()).select(*names)
-    checked = flagged.where(F.col("_maybe") & F.col(doc_id).isNotNull()).select(*names)
-    checked = checked.join(drop, checked[doc_id] == drop["id"], "left_anti")
-    return sure.unionByName(checked)
+    maybe, key = unused(docs, "maybe"), unused(docs, "key")
+    flagged = docs.select(*names, KeyFilter(drop, "id").may_hold(at).alias(maybe), at.alias(key))
+    sure = flagged.where(~F.col(maybe) | F.col(key).isNull())
+    checked = flagged.where(F.col(maybe) & F.col(key).isNotNull())
+    checked = checked.join(drop.withColumnRenamed("id", key), key, "left_anti")
+    return sure.select(*names).unionByName(checked.select(*names))

@@ -37,13 +37,13 @@ def text_figures(docs: DataFrame, text: str, keep: dict[str, Column]) -> DataFra
 
     Null and empty texts give zeros. A word in several repeated windows counts once.
     """
-    words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), SPACE_CLASS), "")
-    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    words = F.array_remove(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), SPACE_CLASS), "")
+    lines = F.filter(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     out = docs.select(
         *[c.alias(k) for k, c in keep.items()],
         words.alias("_w"),
         lines.alias("_l"),
-        F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
     )
     # An array that a later lambda reads is also read outside it: Spark then computes it once per row, not per element.
     out = out.select(
@@ -98,28 +98,37 @@ def host_verdicts(figures: DataFrame, host: str, max_rate: float = MAX_HOST_RATE
     return rated.withColumn("host_ok", F.greatest(*[F.col(f"shrunk_{r}") for r in RULES]) <= max_rate), total["hosts"]
 
 
-def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE, carry: tuple[str, ...] = ()) -> DataFrame:
+def _keyed(docs: DataFrame, host: str, keep: dict[str, Column]) -> dict[str, Column]:
+    return keep | {"_host": F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("\u0000none"))}
+
+
+def _judged(figures: DataFrame, hosts: DataFrame, n_hosts: int) -> DataFrame:
+    """figures with host_ok, base_failed and kept."""
+    hosts = hosts.select("_host", "host_ok")
+    joined = figures.join(F.broadcast(hosts) if n_hosts <= BROADCAST_HOSTS else hosts, "_host", "left")
+    base = F.expr(f"({RULES['short']}) or ({RULES['repetitive']})")
+    return joined.withColumns({"base_failed": base, "kept": ~base & F.col("host_ok")})
+
+
+def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """One row per row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), base_failed, kept.
 
     base_failed: under 20 words, or over 30 % of the words lie in repeated 8-word windows. kept: not base_failed, and
     the host passes all RULES. A null host is a host of its own; null or empty texts fail; an empty table gives an
-    empty result; repeated rows and ids come back as often as they came in. carry: further columns of docs to return.
-    Columns of docs with other names, however they clash, are not read.
+    empty result; repeated rows and ids come back as often as they came in. Columns of docs with other names, however
+    they clash, are not read.
     """
-    keep = {"_id": F.col(doc_id), "_host": F.coalesce(F.col(host).cast("string"), F.lit("\u0000none"))} | {f"_c{i}": F.col(c) for i, c in enumerate(carry)}
-    figures = saved(text_figures(docs, text, keep))
-    hosts, n_hosts = host_verdicts(figures, "_host", max_rate)
-    hosts = hosts.select("_host", "host_ok")
-    joined = figures.join(F.broadcast(hosts) if n_hosts <= BROADCAST_HOSTS else hosts, "_host", "left")
-    base = F.expr(f"({RULES['short']}) or ({RULES['repetitive']})")
-    return joined.select(
-        F.col("_id").alias("doc_id"),
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        base.alias("base_failed"),
-        (~base & F.col("host_ok")).alias("kept"),
-        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)],
-    )
+    figures = saved(text_figures(docs, text, _keyed(docs, host, {"_id": F.col(f"`{doc_id}`")})))
+    judged = _judged(figures, *host_verdicts(figures, "_host", max_rate))
+    return judged.select(F.col("_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def keep_passing(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """The rows of docs that quality_rules() keeps, with docs' columns, whatever their names.
+
+    Figures are computed in two passes, for the hosts and for the rows, so that no text is written in between.
+    """
+    hosts, n_hosts = host_verdicts(text_figures(docs, text, _keyed(docs, host, {})), "_host", max_rate)
+    rows = {f"_c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}
+    judged = _judged(text_figures(docs, text, _keyed(docs, host, rows)), hosts, n_hosts)
+    return judged.where("kept").select(*[F.col(k).alias(c) for k, c in zip(rows, docs.columns, strict=True)])

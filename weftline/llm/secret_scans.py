@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import saved, small_batches
+from weftline.llm.common import Scratch, saved, small_batches, unused
 
 #: Kinds in their listed order; the last is the battery's.
 KINDS = ("assign", "access", "hex", "random")
@@ -188,6 +188,29 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])), ",")
 
 
+def _floors(found: DataFrame) -> tuple[Column, dict[str, float]]:
+    """From all rows' column found: the least bin kept, by length class, and the corpus' characters."""
+    chars = dict(found.select(F.posexplode("found.chars").alias("i", "n")).groupBy("i").agg(F.sum("n")).collect())
+    held = _held([chars.get(i, 0) for i in range(len(ENCODINGS[-1]))])
+    least = _thresholds(found.select(F.explode("found.runs").alias("r")).select("r.cls", _binned(F.col("r"), held).alias("bin")))
+    return F.array(*[F.lit(least[c]) for c in range(len(LENGTH_CLASSES))]), held
+
+
+def _scanned(text: str) -> Column:
+    @F.pandas_udf(FOUND)
+    def scanned(texts: pd.Series) -> pd.DataFrame:
+        rows = [(*scan_text(t), None if i else _counted(texts)) for i, t in enumerate(texts)]
+        return pd.DataFrame(rows, columns=["base", "runs", "chars"])
+
+    return scanned(F.col(f"`{text}`"))
+
+
+def _all_spans(found: str, floors: Column, held: dict[str, float]) -> Column:
+    random = F.filter(F.col(found)["runs"], lambda r: (_binned(r, held) >= F.get(floors, r["cls"])) & ~r["covered"])
+    random = F.transform(random, lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))
+    return F.array_sort(F.concat(F.col(found)["base"], random))
+
+
 def find_spans(docs: DataFrame, text: str = "text", base: str = "base_spans", spans: str = "all_spans", keep: list[str] | None = None) -> DataFrame:
     """The columns of docs (or those in keep), with arrays of (start, kind, end): the base patterns' spans, and those with the battery's.
 
@@ -195,22 +218,31 @@ def find_spans(docs: DataFrame, text: str = "text", base: str = "base_spans", sp
     battery that base spans cover whole are left out; others may overlap them. These columns are written to the shared folder once.
     """
     small_batches(docs.sparkSession)
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (base, spans)]
+    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
+    rows = saved(docs.select(*columns, _scanned(text).alias("found")))
+    columns = [F.col(f"c{i}").alias(c) for i, c in enumerate(kept)]
+    return rows.select(*columns, F.col("found.base").alias(base), _all_spans("found", *_floors(rows)).alias(spans))
 
-    @F.pandas_udf(FOUND)
-    def scanned(texts: pd.Series) -> pd.DataFrame:
-        rows = [(*scan_text(t), None if i else _counted(texts)) for i, t in enumerate(texts)]
-        return pd.DataFrame(rows, columns=["base", "runs", "chars"])
 
-    kept = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep) if c not in (base, spans)]
-    rows = saved(docs.select(*kept, scanned(F.col(text)).alias("_found")))
-    chars = dict(rows.select(F.posexplode("_found.chars").alias("i", "n")).groupBy("i").agg(F.sum("n")).collect())
-    held = _held([chars.get(i, 0) for i in range(len(ENCODINGS[-1]))])
-    least = _thresholds(rows.select(F.explode("_found.runs").alias("r")).select("r.cls", _binned(F.col("r"), held).alias("bin")))
-    floors = F.array(*[F.lit(least[c]) for c in range(len(LENGTH_CLASSES))])
-    own = F.col("_found.base")
-    random = F.filter(F.col("_found.runs"), lambda r: (_binned(r, held) >= F.get(floors, r["cls"])) & ~r["covered"])
-    random = F.transform(random, lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))
-    return rows.select(*kept, own.alias(base), F.array_sort(F.concat(own, random)).alias(spans))
+def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = None, mask: str = "[SECRET]") -> DataFrame:
+    """docs with mask in place of every span that find_spans() gives, and the texts' new lengths in n_chars if named.
+
+    All rows stay; null and empty texts and those without spans do not change. Texts are scanned in two passes, for the
+    corpus' figures and for the rows, so that none is written in between.
+    """
+    small_batches(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession)
+    figures = scratch.save(docs.select(_scanned(text).alias("found")), "figures")
+    floors, held = _floors(figures)
+    scratch.drop("figures")
+    found, spans = unused(docs, "found"), unused(docs, "spans")
+    rows = docs.select("*", _scanned(text).alias(found)).withColumn(spans, _all_spans(found, floors, held))
+    changed = F.size(spans) > 0
+    new = {text: redact(f"`{text}`", spans, mask)}
+    if n_chars is not None:
+        new[n_chars] = F.when(changed, F.char_length(new[text]).cast("long")).otherwise(F.col(f"`{n_chars}`"))
+    return rows.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def redact(text: str, spans: str, mask: str = "[SECRET]") -> Column:
@@ -230,6 +262,6 @@ def redact(text: str, spans: str, mask: str = "[SECRET]") -> Column:
 
 def secret_scans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_assign, n_access, n_hex (long), base_sha256, spans (string)."""
-    found = find_spans(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), keep=["doc_id"])
+    found = find_spans(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), keep=["doc_id"])
     count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(_joined(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), _joined(F.col("all_spans")).alias("spans"))
