@@ -4,12 +4,15 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import re
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from weftline.llm import common, fingerprints, language_id, license_scans, lm_scoring, ngram_jaccard, packing, piece_encoding, quality_rules, queries, secret_scans, token_counts
@@ -166,6 +169,47 @@ def test_fingerprints(docs, texts):
         assert r.near_next == fingerprints.likeness(r.fingerprint, fingerprints.fingerprint(after))
 
 
+def brute_paragraphs(text):
+    """Every paragraph with what follows it in its line's place: a line feed or nothing."""
+    out, lines = [], text.split("\n")
+    for line in lines:
+        if len(line) <= 80:
+            out.append(line + "\n")
+            continue
+        while line:
+            ends = [k + 1 for k in range(40, 241) if k < len(line) and line[k] in ".!?" and (k + 1 == len(line) or line[k + 1].isspace())]
+            cut = ends[0] if ends else min(240, len(line))
+            out.append(line[:cut] + ("\n" if cut == len(line) else ""))
+            line = line[cut:]
+    return out
+
+
+def test_likeness(docs, texts):
+    parts = {i: collections.Counter(brute_paragraphs(t)) for i, t in texts.items()}
+    order = sorted(texts, reverse=True)
+
+    def alike(a, b):
+        return sum((a & b).values()) / max(sum(a.values()), sum(b.values()))
+
+    for r in fingerprints.fingerprints(docs).collect():
+        t, after = texts[r.doc_id], texts[order[(order.index(r.doc_id) + 1) % len(order)]]
+        edited = t[: len(t) - len(t) // 3] + after[: len(t) // 3]
+        assert r.near_edited == (1 if edited == t else alike(parts[r.doc_id], collections.Counter(brute_paragraphs(edited))))
+        assert (r.fingerprint[:32] == r.edited_fingerprint[:32]) == (edited == t)
+        assert r.near_next == alike(parts[r.doc_id], collections.Counter(brute_paragraphs(after)))
+
+
+def test_roots_differ():
+    rng = random.Random(5)
+    seen = {}
+    sentences = [f"Sentence number {i} of the text goes on and on a while." for i in range(6)]
+    for _ in range(3000):
+        text = "".join(rng.choice(sentences) + rng.choice(["", " ", "\n", "\n\n", " \n"]) for _ in range(rng.randint(0, 6)))
+        assert seen.setdefault(fingerprints.fingerprint(text)[:32], text) == text
+    a, b, c = sentences[:3]
+    assert fingerprints.fingerprint(a + b + "\n" + c)[:32] != fingerprints.fingerprint(a + "\n" + b + c)[:32]
+
+
 def test_differing_paragraphs():
     lines = [f"Paragraph number {i} says something of its own." for i in range(40)]
     changed = [*lines[:17], "This one was rewritten.", *lines[18:]]
@@ -175,6 +219,40 @@ def test_differing_paragraphs():
     assert fingerprints.differing(one, one) == (range(0), range(0))
 
 
+def test_merging_long_runs():
+    model = piece_encoding.PieceModel(str(public_tokenizers.path("piece_bpe_32k.model")))
+    library = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+    start = time.perf_counter()
+    model.encode([" " * 100_000, "\0" * 20_000])
+    assert time.perf_counter() - start < 10
+    for text in (" " * 3000, "a" + " " * 777 + "b", "\0x" * 300):
+        assert np.frombuffer(model.encode([text])[0], "<u4").tolist() == library.encode(text)
+
+
+def test_suffix_array():
+    rng = random.Random(3)
+    for _ in range(30):
+        words = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 40))).encode() for _ in range(rng.randint(1, 60))]
+        data = b"\0".join(words) + b"\0"
+        order, _ = piece_encoding.suffix_array(data)
+        found = [data[p : data.index(b"\0", p)] for p in order]
+        assert sorted(order) == list(range(len(data))) and found == sorted(found)
+
+
+def test_doubled_digests(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "some words"), (2, "some words"), (3, "others")], "doc_id long, text string")
+    cache, path = f"file://{tmp_path}/cache", str(public_tokenizers.path("word_bpe_49k.json"))
+    first = token_counts.token_counts(frame, path, cache).collect()
+    store = f"{cache}/tokenizer={token_counts.tokenizer_digest(path)}"
+    common.saved(spark.read.parquet(store)).write.mode("append").parquet(store)
+    assert sorted(token_counts.token_counts(frame, path, cache).collect()) == sorted(first)
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        token_counts.WordCounter(str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 ODD_TEXTS = ["", " ", "  a  b ", "a \n b", "x\n  y", "tail  ", "<|endoftext|> hi", "it's  'll we're\t\tq   z", "\x1c a \x1cb", "é é  ñ ½ ﬁ", "日本語 テスト 😀", "\x00a\x00 b", "a" * 500, "<|startoftext|> a <|ENDOFTEXT|> b.", "don't x's. y'LL, zİ Σ.", 'a.b.c, (x) "y" |z|. 12,3.']
 
 
@@ -300,6 +378,56 @@ def test_licenses(spark):
     assert found == [(8, 28, "AllRights")]
 
 
+BSD = """Copyright (c) 2020, X
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation.
+
+Copyright 2021 Y. All rights reserved.
+
+3. Neither the name of X nor the names of its contributors may be used to
+   endorse or promote products derived from this software without specific
+   prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY X "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING ALL OF THEM, ARE DISCLAIMED."""
+
+
+def test_licenses_with_notices_between():
+    assert license_scans.scan_text(BSD)[1] == ["BSD-3-Clause"]
+
+
+def test_license_sentences_against_patterns(texts):
+    """The sentence map against one regular expression a template, over the whole table."""
+    rules = []
+    for name, templates in license_scans.SENTENCES.items():
+        for t in templates:
+            pattern = "".join(f"(?:(?:{p}) )" + "?" * any(not x for x in p.split("|")) if i % 2 else re.sub(r"\* ?", "(?:[a-z0-9]+ )*?", p.strip() + " " * bool(p.strip())) for i, p in enumerate(re.split(r"[{}]", t)))
+            pattern = re.sub(r"\((?=\?:[^)]*\|\))", "(", pattern).replace("|)", ")")
+            rules.append((name, re.compile(pattern)))
+    for text in texts.values():
+        wanted = []
+        for a, b in license_scans.sentences(text):
+            sentence = license_scans.normalise(text[a:b])
+            if len(sentence) < 2000 and (name := next((n for n, p in rules if p.fullmatch(sentence + " ")), None)):
+                wanted.append((a, b, name))
+        assert license_scans.scan_text(text)[0] == wanted
+
+
+def test_license_scan_is_linear():
+    start = time.perf_counter()
+    for sentence in ("released x public domain " * 40_000, "dedicated public domain cc0 1 0 " * 30_000, "all rights reserved " * 50_000):
+        license_scans.scan_text("licen " + sentence)
+    assert time.perf_counter() - start < 5
+
+
 @pytest.mark.parametrize("gap", [" ", "  ", "\n", "\n    ", " \t", "\n> "])
 def test_license_phrases_across_gaps(gap):
     for text in ("This is free and unencumbered software released into the public{}domain.", "# This is free and unencumbered software released into the public{}domain.", "In no event shall the authors or copyright holders be liable{}for any claim, damages or other liability, whether in an action of contract."):

@@ -1,6 +1,9 @@
 """The pipeline's stages against brute force on their own inputs."""
 
 import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
 from weftline.llm import common, quality_rules, secret_scans
 
 
@@ -66,3 +69,47 @@ def test_rejects_and_redacts(spark, data):
     secret = common.saved(corpus_pipeline.STAGES[3][1](spark, frame, data))
     text = {r.doc_id: (r.text, r.n_chars) for r in secret.collect()}
     assert text[3] == (clean + "[SECRET]", len(clean) + 8) and text[1] == (clean + "One.", len(clean) + 4) and text[5] == (None, 0)
+
+
+CLASHES = ["kept", "n_words", "_found", "found", "_maybe", "maybe", "key", "id", "lang_pred", "lang_score", "spans", "_spans", "_host", "host_ok", "base_failed", "rep", "label", "token", "slot", "a", "b", "_c0"]
+
+
+def odd_rows(spark):
+    """Nulls in every column, empty and long texts, repeated rows, and columns whose names clash with inner ones."""
+    clean = "The committee met again on Monday and talked about the plans for the river and the old bridge near the town. " * 2
+    long = " ".join(f"the{i % 977} committee{i} met" for i in range(30_000)) + " " * 20_000 + "x" * 100_000
+    rows = [(1, clean, "en", "s"), (1, clean, "en", "s"), (2, None, None, None), (3, "", "en", None), (None, clean + "Two.", "en", "s"), (4, long, "en", "s"), (5, clean, None, "s"), (6, clean + "token: abcdef123456", "en", "s")]
+    frame = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return frame.select("*", *[F.lit(f"was {c}").alias(c) for c in CLASHES])
+
+
+@pytest.mark.parametrize("place", range(5))
+def test_odd_rows(spark, data, place):
+    name, stage = corpus_pipeline.STAGES[place]
+    frame = common.saved(odd_rows(spark))
+    out = common.saved(stage(spark, frame, data))
+    if place < 4:
+        assert out.columns == frame.columns
+    rows = out.collect()
+    ids = sorted(r.doc_id for r in rows if r.doc_id is not None)
+    if name == "language_id":
+        assert set(ids) >= {1, 5, 6} and not {2, 3} & set(ids) and ids.count(1) == 2
+    elif name == "quality_rules":
+        assert set(ids) >= {1, 5, 6} and not {2, 3} & set(ids) and ids.count(1) == 2
+    elif name == "near_duplicates":
+        # 5 is a copy of 1, 6 has 2 more shingles than its 21; a row without an id stays.
+        assert ids == [1, 1, 2, 3, 4] and len(rows) == 6
+    elif name == "secret_scans":
+        text = {r.doc_id: (r.text, r.n_chars) for r in rows}
+        assert len(rows) == 8 and text[6][0].endswith("[SECRET]") and text[6][1] == len(text[6][0]) and text[2] == (None, None)
+    else:
+        assert set(ids) == {1, 2, 3, 4, 5, 6}
+    if place < 4:
+        assert all(r[c] == f"was {c}" for r in rows for c in CLASHES)
+
+
+def test_empty_table(spark, data):
+    docs = common.saved(common.documents(spark, data).where("doc_id < 0"))
+    for _, stage in corpus_pipeline.STAGES:
+        docs = common.saved(stage(spark, docs, data))
+        assert docs.count() == 0

@@ -1,9 +1,11 @@
 """Document fingerprints: Merkle trees over paragraphs and sections.
 
 A text's lines, long ones divided after sentences, are its paragraphs; a section ends at a blank line or at a paragraph
-whose own hash says so, hence an edit moves no later boundary. Each node is the hash of its children's. A fingerprint
-writes the tree out: root/section=paragraph.paragraph;section=... Roots test equality, differing sections and then
-paragraphs locate an edit, the share of equal paragraphs is the likeness.
+whose own hash says so, hence an edit moves no later boundary. A leaf says whether its paragraph is a line's last, so
+the leaves in order determine the text; each node is the hash of its children's. A fingerprint writes the tree out:
+root/section=paragraph.paragraph;section=... Roots test equality, differing sections and then paragraphs locate an
+edit, the share of equal paragraphs is the likeness. Roots are 128-bit hashes, the tree's other nodes are written with
+64 bits.
 """
 
 from __future__ import annotations
@@ -24,39 +26,44 @@ SHORT, LONG = 40, 240
 _PARTS = re.compile(rf".{{{SHORT},{LONG}}}?[.!?](?=\s|$)|.{{1,{LONG}}}", re.S)
 #: One paragraph in so many ends a section.
 SECTION = 8
+#: Hexadecimal digits that a fingerprint shows of each node below the root.
+NODE = 16
 
 
 def _hash(data: bytes) -> str:
     return hashlib.blake2b(data, digest_size=16).hexdigest()
 
 
-def paragraphs(text: str) -> list[str]:
+def paragraphs(text: str) -> list[tuple[str, bool]]:
+    """(paragraph, whether it is its line's last). Joined, with a line feed after each line but the text's last, they are the text."""
     out = []
     for line in text.split("\n"):
-        out += [line] if len(line) <= 2 * SHORT else _PARTS.findall(line)
+        parts = [line] if len(line) <= 2 * SHORT else _PARTS.findall(line)
+        out += [(p, False) for p in parts[:-1]]
+        out.append((parts[-1], True))
     return out
 
 
-def fingerprint(text: str | None, memo: dict[str, str] | None = None) -> str:
+def fingerprint(text: str | None, memo: dict[tuple[str, bool], str] | None = None) -> str:
     """The tree as text; that of a null text is the empty text's. memo: paragraphs' hashes, shared between texts."""
     memo = {} if memo is None else memo
     sections, now = [], []
     for part in paragraphs(text or ""):
         if (leaf := memo.get(part)) is None:
-            leaf = memo[part] = _hash(part.encode("utf-8", "surrogatepass"))
+            leaf = memo[part] = _hash((part[0] + ("\n" if part[1] else "")).encode("utf-8", "surrogatepass"))
         now.append(leaf)
-        if not part or int(leaf[-4:], 16) % SECTION == 0:
+        if not part[0] or int(leaf[-4:], 16) % SECTION == 0:
             sections.append(now)
             now = []
     if now:
         sections.append(now)
     nodes = [_hash("".join(s).encode()) for s in sections]
-    root = _hash(("".join(nodes) + f":{len(text or '')}").encode())
-    return f"{root}/" + ";".join(f"{n[:8]}=" + ".".join(x[:8] for x in s) for n, s in zip(nodes, sections, strict=True))
+    root = _hash("".join(nodes).encode())
+    return f"{root}/" + ";".join(f"{n[:NODE]}=" + ".".join(x[:NODE] for x in s) for n, s in zip(nodes, sections, strict=True))
 
 
 def _sections(mark: str) -> list[tuple[str, list[str]]]:
-    return [(s[:8], s[9:].split(".")) for s in mark.split("/", 1)[1].split(";")]
+    return [(s[:NODE], s[NODE + 1 :].split(".")) for s in mark.split("/", 1)[1].split(";")]
 
 
 def likeness(one: str, other: str) -> float:
@@ -147,7 +154,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for batch in batches:
             out = []
             for bucket, peek, _, at, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                memo: dict[str, str] = {}
+                memo: dict[tuple[str, bool], str] = {}
                 mark = fingerprint(body, memo)
                 if last and last[0] == bucket:
                     _, before, was, was_mark, was_memo = last

@@ -25,6 +25,8 @@ TYPICAL = 0.25
 #: ... and at least this rate in itself, so that a few odd trigrams don't count.
 LEAST_RATE = 2e-6
 UNDETERMINED = "und"
+#: Most languages: the filter, 8 MB for each 64 of them, is broadcast.
+MOST_LANGUAGES = 512
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -82,7 +84,10 @@ class Filters:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
-    """Filters of all rows with text and language. No such rows: filters without languages, which predict `und`."""
+    """Filters of all rows with text and language. No such rows: filters without languages, which predict `und`.
+
+    More than MOST_LANGUAGES different labels raise ValueError.
+    """
     spark = labelled.sparkSession
     small_batches(spark)
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
@@ -91,6 +96,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     counts = scratch.save(counts, "counts")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"{len(languages)} different languages, more than {MOST_LANGUAGES}: are these labels?")
     places = spark.createDataFrame([(x, i, float(totals[x])) for i, x in enumerate(languages)], "lang string, place int, total double")
     rates = counts.join(F.broadcast(places), "lang").select("key", "place", (F.col("n") / F.col("total")).alias("rate"))
     # The languages of one trigram, at most as many as there are: gathered in a row, not joined with itself.

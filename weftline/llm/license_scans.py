@@ -1,13 +1,16 @@
 """License scans by sentence rules: normalised sentences are mapped to known licence-sentence identifiers, and the
 sequence of identifiers is matched against ordered licence rules.
 
-Each text is scanned within its row: one vectorised pass over a batch, no shuffle. Texts without any trigger word,
+Sentences are looked up in a table made from the sentence rules; the few with names, years or addresses in them by
+their first words. Each text is scanned within its row: one vectorised pass over a batch, no shuffle. Texts without any trigger word,
 which every known sentence has, are not split.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,43 +18,44 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import small_batches
 
-# Identifiers and the normalised sentences they stand for (patterns over lower-case words).
+# Identifiers and the normalised sentences they stand for. {a|b|} is any one of these words, or none; *
+# is any words, or none. A sentence that two entries know belongs to the first.
 SENTENCES = {
-    "AllRights": r"(?:copyright .*)?all rights reserved",
-    "MITname": r"(?:this (?:work|software|project|file|code|program) is )?(?:released|licensed|distributed|available) under (?:the )?(?:terms of the )?mit licen[cs]e(?: mit)?",
-    "MITgrant": r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files .*",
-    "MITcond": r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
-    "MITwarranty": r"the software is provided as is without warranty of any kind express or implied .*",
-    "MITliability": r"in no event shall the authors or copyright holders be liable for any claim damages or other liability .*",
-    "ISCgrant": r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted .*",
-    "ISCwarranty": r"the software is provided as is and the author disclaims all warranties .*",
-    "BSDgrant": r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-    "BSDsource": r"(?:1 )?redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
-    "BSDbinary": r"(?:2 )?redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer .*",
-    "BSDname": r"(?:3 )?neither the name of .* may be used to endorse or promote products derived from this software without specific prior written permission",
-    "BSDwarranty": r"this software is provided by .* as is and any express or implied warranties .* are disclaimed",
-    "ApacheName": r"(?:this (?:work|software|project|file|code|program) is )?(?:released |licensed |distributed )?under the apache licen[cs]e version 2 0(?: the license)?",
-    "ApacheComply": r"you may not use this file except in compliance with the license",
-    "ApacheCopy": r"you may obtain a copy of the license at .*",
-    "ApacheWarranty": r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis .*",
-    "ApacheSee": r"see the license for the specific language governing permissions and limitations under the license",
-    "GPL2name": r"(?:this (?:work|software|project|file|code|program) is )?(?:released|licensed|distributed) under the (?:terms of the )?gnu general public licen[cs]e (?:as published by the free software foundation )?version 2",
-    "GPL3name": r"(?:this (?:work|software|project|file|code|program) is )?(?:released|licensed|distributed) under the (?:terms of the )?gnu general public licen[cs]e (?:as published by the free software foundation )?version 3",
-    "GPL2free": r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
-    "GPL3free": r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-    "LGPLfree": r"this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license .*",
-    "AGPLfree": r"this program is free software .* under the terms of the gnu affero general public license .*",
-    "GNUwarranty": r"this (?:program|library) is distributed in the hope that it will be useful but without any warranty .*",
-    "GNUsee": r"see the gnu (?:lesser |affero )?general public license for more details",
-    "GNUcopy": r"you should have received a copy of the gnu (?:lesser |affero )?general public license along with this (?:program|library).*",
-    "MPL2name": r"this source code form is subject to the terms of the mozilla public license v 2 0",
-    "MPL2copy": r"if a copy of the mpl was not distributed with this file you can obtain one at .*",
-    "CC0name": r".*(?:dedicated|released|waived) .*public domain.* cc0 1 0.*",
-    "CCBYNC": r"(?:this (?:work|text|document) is )?licensed under (?:a |the )?(?:creative commons |cc )(?:by nc|attribution noncommercial)(?: \d \d)?(?: .*licen[cs]e)?",
-    "CCBYSA": r"(?:this (?:work|text|document) is )?licensed under (?:a |the )?(?:creative commons |cc )(?:by sa|attribution sharealike)(?: \d \d)?(?: .*licen[cs]e)?",
-    "CCBY": r"(?:this (?:work|text|document) is )?licensed under (?:a |the )?(?:creative commons |cc )(?:by|attribution)(?: \d \d)?(?: international)?(?: licen[cs]e)?",
-    "Unlicense": r"this is free and unencumbered software released into the public domain",
-    "SPDX": r"spdx license identifier .*",
+    "AllRights": ("all rights reserved", "copyright * all rights reserved"),
+    "MITname": ("{this work is|this software is|this project is|this file is|this code is|this program is|} {released|licensed|distributed|available} under {the|} {terms of the|} mit {license|licence} {mit|}",),
+    "MITgrant": ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files *",),
+    "MITcond": ("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",),
+    "MITwarranty": ("the software is provided as is without warranty of any kind express or implied *",),
+    "MITliability": ("in no event shall the authors or copyright holders be liable for any claim damages or other liability *",),
+    "ISCgrant": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted *",),
+    "ISCwarranty": ("the software is provided as is and the author disclaims all warranties *",),
+    "BSDgrant": ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",),
+    "BSDsource": ("{1|} redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",),
+    "BSDbinary": ("{2|} redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer *",),
+    "BSDname": ("{3|} neither the name of * may be used to endorse or promote products derived from this software without specific prior written permission",),
+    "BSDwarranty": ("this software is provided by * as is and any express or implied warranties * are disclaimed",),
+    "ApacheName": ("{this work is|this software is|this project is|this file is|this code is|this program is|} {released|licensed|distributed|} under the apache {license|licence} version 2 0 {the license|}",),
+    "ApacheComply": ("you may not use this file except in compliance with the license",),
+    "ApacheCopy": ("you may obtain a copy of the license at *",),
+    "ApacheWarranty": ("unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis *",),
+    "ApacheSee": ("see the license for the specific language governing permissions and limitations under the license",),
+    "GPL2name": ("{this work is|this software is|this project is|this file is|this code is|this program is|} {released|licensed|distributed} under the {terms of the|} gnu general public {license|licence} {as published by the free software foundation|} version 2",),
+    "GPL3name": ("{this work is|this software is|this project is|this file is|this code is|this program is|} {released|licensed|distributed} under the {terms of the|} gnu general public {license|licence} {as published by the free software foundation|} version 3",),
+    "GPL2free": ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",),
+    "GPL3free": ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",),
+    "LGPLfree": ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license *",),
+    "AGPLfree": ("this program is free software * under the terms of the gnu affero general public license *",),
+    "GNUwarranty": ("this {program|library} is distributed in the hope that it will be useful but without any warranty *",),
+    "GNUsee": ("see the gnu {lesser|affero|} general public license for more details",),
+    "GNUcopy": ("you should have received a copy of the gnu {lesser|affero|} general public license along with this {program|library} *",),
+    "MPL2name": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
+    "MPL2copy": ("if a copy of the mpl was not distributed with this file you can obtain one at *",),
+    "CC0name": ("* {dedicated|released|waived} * public domain * cc0 1 0 *",),
+    "CCBYNC": ("{this work is|this text is|this document is|} licensed under {a|the|} {creative commons|cc} {by nc|attribution noncommercial} {1 0|2 0|2 5|3 0|4 0|} {license|licence|}", "{this work is|this text is|this document is|} licensed under {a|the|} {creative commons|cc} {by nc|attribution noncommercial} * {license|licence}"),
+    "CCBYSA": ("{this work is|this text is|this document is|} licensed under {a|the|} {creative commons|cc} {by sa|attribution sharealike} {1 0|2 0|2 5|3 0|4 0|} {license|licence|}", "{this work is|this text is|this document is|} licensed under {a|the|} {creative commons|cc} {by sa|attribution sharealike} * {license|licence}"),
+    "CCBY": ("{this work is|this text is|this document is|} licensed under {a|the|} {creative commons|cc} {by|attribution} {1 0|2 0|2 5|3 0|4 0|} {international|} {license|licence|}",),
+    "Unlicense": ("this is free and unencumbered software released into the public domain",),
+    "SPDX": ("spdx license identifier *",),
 }
 # Licences and the identifiers, in order, that show them; earlier rules win.
 RULES = (
@@ -82,12 +86,15 @@ RULES = (
     ("Unlicense", ("Unlicense",)),
     ("Proprietary", ("AllRights",)),
 )
+#: A sentence with a * is found by so many of its first words, or all before the *.
+HEAD = 3
+#: Identifiers passed over between, and before, those of a rule: notices that licence texts carry without being part of them.
+FILLERS = ("AllRights",)
 # Each known sentence has one of these; the phrases with anything between their words that normalise() drops.
 TRIGGERS = ("licen", "warrant", "redistribut", "permission", "reserved")
 _PHRASES = re.compile("|".join(p.replace(" ", "[^a-z0-9]+") for p in ("public domain", "copy of the mpl", "liable for any claim")))
-_ENDS = re.compile(r"\n\s*\n|(?<=[.!?;])(?:\s+|$)|\n(?=\s*(?:[*#/-]|\d\.|[A-Z]))")
+_ENDS = re.compile(r"\n\s*\n|(?<=[.!?;])(?:\s+|$)|\n(?=\s*(?:[*#/-]|\d\.|[A-Z](?![A-Z])|SPDX))")
 _OTHER = re.compile(r"[^a-z0-9]+")
-_KNOWN = re.compile("|".join(f"(?P<{k}>{v})" for k, v in SENTENCES.items()))
 _SPDX = re.compile(r"spdx-license-identifier:\s*([a-z0-9.+-]+)", re.I)
 
 
@@ -96,39 +103,112 @@ def normalise(sentence: str) -> str:
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Spans of the sentences: cut at blank lines, after closing punctuation, and at lines that begin anew."""
+    """Spans of the sentences: cut at blank lines, after closing punctuation, and at lines that begin anew: with a mark, a number or a capital, but not in capitals throughout."""
     cuts = [0, *[m.end() for m in _ENDS.finditer(text)], len(text)]
     return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
 
 
+def _expanded(template: str) -> Iterator[str]:
+    """A template's sentences: one for each choice of words."""
+    parts = [p.split("|") for p in re.split(r"[{}]", template)]
+    for choice in itertools.product(*parts):
+        yield " ".join(" ".join(choice).split())
+
+
+class SentenceMap:
+    """Normalised sentence -> identifier, by look-ups whose work is linear in the sentence.
+
+    Sentences without a * are keys of a table. The others are found by their first words or, where they begin with a *,
+    by a word of their last part; then their parts are sought one after the other.
+    """
+
+    def __init__(self, sentences: dict[str, tuple[str, ...]] = SENTENCES) -> None:
+        self.exact: dict[str, tuple[int, str]] = {}
+        self.open: dict[tuple[str, ...], list[tuple[int, str, list[str]]]] = {}
+        self.inner: dict[str, list[tuple[int, str, list[str]]]] = {}
+        for rank, (name, templates) in enumerate(sentences.items()):
+            for text in dict.fromkeys(t for template in templates for t in _expanded(template)):
+                if "*" not in text:
+                    self.exact.setdefault(text, (rank, name))
+                    continue
+                parts = [p.strip() for p in text.split("*")]
+                if parts[0]:
+                    self.open.setdefault(tuple(parts[0].split()[:HEAD]), []).append((rank, name, parts))
+                else:
+                    self.inner.setdefault([p for p in parts if p][-1].split()[0], []).append((rank, name, parts))
+
+    def look(self, sentence: str) -> str | None:
+        """The identifier of a normalised sentence."""
+        found = [self.exact[sentence]] if sentence in self.exact else []
+        words = sentence.split(" ")
+        near = [x for n in range(1, HEAD + 1) for x in self.open.get(tuple(words[:n]), ())]
+        near += [x for w in self.inner.keys() & set(words) for x in self.inner[w]]
+        found += [(rank, name) for rank, name, parts in near if _holds(f" {sentence} ", parts)]
+        return min(found)[1] if found else None
+
+
+def _holds(sentence: str, parts: list[str]) -> bool:
+    """Does the sentence begin with the first part and end with the last, with the others in order between?"""
+    if parts[0] and not sentence.startswith(f" {parts[0]} "):
+        return False
+    at, end = len(parts[0]) + bool(parts[0]), len(sentence)
+    if parts[-1]:
+        if not sentence.endswith(f" {parts[-1]} "):
+            return False
+        end -= len(parts[-1]) + 1
+    for part in parts[1:-1]:
+        if (at := sentence.find(f" {part} ", at, end)) < 0:
+            return False
+        at += len(part) + 1
+    return at < end
+
+
+_MAP = SentenceMap()
+
+
+def _rule_at(names: tuple[str, ...], at: int) -> tuple[str, int] | None:
+    """The first rule whose identifiers come from at on, fillers passed over; and where it ends."""
+    for licence, wanted in RULES:
+        i, k = at, 0
+        while i < len(names) and k < len(wanted):
+            if names[i] == wanted[k]:
+                k += 1
+            elif names[i] not in FILLERS or i == at and licence == "Proprietary":
+                break
+            i += 1
+        if k == len(wanted):
+            return licence, i
+    return None
+
+
 def scan_text(text: str | None) -> tuple[list[tuple[int, int, str]], list[str]]:
     """Known sentences (start, end, identifier) in order; and the licences their sequence shows, in order, once each.
 
-    An identifier that begins no rule's sequence is passed over.
+    An identifier that begins no rule's sequence is passed over; fillers may stand before and within a rule's sequence.
     """
     low = (text or "").lower()
     if not any(t in low for t in TRIGGERS) and not _PHRASES.search(low):
         return [], []
     found, spdx = [], {}
     for a, b in sentences(text):
-        if m := _KNOWN.fullmatch(normalise(text[a:b])):
-            if m.lastgroup == "SPDX" and (named := _SPDX.search(text[a:b])):
+        if name := _MAP.look(normalise(text[a:b])):
+            if name == "SPDX" and (named := _SPDX.search(text[a:b])):
                 spdx[len(found)] = named[1].rstrip(".")
-            found.append((a, b, m.lastgroup))
+            found.append((a, b, name))
     names = tuple(f[2] for f in found)
     licences, at = [], 0
     while at < len(names):
-        rule = next((r for r in RULES if names[at : at + len(r[1])] == r[1]), None)
-        if rule or at in spdx:
-            licences.append(rule[0] if rule else spdx[at])
-        at += len(rule[1]) if rule else 1
+        licence, end = _rule_at(names, at) or (spdx.get(at), at + 1)
+        if licence:
+            licences.append(licence)
+        at = end
     return found, list(dict.fromkeys(licences))
 
 
 def license_scans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, matches (array of start, end in code points, sentence identifier), licenses (array).
 
-    Null and empty texts have neither. Repeated rows come back as often as they came in.
+    Null and empty texts have neither. Long texts and long sentences take time in proportion to their length. Repeated rows come back as often as they came in.
     """
     small_batches(docs.sparkSession)
 

@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-Per Arrow batch the distinct new words are laid end to end and indexed by a suffix array; every piece of the vocabulary
-is binary-searched for its range of occurrences; the occurrences are edges over positions, sorted by where they end,
+Per Arrow batch the distinct new words are laid end to end and indexed by a suffix array, sorted by doubling; every piece
+of the vocabulary is binary-searched, whole, for its range of occurrences; the occurrences are edges over positions, sorted by where they end,
 then relaxed in that order. For a BPE model the edge that ends a prefix's encoding is the one whose piece may follow the
 piece before it, i.e. whose pair BPE would leave as it is; there is exactly one. So relaxing gives the library's own
 pieces, without merging. Words are runs up to the next space, over which no piece reaches. Nothing is shuffled.
@@ -9,6 +9,7 @@ pieces, without merging. Words are runs up to the next space, over which no piec
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,22 +30,64 @@ _NONE, _START = -2, -1
 
 
 def merge(symbols: list[bytes], rank: dict[bytes, int]) -> list[bytes]:
-    """Plain BPE: merge the best-ranked neighbouring pair, leftmost first, while any pair is a piece."""
+    """Plain BPE: merge the best-ranked neighbouring pair, leftmost first, while any pair is a piece. n log n steps."""
     symbols = list(symbols)
-    while len(symbols) > 1:
-        best, at = min((rank.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False)))
-        if best == 1 << 60:
-            break
-        symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-    return symbols
-
-
-def _prefixes(data: np.ndarray, size: int) -> np.ndarray:
-    """The 8 bytes from every position on, as big-endian numbers; data is padded with zeros."""
-    keys = np.zeros(size, np.uint64)
+    n = len(symbols)
+    after, before = [*range(1, n), -1], list(range(-1, n - 1))
+    queue = [(r, i, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := rank.get(symbols[i] + symbols[i + 1])) is not None]
+    heapq.heapify(queue)
+    while queue:
+        _, i, one, other = heapq.heappop(queue)
+        j = after[i]
+        # Either side has changed since, or went into another symbol (empty then).
+        if j < 0 or symbols[i] != one or symbols[j] != other:
+            continue
+        symbols[i], symbols[j], after[i] = one + other, b"", after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        for left, right in ((before[i], i), (i, after[i])):
+            if left >= 0 and right >= 0 and (r := rank.get(symbols[left] + symbols[right])) is not None:
+                heapq.heappush(queue, (r, left, symbols[left], symbols[right]))
+    return [x for x in symbols if x]
+
+
+def suffix_array(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(positions in the order of what follows them, 8-byte keys by position). data: words, each closed by a zero byte.
+
+    The order is full up to each word's end: positions that agree so far are sorted by the rank of what comes after,
+    8, 16, 32 ... bytes on, until no open ones agree.
+    """
+    n = len(data)
+    padded = np.frombuffer(data + bytes(16), np.uint8)
+    keys = np.zeros(n + 8, np.uint64)
     for i in range(8):
-        keys = (keys << np.uint64(8)) | data[i : size + i]
-    return keys
+        keys[:n] = (keys[:n] << np.uint64(8)) | padded[i : n + i]
+    order = np.argsort(keys[:n], kind="stable")
+    new = np.flatnonzero(np.concatenate(([True], np.diff(keys[order]) > 0))) if n else np.empty(0, np.int64)
+    size = np.diff(new, append=n)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.repeat(new, size)
+    ends = np.flatnonzero(padded[:n] == 0)
+    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+    width = 8
+    while True:
+        places = np.flatnonzero(np.repeat(size > 1, size))
+        at = order[places]
+        open_ = left[at] >= width
+        places, at = places[open_], at[open_]
+        if not len(at):
+            return order, keys
+        # A group is open as a whole: its members agree on all bytes so far. Places ascend with rank.
+        sorted_ = np.lexsort((rank[at + width], rank[at]))
+        at = at[sorted_]
+        order[places] = at
+        own, rest = rank[at], rank[at + width]
+        first = np.concatenate(([True], (own[1:] != own[:-1]) | (rest[1:] != rest[:-1])))
+        starts = places[first]
+        rank[at] = np.repeat(starts, np.diff(np.flatnonzero(first), append=len(at)))
+        new = np.union1d(new, starts)
+        size = np.diff(new, append=n)
+        width *= 2
 
 
 class PieceModel:
@@ -79,15 +122,16 @@ class PieceModel:
                 pairs.append((self.left[r] * (n + 1) + self.right[r], r))
         table = np.array(sorted(pairs), np.int64).reshape(-1, 2)
         self.pair_keys, self.pair_ranks = table[:, 0].copy(), table[:, 1].copy()
-        # What is binary-searched: first 8 bytes of each piece as a range of numbers, and all bytes beyond.
+        # What is binary-searched: each piece's bytes, by eight, as ranges of numbers.
         usable = [r for r in range(n) if reached[r]]
         self.found = np.array(usable)
         self.lengths = np.array([len(text[r]) for r in usable])
-        heads = [text[r][:8] for r in usable]
-        self.low = np.array([int.from_bytes(h.ljust(8, b"\0")) for h in heads], np.uint64)
-        self.high = np.array([int.from_bytes(h.ljust(8, b"\xff")) for h in heads], np.uint64)
-        self.tails = [text[r][8:] for r in usable]
-        self.tailed = np.array([bool(t) for t in self.tails])
+        self.blocks = []
+        for at in range(0, int(self.lengths.max()), 8):
+            these = np.flatnonzero(self.lengths > at)
+            parts = [text[usable[i]][at : at + 8] for i in these]
+            low, high = ([int.from_bytes(p.ljust(8, fill)) for p in parts] for fill in (b"\0", b"\xff"))
+            self.blocks.append((at, these, np.array(low, np.uint64), np.array(high, np.uint64)))
         self.seen_pairs = np.full(1 << PAIRS_LOG2, -1, np.int64)
         self.seen_fits = np.zeros(1 << PAIRS_LOG2, bool)
         self.memo: dict[bytes, bytes] = {}
@@ -132,21 +176,16 @@ class PieceModel:
         return fits
 
     def edges(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, length, rank) of every occurrence of every piece in data."""
-        padded = np.frombuffer(data + bytes(16), np.uint8)
-        keys = _prefixes(padded, len(data))
-        suffixes = np.argsort(keys)
-        ordered = keys[suffixes]
-        low, high = np.searchsorted(ordered, self.low), np.searchsorted(ordered, self.high, "right")
-        counts = high - low
+        """(start, length, rank) of every occurrence of every piece in data: each piece's range of the suffix array."""
+        suffixes, keys = suffix_array(data)
+        low, high = np.zeros(len(self.lengths), np.int64), np.full(len(self.lengths), len(suffixes))
+        for at, these, least, most in self.blocks:
+            # In the range of what a piece has before this block, suffixes are in the order of what they have here.
+            lo, hi = low[these], high[these]
+            low[these], high[these] = _first(keys, suffixes, at, lo, hi, least, False), _first(keys, suffixes, at, lo, hi, most, True)
+        counts = np.maximum(high - low, 0)
         piece = np.repeat(np.arange(len(counts)), counts)
         start = suffixes[np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)]
-        tailed = np.flatnonzero(self.tailed[piece])
-        if len(tailed):
-            good = np.array([data.startswith(self.tails[p], s + 8) for p, s in zip(piece[tailed].tolist(), start[tailed].tolist(), strict=True)])
-            keep = np.ones(len(piece), bool)
-            keep[tailed] = good
-            piece, start = piece[keep], start[keep]
         return start, self.lengths[piece], self.found[piece]
 
     def _plain(self, word: bytes) -> bytes:
@@ -256,6 +295,18 @@ class PieceModel:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))[1:].decode("utf-8", "replace")
 
 
+def _first(keys: np.ndarray, suffixes: np.ndarray, at: int, lo: np.ndarray, hi: np.ndarray, wanted: np.ndarray, above: bool) -> np.ndarray:
+    """Binary search, all at once: the first place of each range whose bytes at places on are wanted or more (above: more)."""
+    lo, hi = lo.copy(), hi.copy()
+    while len(live := np.flatnonzero(lo < hi)):
+        mid = (lo[live] + hi[live]) // 2
+        found = keys[np.minimum(suffixes[mid] + at, len(keys) - 1)]
+        less = found <= wanted[live] if above else found < wanted[live]
+        lo[live[less]] = mid[less] + 1
+        hi[live[~less]] = mid[~less]
+    return lo
+
+
 def _parts(text: bytes, chars: list[bytes]) -> Iterator[bytes]:
     for i in range(len(chars)):
         for j in range(i + 2, len(chars) + 1):

@@ -21,6 +21,8 @@ from weftline.llm.common import SPACE_CLASS, small_batches
 #: A worker forgets its words' counts when it has so many.
 MEMO_WORDS = 1_200_000
 CACHE_COLUMNS = "digest binary, n_tokens long, tokenizer string"
+#: Texts that such a tokenizer as WordCounter's takes for the same.
+_ALIKE = (("Some Words, and 12 more", "some words, and 12 more"), ("some words", "\n some\t \x0bwords \r"), ("a  b.\n\nC", "a b. c"))
 _CLOSING = b'.,;:!?|)]}"'
 
 
@@ -42,6 +44,10 @@ class WordCounter:
         from tokenizers import Tokenizer
 
         self.encoder, self.memo = Tokenizer.from_file(path), {}
+        for one, other in _ALIKE:
+            a, b = (self.encoder.encode(t, add_special_tokens=False).ids for t in (one, other))
+            if a != b:
+                raise ValueError(f"{path}: not a tokenizer that drops white space and folds ASCII case: {one!r} and {other!r} differ")
 
     def _encode(self, words: list[bytes]) -> None:
         for i in range(0, len(words), 4096):
@@ -87,7 +93,8 @@ def count_tokens(texts: Column, path: str) -> Column:
 def token_counts(docs: DataFrame, tokenizer: str, cache: str, doc_id: str = "doc_id", text: str = "text", limit: int = 2048) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes (UTF-8), n_tokens (long), over_limit (n_tokens > limit).
 
-    tokenizer: a tokenizers .json whose normaliser drops white space (see WordCounter), readable on every executor.
+    tokenizer: a tokenizers .json whose normaliser drops white space (see WordCounter; another kind raises ValueError),
+    readable on every executor.
     cache: a shared folder of Parquet files, made if missing, one part a tokenizer version; misses are appended to it.
     Null and empty texts have 0 tokens. Repeated rows come back as often as they came in; an empty table gives no rows.
     """
@@ -105,6 +112,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, doc_id: str = "doc
     misses = wanted.join(spark.read.schema(schema).parquet(store).select("digest"), "digest", "left_anti") if known else wanted
     misses = misses.dropDuplicates(["digest"])
     misses.select("digest", count_tokens(F.col("text"), tokenizer).alias("n_tokens")).write.mode("append").parquet(store)
-    counts = spark.read.schema(schema).parquet(store)
+    # Two runs at once, or one repeated after it failed, may have stored a digest twice.
+    counts = spark.read.schema(schema).parquet(store).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     found = rows.join(counts, "digest", "left")
     return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
