@@ -76,7 +76,7 @@ CLASHES = ["kept", "n_words", "_found", "found", "_maybe", "maybe", "key", "id",
 
 def odd_rows(spark):
     """Nulls in every column, empty and long texts, repeated rows, and columns whose names clash with inner ones."""
-    clean = "The committee met again on Monday and talked about the plans for the river and the old bridge near the town. " * 2
+    clean = "The committee met again on Monday and talked about the plans for the river and the old bridge near the town. Nobody was in favour of the first of them. "
     long = " ".join(f"the{i % 977} committee{i} met" for i in range(30_000)) + " " * 20_000 + "x" * 100_000
     rows = [(1, clean, "en", "s"), (1, clean, "en", "s"), (2, None, None, None), (3, "", "en", None), (None, clean + "Two.", "en", "s"), (4, long, "en", "s"), (5, clean, None, "s"), (6, clean + "token: abcdef123456", "en", "s")]
     frame = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
@@ -97,7 +97,7 @@ def test_odd_rows(spark, data, place):
     elif name == "quality_rules":
         assert set(ids) >= {1, 5, 6} and not {2, 3} & set(ids) and ids.count(1) == 2
     elif name == "near_duplicates":
-        # 5 is a copy of 1, 6 has 2 more shingles than its 21; a row without an id stays.
+        # 5 is a copy of 1, 6 has 2 more shingles than its 30; a row without an id stays.
         assert ids == [1, 1, 2, 3, 4] and len(rows) == 6
     elif name == "secret_scans":
         text = {r.doc_id: (r.text, r.n_chars) for r in rows}

@@ -130,5 +130,6 @@ def keep_passing(docs: DataFrame, text: str = "text", host: str = "source", max_
     """
     hosts, n_hosts = host_verdicts(text_figures(docs, text, _keyed(docs, host, {})), "_host", max_rate)
     rows = {f"_c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}
-    judged = _judged(text_figures(docs, text, _keyed(docs, host, rows)), hosts, n_hosts)
-    return judged.where("kept").select(*[F.col(k).alias(c) for k, c in zip(rows, docs.columns, strict=True)])
+    # A filter is not moved below a column of row numbers; below, Spark would repeat the figures' expressions in it.
+    figures = text_figures(docs, text, _keyed(docs, host, rows)).withColumn("_row", F.monotonically_increasing_id())
+    return _judged(figures, hosts, n_hosts).where("kept and _row >= 0").select(*[F.col(k).alias(c) for k, c in zip(rows, docs.columns, strict=True)])
