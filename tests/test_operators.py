@@ -130,13 +130,72 @@ def test_reachability_with_cycles(spark):
     assert {r.id: r.component for r in graphs.components(edges).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5}
 
 
-def test_complete_link_respects_cap_and_all_pairs():
-    import pandas as pd
-
-    edges = pd.DataFrame([(1, 2, 0.95), (2, 3, 0.94), (1, 3, 0.5), (4, 5, 0.9)], columns=["a", "b", "similarity"])
-    assert vectors.complete_link(edges, 0.8, 24) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
-    assert vectors.complete_link(edges, 0.4, 24) == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
-    assert vectors.complete_link(edges, 0.4, 2) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
+def greedy_groups(edges, cap):
+    """One merge at a time from the best edge down: member -> least id of its group."""
+    group = {x: {x} for a, b, _ in edges for x in (a, b)}
+    linked = {(a, b) for a, b, _ in edges}
+    for a, b, _ in sorted(edges, key=lambda e: (-e[2], e[0], e[1])):
+        x, y = group[a], group[b]
+        if x is not y and len(x) + len(y) <= cap and all((min(i, j), max(i, j)) in linked for i in x for j in y):
+            x |= y
+            for j in y:
+                group[j] = x
+    return {m: min(g) for m, g in group.items()}
+
+
+def grouped(spark, edges, cap):
+    frame = spark.createDataFrame(edges, "a long, b long, similarity double")
+    return {r["id"]: r["group"] for r in vectors.complete_link_groups(frame, cap).collect()}
+
+
+def test_complete_link_respects_cap_and_all_pairs(spark):
+    edges = [(1, 2, 0.95), (2, 3, 0.94), (1, 3, 0.5), (4, 5, 0.9)]
+    assert grouped(spark, [e for e in edges if e[2] >= 0.8], 24) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
+    assert grouped(spark, edges, 24) == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    assert grouped(spark, edges, 2) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
+
+
+def test_complete_link_against_one_merge_at_a_time(spark):
+    rng = np.random.default_rng(4)
+    ids = [(a, b) for a in range(40) for b in range(a + 1, 40)]
+    edges = [(a, b, float(np.round(rng.random(), 2))) for a, b in ids if rng.random() < 0.7 or a // 8 == b // 8]
+    assert grouped(spark, edges, 5) == greedy_groups(edges, 5)
+    assert grouped(spark, edges, 24) == greedy_groups(edges, 24)
+
+
+def test_near_pairs_find_all(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    m = rng.normal(size=(120, 8))
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "id long, v array<double>")
+    wanted = {(i, j) for i in range(120) for j in range(i + 1, 120) if unit[i] @ unit[j] >= 0.3}
+    for block in (2000, 25):
+        monkeypatch.setattr(vectors, "BLOCK", block)
+        found = vectors.near_pairs(frame, "id", "v", 0.3).collect()
+        assert len(found) == len(wanted) and {(r.a, r.b) for r in found} == wanted
+        near = {(r.a, r.b) for r in vectors.top_neighbours(frame, frame.where("id % 5 = 0"), "id", "v", 4).collect()}
+        assert near == {(i, int(j)) for i in range(0, 120, 5) for j in np.argsort(-(unit @ unit[i]))[:4]}
+
+
+def test_required_similarity(spark):
+    rows = [(1, "They married in 1990.", ["x"]), (2, "The divorce of 1990.", ["x"]), (3, "In 1990.", ["x"]), (4, "In 1990.", ["y"]), (5, "In 2001.", ["x"]), (6, "No year.", ["z"])]
+    frame = spark.createDataFrame([(i, t, e, [1.0, i / 1000]) for i, t, e in rows], "id long, text string, entities array<string>, v array<double>")
+    found = {(r.a, r.b) for r in vectors.account_edges(frame, "id", "v").collect()}
+    assert found == {(1, 3), (1, 4), (1, 6), (2, 3), (2, 4), (2, 6), (3, 4), (3, 6), (4, 6), (5, 6)}
+    assert vectors.account_edges(frame, "id", "v", (1.0, 1.0, 1.0)).count() == 0
+
+
+def test_as_of_forward_is_linear(spark):
+    left = spark.range(20_000).select(F.lit(1).alias("k"), (F.col("id") * 2).alias("t"), F.col("id").alias("d"))
+    right = spark.range(20_000).select(F.lit(1).alias("k"), (F.col("id") * 2 + 1).alias("t"), F.col("id").alias("v"))
+    found = resolve.as_of(left, right, "k", "t", "v", backward=False)
+    assert found.where("v = d").count() == 20_000
+
+
+def test_closing_edges(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y")], "a string, b string")
+    new = spark.createDataFrame([("c", "a"), ("a", "c"), ("y", "a")], "a string, b string")
+    assert {(r.a, r.b): r.cyclic for r in graphs.closing_edges(edges, new).collect()} == {("c", "a"): True, ("a", "c"): False, ("y", "a"): False}
 
 
 def test_matrices(spark):

@@ -8,38 +8,42 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df as a table in the session's checkpoint folder."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which the driver and all executors share; where it is unset, local sessions get one of their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="weftline-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/graph-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder."""
+    path = f"{shared_folder(df.sparkSession)}/graph-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, rounds: int = 1000) -> DataFrame:
+def reachable(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """(id, label): every vertex reached from seeds (id, label) along edges (a, b), seeds included, with its highest label.
 
-    A vertex is passed on again only when a higher label reaches it, so cycles end. Each round writes one table: the
-    labels so far, and which of them are fresh.
+    A vertex is passed on again only when a higher label reaches it, so cycles end. Each round writes the fresh labels
+    alone; those known before are only looked up for the vertices the round has reached.
     """
     edges = written(edges.select("a", "b"))
-    state = written(seeds.groupBy("id").agg(F.max("label").alias("label")).withColumn("fresh", F.lit(True)))
-    for _ in range(rounds):
-        fresh = state.where("fresh")
-        step = fresh.join(edges, fresh["id"] == edges["a"]).groupBy(F.col("b").alias("id")).agg(F.max("label").alias("new"))
-        better = F.col("new").isNotNull() & (F.col("label").isNull() | (F.col("new") > F.col("label")))
-        state = written(state.drop("fresh").join(step, "id", "full_outer").select("id", F.greatest("label", "new").alias("label"), better.alias("fresh")))
-        if not state.where("fresh").limit(1).count():
-            break
-    return state.select("id", "label")
+    fresh = known = written(seeds.groupBy("id").agg(F.max("label").alias("label")))
+    while fresh.limit(1).count():
+        step = written(fresh.join(edges, fresh["id"] == edges["a"]).groupBy(F.col("b").alias("id")).agg(F.max("label").alias("label")))
+        no_better = known.withColumnRenamed("label", "held").join(step, "id").where("held >= label").select("id").distinct()
+        fresh = written(step.join(no_better, "id", "left_anti"))
+        known = known.unionByName(fresh)
+    return known.groupBy("id").agg(F.max("label").alias("label"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -57,6 +61,21 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def closing_edges(edges: DataFrame, new: DataFrame) -> DataFrame:
+    """new (a, b) with cyclic: would the edge close a cycle of edges, i.e. is there a path from its b to its a?
+
+    Paths are followed from all targets at once; each round writes the (target, vertex) pairs it has reached first.
+    """
+    edges, new = written(edges.select("a", "b")), new.select("a", "b").distinct()
+    fresh = seen = written(new.select(F.col("b").alias("start"), F.col("b").alias("at")).distinct())
+    while fresh.limit(1).count():
+        step = fresh.join(edges, fresh["at"] == edges["a"]).select("start", F.col("b").alias("at")).distinct()
+        fresh = written(step.join(seen, ["start", "at"], "left_anti"))
+        seen = seen.unionByName(fresh)
+    found = seen.select(F.col("start").alias("b"), F.col("at").alias("a"), F.lit(True).alias("cyclic"))
+    return new.join(found, ["a", "b"], "left").select("a", "b", F.coalesce("cyclic", F.lit(False)).alias("cyclic"))
+
+
 def on_cycles(edges: DataFrame) -> DataFrame:
     """Vertices left when those without an edge in or without an edge out are taken away again and again.
 

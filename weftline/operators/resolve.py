@@ -58,11 +58,10 @@ def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str, back
     extra = [c for c in left.columns if c not in (key, at)]
     side = left.select(key, at, F.struct(*extra).alias("_row"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(1).alias("_side"))
     other = right.select(key, at, F.lit(None).cast(side.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"), F.lit(0).alias("_side"))
-    line = Window.partitionBy(key).orderBy(at, "_side")
-    if backward:
-        carried = F.last("_v", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, 0))
-    else:
-        carried = F.first("_v", ignorenulls=True).over(line.rowsBetween(0, Window.unboundedFollowing))
+    # Forward, the line is walked from its end: a value is carried from what came before either way, in one pass.
+    order = [at, "_side"] if backward else [F.desc(at), F.desc("_side")]
+    line = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    carried = F.last("_v", ignorenulls=True).over(line)
     both = side.unionByName(other).withColumn("_c", carried).where("_side = 1")
     return both.select(key, at, *[F.col(f"_row.{c}").alias(c) for c in extra], F.col("_c").alias(value))
 

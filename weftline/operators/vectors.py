@@ -1,14 +1,23 @@
-"""Vectors: Hamming pairs, blocked nearest neighbours, bounded complete-link clustering, PCA."""
+"""Vectors: Hamming pairs, blocked nearest neighbours and near pairs, bounded complete-link clustering."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of a block of vectors.
+BLOCK = 2000
+# Least similarities for a shared informative entity, a shared year, neither; and one that no cosine reaches.
+LEVELS = (0.82, 0.86, 0.90)
+INCOMPATIBLE = 1.01
+# Patterns of the transitions between which accounts are kept apart, and of explicit years.
+TRANSITIONS = {"marriage": r"\b(?:married|marriage|wedding)\b", "divorce": r"\b(?:divorced?|divorcing|separated)\b"}
+YEAR = r"\b(?:19|20)\d{2}\b"
+
 
 def sign_hash(vectors: DataFrame, column: str, bits: int) -> DataFrame:
     """Adds h: bit i set where component i is positive."""
@@ -41,110 +50,135 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
 
 
-def top_neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int, block: int = 2000) -> DataFrame:
+def _blocked(left: DataFrame, right: DataFrame, key: str, column: str, work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, below: bool = False) -> DataFrame:
+    """work(rows of left, rows of right), as frames (id, v), for every block of left and every block of right.
+
+    Blocks have about BLOCK rows, dealt by hash of the key, so every group has a bounded size and none passes through
+    the driver. below: left and right are one table, and each pair of its blocks comes once.
+    """
+    n, m = (max(1, -(-x.count() // BLOCK)) for x in (left, right))
+    place = lambda parts: F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    rows = [F.col(key).alias("id"), F.col(column).alias("v")]
+    a = left.select(place(n).alias("i"), *rows).withColumn("j", F.explode(F.sequence(F.col("i") if below else F.lit(0), F.lit(m - 1))))
+    b = right.select(place(m).alias("j"), *rows).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("j") if below else F.lit(n - 1))))
+    return a.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(work, schema)
+
+
+def _best(found: DataFrame, value: str, k: int, least: bool) -> DataFrame:
+    """The k best (value, then b) of each a, from each block's k best."""
+    key = F.col(value) if least else -F.col(value)
+    top = found.groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct(key.alias("s"), "b"))), 1, k).alias("top")).select("a", F.explode("top").alias("x"))
+    return top.select("a", "x.b", (F.col("x.s") if least else -F.col("x.s")).alias(value))
+
+
+def top_neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int) -> DataFrame:
     """(a, b, similarity): the k rows of vectors most cosine-similar to each query row, ties by id, itself included.
 
-    Query rows are broadcast in blocks of a fixed size; each task multiplies a block with its own rows and keeps its k
-    best per query, so only k rows a query and task are shuffled.
+    Blocks of queries meet blocks of vectors; only k rows a query and block are shuffled again.
     """
-    spark = vectors.sparkSession
-    ids = [r[0] for r in queries.select(key).orderBy(key).collect()]
-    out = None
-    for i in range(0, max(1, len(ids)), block):
-        part = ids[i : i + block]
-        span = queries.where(F.col(key).between(part[0], part[-1])) if part else queries
-        rows = span.select(key, column).toPandas().sort_values(key)
-        shared = spark.sparkContext.broadcast((rows[key].to_numpy(), _matrix(rows[column]) if len(rows) else np.empty((0, 1))))
-
-        def near(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            names, matrix = shared.value
-            best_s, best_i = np.full((len(names), 0), 0.0), np.full((len(names), 0), 0)
-            for batch in batches:
-                if not len(batch) or not len(names):
-                    continue
-                s = np.concatenate([best_s, matrix @ _matrix(batch["v"]).T], 1)
-                at = np.concatenate([best_i, np.broadcast_to(batch["id"].to_numpy(), (len(names), len(batch)))], 1)
-                order = np.lexsort((at, -s), axis=1)[:, :k]
-                best_s, best_i = np.take_along_axis(s, order, 1), np.take_along_axis(at, order, 1)
-            yield pd.DataFrame({"a": np.repeat(names, best_s.shape[1]), "b": best_i.ravel(), "similarity": best_s.ravel()})
-
-        found = vectors.select(F.col(key).alias("id"), F.col(column).alias("v")).mapInPandas(near, "a long, b long, similarity double")
-        top = found.groupBy("a").agg(F.expr(f"slice(array_sort(collect_list(struct(-similarity as s, b))), 1, {k})").alias("top")).select("a", F.explode("top").alias("x")).select("a", "x.b", (-F.col("x.s")).alias("similarity"))
-        out = top if out is None else out.unionByName(top)
-    return out
-
-
-def complete_link(edges: pd.DataFrame, least: float, cap: int) -> dict[int, int]:
-    """Greedy merging of one component's edges (a, b, similarity) from the best down; two groups merge only if every pair
-    across is an edge of at least least, and together they have at most cap members. Member -> least id of its group."""
-    group = {x: {x} for x in pd.unique(edges[["a", "b"]].to_numpy().ravel()).tolist()}
-    known = {(min(a, b), max(a, b)): s for a, b, s in edges[["a", "b", "similarity"]].itertuples(index=False)}
-    for a, b, _ in sorted(edges[edges["similarity"] >= least][["a", "b", "similarity"]].itertuples(index=False), key=lambda e: (-e[2], e[0], e[1])):
-        x, y = group[a], group[b]
-        if x is y or len(x) + len(y) > cap:
-            continue
-        if all(known.get((min(i, j), max(i, j)), -1.0) >= least for i in x for j in y):
-            x |= y
-            for j in y:
-                group[j] = x
-    return {m: min(g) for m, g in group.items()}
-
-
-def euclidean_neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int, block: int = 2000) -> DataFrame:
+
+    def near(q: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(rows):
+            return pd.DataFrame({"a": [], "b": [], "similarity": []})
+        s = _matrix(q["v"]) @ _matrix(rows["v"]).T
+        at = rows["id"].to_numpy()
+        order = np.lexsort((np.broadcast_to(at, s.shape), -s), axis=1)[:, :k]
+        return pd.DataFrame({"a": np.repeat(q["id"].to_numpy(), order.shape[1]), "b": at[order].ravel(), "similarity": np.take_along_axis(s, order, 1).ravel()})
+
+    return _best(_blocked(queries, vectors, key, column, near, "a long, b long, similarity double"), "similarity", k, least=False)
+
+
+def euclidean_neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int) -> DataFrame:
     """(a, b, distance): the k other rows nearest to each query row, ties by id. Blocked like top_neighbours()."""
-    spark = vectors.sparkSession
-    ids = [r[0] for r in queries.select(key).orderBy(key).collect()]
-    out = None
-    for i in range(0, max(1, len(ids)), block):
-        part = ids[i : i + block]
-        rows = (queries.where(F.col(key).between(part[0], part[-1])) if part else queries).select(key, column).toPandas().sort_values(key)
-        shared = spark.sparkContext.broadcast((rows[key].to_numpy(), np.array(rows[column].tolist(), float)))
-
-        def near(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            names, q = shared.value
-            for batch in batches:
-                if not len(batch) or not len(names):
-                    continue
-                m, at = np.array(batch["v"].tolist(), float), batch["id"].to_numpy()
-                d = np.sqrt(np.stack([((m - x) ** 2).sum(1) for x in q]))
-                d[names[:, None] == at[None, :]] = np.inf
-                order = np.lexsort((np.broadcast_to(at, d.shape), d), axis=1)[:, :k]
-                best = np.take_along_axis(d, order, 1)
-                found = pd.DataFrame({"a": np.repeat(names, order.shape[1]), "b": at[order].ravel(), "distance": best.ravel()})
-                yield found[np.isfinite(found["distance"])]
-
-        found = vectors.select(F.col(key).alias("id"), F.col(column).alias("v")).mapInPandas(near, "a long, b long, distance double")
-        top = found.groupBy("a").agg(F.expr(f"slice(array_sort(collect_list(struct(distance as d, b))), 1, {k})").alias("top")).select("a", F.explode("top").alias("x")).select("a", "x.b", F.col("x.d").alias("distance"))
-        out = top if out is None else out.unionByName(top)
-    return out
-
-
-def class_pairs(vectors: DataFrame, key: str, group: str, column: str, least: float) -> DataFrame:
-    """(a, b, similarity) with a < b of one class, cosine at least least: sign-hash bands propose, exact cosine decides.
-
-    Bands of sign bits find pairs with high probability only; groups built on them are of candidate edges.
+
+    def near(q: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(rows):
+            return pd.DataFrame({"a": [], "b": [], "distance": []})
+        m, at, names = np.array(rows["v"].tolist(), float), rows["id"].to_numpy(), q["id"].to_numpy()
+        d = np.sqrt(np.stack([((m - x) ** 2).sum(1) for x in np.array(q["v"].tolist(), float)]))
+        d[names[:, None] == at[None, :]] = np.inf
+        order = np.lexsort((np.broadcast_to(at, d.shape), d), axis=1)[:, :k]
+        found = pd.DataFrame({"a": np.repeat(names, order.shape[1]), "b": at[order].ravel(), "distance": np.take_along_axis(d, order, 1).ravel()})
+        return found[np.isfinite(found["distance"])]
+
+    return _best(_blocked(queries, vectors, key, column, near, "a long, b long, distance double"), "distance", k, least=True)
+
+
+def near_pairs(vectors: DataFrame, key: str, column: str, least: float) -> DataFrame:
+    """(a, b, similarity), a < b: every pair of rows whose cosine is at least least. Exact: all blocks meet all blocks."""
+
+    def near(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": [], "similarity": []})
+        one, other = x["id"].to_numpy(), y["id"].to_numpy()
+        s = _matrix(x["v"]) @ _matrix(y["v"]).T
+        i, j = np.nonzero(s >= least)
+        # A block that meets itself has each pair twice.
+        same = len(one) == len(other) and set(one.tolist()) == set(other.tolist())
+        keep = one[i] < other[j] if same else one[i] != other[j]
+        i, j = i[keep], j[keep]
+        return pd.DataFrame({"a": np.minimum(one[i], other[j]), "b": np.maximum(one[i], other[j]), "similarity": s[i, j]})
+
+    return _blocked(vectors, vectors, key, column, near, "a long, b long, similarity double", below=True)
+
+
+def required_similarity(one: str, other: str, levels: tuple[float, float, float] = LEVELS) -> Column:
+    """Least similarity at which two accounts may be grouped, from their structs (entities, years, transitions: arrays).
+
+    Accounts of different transitions, or with years but none in common, are incompatible: above any cosine.
+    entities: informative ones only.
+    """
+    x, y = F.col(one), F.col(other)
+    apart = lambda c: (F.size(x[c]) > 0) & (F.size(y[c]) > 0) & ~F.arrays_overlap(x[c], y[c])
+    level = F.when(F.arrays_overlap(x["entities"], y["entities"]), levels[0]).when(F.arrays_overlap(x["years"], y["years"]), levels[1]).otherwise(levels[2])
+    return F.when(apart("transitions") | apart("years"), F.lit(INCOMPATIBLE)).otherwise(level)
+
+
+def account_edges(accounts: DataFrame, key: str, column: str, levels: tuple[float, float, float] = LEVELS) -> DataFrame:
+    """(a, b, similarity) of all pairs of accounts (key, vector column, text, entities) as similar as they have to be.
+
+    Years and transitions are read from the text. An entity is informative if at most a tenth of the accounts, or five,
+    have it.
+    """
+    n = accounts.count()
+    ents = accounts.select(key, F.explode(F.array_distinct("entities")).alias("entity"))
+    informative = ents.groupBy("entity").count().where(F.col("count") <= max(5, n * 0.1)).select("entity")
+    # Entities are few per account; what is gathered in a row is one account's own.
+    kept = ents.join(informative, "entity", "left_semi").groupBy(key).agg(F.collect_set("entity").alias("kept"))
+    low = F.lower(F.coalesce(F.col("text"), F.lit("")))
+    found = F.array_compact(F.array(*[F.when(low.rlike(p), name) for name, p in TRANSITIONS.items()]))
+    years = F.array_distinct(F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(YEAR), F.lit(0)))
+    none = F.array().cast("array<string>")
+    facts = accounts.join(kept, key, "left").select(key, F.struct(F.coalesce("kept", none).alias("entities"), years.alias("years"), found.alias("transitions")).alias("facts"))
+    pairs = near_pairs(accounts, key, column, min(levels))
+    for side in ("a", "b"):
+        pairs = pairs.join(facts.select(F.col(key).alias(side), F.col("facts").alias(f"facts_{side}")), side)
+    return pairs.where(F.col("similarity") >= required_similarity("facts_a", "facts_b", levels)).select("a", "b", "similarity")
+
+
+def complete_link_groups(edges: DataFrame, cap: int) -> DataFrame:
+    """(id, group): greedy merging along edges (a, b, similarity) from the best down, ties by ids; group: its least id.
+
+    Two groups merge only if every pair across is an edge and together they have at most cap members. Pairs of groups
+    that are each other's best merge in the same round: no other merge could have come between, as a merged group's best
+    pair is no better than its parts', so the result is that of one merge at a time. A round is a few joins and sums.
     """
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, c: a.cast("double") * c.cast("double")), F.lit(0.0), lambda s, z: s + z)
-    rows = sign_hash(vectors, column, 63).select(key, group, F.col(column).alias("v"), "h")
-    bands = F.posexplode(F.array(*[F.shiftright("h", 7 * i).bitwiseAND(127) for i in range(9)])).alias("band", "value")
-    keyed = rows.select(key, group, bands)
-    x, y = keyed.alias("x"), keyed.alias("y")
-    pairs = x.join(y, (F.col(f"x.{group}") == F.col(f"y.{group}")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col(f"x.{key}") < F.col(f"y.{key}")))
-    pairs = pairs.select(F.col(f"x.{key}").alias("a"), F.col(f"y.{key}").alias("b")).distinct()
-    joined = pairs.join(rows.select(F.col(key).alias("a"), F.col("v").alias("va")), "a").join(rows.select(F.col(key).alias("b"), F.col("v").alias("vb")), "b")
-    s = dot("va", "vb") / F.sqrt(dot("va", "va") * dot("vb", "vb"))
-    return joined.select("a", "b", s.alias("similarity")).where(F.col("similarity") >= least)
-
-
-def complete_link_groups(edges: DataFrame, least: float, cap: int) -> DataFrame:
-    """(id, group) by complete_link() within each connected component of the candidate edges."""
-    from weftline.operators.graphs import components, written
-
-    edges = written(edges)
-    named = edges.join(components(edges), edges["a"] == F.col("id")).select("component", "a", "b", "similarity")
-
-    def link(part: pd.DataFrame) -> pd.DataFrame:
-        found = complete_link(part, least, cap)
-        return pd.DataFrame({"id": list(found), "group": list(found.values())})
-
-    return named.groupBy("component").applyInPandas(link, "id long, group long")
+    from weftline.operators.graphs import written
+
+    edges = written(edges.select("a", "b", "similarity"))
+    groups = written(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("group")))
+    while True:
+        named = edges.join(groups.select(F.col("id").alias("a"), F.col("group").alias("ga")), "a").join(groups.select(F.col("id").alias("b"), F.col("group").alias("gb")), "b")
+        named = named.where("ga <> gb").select("a", "b", "similarity", F.least("ga", "gb").alias("x"), F.greatest("ga", "gb").alias("y"))
+        size = groups.groupBy("group").agg(F.count("*").alias("n"))
+        pairs = named.groupBy("x", "y").agg(F.count("*").alias("links"), F.max(F.struct("similarity", -F.col("a"), -F.col("b"))).alias("best"))
+        pairs = pairs.join(size.select(F.col("group").alias("x"), F.col("n").alias("nx")), "x").join(size.select(F.col("group").alias("y"), F.col("n").alias("ny")), "y")
+        pairs = written(pairs.where((F.col("links") == F.col("nx") * F.col("ny")) & (F.col("nx") + F.col("ny") <= cap)).select("x", "y", "best"))
+        if not pairs.limit(1).count():
+            return groups
+        top = pairs.select(F.explode(F.array("x", "y")).alias("g"), "best").groupBy("g").agg(F.max("best").alias("top"))
+        mutual = pairs.join(top.select(F.col("g").alias("x"), F.col("top").alias("tx")), "x").join(top.select(F.col("g").alias("y"), F.col("top").alias("ty")), "y")
+        merged = mutual.where("best = tx and best = ty").select(F.col("y").alias("group"), F.col("x").alias("into"))
+        groups = written(groups.join(merged, "group", "left").select("id", F.coalesce("into", "group").alias("group")))
+        # A pair of groups that may not merge now never may: its edges are needed no more.
+        edges = written(named.join(pairs.select("x", "y"), ["x", "y"], "left_semi").select("a", "b", "similarity"))

@@ -135,12 +135,34 @@ def j21(t: Tables) -> DataFrame:
     return t.orders.select(F.col("o_custkey").alias("k"), first.alias("first"), F.col("o_orderkey").alias("other")).where("other > first")
 
 
-@query("J22_shared_sets", "WITH s AS (SELECT user_id, list(DISTINCT event_type) FILTER (value > 100) AS kinds FROM events GROUP BY 1) SELECT a.user_id AS a, b.user_id AS b, CAST(len(list_intersect(a.kinds, b.kinds)) AS INT) AS shared FROM s a JOIN s b ON a.user_id < b.user_id AND a.user_id % 5 = b.user_id % 5 WHERE list_has_any(a.kinds, b.kinds)")
+@query(
+    "J22_shared_sets",
+    """WITH u AS (SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS kinds FROM events WHERE value > 100 GROUP BY 1),
+    s AS (SELECT kinds, CAST(count(*) AS BIGINT) AS users, min(user_id) AS first FROM u GROUP BY 1)
+    SELECT a.kinds AS a, b.kinds AS b, CAST(len(list_intersect(string_split(a.kinds, ','), string_split(b.kinds, ','))) AS INT) AS shared,
+           CASE WHEN a.kinds = b.kinds THEN a.users * (a.users - 1) // 2 ELSE a.users * b.users END AS pairs
+    FROM s a JOIN s b ON a.kinds <= b.kinds AND list_has_any(string_split(a.kinds, ','), string_split(b.kinds, ','))""",
+)
 def j22(t: Tables) -> DataFrame:
-    s = t.events.where("value > 100").groupBy("user_id").agg(F.collect_set("event_type").alias("kinds")).withColumn("m", F.col("user_id") % 5)
+    """Users with a kind in common: pairs of their distinct kind sets, of which there are few, and how many users' pairs each stands for.
+
+    J22_members has the users of every set. No pair of users is written out.
+    """
+    s = kind_sets(t).groupBy("kinds").agg(F.count("*").alias("users")).withColumn("kind", F.explode(F.split("kinds", ",")))
     a, b = s.alias("a"), s.alias("b")
-    j = a.join(b, (F.col("a.m") == F.col("b.m")) & (F.col("a.user_id") < F.col("b.user_id"))).where(F.arrays_overlap("a.kinds", "b.kinds"))
-    return j.select(F.col("a.user_id").alias("a"), F.col("b.user_id").alias("b"), F.size(F.array_intersect("a.kinds", "b.kinds")).alias("shared"))
+    pairs = a.join(b, (F.col("a.kind") == F.col("b.kind")) & (F.col("a.kinds") <= F.col("b.kinds")))
+    pairs = pairs.groupBy(F.col("a.kinds").alias("a"), F.col("b.kinds").alias("b"), F.col("a.users").alias("n"), F.col("b.users").alias("m")).agg(F.count("*").cast("int").alias("shared"))
+    return pairs.select("a", "b", "shared", F.when(F.col("a") == F.col("b"), F.expr("n * (n - 1) div 2")).otherwise(F.col("n") * F.col("m")).alias("pairs"))
+
+
+def kind_sets(t: Tables) -> DataFrame:
+    found = t.events.where("value > 100").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("kinds"))
+    return found.select("user_id", F.array_join("kinds", ",").alias("kinds"))
+
+
+@query("J22_members", "SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS kinds FROM events WHERE value > 100 GROUP BY 1")
+def j22_members(t: Tables) -> DataFrame:
+    return kind_sets(t)
 
 
 @query("J23_topic_mask", "SELECT o_orderkey, o_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000) AS member FROM orders WHERE o_orderstatus = 'P'")

@@ -19,9 +19,9 @@ def p2(t: Tables) -> DataFrame:
     return t.orders.where((F.col("o_orderstatus") != "F") & (F.year("o_orderdate") == 1997)).select("o_orderkey", tx.length_bucket(F.col("o_totalprice") * 30).alias("length"))
 
 
-@query("P3_summary_filter", "SELECT conv_id, turn FROM conversations WHERE role = 'user' AND contains(lower(text), 'the') AND conv_id % 2 = 0")
+@query("P3_summary_filter", "SELECT conv_id, turn FROM conversations WHERE role = 'user' AND contains(lower(text), 'the')")
 def p3(t: Tables) -> DataFrame:
-    return t.conversations.where((F.col("role") == "user") & tx.all_words_in(F.col("text"), ["the"]) & (F.col("conv_id") % 2 == 0)).select("conv_id", "turn")
+    return t.conversations.where((F.col("role") == "user") & tx.all_words_in(F.col("text"), ["the"])).select("conv_id", "turn")
 
 
 @query("P4_matched_alias", "SELECT p_partkey, alias FROM (SELECT p_partkey, [x FOR x IN [p_name, p_brand, p_type] IF contains(lower(x), 'e') AND contains(lower(x), 'o')][1] AS alias FROM part) WHERE alias IS NOT NULL")
@@ -30,11 +30,11 @@ def p4(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", found.alias("alias")).where("alias is not null")
 
 
-@query("P5_passage_finder", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_linestatus = 'O' AND l_quantity >= 40 AND -l_discount >= -0.02 AND l_partkey % 5 = 0 AND year(l_shipdate) BETWEEN 1996 AND 1999 ORDER BY l_quantity DESC, l_orderkey, l_linenumber")
+@query("P5_passage_finder", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_linestatus = 'O' AND l_quantity >= 40 AND -l_discount >= -0.02 AND year(l_shipdate) BETWEEN 1996 AND 1999 ORDER BY l_quantity DESC, l_orderkey, l_linenumber")
 def p5(t: Tables) -> DataFrame:
     """Conjunctive predicates with per-dimension thresholds: the sign says at least or at most."""
     thresholds = {"l_quantity": 40.0, "l_discount": -0.02}
-    rows = t.lineitem.where((F.col("l_linestatus") == "O") & (F.col("l_partkey") % 5 == 0) & F.year("l_shipdate").between(1996, 1999))
+    rows = t.lineitem.where((F.col("l_linestatus") == "O") & F.year("l_shipdate").between(1996, 1999))
     for name, least in thresholds.items():
         rows = rows.where(F.col(name) >= least if least >= 0 else F.col(name) <= -least)
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").orderBy(F.desc("l_quantity"), "l_orderkey", "l_linenumber")
@@ -162,9 +162,9 @@ def f1(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", tx.ascii_slug(name, 30).alias("slug"), F.concat(F.upper(F.substring("c_mktsegment", 1, 1)), F.lower(F.substring("c_mktsegment", 2, 100))).alias("label"))
 
 
-@query("F1_normal_forms", "SELECT doc_id, lower(trim(regexp_replace(substr(text, 1, 80), '[ \\n]+', ' ', 'g'))) AS key FROM documents WHERE lang = 'en'")
+@query("F1_normal_forms", "SELECT doc_id, lower(trim(regexp_replace(text, '[ \\n]+', ' ', 'g'))) AS key FROM documents WHERE lang = 'en'")
 def f1b(t: Tables) -> DataFrame:
-    return t.documents.where("lang = 'en'").select("doc_id", tx.match_key(F.substring("text", 1, 80)).alias("key"))
+    return t.documents.where("lang = 'en'").select("doc_id", tx.match_key("text").alias("key"))
 
 
 @query("F2_patterns", r"SELECT page_id, regexp_extract(url, '[?&]page=([0-9]+)', 1) AS page, regexp_matches(html, '<title>[^<]*</title>') AS titled, CAST(len(regexp_extract_all(html, '<a href=')) AS INT) AS links FROM pages")

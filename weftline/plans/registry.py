@@ -36,7 +36,7 @@ def query(name: str, sql: str | None = None) -> Callable:
 
 
 def _load() -> None:
-    from weftline.plans import aggregates, folds, graphs, joins, passages, projections, resolution, search, sinks, sources, statistics, validation  # noqa: F401
+    from weftline.plans import aggregates, folds, graphs, imports, joins, projections, resolution, search, sinks, sources, statistics, validation  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

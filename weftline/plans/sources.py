@@ -7,14 +7,13 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.graphs import written
+from weftline.operators.graphs import shared_folder
 from weftline.plans.registry import Tables, query
 from weftline.sources import readers
 
 
 def _path(t: Tables) -> str:
-    written(t.region)
-    return f"{t.spark.conf.get('spark.checkpoint.dir').rstrip('/')}/source-{uuid.uuid4().hex}"
+    return f"{shared_folder(t.spark)}/source-{uuid.uuid4().hex}"
 
 
 @query("S2_json_lines", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
@@ -24,23 +23,6 @@ def s2(t: Tables) -> DataFrame:
     return readers.json_lines(t.spark, path, "o_orderkey long, o_custkey long, o_totalprice double")
 
 
-@query("S3_combined_digest", "SELECT CAST(count(*) AS BIGINT) AS files, true AS digested FROM (SELECT DISTINCT n_regionkey FROM nation)")
-def s3(t: Tables) -> DataFrame:
-    path = _path(t)
-    t.nation.select("n_regionkey", F.col("n_name").alias("value")).repartition(1).write.partitionBy("n_regionkey").text(path)
-    found = readers.combined_digest(t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path))
-    return found.agg(F.count("*").alias("files"), F.bool_and(F.length("sha256") == 64).alias("digested"))
-
-
-@query("S4_S9_nested_import", "SELECT l_orderkey AS item, l_partkey AS name, l_quantity AS size FROM lineitem WHERE l_partkey % 3 = 0")
-def s4(t: Tables) -> DataFrame:
-    """Items with file lists as JSON, exploded and filtered."""
-    path = _path(t)
-    t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_partkey").alias("name"), F.col("l_quantity").alias("size"))).alias("files")).write.json(path)
-    items = readers.json_lines(t.spark, path, "l_orderkey long, files array<struct<name: long, size: double>>")
-    return items.select(F.col("l_orderkey").alias("item"), F.explode("files").alias("f")).where("f.name % 3 = 0").select("item", "f.name", "f.size")
-
-
 @query("S15_ocr_words", "SELECT CAST(count(*) AS BIGINT) AS words, CAST(0 AS BIGINT) AS misplaced FROM orders WHERE o_orderkey % 6 = 5")
 def s15(t: Tables) -> DataFrame:
     path = _path(t)
@@ -53,9 +35,9 @@ def s15(t: Tables) -> DataFrame:
     return words.agg(F.count("*").alias("words"), F.lit(misplaced).cast("long").alias("misplaced"))
 
 
-@query("S16_transcripts", "SELECT conv_id, CAST(turn AS BIGINT) AS segment, CAST(len(string_split(substr(text, 1, 60), ' ')) AS BIGINT) AS words FROM conversations")
+@query("S16_transcripts", "SELECT conv_id, CAST(turn AS BIGINT) AS segment, CAST(len(string_split(text, ' ')) AS BIGINT) AS words FROM conversations")
 def s16(t: Tables) -> DataFrame:
-    segment = F.struct("turn", F.transform(F.split(F.substring("text", 1, 60), " "), lambda w: F.struct(w.alias("w"))).alias("words"))
+    segment = F.struct("turn", F.transform(F.split("text", " "), lambda w: F.struct(w.alias("w"))).alias("words"))
     nested = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(segment)).alias("segments"))
     rows = readers.exploded_segments(nested, "conv_id", "segments", "words")
     return rows.groupBy("conv_id", F.col("turn").alias("segment")).agg(F.count("*").alias("words"))
@@ -93,7 +75,7 @@ def s23(t: Tables) -> DataFrame:
     return readers.or_empty(t.spark, f"{t.folder}/no_such_table.parquet", "id long").agg(F.count("*").alias("n"))
 
 
-@query("S1_S12_json_documents", "SELECT 'catalogue' AS name, CAST(count(*) AS BIGINT) AS items, CAST(sum(n_nationkey) AS BIGINT) AS total FROM nation")
+@query("S1_json_documents", "SELECT 'catalogue' AS name, CAST(count(*) AS BIGINT) AS items, CAST(sum(n_nationkey) AS BIGINT) AS total FROM nation")
 def s1(t: Tables) -> DataFrame:
     """One document that holds a list, as the snapshot importers read it."""
     path = _path(t)

@@ -97,8 +97,8 @@ def torrent_files(content: DataFrame, path: str = "path", body: str = "content")
     return content.select(F.col(path).alias("path"), F.col(body).alias("body")).mapInPandas(listed, "path string, place long, name string, length long, first long, last long")
 
 
-def combined_digest(content: DataFrame) -> DataFrame:
-    """(path, length, sha256) of whole files, digested where they are read; sorted by path they identify a set of files."""
+def file_digests(content: DataFrame) -> DataFrame:
+    """(path, length, sha256) of whole files, digested where they are read: a manifest of any number of files."""
     return content.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
