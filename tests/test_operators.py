@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.functions import text as tx
-from weftline.operators import checks, folds, fulltext, graphs, intervals, matrices, resolve, statistics, vectors
+from weftline.operators import checks, folds, fulltext, graphs, intervals, matrices, ranks, resolve, statistics, vectors
 from weftline.sources import readers, sinks
 from weftline.streaming import decision_log
 
@@ -293,10 +293,51 @@ def test_release_is_sealed(spark, tmp_path):
     path = f"file://{tmp_path}/release"
     manifest = sinks.write_release(sealed, F.concat_ws("-", "lot", F.col("shard").cast("string")), path)
     assert sorted(r.rows for r in manifest.collect()) == [2, 4, 4] and sinks.validate_release(spark, path).count() == 0
-    broken = next((tmp_path / "release/shards/name=l-1").glob("part-*.txt"))
-    broken.write_text(broken.read_text().replace('"v":8', '"v":9'))
-    (broken.parent / f".{broken.name}.crc").unlink()
-    assert [r.name for r in sinks.validate_release(spark, path).collect()] == ["l-1"]
+    kept = spark.read.parquet(f"{path}/shards").collect()
+    for other, names in (([r for r in kept if r.name != "l-1"], ["l-1"]), (kept + kept[:1], [kept[0].name]), ([r if r.name != "l-1" else (r[0], r[1], r[2].replace('"v":8', '"v":9')) for r in kept], ["l-1"])):
+        spark.createDataFrame(other, "name string, rows long, payload string").write.mode("overwrite").parquet(f"{path}/shards")
+        assert [r.name for r in sinks.validate_release(spark, path).collect()] == names
+
+
+def test_numbered_and_quantiles(spark):
+    rng = np.random.default_rng(2)
+    rows = [("a", float(x), i) for i, x in enumerate(rng.integers(0, 50, 900))] + [("b", float(x), i) for i, x in enumerate(rng.normal(size=7))] + [("c", 3.0, 0), ("d", None, 0)]
+    frame = spark.createDataFrame(rows, "lot string, v double, id long").repartition(5)
+    found = ranks.numbered(frame, "lot", ["v", "id"], "place", "total").collect()
+    for lot in "abcd":
+        own = sorted(((r.v or 0, r.id, r.place, r.total) for r in found if r.lot == lot))
+        assert [r[2] for r in own] == list(range(len(own))) and {r[3] for r in own} == {len(own)}
+    shares = {"low": 0.1, "middle": 0.5, "high": 0.975}
+    got = {r.lot: r for r in ranks.quantiles(frame, "lot", "v", shares).collect()}
+    assert set(got) == {"a", "b", "c"}
+    for lot, r in got.items():
+        values = [v for x, v, _ in rows if x == lot]
+        assert all(abs(r[k] - np.quantile(values, q)) < 1e-9 for k, q in shares.items())
+
+
+def test_tokens_without_diacritics(spark):
+    frame = spark.createDataFrame([("Crème Brûlée, Ångström ǖ",), ("e\u0301te\u0301 straße",), ("plain",), (None,)], "t string")
+    assert [r[0] for r in frame.select(tx.tokens(F.col("t"))).collect()] == [["creme", "brulee", "angstrom", "u"], ["ete", "straße"], ["plain"], None]
+
+
+def test_contained_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(30)]
+    passages = [(i, " ".join(rng.choice(words, rng.integers(3, 25)))) for i in range(20)]
+    docs = [(i, " ".join([*rng.choice(words, 20), passages[i % 20][1][: rng.integers(0, 200)], *rng.choice(words, 5)])) for i in range(40)]
+    a, b = spark.createDataFrame(passages, "item long, text string"), spark.createDataFrame(docs, "doc long, text string")
+
+    def grams(t):
+        w = t.split()
+        return {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+
+    wanted = {}
+    for i, p in passages:
+        for d, t in docs:
+            if grams(p) and len(grams(p) & grams(t)) >= 0.4 * len(grams(p)):
+                wanted[i, d] = len(grams(p) & grams(t)) / len(grams(p))
+    found = {(r["item"], r["doc"]): r.containment for r in fulltext.contained(a, "item", b, "doc", "text", 3, 0.4).collect()}
+    assert found == wanted and wanted
 
 
 def test_stream_keeps_the_latest(spark, tmp_path):

@@ -75,9 +75,25 @@ def preview(c: Column, most: int = 240) -> Column:
     return F.when(F.char_length(c) <= most, c).otherwise(F.regexp_extract(F.substring(c, 1, most + 1), r"(?s)^(.*)\s", 1))
 
 
+def _accents() -> tuple[str, str]:
+    """Latin letters that decompose into an ASCII letter and marks, lower case, and those ASCII letters."""
+    found = {}
+    for code in range(0xC0, 0x1F00):
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and parts[0].isascii() and parts[0].isalpha() and all(map(unicodedata.combining, parts[1:])):
+            found[chr(code)] = parts[0]
+    return "".join(found), "".join(found.values())
+
+
+def unaccented(c: Column) -> Column:
+    """Without the diacritics of Latin letters, composed or combining. Texts in ASCII are left as they are."""
+    bare = F.regexp_replace(F.translate(c, *_accents()), r"[\u0300-\u036f]", "")
+    return F.when(c.rlike(r"[^\x00-\x7f]"), bare).otherwise(c)
+
+
 def tokens(c: Column) -> Column:
-    """Search terms: letters and digits, lower case."""
-    return F.array_remove(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), "")
+    """Search terms: letters and digits, lower case, without diacritics."""
+    return F.array_remove(F.split(unaccented(F.lower(c)), r"[^\p{L}\p{N}]+"), "")
 
 
 def partial_date(c: Column) -> tuple[Column, Column]:

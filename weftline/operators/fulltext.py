@@ -42,6 +42,43 @@ def bm25(docs: DataFrame, key: str, text: str, query: list[str]) -> DataFrame:
     return rows.where(" or ".join(f"_tf{i} > 0" for i in range(len(query)))).select(key, score.alias("score"))
 
 
+def fan_out(docs: DataFrame, key: str, text: str, queries: list[str], limit: int, digits: int = 6) -> DataFrame:
+    """(key, score, matched): the limit best rows of each query searched for by itself, merged by row; ties by key."""
+    found = None
+    for q in queries:
+        one = bm25(docs, key, text, [q]).select(key, F.round("score", digits).alias("score"), F.lit(q).alias("query"))
+        one = one.orderBy(F.desc("score"), key).limit(limit)
+        found = one if found is None else found.unionByName(one)
+    return found.groupBy(key).agg(F.max("score").alias("score"), F.array_sort(F.collect_set("query")).alias("matched"))
+
+
+def shingles(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """(key, shingle): 64-bit hashes of the distinct word shingles of each row, whole texts."""
+    w = docs.select(key, tokens(F.col(text)).alias("_w"))
+    w = w.select(key, "_w", F.size("_w").alias("_n")).where(F.col("_n") >= words)
+    grams = F.transform(F.sequence(F.lit(1), F.col("_n") - (words - 1)), lambda i: F.xxhash64(F.array_join(F.slice("_w", i, words), " ")))
+    return w.select(key, F.explode(F.array_distinct(grams)).alias("shingle"))
+
+
+def contained(passages: DataFrame, passage_key: str, docs: DataFrame, key: str, text: str, words: int, least: float) -> DataFrame:
+    """(passage_key, key, containment) of every row of docs that has at least a share least of a passage's shingles.
+
+    Rare first: a row must share one of the passage's rarest (1 - least) n + 1 shingles, so only those, rarest among the
+    rows, propose pairs; shingles that many rows share are not enumerated but where they are all a passage has. Each
+    proposed pair is then counted exactly. Rows are cut down to the passages' shingles first.
+    """
+    asked = written(shingles(passages, passage_key, text, words))
+    held = written(shingles(docs, key, text, words).join(asked.select("shingle").distinct(), "shingle", "left_semi"))
+    size = asked.groupBy(passage_key).agg(F.count("*").alias("n"))
+    rarity = asked.join(held.groupBy("shingle").agg(F.count("*").alias("rows")), "shingle", "left")
+    # A passage's shingles, as many as one text has, are sorted in its row.
+    lists = rarity.groupBy(passage_key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("rows", F.lit(0)).alias("rows"), "shingle"))).alias("all"))
+    rare = lists.select(passage_key, F.explode(F.slice("all", F.lit(1), F.size("all") - F.ceil(F.size("all") * F.lit(least)).cast("int") + 1)).alias("x")).select(passage_key, "x.shingle")
+    pairs = rare.join(held, "shingle").select(passage_key, key).distinct()
+    common = pairs.join(asked, passage_key).join(held, [key, "shingle"]).groupBy(passage_key, key).agg(F.count("*").alias("c"))
+    return common.join(size, passage_key).where(F.col("c") >= F.col("n") * F.lit(least)).select(passage_key, key, (F.col("c") / F.col("n")).alias("containment"))
+
+
 def snippet(text: Column, word: str, around: int = 40) -> Column:
     """The first match of word with so many characters around it, the match marked; null without a match."""
     at = F.instr(F.lower(text), word.lower())

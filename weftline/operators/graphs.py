@@ -112,3 +112,8 @@ def degrees(edges: DataFrame) -> DataFrame:
     """(id, degree, links): summed weight and number of the edges at each vertex."""
     ends = edges.select(F.explode(F.array("a", "b")).alias("id"), "weight")
     return ends.groupBy("id").agg(F.sum("weight").alias("degree"), F.count("*").alias("links"))
+
+
+def mention_graph(mentions: DataFrame, entity: str, recording: str, basis: str) -> DataFrame:
+    """(entity, recording, basis): one edge for each entity and recording that meet, with the sorted set of bases."""
+    return mentions.groupBy(entity, recording).agg(F.array_sort(F.collect_set(basis)).alias(basis))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.operators import statistics as st
+from weftline.operators import ranks
 from weftline.plans.registry import Tables, query
 
 _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels", "conversations", "embeddings")
@@ -194,9 +195,10 @@ def a21(t: Tables) -> DataFrame:
 
 @query("A22_distribution", "SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n, round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS sd, " + ", ".join(f"round(quantile_cont(l_extendedprice, {q}), 4) AS {k}" for k, q in (("p10", 0.1), ("q25", 0.25), ("median", 0.5), ("q75", 0.75), ("p90", 0.9))) + " FROM lineitem GROUP BY 1")
 def a22(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_returnflag").agg(
-        F.count("*").alias("n"), F.round(F.avg("l_extendedprice"), 4).alias("mean"), F.round(F.stddev_samp("l_extendedprice"), 4).alias("sd"), *[F.round(F.percentile("l_extendedprice", F.lit(q)), 4).alias(k) for k, q in (("p10", 0.1), ("q25", 0.25), ("median", 0.5), ("q75", 0.75), ("p90", 0.9))]
-    )
+    moments = t.lineitem.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.round(F.avg("l_extendedprice"), 4).alias("mean"), F.round(F.stddev_samp("l_extendedprice"), 4).alias("sd"))
+    shares = {"p10": 0.1, "q25": 0.25, "median": 0.5, "q75": 0.75, "p90": 0.9}
+    found = ranks.quantiles(t.lineitem, "l_returnflag", "l_extendedprice", shares)
+    return moments.join(found.select("l_returnflag", *[F.round(k, 4).alias(k) for k in shares]), "l_returnflag")
 
 
 @query(
@@ -287,8 +289,10 @@ def a38(t: Tables) -> DataFrame:
 @query("A39_half_years", "SELECT CAST(year(o_orderdate) AS BIGINT) * 2 + CASE WHEN month(o_orderdate) > 6 THEN 1 ELSE 0 END AS half, CAST(count(*) AS BIGINT) AS n, round(quantile_cont(o_totalprice, 0.5), 4) AS median, round(quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25), 4) AS iqr FROM orders GROUP BY 1")
 def a39(t: Tables) -> DataFrame:
     half = F.year("o_orderdate").cast("long") * 2 + F.when(F.month("o_orderdate") > 6, 1).otherwise(0)
-    p = lambda q: F.percentile("o_totalprice", F.lit(q))
-    return t.orders.groupBy(half.alias("half")).agg(F.count("*").alias("n"), F.round(p(0.5), 4).alias("median"), F.round(p(0.75) - p(0.25), 4).alias("iqr"))
+    rows = t.orders.select(half.alias("half"), "o_totalprice")
+    found = ranks.quantiles(rows, "half", "o_totalprice", {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    counts = rows.groupBy("half").agg(F.count("*").alias("n"))
+    return counts.join(found, "half").select("half", "n", F.round("median", 4).alias("median"), F.round(F.col("q75") - F.col("q25"), 4).alias("iqr"))
 
 
 @query("W10_W11_arc", f"SELECT recording, place, part, round(v, 6) AS smooth, CAST(row_number() OVER (PARTITION BY recording ORDER BY dim0 DESC, place, part, dim1) AS BIGINT) AS rank FROM (SELECT *, CASE WHEN count(dim0) OVER w >= 3 THEN avg(dim0) OVER w END AS v FROM {P} WINDOW w AS (PARTITION BY recording ORDER BY place, part, dim0, dim1 ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))")
@@ -355,8 +359,7 @@ def w18(t: Tables) -> DataFrame:
 @query("W19_stratified_sample", "SELECT o_orderpriority, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders) WHERE i IN (SELECT unnest(range(0, 100))) AND n < 100 OR n >= 100 AND floor(ceil(i * 100 / n) * n / 100) = i AND ceil(i * 100 / n) < 100")
 def w19(t: Tables) -> DataFrame:
     """A hundred rows a stratum at places floor(i * n / 100)."""
-    w = Window.partitionBy("o_orderpriority")
-    r = t.orders.withColumn("i", F.row_number().over(w.orderBy("o_orderdate", "o_orderkey")) - 1).withColumn("n", F.count("*").over(w))
+    r = ranks.numbered(t.orders.select("o_orderpriority", "o_orderdate", "o_orderkey"), "o_orderpriority", ["o_orderdate", "o_orderkey"], "i", "n")
     step = F.ceil(F.col("i") * 100 / F.col("n"))
     taken = (F.floor(step * F.col("n") / 100) == F.col("i")) & (step < 100)
     return r.where((F.col("n") < 100) | taken).select("o_orderpriority", "o_orderkey")

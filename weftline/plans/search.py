@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import tokens
-from weftline.operators import folds, fulltext
+from weftline.operators import folds, fulltext, graphs
 from weftline.plans.registry import Tables, query
 
-_TOKENS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+TOKENS = r"list_filter(regexp_split_to_array(strip_accents(lower(text)), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 _BM25 = """WITH d AS (SELECT {key} AS id, {tokens} AS t FROM {table} WHERE {where}), s AS (SELECT id, len(t) AS n, {tfs} FROM d), g AS (SELECT count(*) AS n, avg(n) AS mean, {dfs} FROM s)
 SELECT s.id AS {alias}, round({score}, 6) AS score FROM s, g WHERE {any} ORDER BY score DESC, 1 LIMIT {limit}"""
 
 
 def _bm25_sql(table: str, key: str, alias: str, words: list[str], limit: int, where: str = "true") -> str:
     return _BM25.format(
-        table=table, key=key, alias=alias, limit=limit, where=where, tokens=_TOKENS,
+        table=table, key=key, alias=alias, limit=limit, where=where, tokens=TOKENS,
         tfs=", ".join(f"len(list_filter(t, lambda x: x = '{w}')) AS tf{i}" for i, w in enumerate(words)),
         dfs=", ".join(f"count(*) FILTER (tf{i} > 0) AS df{i}" for i in range(len(words))),
         score=" + ".join(f"ln(1.0 + (g.n - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} * 2.2 / (tf{i} + 1.2 * (0.25 + 0.75 * s.n / mean))" for i in range(len(words))),
@@ -42,14 +42,14 @@ def t3(t: Tables) -> DataFrame:
     return fulltext.bm25(rows, "doc_id", "text", ["license", "mit"]).select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(200)
 
 
-@query("T4_tokeniser", f"SELECT doc_id, CAST(len({_TOKENS}) AS INT) AS n, CAST(len(list_distinct({_TOKENS})) AS INT) AS kinds FROM documents")
+@query("T4_tokeniser", f"SELECT doc_id, CAST(len({TOKENS}) AS INT) AS n, CAST(len(list_distinct({TOKENS})) AS INT) AS kinds FROM documents")
 def t4(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", tokens(F.col("text")).alias("t")).select("doc_id", F.size("t").alias("n"), F.size(F.array_distinct("t")).alias("kinds"))
 
 
-@query("T4_postings", f"SELECT term, CAST(count(*) AS BIGINT) AS tf, CAST(count(DISTINCT id) AS BIGINT) AS df FROM (SELECT item_id AS id, unnest({_TOKENS}) AS term FROM benchmark) GROUP BY 1")
+@query("T4_postings", f"SELECT term, CAST(count(*) AS BIGINT) AS tf, CAST(count(DISTINCT id) AS BIGINT) AS df FROM (SELECT doc_id AS id, unnest({TOKENS}) AS term FROM documents) GROUP BY 1")
 def t4b(t: Tables) -> DataFrame:
-    return fulltext.postings(t.benchmark, "item_id", "text").groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+    return fulltext.postings(t.documents, "doc_id", "text").groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
 
 
 @query("T5_search_records", "SELECT conv_id, turn, 'conv-' || CAST(conv_id AS VARCHAR) || '#turn-' || CAST(turn AS VARCHAR) AS url, role, CAST(length(text) AS INT) AS size FROM conversations WHERE trim(text) <> ''")
@@ -58,16 +58,28 @@ def t5(t: Tables) -> DataFrame:
     return t.conversations.where(F.trim("text") != "").select("conv_id", "turn", url.alias("url"), "role", F.char_length("text").alias("size"))
 
 
+#: A query and its aliases, each searched for by itself.
+_ALIASES = ("license", "licence", "licensed", "rights")
+
+
 @query(
     "T6_faceted_search",
-    "SELECT source, lang, CAST(count(*) AS BIGINT) AS n FROM documents WHERE contains(lower(text), 'license') OR contains(lower(text), 'licensed') OR contains(lower(text), 'rights') GROUP BY 1, 2",
-)
+    "WITH " + ", ".join(f"q{i} AS (" + _bm25_sql("documents", "doc_id", "doc_id", [q], 200, "lang IN ('en', 'de')") + ")" for i, q in enumerate(_ALIASES))
+    + " SELECT doc_id, max(score) AS score, string_agg(q, ',' ORDER BY q) AS matched FROM (" + " UNION ALL ".join(f"SELECT doc_id, score, '{q}' AS q FROM q{i}" for i, q in enumerate(_ALIASES)) + ") GROUP BY 1",
+)
 def t6(t: Tables) -> DataFrame:
-    """Alias-expanded queries over one scan, merged by document, with facet counts."""
-    low = F.lower("text")
-    hit = F.lit(False)
-    for q in ("license", "licensed", "rights"):
-        hit = hit | (F.instr(low, q) > 0)
+    """The 200 best of each alias among two languages, merged by document: its best score and the aliases it matched."""
+    found = fulltext.fan_out(t.documents.where("lang in ('en', 'de')"), "doc_id", "text", list(_ALIASES), 200, digits=6)
+    return found.select("doc_id", "score", F.array_join("matched", ",").alias("matched"))
+
+
+@query(
+    "T6_facets",
+    f"SELECT source, lang, CAST(count(*) AS BIGINT) AS n FROM (SELECT source, lang, {TOKENS} AS t FROM documents) WHERE list_has_any(t, {list(_ALIASES)}) GROUP BY 1, 2",
+)
+def t6_facets(t: Tables) -> DataFrame:
+    """How many of the documents that match any alias each facet has."""
+    hit = F.arrays_overlap(tokens(F.col("text")), F.array(*[F.lit(q) for q in _ALIASES]))
     return t.documents.where(hit).groupBy("source", "lang").agg(F.count("*").alias("n"))
 
 
@@ -87,11 +99,29 @@ def t8(t: Tables) -> DataFrame:
     return found.groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs")).where("docs >= 2")
 
 
-@query("T10_mention_graph", "SELECT id, CAST(count(*) AS BIGINT) AS n, string_agg(DISTINCT role, ',' ORDER BY role) AS basis FROM (SELECT substr(sha256(lower(trim(substr(text, 1, 20))) || '|' || role), 1, 16) AS id, role FROM conversations) GROUP BY 1")
+_TITLE = _MENTION.replace("text", "split_part(text, chr(10), 1)")
+
+
+@query(
+    "T10_mention_graph",
+    f"""WITH m AS (SELECT unnest({_TITLE}) AS entity, doc_id, 'title' AS basis FROM documents UNION ALL SELECT unnest({_MENTION}), doc_id, 'text' FROM documents
+    UNION ALL SELECT source, doc_id, 'speaker' FROM documents WHERE source IS NOT NULL)
+    SELECT entity, doc_id, string_agg(DISTINCT basis, ',' ORDER BY basis) AS basis FROM m GROUP BY 1, 2""",
+)
 def t10(t: Tables) -> DataFrame:
-    key = F.sha2(F.concat_ws("|", F.lower(F.trim(F.substring("text", 1, 20))), "role").cast("binary"), 256)
-    g = t.conversations.select(F.substring(key, 1, 16).alias("id"), "role").groupBy("id").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("role")).alias("b"))
-    return g.select("id", "n", F.array_join("b", ",").alias("basis"))
+    """Entities and recordings with the bases they meet on: named in the first line, named in the text, or speaking."""
+    d = t.documents.select("doc_id", "source", "text", F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"))
+    speakers = d.where("source is not null").select(F.col("source").alias("entity"), "doc_id", F.lit("speaker").alias("basis"))
+    named = [d.select(F.explode(fulltext.mentions(F.col(c), _NAMES)).alias("entity"), "doc_id", F.lit(c).alias("basis")) for c in ("title", "text")]
+    found = graphs.mention_graph(speakers.union(named[0]).union(named[1]), "entity", "doc_id", "basis")
+    return found.select("entity", "doc_id", F.array_join("basis", ",").alias("basis"))
+
+
+@query("T10_events", "SELECT substr(sha256(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) || '|' || role), 1, 16) AS id, CAST(count(*) AS BIGINT) AS n FROM conversations GROUP BY 1")
+def t10_events(t: Tables) -> DataFrame:
+    """Accounts of one event: the same text but for case and white space, of one classification."""
+    key = F.sha2(F.concat_ws("|", F.lower(F.trim(F.regexp_replace("text", r"\s+", " "))), "role").cast("binary"), 256)
+    return t.conversations.groupBy(F.substring(key, 1, 16).alias("id")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -141,16 +171,12 @@ def k10(t: Tables) -> DataFrame:
 
 @query(
     "T13_containment",
-    r"""WITH w AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark), s AS (SELECT DISTINCT item_id, unnest([array_to_string(w[i : i + 1], ' ') FOR i IN range(1, len(w))]) AS g FROM w), n AS (SELECT item_id, count(*) AS n FROM s GROUP BY 1)
-    SELECT a.item_id AS a, b.item_id AS b, round(count(*) / least(any_value(x.n), any_value(y.n)), 6) AS containment FROM s a JOIN s b ON a.g = b.g AND a.item_id < b.item_id JOIN n x ON x.item_id = a.item_id JOIN n y ON y.item_id = b.item_id GROUP BY 1, 2""",
+    f"""WITH b AS (SELECT item_id, {TOKENS} AS w FROM benchmark), d AS (SELECT doc_id, {TOKENS} AS w FROM documents),
+    s AS (SELECT DISTINCT item_id, unnest([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS g FROM b),
+    n AS (SELECT item_id, count(*) AS n FROM s GROUP BY 1),
+    p AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS g FROM d)
+    SELECT item_id, doc_id, round(count(*) / any_value(n), 6) AS containment FROM s JOIN p USING (g) JOIN n USING (item_id) GROUP BY 1, 2 HAVING count(*) >= 0.5 * any_value(n)""",
 )
 def t13(t: Tables) -> DataFrame:
-    """Pairs of passages that share two-word shingles, with the share of the smaller one's."""
-    w = t.benchmark.select("item_id", tokens(F.col("text")).alias("w"), F.size(tokens(F.col("text"))).alias("k"))
-    grams = F.transform(F.sequence(F.lit(1), F.col("k") - 1), lambda i: F.array_join(F.slice("w", i, 2), " "))
-    s = w.where("k >= 2").select("item_id", F.explode(F.array_distinct(grams)).alias("g"))
-    n = s.groupBy("item_id").agg(F.count("*").alias("n"))
-    a, b = s.alias("a"), s.alias("b")
-    shared = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.item_id") < F.col("b.item_id"))).groupBy(F.col("a.item_id").alias("a"), F.col("b.item_id").alias("b")).agg(F.count("*").alias("c"))
-    j = shared.join(n.select(F.col("item_id").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("item_id").alias("b"), F.col("n").alias("nb")), "b")
-    return j.select("a", "b", F.round(F.col("c") / F.least("na", "nb"), 6).alias("containment"))
+    """Documents that contain half or more of a benchmark passage's five-word shingles."""
+    return fulltext.contained(t.benchmark, "item_id", t.documents, "doc_id", "text", words=5, least=0.5).withColumn("containment", F.round("containment", 6))

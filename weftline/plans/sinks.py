@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators import fulltext
-from weftline.operators.graphs import written
+from weftline.operators.graphs import shared_folder
 from weftline.plans.registry import Tables, query
+from weftline.plans.search import TOKENS
 from weftline.sources import sinks
 
 
@@ -41,8 +42,7 @@ def k2c(t: Tables) -> DataFrame:
     """A release written to the shared folder, read again and verified."""
     shards = sinks.numbered_shards(t.orders, ["o_orderkey"], 250, "o_orderstatus")
     sealed = sinks.sealed(shards, ["o_orderstatus", "shard"], ["o_orderkey"], ["o_orderkey", "o_custkey"])
-    written(t.region)  # makes the shared folder known where the session has none
-    path = f"{t.spark.conf.get('spark.checkpoint.dir').rstrip('/')}/release-{uuid.uuid4().hex}"
+    path = f"{shared_folder(t.spark)}/release-{uuid.uuid4().hex}"
     manifest = sinks.write_release(sealed, F.concat_ws("-", "o_orderstatus", F.col("shard").cast("string")), path)
     broken = sinks.validate_release(t.spark, path).count()
     return manifest.agg(F.count("*").alias("shards"), F.lit(broken).cast("long").alias("broken"))
@@ -53,15 +53,22 @@ def k3(t: Tables) -> DataFrame:
     return t.nation.groupBy(F.col("n_regionkey").alias("r")).agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("names"), F.count("*").alias("n"))
 
 
-@query("K6_score_shards", "SELECT lpad(CAST(n // 100 AS VARCHAR), 4, '0') || '-' || substr(sha256(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)), 1, 16) AS id, CAST(count(*) AS BIGINT) AS rows FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders WHERE o_orderstatus = 'P') GROUP BY n // 100")
+@query("K6_score_shards", "SELECT lpad(CAST(n // 100 AS VARCHAR), 4, '0') || '-' || substr(sha256(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)), 1, 16) AS id, CAST(count(*) AS BIGINT) AS rows FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY n // 100")
 def k6(t: Tables) -> DataFrame:
-    rows = sinks.numbered_shards(t.orders.where("o_orderstatus = 'P'"), ["o_orderkey"], 100, "o_orderstatus")
+    rows = sinks.numbered_shards(t.orders.select("o_orderkey", F.lit("all").alias("lot")), ["o_orderkey"], 100, "lot")
     g = rows.groupBy("shard").agg(F.count("*").alias("rows"), F.array_sort(F.collect_list("o_orderkey")).alias("ids"))
     digest = F.sha2(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").cast("binary"), 256)
     return g.select(F.concat(F.lpad(F.col("shard").cast("string"), 4, "0"), F.lit("-"), F.substring(digest, 1, 16)).alias("id"), "rows")
 
 
-@query("K8_postings_index", r"SELECT substr(term, 1, 1) AS bucket, CAST(count(*) AS BIGINT) AS postings, CAST(sum(tf) AS BIGINT) AS hits FROM (SELECT id, term, count(*) AS tf FROM (SELECT item_id AS id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS term FROM benchmark) GROUP BY 1, 2) GROUP BY 1")
+@query(
+    "K8_postings_index",
+    f"""WITH d AS (SELECT 'd' || doc_id AS id, text FROM documents UNION ALL SELECT 'c' || conv_id || '.' || turn, text FROM conversations)
+    SELECT substr(term, 1, 1) AS bucket, CAST(count(*) AS BIGINT) AS postings, CAST(sum(tf) AS BIGINT) AS hits
+    FROM (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({TOKENS}) AS term FROM d) GROUP BY 1, 2) GROUP BY 1""",
+)
 def k8(t: Tables) -> DataFrame:
-    p = fulltext.postings(t.benchmark, "item_id", "text")
-    return p.groupBy(F.substring("term", 1, 1).alias("bucket")).agg(F.count("*").alias("postings"), F.sum("tf").alias("hits"))
+    """Postings of all documents and turns, by the term's first letter."""
+    rows = t.documents.select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
+    rows = rows.union(t.conversations.select(F.concat(F.lit("c"), "conv_id", F.lit("."), "turn"), "text"))
+    return fulltext.postings(rows, "id", "text").groupBy(F.substring("term", 1, 1).alias("bucket")).agg(F.count("*").alias("postings"), F.sum("tf").alias("hits"))
