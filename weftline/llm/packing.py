@@ -26,7 +26,7 @@ from weftline.llm.common import small_batches
 REST_SHARE = 4
 #: Windows that the rests of one group fill.
 GROUP_WINDOWS = 48
-MEMO_CHUNKS = 700_000
+MEMO_CHUNKS = 300_000
 #: A space that begins a word of the byte-level pattern: cutting there never divides one of its matches.
 CUT = re.compile(r" (?=\S)")
 SPECIAL = "<|endoftext|>"
