@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import text as tx
 from weftline.operators import checks, folds, fulltext, graphs, intervals, matrices, ranks, resolve, statistics, vectors
-from weftline.sources import readers, sinks
+from weftline.sources import codec, importers, readers, sinks
 from weftline.streaming import decision_log
 
 
@@ -230,11 +230,20 @@ def test_packing_in_order(spark):
 
 
 def test_spans_cover(spark):
-    marks = spark.createDataFrame([(1, 1000, 95, 0.2), (1, 1000, 105, 0.9), (1, 1000, 300, 0.5)], "key long, total long, at long, confidence double")
-    spans = folds.plan_spans(marks, 100, 20, 5).orderBy("n").collect()
-    assert (spans[0].start, spans[0].end) == (0, 105) and spans[-1].end == 1000
+    rows = [(1, 1000, 95, 0.2, "x"), (1, 1000, 105, 0.9, "x"), (1, 1000, 300, 0.5, "y"), (1, 1000, 300, 0.5, "b"), (2, 90, None, None, None), (3, 5000, None, None, None)]
+    marks = spark.createDataFrame(rows, "key long, total long, at long, confidence double, kind string")
+    policy = folds.SpanPolicy(direct=100, least=50, target=100, most=150, reach=20, padding=5, most_spans=10)
+    found = folds.plan_spans(marks, policy)
+    spans = found.where("key = 1").orderBy("n").collect()
+    assert (spans[0].start, spans[0].end, spans[0].reason) == (0, 105, "candidate_x") and spans[-1].end == 1000
+    assert [s.reason for s in spans if s.end == 300] == ["candidate_b"] and spans[1].reason == "fixed_target"
     assert all(a.end == b.start for a, b in zip(spans, spans[1:], strict=False))
+    assert all(50 <= s.end - s.start <= 150 for s in spans)
     assert spans[0].padded_start == 0 and spans[1].padded_start == spans[1].start - 5
+    assert [(r.start, r.end, r.padded_end) for r in found.where("key = 2").collect()] == [(0, 90, 90)]
+    assert [(r.n, r.reason) for r in found.where("key = 3").collect()] == [(None, "more spans than the policy allows")]
+    proof = {r.key: r for r in folds.span_coverage(found).collect()}
+    assert set(proof) == {1, 2} and (proof[1].first, proof[1].last, proof[1].core, proof[1].gap, proof[1].overlap) == (0, 1000, 1000, 0, 0)
 
 
 def test_checks(spark):
@@ -287,6 +296,51 @@ def test_front_matter_and_columns(spark):
     assert spark.range(1).select(readers.typed_column(F.lit(code), "i1", -128)).first()[0] == [20.0, None, -20.0]
 
 
+def test_importers_reject(spark):
+    def frame(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    video = lambda i: (i, None, "T", None, "1.5", "public", None, None)
+    channel = frame([((None, "UC1", "Name"), [video("abcdefghijk"), video("short"), video(None), video("abcdefghijk")])], importers.CHANNEL)
+    found = importers.channel_inventory(channel)
+    assert found["videos"].count() == 1 and found["rejects"].count() == 2 and found["videos"].first().duration_ms == 1500
+    info = frame([("abcdefghijk", None, None, None, None, None, "20200230", "public", "x", None, None, "/a"), ("bad", *[None] * 10, "/b")], importers.INFO + ", path string")
+    found = importers.extractor_info(info)
+    assert found["rejects"].first().reason == "no video id" and found["videos"].first().title == "abcdefghijk" and found["videos"].first().duration_ms is None
+    lines = frame([("https://archive.org/download/it%20em/a/b+c.mp4",), (" ",), ("http://archive.org/download/x/y.mp4",), ("https://archive.org/details/x/y",), (None,)], "value string")
+    found = importers.url_hints(lines, frame([], "source_id string"), "p")
+    assert found["hints"].first().native_id == "it em/a/b+c.mp4" and found["rejects"].count() == 2
+    items = frame([((None, None), None, "/in/ia-77.json"), ((None, None), [], "/in/none.json"), (("x", "t"), [("20200102-A b-abcdefghijk.ia.mp4", *[None] * 8)], "/in/z.json")], importers.ARCHIVE + ", path string")
+    found = importers.archive_metadata(items)
+    assert {r.native_id for r in found["sources"].collect()} == {"77", "x"} and found["rejects"].count() == 1
+    f = found["files"].first()
+    assert (f.title, f.date_label, f.video_id, f.url) == ("A b", "2020-01-02", "abcdefghijk", "https://archive.org/download/x/20200102-A%20b-abcdefghijk.ia.mp4")
+    import uuid
+
+    key = importers.SEPARATOR.join(["internet_archive", "archive_item", "x"])
+    assert found["sources"].where("native_id = 'x'").first().source_id == "src_" + uuid.uuid5(uuid.UUID(importers.NAMESPACE), key).hex
+
+
+def test_compact_shards_are_lossless(spark):
+    rng = np.random.default_rng(6)
+
+    def value(depth):
+        kind = rng.integers(0, 8 if depth else 6)
+        if kind < 6:
+            return [None, True, 1, 1.5, "a", "b"][kind]
+        return {k: value(depth - 1) for k in "xyz"[: rng.integers(0, 4)]} if kind == 6 else [value(depth - 1) for _ in range(rng.integers(0, 4))]
+
+    for _ in range(200):
+        rows = [value(2) for _ in range(rng.integers(0, 12))]
+        assert json.dumps(codec.unpack(json.loads(json.dumps(codec.pack(rows))))) == json.dumps(rows)
+    assert codec.pack([{"a": 1, "b": "x"}] * 3) == ["o", ["a", "b"], [["c", 1, 3], ["c", "x", 3]], 3]
+    assert codec.pack(["x", "y", "x", "y"]) == ["d", ["x", "y"], [0, 1, 0, 1]] and codec.pack([1, True]) == ["p", [1, True]]
+    assert codec.pack([1, {"a": 2}]) == ["g", [0, 1], [["p", [1]], ["o", ["a"], [["p", [2]]], 1]]]
+    for bad in (["c", 1, 1], ["d", ["x"], [1]], ["o", ["a"], [["p", [1, 2]]], 1], ["g", [0, 0], [["p", [1]], ["p", [1]]]], ["q", []], 7):
+        with pytest.raises(ValueError):
+            codec.unpack(bad)
+
+
 def test_release_is_sealed(spark, tmp_path):
     rows = spark.range(10).select(F.lit("l").alias("lot"), "id", (F.col("id") * 2).alias("v"))
     sealed = sinks.sealed(sinks.numbered_shards(rows, ["id"], 4, "lot"), ["lot", "shard"], ["id"], ["id", "v"])

@@ -192,10 +192,43 @@ def g27(t: Tables) -> DataFrame:
     return e.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query("G21_span_planner")
+_POLICY = folds.SpanPolicy(direct=200_000, least=120_000, target=300_000, most=420_000, reach=40_000, padding=5_000, most_spans=16)
+_TOTAL_S = "CASE WHEN user_id % 10 = 0 THEN 150000 ELSE 2592000 END"
+_SPANS = f"""
+    WITH RECURSIVE m AS (SELECT user_id AS key, CAST({_TOTAL_S} AS BIGINT) AS total, epoch_us(ts) // 1000000 - 1704067200 AS at, value AS confidence, event_type AS kind FROM events),
+    k AS (SELECT DISTINCT key, total FROM m),
+    r AS (SELECT key, total, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS start, CAST('' AS VARCHAR) AS reason FROM k
+    UNION ALL SELECT w.key, w.total, w.n + 1, coalesce(arg_min(m.at, (abs(m.at - wanted), -confidence, m.at, kind)), any_value(greatest(w.least, wanted))),
+              coalesce('candidate_' || arg_min(kind, (abs(m.at - wanted), -confidence, m.at, kind)), 'fixed_target')
+              FROM (SELECT *, start + {_POLICY.least} AS least, least(start + {_POLICY.most}, total - {_POLICY.least}) AS latest, least(start + {_POLICY.target}, start + {_POLICY.most}, total - {_POLICY.least}) AS wanted
+                    FROM r WHERE total > {_POLICY.direct} AND total - start > {_POLICY.most}) w
+              LEFT JOIN m ON m.key = w.key AND m.at BETWEEN w.least AND w.latest AND abs(m.at - wanted) <= {_POLICY.reach} GROUP BY w.key, w.total, w.n)
+    """
+_SPAN_ROWS = f"""{_SPANS}, p AS (SELECT key, n, start, coalesce(lead(start) OVER w, total) AS stop, coalesce(lead(reason) OVER w, 'recording_end') AS reason, total, CASE WHEN total > {_POLICY.direct} THEN {_POLICY.padding} ELSE 0 END AS padding
+    FROM r WINDOW w AS (PARTITION BY key ORDER BY n))"""
+
+
+def _spans(t: Tables) -> DataFrame:
+    """Events as boundary candidates of their user's recording; every tenth recording is short enough for one span."""
+    total = F.when(F.col("user_id") % 10 == 0, 150_000).otherwise(2_592_000).cast("long")
+    at = F.expr("unix_seconds(cast(ts as timestamp)) - 1704067200")
+    marks = t.events.select(F.col("user_id").alias("key"), total.alias("total"), at.alias("at"), F.col("value").alias("confidence"), F.col("event_type").alias("kind"))
+    return folds.plan_spans(marks, _POLICY)
+
+
+@query("G21_span_planner", f'{_SPAN_ROWS} SELECT key, n, start, stop AS "end", greatest(0, start - padding) AS padded_start, least(total, stop + padding) AS padded_end, reason FROM p')
 def g21(t: Tables) -> DataFrame:
-    marks = t.events.select(F.col("user_id").alias("key"), F.lit(2_592_000).cast("long").alias("total"), F.expr("unix_seconds(cast(ts as timestamp)) - 1704067200").alias("at"), F.col("value").alias("confidence"))
-    return folds.plan_spans(marks, target=300_000, reach=40_000, padding=5_000)
+    return _spans(t).drop("confidence")
+
+
+@query(
+    "G21_coverage",
+    f"""{_SPAN_ROWS} SELECT key, CAST(count(*) AS BIGINT) AS spans, CAST(0 AS BIGINT) AS first, any_value(total) AS last, any_value(total) AS core, CAST(0 AS BIGINT) AS gap, CAST(0 AS BIGINT) AS overlap,
+    CAST(sum(least(total, stop + padding) - greatest(0, start - padding)) AS BIGINT) AS analysed FROM p GROUP BY 1""",
+)
+def g21_coverage(t: Tables) -> DataFrame:
+    """The proof of coverage: every recording's cores begin at 0, end at its end and leave neither gap nor overlap."""
+    return folds.span_coverage(_spans(t))
 
 
 @query("G25_payload_audit", "SELECT o_orderstatus, CAST(sum(greatest(0, least(b, 400) - greatest(a, 100))) AS BIGINT) AS bytes FROM (SELECT o_orderstatus, CAST(floor(o_totalprice) AS BIGINT) // 1000 AS a, CAST(floor(o_totalprice) AS BIGINT) // 1000 + 20 AS b FROM orders) GROUP BY 1")

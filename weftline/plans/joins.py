@@ -82,7 +82,13 @@ def j13(t: Tables) -> DataFrame:
     return intervals.contained(spans(t), inner, "k", ("a", "b"), ("pa", "pb"), width=120).select("k", "span", "inside", ((F.col("pa") - F.col("a")) * 2).alias("scaled"))
 
 
-@query("J14_proximity_merge")
+@query(
+    "J14_proximity_merge",
+    """WITH RECURSIVE s AS (SELECT user_id AS key, epoch_us(ts) // 1000 AS "at", row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id) AS i FROM events),
+    r AS (SELECT key, "at", i, "at" AS first FROM s WHERE i = 1
+    UNION ALL SELECT s.key, s."at", s.i, CASE WHEN s."at" - r.first < 7200000 THEN r.first ELSE s."at" END FROM r JOIN s ON s.key = r.key AND s.i = r.i + 1)
+    SELECT key, first, CAST(count(*) AS BIGINT) AS n, max("at") AS last FROM r GROUP BY 1, 2""",
+)
 def j14(t: Tables) -> DataFrame:
     """Points of each user in time order; one within two hours of the last accepted point merges into it."""
     e = t.events.select("user_id", F.expr("unix_millis(cast(ts as timestamp))").alias("at"), "event_id")

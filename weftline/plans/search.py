@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.text import tokens
 from weftline.operators import folds, fulltext, graphs
+from weftline.plans.folds import pack_sql
 from weftline.plans.registry import Tables, query
 
 TOKENS = r"list_filter(regexp_split_to_array(strip_accents(lower(text)), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
@@ -162,10 +163,10 @@ def t16(t: Tables) -> DataFrame:
     return rows.groupBy("source").agg(F.round(10000.0 * F.sum("hits") / F.sum("words"), 6).alias("rate"))
 
 
-@query("K10_W20_document_export")
+@query("K10_W20_document_export", pack_sql("SELECT conv_id AS key, CAST(turn AS BIGINT) AS place, CAST(length(text) + 1 AS BIGINT) AS size FROM conversations", "key", 12_000, 10**9))
 def k10(t: Tables) -> DataFrame:
     """Turns of a conversation packed in order into documents of at most 12,000 characters; longer turns stand alone."""
-    rows = t.conversations.select(F.col("conv_id").alias("key"), F.col("turn").alias("place"), (F.char_length("text") + 1).cast("long").alias("size"))
+    rows = t.conversations.select(F.col("conv_id").alias("key"), F.col("turn").cast("long").alias("place"), (F.char_length("text") + 1).cast("long").alias("size"))
     return folds.pack_in_order(rows, most_size=12_000, most_rows=10**9, by_key=True)
 
 

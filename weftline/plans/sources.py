@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators.graphs import shared_folder
 from weftline.plans.registry import Tables, query
-from weftline.sources import readers
+from weftline.sources import codec, readers
 
 
 def _path(t: Tables) -> str:
@@ -102,10 +102,22 @@ def s13(t: Tables) -> DataFrame:
     return t.events.select("event_id", problem.alias("problem")).where("problem is not null")
 
 
-@query("S21_compact_shards", "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey < 100")
+def _shards(t: Tables) -> DataFrame:
+    """All customers as JSON rows, a hundred keys a shard."""
+    row = F.struct("c_custkey", "c_mktsegment", "c_nationkey", F.lit("customer").alias("kind"))
+    return t.customer.groupBy(F.expr("c_custkey div 100").alias("shard")).agg(F.to_json(F.array_sort(F.collect_list(row))).alias("rows"))
+
+
+@query("S21_compact_shards", "SELECT c_custkey // 100 AS shard, c_custkey, c_mktsegment, CAST(c_nationkey AS BIGINT) AS c_nationkey, 'customer' AS kind FROM customer")
 def s21(t: Tables) -> DataFrame:
-    """Dictionary-coded columns of a shard, decoded by position."""
-    rows = t.customer.where("c_custkey < 100").orderBy("c_custkey").select("c_custkey", "c_mktsegment")
-    shard = rows.agg(F.array_sort(F.collect_set("c_mktsegment")).alias("words"), F.array_sort(F.collect_list(F.struct("c_custkey", "c_mktsegment"))).alias("r"))
-    shard = shard.select("words", F.transform("r", lambda x: x["c_custkey"]).alias("keys"), F.transform("r", lambda x: F.array_position(F.col("words"), x["c_mktsegment"]) - 1).alias("codes"))
-    return shard.select("words", F.explode(F.arrays_zip("keys", "codes")).alias("z")).select(F.col("z.keys").alias("c_custkey"), F.get("words", F.col("z.codes").cast("int")).alias("c_mktsegment"))
+    """Compact shards decoded to their rows."""
+    read = _shards(t).select("shard", codec.decoded(codec.encoded(F.col("rows"))).alias("rows"))
+    return read.select("shard", F.inline(F.from_json("rows", "array<struct<c_custkey: bigint, c_mktsegment: string, c_nationkey: bigint, kind: string>>", {"mode": "FAILFAST"})))
+
+
+@query("K7_compact_shards", "SELECT c_custkey // 100 AS shard, CAST(count(*) AS BIGINT) AS n, true AS same, true AS smaller FROM customer GROUP BY 1 HAVING count(*) > 20")
+def k7(t: Tables) -> DataFrame:
+    """Shards of more than twenty rows: encoded, the same when read back, and smaller."""
+    s = _shards(t).withColumn("node", codec.encoded(F.col("rows")))
+    s = s.select("shard", F.json_array_length("rows").cast("long").alias("n"), (codec.decoded(F.col("node")) == F.col("rows")).alias("same"), (F.char_length("node") < F.char_length("rows")).alias("smaller"))
+    return s.where("n > 20")
