@@ -173,7 +173,7 @@ def g22(t: Tables) -> DataFrame:
     return d.where("d > 0").select("o_orderkey", "d", F.explode(F.sequence(F.lit(0).cast("long"), F.col("d") - 1, F.lit(25).cast("long"))).alias("start")).where("d - start >= 10 or start = 0").select("o_orderkey", "start", F.least(F.col("start") + 30, "d").alias("stop"))
 
 
-@query("G23_G24_selection_planner", "SELECT l_partkey, arg_min(l_orderkey, (l_quantity, l_orderkey)) AS chosen, min(l_quantity) AS size FROM lineitem WHERE l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45) GROUP BY 1")
+@query("G23_selection_planner", "SELECT l_partkey, arg_min(l_orderkey, (l_quantity, l_orderkey)) AS chosen, min(l_quantity) AS size FROM lineitem WHERE l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45) GROUP BY 1")
 def g23(t: Tables) -> DataFrame:
     """The smallest rendition of every part that no other source covers."""
     covered = t.lineitem.where("l_quantity > 45").select("l_partkey").distinct()

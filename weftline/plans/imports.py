@@ -1,4 +1,4 @@
-"""Importers. Captured documents are made of the driver tables, written as JSON or text and read back."""
+"""Importers and reconciliation. Captured documents are made of the driver tables, written as JSON or text and read back."""
 
 from __future__ import annotations
 
@@ -232,3 +232,109 @@ def s9(t: Tables) -> DataFrame:
 )
 def s12(t: Tables) -> DataFrame:
     return importers.snapshot_bundle(_archive(t), _legacy(t), _channels(t))["statistics"]
+
+
+def _discovery(t: Tables) -> DataFrame:
+    """Nations as feeds, customers as their posts, listed twice where the number is even; every ninth has no valid id."""
+    key = F.col("c_custkey")
+    locator = F.struct(F.when(key % 4 == 0, "elsewhere").otherwise("youtube_video").alias("locator_kind"), F.lit("https://example.org").alias("canonical_url"), F.lpad((key % 50).cast("string"), 11, "y").alias("native_id"))
+    post = F.struct(F.when(key % 9 == 0, "NO").otherwise(F.lpad(key.cast("string"), 7, "p")).alias("post_id"), F.col("c_name").alias("title"), F.concat(F.lit("https://www.reddit.com/comments/"), key.cast("string")).alias("permalink"), F.array(locator).alias("media_locators"))
+    rows = t.customer.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(key % 2 == 0, 2).otherwise(1))))
+    rows = rows.groupBy("c_nationkey", "copy").agg(F.collect_list(post).alias("posts"))
+    snapshot = F.struct(F.concat_ws("-", "c_nationkey", "copy").alias("snapshot_id"), F.concat(F.lit("2024-01-0"), F.col("copy").cast("string"), F.lit("T00:00:00Z")).alias("observed_at"))
+    return _json(t, rows.select(F.concat(F.lit("sub"), F.col("c_nationkey").cast("string")).alias("subreddit"), snapshot.alias("snapshot"), "posts"), importers.DISCOVERY)
+
+
+_POST = _sql_source("reddit", "post", "lpad(CAST(c_custkey AS VARCHAR), 7, 'p')")
+
+
+@query(
+    "S13_discovery_posts",
+    f"SELECT {_POST} AS source_id, {_sql_source('reddit', 'subreddit_atom_feed', "'sub' || c_nationkey || ':new'")} AS feed_id, c_name AS title, '2024-01-01T00:00:00Z' AS observed_at FROM customer WHERE c_custkey % 9 <> 0",
+)
+def s13_posts(t: Tables) -> DataFrame:
+    return importers.discovery_manifest(_discovery(t))["posts"].select("source_id", "feed_id", "title", "observed_at")
+
+
+@query(
+    "S13_discovery_locators",
+    f"SELECT {_sql_source('youtube', 'youtube_video', "lpad(CAST(c_custkey % 50 AS VARCHAR), 11, 'y')")} AS source_id, CAST(count(*) AS BIGINT) AS posts FROM customer WHERE c_custkey % 9 <> 0 AND c_custkey % 4 <> 0 GROUP BY c_custkey % 50",
+)
+def s13_locators(t: Tables) -> DataFrame:
+    return importers.discovery_manifest(_discovery(t))["locators"].select("source_id", "posts")
+
+
+# Orders are snapshots, their lines the items; some have another status, come before their start or differ from the payload.
+_PROBLEM = """CASE WHEN l_partkey % 40 = 1 THEN 'request or status' WHEN l_partkey % 40 = 2 THEN 'out of time order' WHEN l_partkey % 40 = 3 THEN 'content type' WHEN l_partkey % 40 = 4 THEN 'payload differs' END"""
+
+
+@query(
+    "S14_archive_snapshots",
+    f"""WITH p AS (SELECT CAST(l_orderkey AS VARCHAR) AS snapshot_id, 'it em ' || l_linenumber || '-' || l_partkey AS identifier, {_PROBLEM} AS problem FROM lineitem)
+    SELECT 'problem' AS kind, snapshot_id, identifier, problem FROM p WHERE problem IS NOT NULL
+    UNION ALL SELECT 'item', snapshot_id, identifier, NULL FROM p WHERE snapshot_id NOT IN (SELECT snapshot_id FROM p WHERE problem IS NOT NULL)""",
+)
+def s14(t: Tables) -> DataFrame:
+    part = F.col("l_partkey") % 40
+    name = F.concat(F.lit("it em "), F.col("l_linenumber").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"))
+    rows = t.lineitem.select("l_orderkey", part.alias("part"), name.alias("identifier"), F.sha2(name.cast("binary"), 256).alias("payload_sha256"), F.octet_length(name).cast("long").alias("bytes"))
+    item = F.struct(
+        "identifier",
+        F.concat(F.lit("https://archive.org/metadata/"), F.replace("identifier", F.lit(" "), F.lit("%20"))).alias("request_url"),
+        F.when(F.col("part") == 1, 404).otherwise(200).alias("http_status"),
+        F.when(F.col("part") == 2, "2024-01-02T00:00:00Z").otherwise("2023-12-31T00:00:00Z").alias("started_at"),
+        F.lit("2024-01-01T00:00:00Z").alias("observed_at"),
+        F.when(F.col("part") == 3, "text/html").otherwise("application/JSON; charset=utf-8").alias("content_type"),
+        "payload_sha256",
+        F.when(F.col("part") == 4, F.col("bytes") + 1).otherwise(F.col("bytes")).alias("byte_count"),
+    )
+    sealed = rows.groupBy(F.col("l_orderkey").cast("string").alias("snapshot_id")).agg(F.collect_list(item).alias("items"))
+    envelope = sealed.select("snapshot_id", F.lit(1).alias("schema_version"), F.lit("archive_org_item_metadata").alias("snapshot_kind"), F.lit("2024-01-01T00:00:00Z").alias("observed_at"), "items")
+    out = importers.archive_snapshots(_json(t, envelope, importers.ENVELOPE), rows.select("identifier", F.col("payload_sha256").alias("sha256"), "bytes"))
+    problems = out["problems"].select(F.lit("problem").alias("kind"), "snapshot_id", "identifier", "problem")
+    return problems.unionByName(out["items"].select(F.lit("item").alias("kind"), "snapshot_id", "identifier", F.lit(None).cast("string").alias("problem")))
+
+
+@query(
+    "S17_job_results",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CASE WHEN o_orderstatus = 'P' THEN 'not completed' WHEN o_orderkey % 10 = 3 THEN 'unknown input' WHEN o_orderkey % 10 = 4 THEN 'outputs' END AS reason,
+    CASE WHEN o_orderstatus <> 'P' AND o_orderkey % 10 NOT IN (3, 4) THEN CAST(o_orderkey % 1000 AS BIGINT) END AS seconds FROM orders""",
+)
+def s17(t: Tables) -> DataFrame:
+    """Orders as jobs: jobs with their seconds, rejects with the reason."""
+    key = F.col("o_orderkey")
+    digest = lambda c: F.sha2(c.cast("string").cast("binary"), 256)
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    output = F.struct(F.lit("audio").alias("role"), digest(F.col("o_custkey")).alias("sha256"), F.when(key % 10 == 4, 0).otherwise(7).cast("long").alias("byte_count"))
+    rows = t.orders.select(
+        key.cast("string").alias("job_id"),
+        F.when(key % 2 == 0, "acquisition").otherwise("preprocess").alias("kind"),
+        F.when(F.col("o_orderstatus") == "P", "failed").otherwise("completed").alias("state"),
+        digest(key).alias("input_sha256"),
+        stamp(start).alias("started_at"),
+        stamp(F.timestamp_seconds(F.unix_timestamp(start) + key % 1000)).alias("completed_at"),
+        F.array(output).alias("outputs"),
+    )
+    out = importers.job_results(_json(t, rows, importers.RESULT), t.orders.where(key % 10 != 3).select(digest(key).alias("sha256")))
+    rejects = out["rejects"].select("job_id", "reason", F.lit(None).cast("long").alias("seconds"))
+    return rejects.unionByName(out["jobs"].select("job_id", F.lit(None).cast("string").alias("reason"), "seconds"))
+
+
+@query(
+    "G24_reconciliation",
+    f"""{_FILES}, w AS (SELECT DISTINCT 'other' AS item, name, CASE WHEN l_linenumber % 2 = 0 THEN lpad(CAST(l_orderkey % 1000 AS VARCHAR), 11, 'v') END AS vid FROM f WHERE l_linenumber = 2
+    UNION SELECT item, name, NULL FROM m WHERE l_linenumber = 1 UNION SELECT 'other', 'lost-' || l_partkey || '.mp4', NULL FROM f WHERE l_linenumber = 3),
+    v AS (SELECT lpad(CAST(l_orderkey % 1000 AS VARCHAR), 11, 'v') AS vid, count(DISTINCT (item, name)) AS n FROM m WHERE l_linenumber % 2 = 0 GROUP BY 1)
+    SELECT w.item, w.name, CASE WHEN (w.item, w.name) IN (SELECT (item, name) FROM m) THEN 'exact' WHEN n = 1 THEN 'by_id' WHEN n > 1 THEN 'ambiguous' ELSE 'missing' END AS state FROM w LEFT JOIN v USING (vid)""",
+)
+def g24(t: Tables) -> DataFrame:
+    """Names of another listing against the imported files."""
+    files = importers.archive_metadata(_archive(t))["files"]
+    line = lambda n: t.lineitem.where(F.col("l_linenumber") == n)
+    day = F.date_format("l_shipdate", "yyyyMMdd")
+    second = line(2).select(F.lit("other").alias("item"), F.concat(day, F.lit("-Part  "), F.col("l_partkey").cast("string"), F.lit("-"), F.lpad((F.col("l_orderkey") % 1000).cast("string"), 11, "v"), F.lit(".ia.OGV")).alias("name"))
+    item = F.when(F.col("l_orderkey") % 9 != 0, F.concat(F.lit("item "), F.col("l_orderkey").cast("string"))).otherwise(F.col("l_orderkey").cast("string"))
+    first = line(1).select(item.alias("item"), F.concat(day, F.lit("-Part  "), F.col("l_partkey").cast("string"), F.lit(".mp4")).alias("name"))
+    lost = line(3).select(F.lit("other").alias("item"), F.concat(F.lit("lost-"), F.col("l_partkey").cast("string"), F.lit(".mp4")).alias("name"))
+    return importers.reconciled(second.union(first).union(lost).distinct(), files).select("item", "name", "state")

@@ -94,14 +94,6 @@ def s10(t: Tables) -> DataFrame:
     return readers.torrent_files(content).select("path", "place", "length", "first")
 
 
-@query("S13_S14_S17_envelopes", "SELECT event_id, CASE WHEN json_extract_string(props, '$.k')::INT > 95 THEN 'too large' WHEN event_type = 'error' THEN 'error entry' END AS problem FROM events WHERE json_extract_string(props, '$.k')::INT > 95 OR event_type = 'error'")
-def s13(t: Tables) -> DataFrame:
-    """Result envelopes: entries that break a rule, with the first rule they break."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    problem = F.when(k > 95, "too large").when(F.col("event_type") == "error", "error entry")
-    return t.events.select("event_id", problem.alias("problem")).where("problem is not null")
-
-
 def _shards(t: Tables) -> DataFrame:
     """All customers as JSON rows, a hundred keys a shard."""
     row = F.struct("c_custkey", "c_mktsegment", "c_nationkey", F.lit("customer").alias("kind"))
