@@ -32,8 +32,9 @@ HEAVY_LOG2 = 21
 #: By kind: slots, and the type of their values.
 SLOTS_LOG2 = (21, 22)
 SLOT_TYPES = (np.float64, np.float32)
-#: Rare occurrences that one group looks up.
-GROUP_KEYS = 4_000_000
+#: Least and most rare occurrences that one group looks up: between them there are about GROUPS groups.
+GROUP_KEYS = (500_000, 4_000_000)
+GROUPS = 1024
 #: Text that is cut into keys at once; keys that a task holds before it merges, hands on counts, or sends occurrences.
 CHUNK_BYTES = 500_000
 MERGE_KEYS = 1_000_000
@@ -255,7 +256,8 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds
     for kind, total in ((WORDS, words["all"]), (GRAMS, grams["all"])):
         top = values.where((F.col("kind") == kind) & (F.col("n_all") >= least[kind]) & (F.col("n_all") > 1) & (F.lit(kind == GRAMS) | F.col("known"))).select("key", "value", "n_all").toPandas()
         heavy[kind] = Slots(kind, top["key"].to_numpy(np.int64), top["value"].to_numpy(float), top["n_all"].to_numpy())
-        rare[kind] = max(8, -(-(total - int(top["n_all"].sum())) // GROUP_KEYS))
+        left = total - int(top["n_all"].sum())
+        rare[kind] = max(8, -(-left // min(GROUP_KEYS[1], max(GROUP_KEYS[0], left // GROUPS))))
     return _scored(rows, values, spark.sparkContext.broadcast(heavy), rare, tokens, float(end), n_docs > 0, folds)
 
 
