@@ -216,6 +216,53 @@ def test_matrices(spark):
     assert np.allclose(b, [2, 3]) and r2 == pytest.approx(1)
 
 
+def test_factor_rotation():
+    rng = np.random.default_rng(5)
+    pattern = np.array([[0.8, 0], [0.7, 0], [0.75, 0], [0, 0.8], [0, 0.7], [0, 0.6]])
+    phi = np.array([[1, 0.4], [0.4, 1]])
+    r = pattern @ phi @ pattern.T
+    np.fill_diagonal(r, 1)
+    assert matrices.parallel_analysis(r, 2000) == 2 and matrices.minimum_partials(r)[0] == 2
+    loadings, _ = matrices.principal_axes(r, 2)
+    found, between = matrices.promax(loadings)
+    found = found * np.sign(found.sum(0))
+    if abs(found[0, 0]) < abs(found[0, 1]):
+        found = found[:, ::-1]
+    assert np.allclose(found, pattern, atol=0.07) and abs(abs(between[0, 1]) - 0.4) < 0.1
+    turned, turn = matrices.varimax(loadings)
+    assert np.allclose(turn @ turn.T, np.eye(2)) and np.allclose(turned @ turned.T, loadings @ loadings.T)
+    scores = rng.multivariate_normal([0, 0], phi, 20_000)
+    data = scores @ pattern.T + rng.normal(size=(20_000, 6)) * np.sqrt(1 - np.diag(pattern @ phi @ pattern.T))
+    weights = matrices.score_weights(np.corrcoef(data, rowvar=False), pattern, phi)
+    assert all(np.corrcoef(data @ weights[:, i], scores[:, i])[0, 1] > 0.85 for i in range(2))
+
+
+def test_stress_falls_to_zero():
+    points = np.random.default_rng(0).normal(size=(8, 3))
+    d = np.linalg.norm(points[:, None] - points[None], axis=2)
+    curve = matrices.stress_curve(d, 3)
+    assert curve[0] > curve[1] > curve[2] and curve[2] < 1e-6
+    assert all(abs(x - y) < 1e-6 for _, _, x, y in matrices.shepard_pairs(d, 3)) and len(matrices.shepard_pairs(d)) == 28
+
+
+def test_release_and_network_checks(spark):
+    def frame(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    manifest = frame([(0, 2, 1, 2), (1, 1, 2, 5)], "shard int, rows long, first_id int, last_id int")
+    recordings = frame([(1, 0, "x"), (2, 0, "x"), (5, 1, None)], "id int, shard int, slug string")
+    segments = frame([(1, 0, 0, 5), (1, 2, 3, 3), (5, 0, 9, 10), (5, 1, 2, 4), (7, 0, 0, 1)], "id int, place int, start int, end int")
+    found = {r.check: r.violations for r in checks.release_shape(manifest, recordings, segments).collect()}
+    assert found == {"shards": 1, "ranges": 1, "ids": 0, "slugs": 1, "orphans": 1, "places": 1, "lengths": 1, "order": 1}
+    names = frame([("A", "g"), ("B", "h"), ("file:x", "g")], "name string, group string")
+    annual = frame([(2001, 1.0, 2.0, 3.0), (1999, 3.0, 2.0, 1.0)], "year int, low double, middle double, high double")
+    monthly = frame([("2020-13", "A", 1.0), ("2020-01", "C", -1.0)], "month string, name string, rate double")
+    edges = frame([("A", "B", 1.0, 1.0, 1.0), ("B", "A", 1.0, 1.0, None), ("A", "A", -1.0, 1.0, 1.0)], "a string, b string, weight double, baseline double, lift double")
+    bursts = frame([("A", "2020-02", "2020-01", 1)], "name string, start string, end string, months int")
+    found = {r.check: r.violations for r in checks.network_projection(names, annual, monthly, edges, bursts, ["g"]).collect()}
+    assert {k for k, v in found.items() if v} == {"names", "groups", "years", "intervals", "months", "month names", "rates", "loops", "unique edges", "weights", "bursts"}
+
+
 def test_rate_limits(spark):
     rows = [("1", 0), ("1", 1000), ("1", 4000), ("1", 8000), ("1", 12_000)]
     frame = spark.createDataFrame([(int(k), at, i) for i, (k, at) in enumerate(rows)], "key long, at long, id long")

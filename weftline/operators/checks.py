@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,3 +40,68 @@ def asymmetric(pairs: DataFrame, a: str, b: str, value: str, tolerance: float =
     """Pairs of a long matrix whose mirror image is missing or differs."""
     other = pairs.select(F.col(a).alias(b), F.col(b).alias(a), F.col(value).alias("_other"))
     return pairs.join(other, [a, b], "left").where(F.col("_other").isNull() | (F.abs(F.col(value) - F.col("_other")) > tolerance))
+
+
+def release_shape(manifest: DataFrame, recordings: DataFrame, segments: DataFrame) -> DataFrame:
+    """(check, violations) of a release: manifest (shard, rows, first_id, last_id), recordings (id, shard, slug), segments
+    (id, place, start, end).
+
+    Every shard holds the rows and the range of ids that the manifest says, and ranges do not meet; ids and slugs are
+    unique; a recording's segments are numbered from 0 without gaps, have a positive length and start in order.
+    """
+    held = recordings.groupBy("shard").agg(F.count("*").alias("held"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+    both = manifest.join(held, "shard", "full_outer")
+    differ = ~F.coalesce((F.col("rows") == F.col("held")) & (F.col("first_id") == F.col("lo")) & (F.col("last_id") == F.col("hi")), F.lit(False))
+    # Ranges in the order of the manifest's shards, of which there are few.
+    after = Window.orderBy("first_id")
+    overlap = manifest.withColumn("next", F.lead("first_id").over(after)).where("next <= last_id")
+    inner = Window.partitionBy("id").orderBy("place")
+    late = segments.withColumn("before", F.lag("start").over(inner)).where("start < before")
+    numbers = segments.groupBy("id").agg(F.min("place").alias("lo"), F.max("place").alias("hi"), F.count("*").alias("n"), F.countDistinct("place").alias("kinds"))
+    return report(
+        {
+            "shards": both.where(differ),
+            "ranges": overlap,
+            "ids": duplicate_keys(recordings, ["id"]),
+            "slugs": duplicate_keys(recordings.where("slug is not null"), ["slug"]),
+            "orphans": orphans(segments, "id", recordings, "id"),
+            "places": numbers.where("lo <> 0 or hi <> n - 1 or kinds <> n"),
+            "lengths": segments.where(~F.coalesce(F.col("end") > F.col("start"), F.lit(False))),
+            "order": late,
+        }
+    )
+
+
+def network_projection(names: DataFrame, annual: DataFrame, monthly: DataFrame, edges: DataFrame, bursts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """(check, violations) of a mention network: names (name, group), annual (year, low, middle, high), monthly (month, name,
+    rate), edges (a, b, weight, baseline, lift), bursts (name, start, end, months).
+
+    Names are unique, of known groups and fit to be shown; years and months exist and come once; intervals are in order;
+    an edge joins two different known names, once whichever way; rates and weights are not negative; bursts end after
+    they start and are of known names.
+    """
+    month = r"^20\d{2}-(0[1-9]|1[0-2])$"
+    unfit = (F.trim("name") == "") | (F.char_length("name") > 100) | F.col("name").rlike(r"[<>\x00-\x1f]|(?i:https?:|file:|/home/|/mnt/)")
+    negative = lambda *cs: F.greatest(*[F.coalesce(F.col(c) < 0, F.lit(True)).cast("int") for c in cs]) == 1
+    ends = edges.select(F.explode(F.array("a", "b")).alias("name"))
+    pairs = edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    return report(
+        {
+            "names": names.where(F.col("name").isNull() | unfit),
+            "unique names": duplicate_keys(names, ["name"]),
+            "groups": names.where(~F.coalesce(F.col("group").isin(list(groups)), F.lit(False))),
+            "years": annual.where(~F.coalesce(F.col("year").between(2000, 2100), F.lit(False))),
+            "unique years": duplicate_keys(annual, ["year"]),
+            "intervals": annual.where((F.col("low") > F.col("high")) | (F.col("low") > F.col("middle")) | (F.col("middle") > F.col("high"))),
+            "months": monthly.where(~F.coalesce(F.col("month").rlike(month), F.lit(False))),
+            "unique months": duplicate_keys(monthly, ["month", "name"]),
+            "month names": orphans(monthly, "name", names, "name"),
+            "rates": monthly.where(F.col("rate") < 0),
+            "loops": edges.where(F.col("a").eqNullSafe(F.col("b"))),
+            "endpoints": orphans(ends, "name", names, "name"),
+            "unique edges": duplicate_keys(pairs, ["lo", "hi"]),
+            "weights": edges.where(negative("weight", "baseline", "lift")),
+            "burst names": orphans(bursts, "name", names, "name"),
+            "bursts": bursts.where(~F.coalesce(F.col("start").rlike(month) & F.col("end").rlike(month) & (F.col("start") <= F.col("end")) & (F.col("months") >= 1), F.lit(False))),
+        }
+    )

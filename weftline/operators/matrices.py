@@ -86,9 +86,17 @@ def principal_axes(correlation: np.ndarray, factors: int, rounds: int = 200) ->
 
 
 def parallel_analysis(correlation: np.ndarray, n: int, draws: int = 100, seed: int = 1) -> int:
-    """Number of leading eigenvalues above the 95th percentile of those of random data of the same shape."""
+    """Number of leading eigenvalues above the 95th percentile of those of random data of the same shape.
+
+    The random data's p x p moments are drawn as such (Bartlett's triangle of a Wishart matrix), never its n rows.
+    """
     rng, p = np.random.default_rng(seed), len(correlation)
-    random = np.array([np.sort(np.linalg.eigvalsh(np.corrcoef(rng.standard_normal((n, p)), rowvar=False)))[::-1] for _ in range(draws)])
+    random = []
+    for _ in range(draws):
+        half = np.tril(rng.standard_normal((p, p)), -1) + np.diag(np.sqrt(rng.chisquare(n - 1 - np.arange(p))))
+        moments_ = half @ half.T
+        scale = np.sqrt(np.diag(moments_))
+        random.append(np.sort(np.linalg.eigvalsh(moments_ / np.outer(scale, scale)))[::-1])
     above = np.sort(np.linalg.eigvalsh(correlation))[::-1] > np.percentile(random, 95, axis=0)
     return int(p if above.all() else above.argmin())
 
@@ -117,3 +125,66 @@ def change_points(means: list[float], weights: list[float], penalty: float, leas
         out.append(back[j])
         j = back[j]
     return out[::-1]
+
+
+def stress_curve(distances: np.ndarray, dimensions: int) -> list[float]:
+    """Stress of classical scaling in 1, 2 ... dimensions: the root of squared misfit over squared distance."""
+    return classical_mds(distances, dimensions)[1].tolist()
+
+
+def shepard_pairs(distances: np.ndarray, k: int = 2) -> list[tuple[int, int, float, float]]:
+    """(i, j, distance, distance on the k-dimensional map) of every pair i < j."""
+    points, _ = classical_mds(distances, k)
+    return [(i, j, float(distances[i, j]), float(np.linalg.norm(points[i] - points[j]))) for i in range(len(distances)) for j in range(i + 1, len(distances))]
+
+
+def varimax(loadings: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """(rotated loadings, rotation) of Kaiser's criterion: pairs of factors are turned by the best angle until none turns.
+
+    Rows are scaled to unit length meanwhile.
+    """
+    p, k = loadings.shape
+    unit = loadings / np.maximum(np.sqrt((loadings**2).sum(1, keepdims=True)), 1e-12)
+    turn = np.eye(k)
+    for _ in range(rounds):
+        largest = 0.0
+        for i in range(k):
+            for j in range(i + 1, k):
+                x, y = (unit @ turn)[:, [i, j]].T
+                u, v = x**2 - y**2, 2 * x * y
+                angle = np.arctan2(2 * (u @ v - u.sum() * v.sum() / p), u @ u - v @ v - (u.sum() ** 2 - v.sum() ** 2) / p) / 4
+                c, s = np.cos(angle), np.sin(angle)
+                turn[:, [i, j]] = turn[:, [i, j]] @ np.array([[c, -s], [s, c]])
+                largest = max(largest, abs(angle))
+        if largest < 1e-9:
+            break
+    return loadings @ turn, turn
+
+
+def promax(loadings: np.ndarray, power: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """(pattern, factor correlations) of the oblique rotation towards powers of the varimax loadings."""
+    straight, turn = varimax(loadings)
+    target = straight * np.abs(straight) ** (power - 1)
+    oblique = np.linalg.lstsq(straight, target, rcond=None)[0]
+    oblique = oblique @ np.diag(np.sqrt(np.diag(np.linalg.inv(oblique.T @ oblique))))
+    inverse = np.linalg.inv(turn @ oblique)
+    return straight @ oblique, inverse @ inverse.T
+
+
+def score_weights(correlation: np.ndarray, pattern: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Weights of the standardised variables in Thurstone's regression scores: correlation**-1 times the structure."""
+    return np.linalg.solve(correlation, pattern @ factors)
+
+
+def minimum_partials(correlation: np.ndarray) -> tuple[int, list[float]]:
+    """Velicer's test: the number of components that leaves the least mean squared partial correlation, and the means."""
+    p = len(correlation)
+    values, basis = np.linalg.eigh(correlation)
+    parts = (basis * np.sqrt(np.maximum(values, 0)))[:, ::-1]
+    means = []
+    for m in range(p - 1):
+        rest = correlation - parts[:, :m] @ parts[:, :m].T
+        scale = np.sqrt(np.maximum(np.diag(rest), 1e-12))
+        partial = rest / np.outer(scale, scale)
+        means.append(float(((partial**2).sum() - p) / (p * (p - 1))))
+    return int(np.argmin(means)), means

@@ -34,9 +34,26 @@ def v3(t: Tables) -> DataFrame:
     return t.events.withColumn("back", F.col("ts") <= F.lag("ts").over(w)).where("back").groupBy("user_id").agg(F.count("*").alias("n"))
 
 
-@query("V4_release_shape", "SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (o_totalprice IS NULL OR o_totalprice < 0) AS BIGINT) AS bad FROM orders GROUP BY 1")
+@query(
+    "V4_release_shape",
+    """WITH m AS (SELECT o_orderkey // 1000 AS shard, count(*) AS rows, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id FROM orders GROUP BY 1),
+    s AS (SELECT l_orderkey AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS place, l_quantity AS start FROM lineitem)
+    SELECT 'shards' AS "check", CAST(count(*) AS BIGINT) AS violations FROM m WHERE shard % 5 = 3
+    UNION ALL SELECT 'ranges', CAST(0 AS BIGINT) UNION ALL SELECT 'ids', CAST(0 AS BIGINT)
+    UNION ALL SELECT 'slugs', CAST(count(*) AS BIGINT) FROM (SELECT o_custkey, o_orderdate FROM orders GROUP BY 1, 2 HAVING count(*) > 1)
+    UNION ALL SELECT 'orphans', CAST(count(*) AS BIGINT) FROM s WHERE id NOT IN (SELECT o_orderkey FROM orders)
+    UNION ALL SELECT 'places', CAST(0 AS BIGINT) UNION ALL SELECT 'lengths', CAST(count(*) AS BIGINT) FROM lineitem WHERE l_discount = 0
+    UNION ALL SELECT 'order', CAST(count(*) AS BIGINT) FROM (SELECT start < lag(start) OVER (PARTITION BY id ORDER BY place) AS late FROM s) WHERE late""",
+)
 def v4(t: Tables) -> DataFrame:
-    return t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.count_if(F.col("o_totalprice").isNull() | (F.col("o_totalprice") < 0)).alias("bad"))
+    """Orders as a release in shards of a thousand ids, of which every fifth is a row short in the manifest; lines as its segments."""
+    shard = F.expr("o_orderkey div 1000")
+    manifest = t.orders.groupBy(shard.alias("shard")).agg(F.count("*").alias("rows"), F.min("o_orderkey").alias("first_id"), F.max("o_orderkey").alias("last_id"))
+    manifest = manifest.withColumn("rows", F.when(F.col("shard") % 5 == 3, F.col("rows") - 1).otherwise(F.col("rows")))
+    recordings = t.orders.select(F.col("o_orderkey").alias("id"), shard.alias("shard"), F.concat_ws("-", "o_custkey", F.col("o_orderdate").cast("string")).alias("slug"))
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")) - 1
+    segments = t.lineitem.select(F.col("l_orderkey").alias("id"), place.alias("place"), F.col("l_quantity").alias("start"), (F.col("l_quantity") + F.col("l_discount")).alias("end"))
+    return checks.release_shape(manifest, recordings, segments)
 
 
 @query("V5_score_bounds", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_discount NOT BETWEEN 0 AND 0.09 OR l_tax NOT BETWEEN 0 AND 0.08 OR l_quantity <> floor(l_quantity)")
@@ -51,9 +68,28 @@ def v6(t: Tables) -> DataFrame:
     return checks.duplicate_keys(t.conversations, ["conv_id", "turn"]).drop("n").unionByName(g.where("turn <> 0 or hi + 1 <> n").select("conv_id", "turn"))
 
 
-@query("V7_network_projection", "SELECT n_nationkey FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_regionkey <> 4)")
+@query(
+    "V7_network_projection",
+    """WITH n AS (SELECT n_name AS name, CASE WHEN n_regionkey = 4 THEN 'other' ELSE 'public_creator' END AS grp FROM nation),
+    e AS (SELECT a.n_name AS a, b.n_name AS b, c.w - 3 AS weight FROM nation a, nation b, (SELECT c_nationkey AS x, s_nationkey AS y, count(*) AS w FROM customer JOIN supplier ON c_custkey % 10 = s_suppkey GROUP BY 1, 2) c WHERE c.x = a.n_nationkey AND c.y = b.n_nationkey)
+    SELECT x AS "check", CAST(0 AS BIGINT) AS violations FROM (VALUES ('names'), ('unique names'), ('unique years'), ('intervals'), ('months'), ('unique months'), ('month names'), ('rates'), ('endpoints'), ('burst names'), ('bursts')) AS v(x)
+    UNION ALL SELECT 'groups', CAST(count(*) AS BIGINT) FROM n WHERE grp = 'other'
+    UNION ALL SELECT 'years', CAST(count(DISTINCT year(o_orderdate)) AS BIGINT) FROM orders WHERE year(o_orderdate) < 2000
+    UNION ALL SELECT 'loops', CAST(count(*) AS BIGINT) FROM e WHERE a = b
+    UNION ALL SELECT 'unique edges', CAST(count(*) AS BIGINT) FROM (SELECT least(a, b), greatest(a, b) FROM e GROUP BY 1, 2 HAVING count(*) > 1)
+    UNION ALL SELECT 'weights', CAST(count(*) AS BIGINT) FROM e WHERE weight < 0""",
+)
 def v7(t: Tables) -> DataFrame:
-    return checks.orphans(t.nation, "n_regionkey", t.region.where("r_regionkey <> 4"), "r_regionkey").select("n_nationkey")
+    """Nations as names, customers and suppliers as their links, orders as the years: what is wrong with them as a projection."""
+    names = t.nation.select(F.col("n_name").alias("name"), F.when(F.col("n_regionkey") == 4, "other").otherwise("public_creator").alias("group"))
+    annual = t.orders.groupBy(F.year("o_orderdate").alias("year")).agg(F.min("o_totalprice").alias("low"), F.avg("o_totalprice").alias("middle"), F.max("o_totalprice").alias("high"))
+    named = t.events.join(t.nation, F.col("user_id") % 25 == F.col("n_nationkey"))
+    monthly = named.groupBy(F.date_format("ts", "yyyy-MM").alias("month"), F.col("n_name").alias("name")).agg(F.count("*").alias("rate"))
+    links = t.customer.join(t.supplier, F.col("c_custkey") % 10 == F.col("s_suppkey")).groupBy("c_nationkey", "s_nationkey").agg((F.count("*") - 3).alias("weight"))
+    one, other = (t.nation.select(F.col("n_nationkey").alias(k), F.col("n_name").alias(n)) for k, n in (("c_nationkey", "a"), ("s_nationkey", "b")))
+    edges = links.join(one, "c_nationkey").join(other, "s_nationkey").select("a", "b", "weight", F.lit(1.0).alias("baseline"), F.lit(1.0).alias("lift"))
+    bursts = names.select("name", F.lit("2020-01").alias("start"), F.lit("2020-03").alias("end"), F.lit(3).alias("months"))
+    return checks.network_projection(names, annual, monthly, edges, bursts, ["on_channel", "public_creator"])
 
 
 @query("V8_symmetry", "SELECT CAST(count(*) AS BIGINT) AS broken FROM (SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey)")
