@@ -441,13 +441,17 @@ def test_contained_against_brute_force(spark):
     assert found == wanted and wanted
 
 
-def test_stream_keeps_the_latest(spark, tmp_path):
+@pytest.mark.parametrize("every", [2, 16])
+def test_stream_keeps_the_latest(spark, tmp_path, every):
     schema = "k long, seq long, state string"
     log, state, mark = (f"file://{tmp_path}/{n}" for n in ("log", "state", "mark"))
-    for rows in ([(1, 1, "a"), (2, 2, "b")], [(1, 3, "c"), (3, 4, "d")], [(2, 0, "late")]):
+    batches = [[(1, 1, "a"), (2, 2, "b")], [(1, 3, "c"), (3, 4, "d")], [(2, 0, "late")], [(3, 5, "e")], [(4, 6, "f")]]
+    for rows in batches:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(log)
-        decision_log.follow_latest(spark.readStream.schema(schema).parquet(log), ["k"], "seq", state, mark).awaitTermination()
-    assert {r.k: r.state for r in decision_log.current_state(spark, state).collect()} == {1: "c", 2: "b", 3: "d"}
+        decision_log.follow_latest(spark.readStream.schema(schema).parquet(log), ["k"], "seq", state, mark, every).awaitTermination()
+    assert {r.k: r.state for r in decision_log.current_state(spark, state, ["k"], "seq").collect()} == {1: "c", 2: "b", 3: "e", 4: "f"}
+    names = {p.name for p in (tmp_path / "state").iterdir()}
+    assert names == ({"base-1", "delta-2", "base-3", "delta-3", "delta-4"} if every == 2 else {f"delta-{i}" for i in range(5)})
 
 
 def test_stream_windows_agree_with_batch(spark, data):

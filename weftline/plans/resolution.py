@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.operators import resolve
+from weftline.operators.graphs import shared_folder
 from weftline.plans.registry import Tables, query
+from weftline.streaming import decision_log
 
 RANK = "CASE event_type WHEN 'error' THEN 0 WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'click' THEN 3 ELSE 4 END"
 
@@ -182,3 +186,24 @@ def k11(t: Tables) -> DataFrame:
 def k12(t: Tables) -> DataFrame:
     old = t.orders.where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
     return resolve.insert_ignore(old, t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"])
+
+
+@query("R1_stream_latest", "SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY 1")
+def r1_stream(t: Tables) -> DataFrame:
+    """The current view of the event log, kept by a stream that reads it to its end."""
+    folder = f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
+    rows = t.events.select("user_id", "event_type", "event_id")
+    log = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder).select(*rows.columns)
+    decision_log.follow_latest(log, ["user_id"], "event_id", f"{folder}/state", f"{folder}/mark").awaitTermination()
+    return decision_log.current_state(t.spark, f"{folder}/state", ["user_id"], "event_id")
+
+
+@query("R7_stream_windows", "SELECT date_trunc('day', ts) AS start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def r7(t: Tables) -> DataFrame:
+    """Daily windows of event time behind a watermark, kept by a stream; each batch writes the windows whole."""
+    folder = f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
+    log = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+    counts = decision_log.windowed_counts(log, "ts", "event_type").writeStream.outputMode("complete")
+    counts = counts.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{folder}/windows"))
+    counts.option("checkpointLocation", f"{folder}/mark").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{folder}/windows").select("start", "event_type", "n", F.round("total", 4).alias("total"))
