@@ -324,6 +324,72 @@ def test_language_accuracy(docs):
     assert (found.lang == found.lang_pred).mean() > 0.97 and found.score.between(0, 1).all()
 
 
+def test_language_filters_against_brute_force(docs):
+    """The filter's masks from plain counting of every trigram, and predictions from plain set membership."""
+    rows = [(r.lang, r.text) for r in docs.select("lang", "text").collect() if r.lang and r.text is not None]
+    counts = collections.defaultdict(collections.Counter)
+    for lang, text in rows:
+        t = f" {text.lower()} "
+        counts[lang].update(t[i : i + 3] for i in range(len(t) - 2))
+    rates = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    top = collections.Counter()
+    for r in rates.values():
+        for g, x in r.items():
+            top[g] = max(top[g], x)
+    typical = {lang: {g for g, x in r.items() if x >= language_id.TYPICAL * top[g] and x >= language_id.LEAST_RATE} for lang, r in rates.items()}
+    filters = language_id.fit(docs)
+    assert filters.languages == sorted(rates)
+    masks = np.zeros(1 << language_id.SLOTS_LOG2, np.uint64)
+    for i, lang in enumerate(filters.languages):
+        keys = np.unique(np.concatenate([language_id.trigrams(g)[1:2] for g in typical[lang] if len(g.lower()) == 3]))
+        for which in range(language_id.HASHES):
+            at = language_id.slots(keys, which)
+            masks[at] |= np.uint64(1 << i)
+    assert (filters.masks[0] == masks).all()
+    for lang, text in rows[:150]:
+        t = f" {text.lower()} "
+        grams = [t[i : i + 3] for i in range(len(t) - 2)]
+        if any(map(str.isalpha, text)):
+            plain = {x: sum(g in typical[x] for g in grams) / len(grams) for x in filters.languages}
+            found, score = filters.predict(text)
+            assert plain[found] >= max(plain.values()) - 0.02 and abs(score - plain[found]) < 0.02
+
+
+def test_battery_against_plain_statistics():
+    """The three tests' p-values, computed the long way from their definitions."""
+    rng = random.Random(9)
+    seen = 0
+    for _ in range(300):
+        alphabet = rng.choice(secret_scans.ENCODINGS)
+        run = "".join(rng.choice(alphabet[: rng.choice([4, 16, len(alphabet)])]) for _ in range(rng.randint(20, 90)))
+        got = secret_scans.battery(run)
+        if got is None:
+            continue
+        seen += 1
+        p, enc, n, pairs, letters = got
+        body = run.rstrip("=")
+        own = next(a for a in secret_scans.ENCODINGS if set(body) <= set(a))
+        assert secret_scans.ENCODINGS[enc] == own and n == len(body)
+        assert pairs == sum(body[i] == body[j] for i in range(n) for j in range(i)) and letters == [body.lower().count(c) for c in secret_scans.LOWER]
+        codes = [own.index(c) for c in body]
+        size, tail = len(own), lambda z: 0.5 * math.erfc(z / math.sqrt(2))
+        chi = sum((codes.count(v) - n / size) ** 2 / (n / size) for v in range(size))
+        odd = [tail((chi - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))]
+        sides = [c >= size / 2 for c in codes]
+        up = sum(sides)
+        if 0 < up < n:
+            mean = 2 * up * (n - up) / n + 1
+            runs = 1 + sum(a != b for a, b in itertools.pairwise(sides))
+            odd.append(2 * tail(abs(runs - mean) / math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))))
+        middle = sum(codes) / n
+        spread = sum((c - middle) ** 2 for c in codes)
+        if spread:
+            serial = sum((a - middle) * (b - middle) for a, b in itertools.pairwise(codes)) / spread
+            odd.append(2 * tail(abs(serial) * math.sqrt(n)))
+        assert p == pytest.approx(min(1.0, len(odd) * min(odd)), rel=1e-6)
+    assert seen > 100
+
+
 def test_language_filters_hold_many_languages(spark):
     alphabet = [chr(0x4E00 + i) for i in range(400)]
     rows = [(i, "".join(alphabet[5 * i : 5 * i + 5]) * 6, f"l{i:02d}") for i in range(70)]
