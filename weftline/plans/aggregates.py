@@ -21,14 +21,22 @@ def a1(t: Tables) -> DataFrame:
     return out
 
 
-@query("A2_grouped_counts", "SELECT o_orderstatus, o_orderpriority, CAST(count(*) AS BIGINT) AS n, o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AS known FROM orders GROUP BY 1, 2")
+@query(
+    "A2_grouped_counts",
+    "SELECT o_orderstatus, o_orderpriority, CAST(count(*) AS BIGINT) AS n, o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AS "
+    "known FROM orders GROUP BY 1, 2",
+)
 def a2(t: Tables) -> DataFrame:
     vocabulary = t.spark.createDataFrame([("1-URGENT",), ("2-HIGH",), ("3-MEDIUM",)], "o_orderpriority string").withColumn("known", F.lit(True))
     counts = t.orders.groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"))
     return counts.join(F.broadcast(vocabulary), "o_orderpriority", "left").select("o_orderstatus", "o_orderpriority", "n", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-@query("A3_distinct_coverage", "SELECT l_returnflag, CAST(count(DISTINCT l_orderkey) AS BIGINT) AS n_orders, CAST(count(DISTINCT l_partkey) AS BIGINT) AS n_parts FROM lineitem GROUP BY 1")
+@query(
+    "A3_distinct_coverage",
+    "SELECT l_returnflag, CAST(count(DISTINCT l_orderkey) AS BIGINT) AS n_orders, CAST(count(DISTINCT l_partkey) AS BIGINT) AS n_parts "
+    "FROM lineitem GROUP BY 1",
+)
 def a3(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_returnflag").agg(F.countDistinct("l_orderkey").alias("n_orders"), F.countDistinct("l_partkey").alias("n_parts"))
 
@@ -38,7 +46,11 @@ def a4(t: Tables) -> DataFrame:
     return t.customer.select("c_nationkey").union(t.supplier.select("s_nationkey")).agg(F.countDistinct("c_nationkey").alias("n"))
 
 
-@query("A5_filtered_sums", "SELECT l_linestatus, coalesce(round(sum(l_quantity) FILTER (l_discount > 0.05), 2), 0) AS qty, CAST(count(*) FILTER (l_tax = 0) AS BIGINT) AS untaxed, coalesce(sum(l_quantity) FILTER (l_discount > 5), 0) AS none FROM lineitem GROUP BY 1")
+@query(
+    "A5_filtered_sums",
+    "SELECT l_linestatus, coalesce(round(sum(l_quantity) FILTER (l_discount > 0.05), 2), 0) AS qty, CAST(count(*) FILTER (l_tax = 0) "
+    "AS BIGINT) AS untaxed, coalesce(sum(l_quantity) FILTER (l_discount > 5), 0) AS none FROM lineitem GROUP BY 1",
+)
 def a5(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_linestatus").agg(
         F.coalesce(F.round(F.sum(F.when(F.col("l_discount") > 0.05, F.col("l_quantity"))), 2), F.lit(0.0)).alias("qty"), F.count_if(F.col("l_tax") == 0).alias("untaxed"), F.coalesce(F.sum(F.when(F.col("l_discount") > 5, F.col("l_quantity"))), F.lit(0.0)).alias("none")
@@ -121,7 +133,12 @@ def a13(t: Tables) -> DataFrame:
     return st.time_series(o, F.year("o_orderdate"), "v", "low", "high", F.col("c"))
 
 
-@query("A14_mean_interval", "SELECT o_custkey, CAST(count(*) AS BIGINT) AS n, CASE WHEN count(*) >= 5 THEN round(avg(o_totalprice) - 1.96 * stddev_samp(o_totalprice) / sqrt(count(*)), 4) END AS lo, CASE WHEN count(*) >= 5 THEN round(avg(o_totalprice) + 1.96 * stddev_samp(o_totalprice) / sqrt(count(*)), 4) END AS hi FROM orders GROUP BY 1")
+@query(
+    "A14_mean_interval",
+    "SELECT o_custkey, CAST(count(*) AS BIGINT) AS n, CASE WHEN count(*) >= 5 THEN round(avg(o_totalprice) - 1.96 * "
+    "stddev_samp(o_totalprice) / sqrt(count(*)), 4) END AS lo, CASE WHEN count(*) >= 5 THEN round(avg(o_totalprice) + 1.96 * "
+    "stddev_samp(o_totalprice) / sqrt(count(*)), 4) END AS hi FROM orders GROUP BY 1",
+)
 def a14(t: Tables) -> DataFrame:
     g = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("m"), F.stddev_samp("o_totalprice").alias("s"))
     lo, hi = st.mean_interval(F.col("m"), F.col("s"), F.col("n"))
@@ -134,15 +151,29 @@ def passages(t: Tables) -> DataFrame:
     )
 
 
-P = "(SELECT l_orderkey AS recording, l_linestatus AS kind, year(l_shipdate) AS year, CASE WHEN l_tax > 0 THEN l_returnflag END AS subject, l_linenumber AS place, l_partkey AS part, l_quantity AS dim0, l_discount * 100 AS dim1 FROM lineitem)"
+P = (
+    "(SELECT l_orderkey AS recording, l_linestatus AS kind, year(l_shipdate) AS year, "
+    "CASE WHEN l_tax > 0 THEN l_returnflag END AS subject, l_linenumber AS place, l_partkey AS part, l_quantity AS dim0, l_discount * "
+    "100 AS dim1 FROM lineitem)"
+)
 
 
-@query("A15_subject_shares", f"SELECT kind, year, subject, CAST(n AS BIGINT) AS n, CAST(total AS BIGINT) AS total, round(n / total, 6) AS share FROM (SELECT *, sum(n) OVER (PARTITION BY kind, year) AS total FROM (SELECT kind, year, subject, count(*) AS n FROM {P} WHERE subject IS NOT NULL GROUP BY 1, 2, 3)) WHERE total >= 30")
+@query(
+    "A15_subject_shares",
+    f"SELECT kind, year, subject, CAST(n AS BIGINT) AS n, CAST(total AS BIGINT) AS total, round(n / total, 6) AS share "
+    f"FROM (SELECT *, sum(n) OVER (PARTITION BY kind, year) AS total FROM (SELECT kind, year, subject, count(*) AS n FROM {P} "
+    f"WHERE subject IS NOT NULL GROUP BY 1, 2, 3)) WHERE total >= 30",
+)
 def a15(t: Tables) -> DataFrame:
     return st.shares(passages(t), ["kind", "year"], "subject", 30)
 
 
-@query("A16_subject_profile", f"SELECT kind, subject, CAST(s.n AS BIGINT) AS n, round(s.m - o.m, 6) AS difference FROM (SELECT kind, subject, count(*) AS n, avg(dim0) AS m FROM {P} WHERE subject IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 30) s JOIN (SELECT kind, avg(dim0) AS m FROM {P} GROUP BY 1) o USING (kind)")
+@query(
+    "A16_subject_profile",
+    f"SELECT kind, subject, CAST(s.n AS BIGINT) AS n, round(s.m - o.m, 6) AS difference "
+    f"FROM (SELECT kind, subject, count(*) AS n, avg(dim0) AS m FROM {P} WHERE subject IS NOT NULL GROUP BY 1, 2 "
+    f"HAVING count(*) >= 30) s JOIN (SELECT kind, avg(dim0) AS m FROM {P} GROUP BY 1) o USING (kind)",
+)
 def a16(t: Tables) -> DataFrame:
     cells = passages(t).groupBy("kind", "subject").agg(F.count("*").alias("n"), F.sum("dim0").alias("s"))
     w = Window.partitionBy("kind")
@@ -172,12 +203,20 @@ def a18(t: Tables) -> DataFrame:
     return out.select("recordings", F.round("m", 6).alias("within"), F.round(1.96 * F.col("s") / F.sqrt("recordings"), 6).alias("half"), F.round(F.col("s_in") / F.col("c_in") - F.col("s_out") / F.col("c_out"), 6).alias("across"))
 
 
-@query("A19_recording_spread", f"SELECT recording, CAST(count(*) AS BIGINT) AS n, round(avg(dim0), 6) AS mean, round(stddev_samp(dim0), 6) AS sd FROM {P} GROUP BY 1")
+@query(
+    "A19_recording_spread",
+    f"SELECT recording, CAST(count(*) AS BIGINT) AS n, round(avg(dim0), 6) AS mean, round(stddev_samp(dim0), 6) AS sd FROM {P} "
+    f"GROUP BY 1",
+)
 def a19(t: Tables) -> DataFrame:
     return passages(t).groupBy("recording").agg(F.count("*").alias("n"), F.round(F.avg("dim0"), 6).alias("mean"), F.round(F.stddev_samp("dim0"), 6).alias("sd"))
 
 
-@query("A20_year_axis", f"SELECT y AS year, CAST(count(p.year) AS BIGINT) AS n FROM (SELECT unnest(range(min(year), max(year) + 1)) AS y FROM {P} WHERE dim0 > 10) LEFT JOIN (SELECT * FROM {P} WHERE dim0 > 49) p ON p.year = y GROUP BY 1")
+@query(
+    "A20_year_axis",
+    f"SELECT y AS year, CAST(count(p.year) AS BIGINT) AS n FROM (SELECT unnest(range(min(year), max(year) + 1)) AS y FROM {P} "
+    f"WHERE dim0 > 10) LEFT JOIN (SELECT * FROM {P} WHERE dim0 > 49) p ON p.year = y GROUP BY 1",
+)
 def a20(t: Tables) -> DataFrame:
     p = passages(t)
     axis = p.where("dim0 > 10").agg(F.min("year").alias("a"), F.max("year").alias("b")).select(F.explode(F.sequence(F.col("a").cast("long"), F.col("b").cast("long"))).alias("year"))
@@ -185,7 +224,14 @@ def a20(t: Tables) -> DataFrame:
     return axis.join(counts, "year", "left").select("year", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("A21_two_sample_effect", "SELECT o_orderpriority, round(m2 - m1, 4) AS difference, round((m2 - m1) / sqrt(((n1 - 1) * s1 * s1 + (n2 - 1) * s2 * s2) / (n1 + n2 - 2)), 6) AS effect FROM (SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS n1, count(*) FILTER (o_orderstatus = 'O') AS n2, avg(o_totalprice) FILTER (o_orderstatus = 'F') AS m1, avg(o_totalprice) FILTER (o_orderstatus = 'O') AS m2, stddev_samp(o_totalprice) FILTER (o_orderstatus = 'F') AS s1, stddev_samp(o_totalprice) FILTER (o_orderstatus = 'O') AS s2 FROM orders GROUP BY 1)")
+@query(
+    "A21_two_sample_effect",
+    "SELECT o_orderpriority, round(m2 - m1, 4) AS difference, round((m2 - m1) / sqrt(((n1 - 1) * s1 * s1 + (n2 - 1) * s2 * s2) / (n1 + "
+    "n2 - 2)), 6) AS effect FROM (SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS n1, count(*) FILTER (o_orderstatus "
+    "= 'O') AS n2, avg(o_totalprice) FILTER (o_orderstatus = 'F') AS m1, avg(o_totalprice) FILTER (o_orderstatus = 'O') AS m2, "
+    "stddev_samp(o_totalprice) FILTER (o_orderstatus = 'F') AS s1, stddev_samp(o_totalprice) FILTER (o_orderstatus = 'O') AS s2 "
+    "FROM orders GROUP BY 1)",
+)
 def a21(t: Tables) -> DataFrame:
     part = {k: F.when(F.col("o_orderstatus") == v, F.col("o_totalprice")) for k, v in (("1", "F"), ("2", "O"))}
     g = t.orders.groupBy("o_orderpriority").agg(*[f(c).alias(n + k) for k, c in part.items() for n, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_samp))])
@@ -211,12 +257,21 @@ def a23(t: Tables) -> DataFrame:
     return st.standardised(o, "year", "genre", "v", 30)
 
 
-@query("A24_coverage_cell", f"SELECT kind, year, CAST(count(*) AS BIGINT) AS total, CAST(count(subject) AS BIGINT) AS scored, CAST(count(*) FILTER (subject IS NULL) AS BIGINT) AS missing, round(count(subject) / count(*), 6) AS ratio, round(var_samp(dim1), 6) AS variance, CAST(count(DISTINCT recording) AS BIGINT) AS recordings FROM {P} GROUP BY 1, 2")
+@query(
+    "A24_coverage_cell",
+    f"SELECT kind, year, CAST(count(*) AS BIGINT) AS total, CAST(count(subject) AS BIGINT) AS scored, CAST(count(*) FILTER (subject IS "
+    f"NULL) AS BIGINT) AS missing, round(count(subject) / count(*), 6) AS ratio, round(var_samp(dim1), 6) AS variance, "
+    f"CAST(count(DISTINCT recording) AS BIGINT) AS recordings FROM {P} GROUP BY 1, 2",
+)
 def a24(t: Tables) -> DataFrame:
     return passages(t).groupBy("kind", "year").agg(F.count("*").alias("total"), F.count("subject").alias("scored"), F.count_if(F.col("subject").isNull()).alias("missing"), F.round(F.count("subject") / F.count("*"), 6).alias("ratio"), F.round(F.var_samp("dim1"), 6).alias("variance"), F.countDistinct("recording").alias("recordings"))
 
 
-@query("A25_variation_ranking", f"SELECT recording, round(sd, 6) AS sd, CAST(row_number() OVER (ORDER BY round(sd, 6) DESC, recording) AS BIGINT) AS place FROM (SELECT recording, stddev_samp(dim0) AS sd FROM {P} GROUP BY 1 HAVING count(*) >= 3) QUALIFY place <= 50")
+@query(
+    "A25_variation_ranking",
+    f"SELECT recording, round(sd, 6) AS sd, CAST(row_number() OVER (ORDER BY round(sd, 6) DESC, recording) AS BIGINT) AS place "
+    f"FROM (SELECT recording, stddev_samp(dim0) AS sd FROM {P} GROUP BY 1 HAVING count(*) >= 3) QUALIFY place <= 50",
+)
 def a25(t: Tables) -> DataFrame:
     """The fifty recordings that vary most: a top-k before the numbering, so no global sort."""
     g = passages(t).groupBy("recording").agg(F.round(F.stddev_samp("dim0"), 6).alias("sd"), F.count("*").alias("n")).where("n >= 3").select("recording", "sd")
@@ -242,14 +297,25 @@ def a27(t: Tables) -> DataFrame:
     return near.withColumn("place", F.row_number().over(Window.orderBy(F.desc(F.abs("r")), "b")).cast("long"))
 
 
-@query("A28_top_loadings", "SELECT label, dim, loading FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY abs(loading) DESC, dim) AS place FROM (SELECT label, dim, round(avg(CAST(x AS DOUBLE)), 6) AS loading FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings) GROUP BY 1, 2)) WHERE place <= 6")
+@query(
+    "A28_top_loadings",
+    "SELECT label, dim, loading FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY abs(loading) DESC, dim) AS place "
+    "FROM (SELECT label, dim, round(avg(CAST(x AS DOUBLE)), 6) AS loading "
+    "FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings) GROUP BY 1, 2)) "
+    "WHERE place <= 6",
+)
 def a28(t: Tables) -> DataFrame:
     means = t.embeddings.select("label", F.posexplode("embedding").alias("dim", "x")).groupBy("label", F.col("dim").cast("long").alias("dim")).agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("loading"))
     w = Window.partitionBy("label").orderBy(F.desc(F.abs("loading")), "dim")
     return means.withColumn("place", F.row_number().over(w)).where("place <= 6").drop("place")
 
 
-@query("A29_residuals", "SELECT round(sqrt(avg(r * r)), 6) AS rms, round(max(abs(r)), 6) AS largest FROM (SELECT o.m - p.m AS r FROM (SELECT o_orderstatus, o_orderpriority, avg(o_totalprice) AS m FROM orders GROUP BY 1, 2) o JOIN (SELECT o_orderstatus, avg(o_totalprice) AS m FROM orders GROUP BY 1) p USING (o_orderstatus))")
+@query(
+    "A29_residuals",
+    "SELECT round(sqrt(avg(r * r)), 6) AS rms, round(max(abs(r)), 6) AS largest FROM (SELECT o.m - p.m AS r "
+    "FROM (SELECT o_orderstatus, o_orderpriority, avg(o_totalprice) AS m FROM orders GROUP BY 1, 2) o "
+    "JOIN (SELECT o_orderstatus, avg(o_totalprice) AS m FROM orders GROUP BY 1) p USING (o_orderstatus))",
+)
 def a29(t: Tables) -> DataFrame:
     cells = t.orders.groupBy("o_orderstatus", "o_orderpriority").agg(F.avg("o_totalprice").alias("m"), F.sum("o_totalprice").alias("s"), F.count("*").alias("n"))
     w = Window.partitionBy("o_orderstatus")
@@ -257,7 +323,11 @@ def a29(t: Tables) -> DataFrame:
     return cells.select(r.alias("r")).agg(F.round(F.sqrt(F.avg(F.col("r") * F.col("r"))), 6).alias("rms"), F.round(F.max(F.abs("r")), 6).alias("largest"))
 
 
-@query("A30_agreement", "SELECT user_id, CAST(count(*) AS BIGINT) AS settings, CAST(count(*) FILTER (list_contains(kinds, 'purchase')) AS BIGINT) AS agree FROM (SELECT user_id, date_trunc('day', ts) AS day, list(event_type) AS kinds FROM events GROUP BY 1, 2) GROUP BY 1")
+@query(
+    "A30_agreement",
+    "SELECT user_id, CAST(count(*) AS BIGINT) AS settings, CAST(count(*) FILTER (list_contains(kinds, 'purchase')) AS BIGINT) AS agree "
+    "FROM (SELECT user_id, date_trunc('day', ts) AS day, list(event_type) AS kinds FROM events GROUP BY 1, 2) GROUP BY 1",
+)
 def a30(t: Tables) -> DataFrame:
     days = t.events.groupBy("user_id", F.date_trunc("day", "ts").alias("day")).agg(F.collect_set("event_type").alias("kinds"))
     return days.groupBy("user_id").agg(F.count("*").alias("settings"), F.count_if(F.array_contains("kinds", "purchase")).alias("agree"))
@@ -268,25 +338,44 @@ def a31(t: Tables) -> DataFrame:
     return t.orders.groupBy(F.col("o_orderpriority").alias("basis")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "basis")
 
 
-@query("A33_spread", "SELECT year, CAST(sum(n) AS BIGINT) AS total, round(max(n / t), 6) AS top_share, round(CASE WHEN count(*) > 1 THEN sum(-(n / t) * ln(n / t)) / ln(count(*)) ELSE 0 END, 6) AS spread FROM (SELECT *, sum(n) OVER (PARTITION BY year) AS t FROM (SELECT year(o_orderdate) AS year, o_custkey, count(*) AS n FROM orders GROUP BY 1, 2 HAVING count(*) >= 2)) GROUP BY 1")
+@query(
+    "A33_spread",
+    "SELECT year, CAST(sum(n) AS BIGINT) AS total, round(max(n / t), 6) AS top_share, round(CASE WHEN count(*) > 1 THEN sum(-(n / t) * "
+    "ln(n / t)) / ln(count(*)) ELSE 0 END, 6) AS spread FROM (SELECT *, sum(n) OVER (PARTITION BY year) AS t "
+    "FROM (SELECT year(o_orderdate) AS year, o_custkey, count(*) AS n FROM orders GROUP BY 1, 2 HAVING count(*) >= 2)) GROUP BY 1",
+)
 def a33(t: Tables) -> DataFrame:
     counts = t.orders.groupBy(F.year("o_orderdate").alias("year"), "o_custkey").agg(F.count("*").alias("n")).where("n >= 2")
     return st.evenness(counts, ["year"], "n")
 
 
-@query("A36_piece_capacity", "SELECT l_suppkey, CAST(count(DISTINCT piece) AS BIGINT) AS pieces FROM (SELECT l_suppkey, unnest(range(l_partkey // 10, (l_partkey + CAST(l_quantity AS BIGINT)) // 10 + 1)) AS piece FROM lineitem) GROUP BY 1")
+@query(
+    "A36_piece_capacity",
+    "SELECT l_suppkey, CAST(count(DISTINCT piece) AS BIGINT) AS pieces "
+    "FROM (SELECT l_suppkey, unnest(range(l_partkey // 10, (l_partkey + CAST(l_quantity AS BIGINT)) // 10 + 1)) AS piece "
+    "FROM lineitem) GROUP BY 1",
+)
 def a36(t: Tables) -> DataFrame:
     spans = t.lineitem.select("l_suppkey", F.expr("l_partkey div 10").alias("a"), F.expr("(l_partkey + cast(l_quantity as bigint)) div 10").alias("b"))
     return spans.select("l_suppkey", F.explode(F.sequence("a", "b")).alias("piece")).groupBy("l_suppkey").agg(F.countDistinct("piece").alias("pieces"))
 
 
-@query("A38_status_summary", "SELECT 'orders' AS relation, o_orderstatus AS state, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 2 UNION ALL SELECT 'events', event_type, CAST(count(*) AS BIGINT) FROM events GROUP BY 2")
+@query(
+    "A38_status_summary",
+    "SELECT 'orders' AS relation, o_orderstatus AS state, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 2 UNION ALL "
+    "SELECT 'events', event_type, CAST(count(*) AS BIGINT) FROM events GROUP BY 2",
+)
 def a38(t: Tables) -> DataFrame:
     a = t.orders.groupBy(F.col("o_orderstatus").alias("state")).agg(F.count("*").alias("n")).select(F.lit("orders").alias("relation"), "state", "n")
     return a.unionByName(t.events.groupBy(F.col("event_type").alias("state")).agg(F.count("*").alias("n")).select(F.lit("events").alias("relation"), "state", "n"))
 
 
-@query("A39_half_years", "SELECT CAST(year(o_orderdate) AS BIGINT) * 2 + CASE WHEN month(o_orderdate) > 6 THEN 1 ELSE 0 END AS half, CAST(count(*) AS BIGINT) AS n, round(quantile_cont(o_totalprice, 0.5), 4) AS median, round(quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25), 4) AS iqr FROM orders GROUP BY 1")
+@query(
+    "A39_half_years",
+    "SELECT CAST(year(o_orderdate) AS BIGINT) * 2 + CASE WHEN month(o_orderdate) > 6 THEN 1 ELSE 0 END AS half, CAST(count(*) AS "
+    "BIGINT) AS n, round(quantile_cont(o_totalprice, 0.5), 4) AS median, round(quantile_cont(o_totalprice, 0.75) - "
+    "quantile_cont(o_totalprice, 0.25), 4) AS iqr FROM orders GROUP BY 1",
+)
 def a39(t: Tables) -> DataFrame:
     half = F.year("o_orderdate").cast("long") * 2 + F.when(F.month("o_orderdate") > 6, 1).otherwise(0)
     rows = t.orders.select(half.alias("half"), "o_totalprice")
@@ -295,7 +384,13 @@ def a39(t: Tables) -> DataFrame:
     return counts.join(found, "half").select("half", "n", F.round("median", 4).alias("median"), F.round(F.col("q75") - F.col("q25"), 4).alias("iqr"))
 
 
-@query("W10_W11_arc", f"SELECT recording, place, part, round(v, 6) AS smooth, CAST(row_number() OVER (PARTITION BY recording ORDER BY dim0 DESC, place, part, dim1) AS BIGINT) AS rank FROM (SELECT *, CASE WHEN count(dim0) OVER w >= 3 THEN avg(dim0) OVER w END AS v FROM {P} WINDOW w AS (PARTITION BY recording ORDER BY place, part, dim0, dim1 ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))")
+@query(
+    "W10_W11_arc",
+    f"SELECT recording, place, part, round(v, 6) AS smooth, CAST(row_number() OVER (PARTITION BY recording "
+    f"ORDER BY dim0 DESC, place, part, dim1) AS BIGINT) AS rank FROM (SELECT *, "
+    f"CASE WHEN count(dim0) OVER w >= 3 THEN avg(dim0) OVER w END AS v FROM {P} WINDOW w AS (PARTITION BY recording "
+    f"ORDER BY place, part, dim0, dim1 ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))",
+)
 def w10(t: Tables) -> DataFrame:
     w = Window.partitionBy("recording").orderBy("place", "part", "dim0", "dim1").rowsBetween(-2, 2)
     r = Window.partitionBy("recording").orderBy(F.desc("dim0"), "place", "part", "dim1")
@@ -303,19 +398,33 @@ def w10(t: Tables) -> DataFrame:
     return passages(t).select("recording", "place", "part", F.round(smooth, 6).alias("smooth"), F.row_number().over(r).cast("long").alias("rank"))
 
 
-@query("W12_adjacent_differences", "SELECT o_custkey, round(min(d), 2) AS fall, round(max(d), 2) AS rise, CAST(count(*) FILTER (d < 0) AS BIGINT) AS falls FROM (SELECT o_custkey, o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS d FROM orders) GROUP BY 1")
+@query(
+    "W12_adjacent_differences",
+    "SELECT o_custkey, round(min(d), 2) AS fall, round(max(d), 2) AS rise, CAST(count(*) FILTER (d < 0) AS BIGINT) AS falls "
+    "FROM (SELECT o_custkey, o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS d "
+    "FROM orders) GROUP BY 1",
+)
 def w12(t: Tables) -> DataFrame:
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     d = t.orders.select("o_custkey", (F.col("o_totalprice") - F.lag("o_totalprice").over(w)).alias("d"))
     return d.groupBy("o_custkey").agg(F.round(F.min("d"), 2).alias("fall"), F.round(F.max("d"), 2).alias("rise"), F.count_if(F.col("d") < 0).alias("falls"))
 
 
-@query("W13_milestones", "SELECT o_custkey, year(o_orderdate) AS year, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_id, arg_max(o_orderkey, (o_totalprice, o_orderkey)) AS peak_id FROM orders GROUP BY 1, 2")
+@query(
+    "W13_milestones",
+    "SELECT o_custkey, year(o_orderdate) AS year, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_id, arg_max(o_orderkey, "
+    "(o_totalprice, o_orderkey)) AS peak_id FROM orders GROUP BY 1, 2",
+)
 def w13(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("last_id"), F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("peak_id"))
 
 
-@query("W14_mean_change", "SELECT o_custkey, round(avg(abs(d)), 1) AS change, round(arg_max(o_totalprice, (o_orderdate, o_orderkey)) - arg_min(o_totalprice, (o_orderdate, o_orderkey)), 2) AS drift FROM (SELECT *, o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS d FROM orders) GROUP BY 1 HAVING count(*) >= 3")
+@query(
+    "W14_mean_change",
+    "SELECT o_custkey, round(avg(abs(d)), 1) AS change, round(arg_max(o_totalprice, (o_orderdate, o_orderkey)) - arg_min(o_totalprice, "
+    "(o_orderdate, o_orderkey)), 2) AS drift FROM (SELECT *, o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey "
+    "ORDER BY o_orderdate, o_orderkey) AS d FROM orders) GROUP BY 1 HAVING count(*) >= 3",
+)
 def w14(t: Tables) -> DataFrame:
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     o = t.orders.withColumn("d", F.col("o_totalprice") - F.lag("o_totalprice").over(w))
@@ -324,7 +433,10 @@ def w14(t: Tables) -> DataFrame:
     return g.where("n >= 3").drop("n")
 
 
-_MONTHS = "SELECT o_orderpriority AS topic, CAST(year(o_orderdate) * 12 + month(o_orderdate) AS BIGINT) AS m, count(*) AS hits, count(DISTINCT o_custkey) AS recordings, count(*) / 10.0 AS rate FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2"
+_MONTHS = (
+    "SELECT o_orderpriority AS topic, CAST(year(o_orderdate) * 12 + month(o_orderdate) AS BIGINT) AS m, count(*) AS hits, "
+    "count(DISTINCT o_custkey) AS recordings, count(*) / 10.0 AS rate FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2"
+)
 
 
 @query(
@@ -341,7 +453,12 @@ def w15(t: Tables) -> DataFrame:
     return st.islands(flagged, ["topic"], "m")
 
 
-@query("W16_contiguous_runs", "SELECT user_id, min(d) AS first, max(d) AS last, CAST(count(*) AS BIGINT) AS n FROM (SELECT *, d - row_number() OVER (PARTITION BY user_id ORDER BY d) AS i FROM (SELECT DISTINCT user_id, CAST(day(ts) AS BIGINT) AS d FROM events WHERE event_type = 'error')) GROUP BY user_id, i")
+@query(
+    "W16_contiguous_runs",
+    "SELECT user_id, min(d) AS first, max(d) AS last, CAST(count(*) AS BIGINT) AS n "
+    "FROM (SELECT *, d - row_number() OVER (PARTITION BY user_id ORDER BY d) AS i "
+    "FROM (SELECT DISTINCT user_id, CAST(day(ts) AS BIGINT) AS d FROM events WHERE event_type = 'error')) GROUP BY user_id, i",
+)
 def w16(t: Tables) -> DataFrame:
     return st.islands(t.events.where("event_type = 'error'").select("user_id", F.dayofmonth("ts").cast("long").alias("d")), ["user_id"], "d")
 
@@ -351,12 +468,23 @@ def w17(t: Tables) -> DataFrame:
     return st.merged_ranges(t.lineitem.select("l_suppkey", (F.col("l_partkey") * 100).alias("a"), (F.col("l_partkey") * 100 + F.col("l_quantity").cast("long") * 10).alias("b")), "l_suppkey", "a", "b")
 
 
-@query("W18_uniform_cap", "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) WHERE n <= 4 OR list_contains([0, (n - 1) // 3, 2 * (n - 1) // 3, n - 1], i)")
+@query(
+    "W18_uniform_cap",
+    "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey "
+    "ORDER BY o_orderdate, o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) "
+    "WHERE n <= 4 OR list_contains([0, (n - 1) // 3, 2 * (n - 1) // 3, n - 1], i)",
+)
 def w18(t: Tables) -> DataFrame:
     return st.evenly_spaced(t.orders, "o_custkey", ["o_orderdate", "o_orderkey"], 4).select("o_custkey", "o_orderkey")
 
 
-@query("W19_stratified_sample", "SELECT o_orderpriority, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders) WHERE i IN (SELECT unnest(range(0, 100))) AND n < 100 OR n >= 100 AND floor(ceil(i * 100 / n) * n / 100) = i AND ceil(i * 100 / n) < 100")
+@query(
+    "W19_stratified_sample",
+    "SELECT o_orderpriority, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority "
+    "ORDER BY o_orderdate, o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders) "
+    "WHERE i IN (SELECT unnest(range(0, 100))) AND n < 100 OR n >= 100 AND floor(ceil(i * 100 / n) * n / 100) = i AND ceil(i * 100 / "
+    "n) < 100",
+)
 def w19(t: Tables) -> DataFrame:
     """A hundred rows a stratum at places floor(i * n / 100)."""
     r = ranks.numbered(t.orders.select("o_orderpriority", "o_orderdate", "o_orderkey"), "o_orderpriority", ["o_orderdate", "o_orderkey"], "i", "n")

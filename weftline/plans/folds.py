@@ -49,7 +49,11 @@ def r5(t: Tables) -> DataFrame:
     return folds.rate_limited(rows, per_day=2, per_hour=1, gap_ms=3000)
 
 
-@query("R6_result_cache", "SELECT user_id, event_type, bucket, min(event_id) AS event_id, CAST(count(*) - 1 AS BIGINT) AS hits FROM (SELECT *, epoch_us(ts) // 300000000 AS bucket FROM events) GROUP BY 1, 2, 3")
+@query(
+    "R6_result_cache",
+    "SELECT user_id, event_type, bucket, min(event_id) AS event_id, CAST(count(*) - 1 AS BIGINT) AS hits "
+    "FROM (SELECT *, epoch_us(ts) // 300000000 AS bucket FROM events) GROUP BY 1, 2, 3",
+)
 def r6(t: Tables) -> DataFrame:
     """Five-minute result cache: the first request of a key and bucket computes, the others hit."""
     bucket = F.expr("unix_seconds(cast(ts as timestamp)) div 300")

@@ -37,32 +37,56 @@ _SEEDS = [("r0", 1), ("r1", 3), ("n7", 2), ("c5", 4)]
 _SEED_ROWS = ", ".join(f"('{i}', {n})" for i, n in _SEEDS)
 
 
-@query("G1_U5_reachability", f"WITH RECURSIVE e AS ({_CHAIN} UNION {_BACK}), r(id, label) AS (SELECT * FROM (VALUES {_SEED_ROWS}) UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.id) SELECT id, max(label) AS label FROM r GROUP BY 1")
+@query(
+    "G1_U5_reachability",
+    f"WITH RECURSIVE e AS ({_CHAIN} UNION {_BACK}), r(id, label) AS (SELECT * FROM (VALUES {_SEED_ROWS}) UNION SELECT e.b, r.label "
+    f"FROM r JOIN e ON e.a = r.id) SELECT id, max(label) AS label FROM r GROUP BY 1",
+)
 def g1(t: Tables) -> DataFrame:
     """Over the whole graph of all tables, with cycles through the suppliers' nations."""
     return graphs.reachable(chain(t).union(back(t)), t.spark.createDataFrame(_SEEDS, "id string, label int"))
 
 
-@query("G2_cycles", f"WITH RECURSIVE e AS ({_CHAIN}), r(s, v) AS (SELECT DISTINCT b, b FROM ({_BACK}) UNION SELECT r.s, e.b FROM r JOIN e ON e.a = r.v) SELECT x.a, x.b, count(r.v) > 0 AS cyclic FROM ({_BACK}) x LEFT JOIN r ON r.s = x.b AND r.v = x.a GROUP BY 1, 2")
+@query(
+    "G2_cycles",
+    f"WITH RECURSIVE e AS ({_CHAIN}), r(s, v) AS (SELECT DISTINCT b, b FROM ({_BACK}) UNION SELECT r.s, e.b FROM r JOIN e ON e.a = r.v) "
+    f"SELECT x.a, x.b, count(r.v) > 0 AS cyclic FROM ({_BACK}) x LEFT JOIN r ON r.s = x.b AND r.v = x.a GROUP BY 1, 2",
+)
 def g2(t: Tables) -> DataFrame:
     """Which new edges, from suppliers to nations, would close a cycle: those whose target reaches their source."""
     return graphs.closing_edges(chain(t), back(t))
 
 
-@query("G3_components", "WITH RECURSIVE e AS (SELECT DISTINCT * FROM (SELECT l_suppkey AS a, l_suppkey // 3 AS b FROM lineitem WHERE l_quantity > 49 UNION ALL SELECT l_suppkey // 3, l_suppkey FROM lineitem WHERE l_quantity > 49)), r(id, c) AS (SELECT a, a FROM e UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id) SELECT id, min(c) AS component FROM r GROUP BY 1")
+@query(
+    "G3_components",
+    "WITH RECURSIVE e AS (SELECT DISTINCT * FROM (SELECT l_suppkey AS a, l_suppkey // 3 AS b FROM lineitem WHERE l_quantity > 49 "
+    "UNION ALL SELECT l_suppkey // 3, l_suppkey FROM lineitem WHERE l_quantity > 49)), r(id, c) AS (SELECT a, a FROM e UNION "
+    "SELECT e.b, r.c FROM r JOIN e ON e.a = r.id) SELECT id, min(c) AS component FROM r GROUP BY 1",
+)
 def g3(t: Tables) -> DataFrame:
     return graphs.components(t.lineitem.where("l_quantity > 49").select(F.col("l_suppkey").alias("a"), F.expr("l_suppkey div 3").alias("b")))
 
 
-@query("G8_U3_pruning", "SELECT c_custkey AS id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
+@query(
+    "G8_U3_pruning",
+    "SELECT c_custkey AS id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders "
+    "WHERE o_orderstatus = 'F') AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)",
+)
 def g8(t: Tables) -> DataFrame:
     link = lambda c: t.orders.where(c).select(F.col("o_custkey").alias("id"))
     return graphs.pruned(t.customer.select(F.col("c_custkey").alias("id")), {"participants": link("o_orderstatus = 'F'"), "evidence": link("o_totalprice > 400000")})
 
 
-_PAIRS = "SELECT a.l_suppkey AS a, b.l_suppkey AS b, CAST(count(*) AS BIGINT) AS weight FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) a JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2"
+_PAIRS = (
+    "SELECT a.l_suppkey AS a, b.l_suppkey AS b, CAST(count(*) AS BIGINT) AS weight FROM (SELECT DISTINCT l_orderkey, l_suppkey "
+    "FROM lineitem) a JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) b "
+    "ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2"
+)
 _TOTAL = "(SELECT l_suppkey AS s, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1)"
-_LIFT = f"SELECT a, b, weight, round(weight * (SELECT count(DISTINCT l_orderkey) FROM lineitem) / (x.n * y.n), 6) AS lift FROM ({_PAIRS}) p JOIN {_TOTAL} x ON x.s = a JOIN {_TOTAL} y ON y.s = b"
+_LIFT = (
+    f"SELECT a, b, weight, round(weight * (SELECT count(DISTINCT l_orderkey) FROM lineitem) / (x.n * y.n), 6) AS lift FROM ({_PAIRS}) p "
+    f"JOIN {_TOTAL} x ON x.s = a JOIN {_TOTAL} y ON y.s = b"
+)
 
 
 def co_mentions(t: Tables) -> DataFrame:
@@ -81,14 +105,22 @@ def a32(t: Tables) -> DataFrame:
     return co_mentions(t)
 
 
-@query("O12_edge_selection", f"SELECT a, b, weight, lift, greatest(0, n - 40) AS hidden FROM (SELECT *, CAST(count(*) OVER () AS BIGINT) AS n FROM ({_LIFT}) WHERE weight >= 2 AND lift >= 1.1) ORDER BY weight DESC, a, b LIMIT 40")
+@query(
+    "O12_edge_selection",
+    f"SELECT a, b, weight, lift, greatest(0, n - 40) AS hidden FROM (SELECT *, CAST(count(*) OVER () AS BIGINT) AS n FROM ({_LIFT}) "
+    f"WHERE weight >= 2 AND lift >= 1.1) ORDER BY weight DESC, a, b LIMIT 40",
+)
 def o12(t: Tables) -> DataFrame:
     found = graphs.written(co_mentions(t))
     top, hidden = graphs.strongest_edges(found, 2, 1.1, 40)
     return top.withColumn("hidden", F.lit(hidden).cast("long"))
 
 
-@query("A34_degrees", f"SELECT id, CAST(sum(weight) AS BIGINT) AS degree, CAST(count(*) AS BIGINT) AS links FROM (SELECT a AS id, weight FROM ({_PAIRS}) UNION ALL SELECT b, weight FROM ({_PAIRS})) GROUP BY 1")
+@query(
+    "A34_degrees",
+    f"SELECT id, CAST(sum(weight) AS BIGINT) AS degree, CAST(count(*) AS BIGINT) AS links FROM (SELECT a AS id, weight FROM ({_PAIRS}) "
+    f"UNION ALL SELECT b, weight FROM ({_PAIRS})) GROUP BY 1",
+)
 def a34(t: Tables) -> DataFrame:
     return graphs.degrees(co_mentions(t))
 
@@ -107,13 +139,26 @@ def g20(t: Tables) -> DataFrame:
     return m.withColumnRenamed("g", "a").join(shifted, "k").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
-@query("A35_fingerprint_summary", "WITH h AS (SELECT vec_id, label, list_sum([CASE WHEN embedding[i] > 0 THEN 1::BIGINT << (i - 1) ELSE 0 END FOR i IN range(1, 33)])::BIGINT AS h FROM embeddings) SELECT a.label, CAST(min(bit_count(xor(a.h, b.h))) AS INT) AS best, CAST(count(*) FILTER (a.h = b.h) AS BIGINT) AS exact FROM h a JOIN h b ON a.label = b.label AND a.vec_id < b.vec_id WHERE bit_count(xor(a.h, b.h)) <= 10 GROUP BY 1")
+@query(
+    "A35_fingerprint_summary",
+    "WITH h AS (SELECT vec_id, label, list_sum([CASE WHEN embedding[i] > 0 THEN 1::BIGINT << (i - 1) ELSE 0 END FOR i IN range(1, "
+    "33)])::BIGINT AS h FROM embeddings) SELECT a.label, CAST(min(bit_count(xor(a.h, b.h))) AS INT) AS best, CAST(count(*) FILTER (a.h "
+    "= b.h) AS BIGINT) AS exact FROM h a JOIN h b ON a.label = b.label AND a.vec_id < b.vec_id WHERE bit_count(xor(a.h, b.h)) <= 10 "
+    "GROUP BY 1",
+)
 def a35(t: Tables) -> DataFrame:
     pairs = vectors.hamming_pairs(vectors.sign_hash(t.embeddings, "embedding", 32), "vec_id", "label", "h", 32, 10)
     return pairs.join(t.embeddings.select(F.col("vec_id").alias("a"), "label"), "a").groupBy("label").agg(F.min("distance").alias("best"), F.count_if(F.col("distance") == 0).alias("exact"))
 
 
-@query("G11_nearest_standardised", "SELECT a, b, round(d, 5) AS distance FROM (SELECT a.vec_id AS a, b.vec_id AS b, sqrt(list_sum([(x[1] - x[2]) ** 2 FOR x IN list_zip(a.v, b.v)])) AS d, row_number() OVER (PARTITION BY a.vec_id ORDER BY sqrt(list_sum([(x[1] - x[2]) ** 2 FOR x IN list_zip(a.v, b.v)])), b.vec_id) AS n FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) a JOIN (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0) WHERE n <= 5")
+@query(
+    "G11_nearest_standardised",
+    "SELECT a, b, round(d, 5) AS distance FROM (SELECT a.vec_id AS a, b.vec_id AS b, sqrt(list_sum([(x[1] - x[2]) ** 2 FOR x IN "
+    "list_zip(a.v, b.v)])) AS d, row_number() OVER (PARTITION BY a.vec_id "
+    "ORDER BY sqrt(list_sum([(x[1] - x[2]) ** 2 FOR x IN list_zip(a.v, b.v)])), b.vec_id) AS n "
+    "FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) a JOIN (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) b "
+    "ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0) WHERE n <= 5",
+)
 def g11(t: Tables) -> DataFrame:
     """Five exact Euclidean neighbours of the query rows: cosine's blocked search with vectors lifted so that order agrees."""
     v = F.transform("embedding", lambda x: x.cast("double"))
@@ -166,27 +211,45 @@ def a37(t: Tables) -> DataFrame:
     return ends.groupBy(F.col("ga").alias("group")).agg(F.count("*").alias("members"), F.round(F.min("least"), 6).alias("least"), F.max_by("id", F.struct("mean", -F.col("id"))).alias("medoid"))
 
 
-@query("G22_fixed_hop", "SELECT o_orderkey, CAST(s AS BIGINT) AS start, CAST(least(s + 30, d) AS BIGINT) AS stop FROM (SELECT o_orderkey, d, unnest(range(0, d, 25)) AS s FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) // 1000 AS d FROM orders)) WHERE d - s >= 10 OR s = 0")
+@query(
+    "G22_fixed_hop",
+    "SELECT o_orderkey, CAST(s AS BIGINT) AS start, CAST(least(s + 30, d) AS BIGINT) AS stop "
+    "FROM (SELECT o_orderkey, d, unnest(range(0, d, 25)) AS s FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) // 1000 AS "
+    "d FROM orders)) WHERE d - s >= 10 OR s = 0",
+)
 def g22(t: Tables) -> DataFrame:
     """Chunks of 30 every 25; a tail under 10 goes, unless it is all there is."""
     d = t.orders.select("o_orderkey", F.expr("cast(o_totalprice as bigint) div 1000").alias("d"))
     return d.where("d > 0").select("o_orderkey", "d", F.explode(F.sequence(F.lit(0).cast("long"), F.col("d") - 1, F.lit(25).cast("long"))).alias("start")).where("d - start >= 10 or start = 0").select("o_orderkey", "start", F.least(F.col("start") + 30, "d").alias("stop"))
 
 
-@query("G23_selection_planner", "SELECT l_partkey, arg_min(l_orderkey, (l_quantity, l_orderkey)) AS chosen, min(l_quantity) AS size FROM lineitem WHERE l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45) GROUP BY 1")
+@query(
+    "G23_selection_planner",
+    "SELECT l_partkey, arg_min(l_orderkey, (l_quantity, l_orderkey)) AS chosen, min(l_quantity) AS size FROM lineitem "
+    "WHERE l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45) GROUP BY 1",
+)
 def g23(t: Tables) -> DataFrame:
     """The smallest rendition of every part that no other source covers."""
     covered = t.lineitem.where("l_quantity > 45").select("l_partkey").distinct()
     return t.lineitem.join(covered, "l_partkey", "left_anti").groupBy("l_partkey").agg(F.min_by("l_orderkey", F.struct("l_quantity", "l_orderkey")).alias("chosen"), F.min("l_quantity").alias("size"))
 
 
-@query("G26_identity_projection", "SELECT conv_id, turn, CAST(turn * 1000 AS BIGINT) AS start_ms, CAST(least(turn * 1000 + length(text), 3000) AS BIGINT) AS end_ms FROM conversations WHERE turn * 1000 < 3000")
+@query(
+    "G26_identity_projection",
+    "SELECT conv_id, turn, CAST(turn * 1000 AS BIGINT) AS start_ms, CAST(least(turn * 1000 + length(text), 3000) AS BIGINT) AS end_ms "
+    "FROM conversations WHERE turn * 1000 < 3000",
+)
 def g26(t: Tables) -> DataFrame:
     start = F.col("turn") * 1000
     return t.conversations.where(start < 3000).select("conv_id", "turn", start.alias("start_ms"), F.least(start + F.char_length("text"), F.lit(3000)).cast("long").alias("end_ms"))
 
 
-@query("G27_cannot_link", "SELECT least(a, b) AS lo, greatest(a, b) AS hi, CAST(count(*) AS BIGINT) AS n FROM (SELECT user_id AS a, CAST(json_extract(props, '$.k') AS BIGINT) AS b FROM events) WHERE a <> b GROUP BY 1, 2 HAVING count(*) > 1")
+@query(
+    "G27_cannot_link",
+    "SELECT least(a, b) AS lo, greatest(a, b) AS hi, CAST(count(*) AS BIGINT) AS n "
+    "FROM (SELECT user_id AS a, CAST(json_extract(props, '$.k') AS BIGINT) AS b FROM events) WHERE a <> b GROUP BY 1, 2 "
+    "HAVING count(*) > 1",
+)
 def g27(t: Tables) -> DataFrame:
     e = t.events.select(F.col("user_id").alias("a"), F.get_json_object("props", "$.k").cast("long").alias("b")).where("a <> b")
     return e.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.count("*").alias("n")).where("n > 1")
@@ -231,14 +294,25 @@ def g21_coverage(t: Tables) -> DataFrame:
     return folds.span_coverage(_spans(t))
 
 
-@query("G25_payload_audit", "SELECT o_orderstatus, CAST(sum(greatest(0, least(b, 400) - greatest(a, 100))) AS BIGINT) AS bytes FROM (SELECT o_orderstatus, CAST(floor(o_totalprice) AS BIGINT) // 1000 AS a, CAST(floor(o_totalprice) AS BIGINT) // 1000 + 20 AS b FROM orders) GROUP BY 1")
+@query(
+    "G25_payload_audit",
+    "SELECT o_orderstatus, CAST(sum(greatest(0, least(b, 400) - greatest(a, 100))) AS BIGINT) AS bytes "
+    "FROM (SELECT o_orderstatus, CAST(floor(o_totalprice) AS BIGINT) // 1000 AS a, CAST(floor(o_totalprice) AS BIGINT) // 1000 + 20 AS "
+    "b FROM orders) GROUP BY 1",
+)
 def g25(t: Tables) -> DataFrame:
     a = F.expr("cast(o_totalprice as bigint) div 1000")
     inside = F.greatest(F.lit(0), F.least(a + 20, F.lit(400)) - F.greatest(a, F.lit(100)))
     return t.orders.groupBy("o_orderstatus").agg(F.sum(inside).cast("long").alias("bytes"))
 
 
-@query("G9_attach_groups", "SELECT e.user_id, e.event_type, CASE WHEN g.n = 1 AND g.d = sha256(e.event_type) THEN g.grp END AS grp FROM (SELECT DISTINCT user_id, event_type FROM events) e LEFT JOIN (SELECT user_id, min(grp) AS grp, count(*) AS n, min(d) AS d FROM (SELECT user_id, user_id // 10 AS grp, sha256(CASE WHEN user_id % 3 = 0 THEN 'view' ELSE 'click' END) AS d FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 4 <> 0) GROUP BY 1) g USING (user_id)")
+@query(
+    "G9_attach_groups",
+    "SELECT e.user_id, e.event_type, CASE WHEN g.n = 1 AND g.d = sha256(e.event_type) THEN g.grp END AS grp "
+    "FROM (SELECT DISTINCT user_id, event_type FROM events) e LEFT JOIN (SELECT user_id, min(grp) AS grp, count(*) AS n, min(d) AS d "
+    "FROM (SELECT user_id, user_id // 10 AS grp, sha256(CASE WHEN user_id % 3 = 0 THEN 'view' ELSE 'click' END) AS d "
+    "FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 4 <> 0) GROUP BY 1) g USING (user_id)",
+)
 def g9(t: Tables) -> DataFrame:
     """Group membership attached where it is unique and its digest still agrees; stale or doubled rows fall back to none."""
     members = t.events.select("user_id").distinct().where("user_id % 4 <> 0").select("user_id", F.expr("user_id div 10").alias("grp"), F.sha2(F.when(F.col("user_id") % 3 == 0, "view").otherwise("click").cast("binary"), 256).alias("d"))

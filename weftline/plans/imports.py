@@ -168,7 +168,10 @@ def s7(t: Tables) -> DataFrame:
     return importers.search_candidates(_json(t, rows, importers.CANDIDATE + ", place long"), known, "search").select("place", "id", "state", "task_id")
 
 
-_PUBLISHED = "CASE WHEN c_custkey % 3 = 0 THEN strftime(to_timestamp(1500000000 + c_custkey * 1000) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') WHEN c_custkey % 3 = 1 THEN '2019-05-06T00:00:00Z' END"
+_PUBLISHED = (
+    "CASE WHEN c_custkey % 3 = 0 THEN strftime(to_timestamp(1500000000 + c_custkey * 1000) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') "
+    "WHEN c_custkey % 3 = 1 THEN '2019-05-06T00:00:00Z' END"
+)
 
 
 @query(

@@ -15,18 +15,29 @@ from weftline.streaming import decision_log
 RANK = "CASE event_type WHEN 'error' THEN 0 WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'click' THEN 3 ELSE 4 END"
 
 
-@query("W1_latest_by_sequence", "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) n FROM events) WHERE n = 1")
+@query(
+    "W1_latest_by_sequence",
+    "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) n "
+    "FROM events) WHERE n = 1",
+)
 def w1(t: Tables) -> DataFrame:
     return resolve.latest_per_key(t.events.select("user_id", "event_id", "event_type", "value"), ["user_id"], [F.col("event_id")])
 
 
-@query("W2_latest_by_instant", "SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('day', ts) DESC, event_id DESC) n FROM events) WHERE n = 1")
+@query(
+    "W2_latest_by_instant",
+    "SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type "
+    "ORDER BY date_trunc('day', ts) DESC, event_id DESC) n FROM events) WHERE n = 1",
+)
 def w2(t: Tables) -> DataFrame:
     e = t.events.select("user_id", "event_type", F.date_trunc("day", "ts").alias("day"), "event_id", "value")
     return resolve.latest_per_key(e, ["user_id", "event_type"], [F.col("day"), F.col("event_id")]).drop("day")
 
 
-_WINNER = f"SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CAST(json_extract_string(props, '$.k') AS INT) DESC, date_trunc('day', ts) DESC, {RANK}, md5(props) DESC, event_type DESC, event_id DESC) n FROM events"
+_WINNER = (
+    f"SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CAST(json_extract_string(props, '$.k') AS INT) DESC, date_trunc('day', "
+    f"ts) DESC, {RANK}, md5(props) DESC, event_type DESC, event_id DESC) n FROM events"
+)
 
 
 def _ranked(t: Tables) -> tuple[DataFrame, list]:
@@ -82,20 +93,34 @@ def w7(t: Tables) -> DataFrame:
     return resolve.transitions(t.events, "user_id", ["event_id"], "event_type", _ALLOWED).select("user_id", "event_id", "previous", "event_type")
 
 
-@query("W8_running_offset", "SELECT l_orderkey, l_linenumber, l_partkey, first_byte, first_byte + l_quantity - 1 AS last_byte FROM (SELECT *, coalesce(sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_byte FROM lineitem)")
+@query(
+    "W8_running_offset",
+    "SELECT l_orderkey, l_linenumber, l_partkey, first_byte, first_byte + l_quantity - 1 AS last_byte "
+    "FROM (SELECT *, coalesce(sum(l_quantity) OVER (PARTITION BY l_orderkey "
+    "ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_byte "
+    "FROM lineitem)",
+)
 def w8(t: Tables) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("l_quantity").over(w), F.lit(0.0))
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", first.alias("first_byte"), (first + F.col("l_quantity") - 1).alias("last_byte"))
 
 
-@query("W9_ordinal", "SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS BIGINT) AS ordinal FROM orders")
+@query(
+    "W9_ordinal",
+    "SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey "
+    "ORDER BY o_orderdate, o_orderkey) - 1 AS BIGINT) AS ordinal FROM orders",
+)
 def w9(t: Tables) -> DataFrame:
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     return t.orders.select("o_custkey", "o_orderkey", (F.row_number().over(w) - 1).cast("long").alias("ordinal"))
 
 
-@query("J9_newest_theta", "SELECT a.user_id, a.event_type, a.event_id FROM events a WHERE NOT EXISTS (SELECT 1 FROM events b WHERE b.user_id = a.user_id AND b.event_type = a.event_type AND (b.ts > a.ts OR (b.ts = a.ts AND b.event_id > a.event_id)))")
+@query(
+    "J9_newest_theta",
+    "SELECT a.user_id, a.event_type, a.event_id FROM events a WHERE NOT EXISTS (SELECT 1 FROM events b "
+    "WHERE b.user_id = a.user_id AND b.event_type = a.event_type AND (b.ts > a.ts OR (b.ts = a.ts AND b.event_id > a.event_id)))",
+)
 def j9(t: Tables) -> DataFrame:
     """The theta anti-join 'no newer row', as the aggregate it amounts to."""
     return resolve.latest_per_key(t.events.select("user_id", "event_type", "ts", "event_id"), ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]).drop("ts")
@@ -159,7 +184,11 @@ def r3(t: Tables) -> DataFrame:
     return resolve.insert_ignore(e.where("event_id % 7 < 4"), e.where("event_id % 7 between 2 and 4"), ["event_id"]).select("user_id", "event_id")
 
 
-@query("R4_late_observations", "SELECT user_id, epoch_us(min(ts)) AS first_seen, epoch_us(max(ts)) AS last_seen, arg_max(event_type, (value, event_id)) AS winner FROM events GROUP BY 1")
+@query(
+    "R4_late_observations",
+    "SELECT user_id, epoch_us(min(ts)) AS first_seen, epoch_us(max(ts)) AS last_seen, arg_max(event_type, (value, event_id)) AS winner "
+    "FROM events GROUP BY 1",
+)
 def r4(t: Tables) -> DataFrame:
     """Early and late parts merge to what the whole history gives."""
 
@@ -182,7 +211,11 @@ def k11(t: Tables) -> DataFrame:
     return resolve.upsert(part(t.orders.where("o_orderkey % 2 = 0")), part(t.orders.where("o_orderkey % 2 = 1")), "o_custkey", {"first_date": "least", "last_date": "greatest", "n": "sum"})
 
 
-@query("K12_insert_ignore", "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1 UNION ALL SELECT o_custkey, min(o_orderkey) FROM orders WHERE o_orderstatus = 'F' GROUP BY 1")
+@query(
+    "K12_insert_ignore",
+    "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders "
+    "WHERE o_orderstatus = 'F') GROUP BY 1 UNION ALL SELECT o_custkey, min(o_orderkey) FROM orders WHERE o_orderstatus = 'F' GROUP BY 1",
+)
 def k12(t: Tables) -> DataFrame:
     old = t.orders.where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
     return resolve.insert_ignore(old, t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"])
@@ -198,7 +231,11 @@ def r1_stream(t: Tables) -> DataFrame:
     return decision_log.current_state(t.spark, f"{folder}/state", ["user_id"], "event_id")
 
 
-@query("R7_stream_windows", "SELECT date_trunc('day', ts) AS start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+@query(
+    "R7_stream_windows",
+    "SELECT date_trunc('day', ts) AS start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total FROM events "
+    "GROUP BY 1, 2",
+)
 def r7(t: Tables) -> DataFrame:
     """Daily windows of event time behind a watermark, kept by a stream; each batch writes the windows whole."""
     folder = f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"

@@ -48,12 +48,20 @@ def t4(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", tokens(F.col("text")).alias("t")).select("doc_id", F.size("t").alias("n"), F.size(F.array_distinct("t")).alias("kinds"))
 
 
-@query("T4_postings", f"SELECT term, CAST(count(*) AS BIGINT) AS tf, CAST(count(DISTINCT id) AS BIGINT) AS df FROM (SELECT doc_id AS id, unnest({TOKENS}) AS term FROM documents) GROUP BY 1")
+@query(
+    "T4_postings",
+    f"SELECT term, CAST(count(*) AS BIGINT) AS tf, CAST(count(DISTINCT id) AS BIGINT) AS df "
+    f"FROM (SELECT doc_id AS id, unnest({TOKENS}) AS term FROM documents) GROUP BY 1",
+)
 def t4b(t: Tables) -> DataFrame:
     return fulltext.postings(t.documents, "doc_id", "text").groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
 
 
-@query("T5_search_records", "SELECT conv_id, turn, 'conv-' || CAST(conv_id AS VARCHAR) || '#turn-' || CAST(turn AS VARCHAR) AS url, role, CAST(length(text) AS INT) AS size FROM conversations WHERE trim(text) <> ''")
+@query(
+    "T5_search_records",
+    "SELECT conv_id, turn, 'conv-' || CAST(conv_id AS VARCHAR) || '#turn-' || CAST(turn AS VARCHAR) AS url, role, CAST(length(text) AS "
+    "INT) AS size FROM conversations WHERE trim(text) <> ''",
+)
 def t5(t: Tables) -> DataFrame:
     url = F.concat(F.lit("conv-"), F.col("conv_id").cast("string"), F.lit("#turn-"), F.col("turn").cast("string"))
     return t.conversations.where(F.trim("text") != "").select("conv_id", "turn", url.alias("url"), "role", F.char_length("text").alias("size"))
@@ -84,7 +92,11 @@ def t6_facets(t: Tables) -> DataFrame:
     return t.documents.where(hit).groupBy("source", "lang").agg(F.count("*").alias("n"))
 
 
-@query("T7_snippets", "SELECT doc_id, regexp_replace(substr(text, greatest(instr(lower(text), 'licensed') - 40, 1), 88), '(licensed)', '<mark>\\1</mark>', 'gi') AS snippet FROM documents WHERE instr(lower(text), 'licensed') > 0")
+@query(
+    "T7_snippets",
+    "SELECT doc_id, regexp_replace(substr(text, greatest(instr(lower(text), 'licensed') - 40, 1), 88), '(licensed)', "
+    "'<mark>\\1</mark>', 'gi') AS snippet FROM documents WHERE instr(lower(text), 'licensed') > 0",
+)
 def t7(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", fulltext.snippet(F.col("text"), "licensed").alias("snippet")).where("snippet is not null")
 
@@ -93,7 +105,11 @@ _NAMES = ["Apache License", "MIT License", "GNU General Public License", "Licens
 _MENTION = r"regexp_extract_all(text, '(GNU General Public License|Apache License|MIT License|License)(?:[^\p{L}\p{N}]|$)', 1)"
 
 
-@query("T8_T9_mentions", f"SELECT name, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT doc_id) AS BIGINT) AS docs FROM (SELECT doc_id, unnest({_MENTION}) AS name FROM documents) GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2")
+@query(
+    "T8_T9_mentions",
+    f"SELECT name, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT doc_id) AS BIGINT) AS docs "
+    f"FROM (SELECT doc_id, unnest({_MENTION}) AS name FROM documents) GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2",
+)
 def t8(t: Tables) -> DataFrame:
     """Whole-word mentions of gazetteer names, the longest first, kept where two documents or more have them."""
     found = t.documents.select("doc_id", F.explode(fulltext.mentions(F.col("text"), _NAMES)).alias("name"))
@@ -118,7 +134,11 @@ def t10(t: Tables) -> DataFrame:
     return found.select("entity", "doc_id", F.array_join("basis", ",").alias("basis"))
 
 
-@query("T10_events", "SELECT substr(sha256(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) || '|' || role), 1, 16) AS id, CAST(count(*) AS BIGINT) AS n FROM conversations GROUP BY 1")
+@query(
+    "T10_events",
+    "SELECT substr(sha256(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) || '|' || role), 1, 16) AS id, CAST(count(*) AS BIGINT) "
+    "AS n FROM conversations GROUP BY 1",
+)
 def t10_events(t: Tables) -> DataFrame:
     """Accounts of one event: the same text but for case and white space, of one classification."""
     key = F.sha2(F.concat_ws("|", F.lower(F.trim(F.regexp_replace("text", r"\s+", " "))), "role").cast("binary"), 256)
@@ -151,13 +171,22 @@ def t12(t: Tables) -> DataFrame:
     return fused.orderBy(F.desc("score"), "doc_id").limit(6)
 
 
-@query("T15_exact_duplicates", "SELECT min(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS copies, CAST(count(DISTINCT source) AS BIGINT) AS sources FROM documents GROUP BY sha256(text) HAVING count(*) > 1")
+@query(
+    "T15_exact_duplicates",
+    "SELECT min(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS copies, CAST(count(DISTINCT source) AS BIGINT) AS sources "
+    "FROM documents GROUP BY sha256(text) HAVING count(*) > 1",
+)
 def t15(t: Tables) -> DataFrame:
     g = t.documents.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.countDistinct("source").alias("sources"))
     return g.where("copies > 1").drop("digest")
 
 
-@query("T16_rates_per_10k", "SELECT source, round(10000.0 * sum(hits) / sum(words), 6) AS rate FROM (SELECT source, len(regexp_extract_all(text, 'the')) AS hits, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS words FROM documents) GROUP BY 1")
+@query(
+    "T16_rates_per_10k",
+    "SELECT source, round(10000.0 * sum(hits) / sum(words), 6) AS rate "
+    "FROM (SELECT source, len(regexp_extract_all(text, 'the')) AS hits, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: "
+    "x <> '')) AS words FROM documents) GROUP BY 1",
+)
 def t16(t: Tables) -> DataFrame:
     rows = t.documents.select("source", F.regexp_count("text", F.lit("the")).alias("hits"), F.size(F.array_remove(F.split("text", r"\s+"), "")).alias("words"))
     return rows.groupBy("source").agg(F.round(10000.0 * F.sum("hits") / F.sum("words"), 6).alias("rate"))

@@ -19,25 +19,44 @@ def _release(t: Tables) -> DataFrame:
     return sinks.nested(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), lines, "o_orderkey", "lines", ["l_linenumber", "l_partkey", "l_suppkey"], ["l_linenumber", "l_partkey", "l_suppkey"])
 
 
-@query("K1_nested_release", "SELECT o_orderkey, o_custkey, CAST(count(l_orderkey) AS INT) AS n, coalesce(string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey), '') AS lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
+@query(
+    "K1_nested_release",
+    "SELECT o_orderkey, o_custkey, CAST(count(l_orderkey) AS INT) AS n, coalesce(string_agg(l_linenumber || ':' || l_partkey, ',' "
+    "ORDER BY l_linenumber, l_partkey, l_suppkey), '') AS lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2",
+)
 def k1(t: Tables) -> DataFrame:
     text = F.array_join(F.transform("lines", lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"])), ",")
     return _release(t).select("o_orderkey", "o_custkey", F.size("lines").alias("n"), text.alias("lines"))
 
 
-@query("K2_sharded_release", "SELECT o_orderstatus, CAST(n // 250 AS BIGINT) AS shard, CAST(count(*) AS BIGINT) AS rows, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY 1, 2")
+@query(
+    "K2_sharded_release",
+    "SELECT o_orderstatus, CAST(n // 250 AS BIGINT) AS shard, CAST(count(*) AS BIGINT) AS rows, min(o_orderkey) AS first_id, "
+    "max(o_orderkey) AS last_id FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS n "
+    "FROM orders) GROUP BY 1, 2",
+)
 def k2(t: Tables) -> DataFrame:
     shards = sinks.numbered_shards(t.orders, ["o_orderkey"], 250, "o_orderstatus")
     return shards.groupBy("o_orderstatus", "shard").agg(F.count("*").alias("rows"), F.min("o_orderkey").alias("first_id"), F.max("o_orderkey").alias("last_id"))
 
 
-@query("K2_sealed_shards", "SELECT o_orderstatus, shard, rows, CAST(strlen(payload) AS BIGINT) AS bytes, sha256(payload) AS sha256 FROM (SELECT o_orderstatus, CAST(n // 250 AS BIGINT) AS shard, CAST(count(*) AS BIGINT) AS rows, '[' || string_agg('{\"o_orderkey\":' || o_orderkey || ',\"o_custkey\":' || o_custkey || '}', ',' ORDER BY o_orderkey) || ']' AS payload FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY 1, 2)")
+@query(
+    "K2_sealed_shards",
+    "SELECT o_orderstatus, shard, rows, CAST(strlen(payload) AS BIGINT) AS bytes, sha256(payload) AS sha256 "
+    "FROM (SELECT o_orderstatus, CAST(n // 250 AS BIGINT) AS shard, CAST(count(*) AS BIGINT) AS rows, '[' || "
+    "string_agg('{\"o_orderkey\":' || o_orderkey || ',\"o_custkey\":' || o_custkey || '}', ',' ORDER BY o_orderkey) || ']' AS payload "
+    "FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY 1, 2)",
+)
 def k2b(t: Tables) -> DataFrame:
     shards = sinks.numbered_shards(t.orders, ["o_orderkey"], 250, "o_orderstatus")
     return sinks.sealed(shards, ["o_orderstatus", "shard"], ["o_orderkey"], ["o_orderkey", "o_custkey"]).drop("payload")
 
 
-@query("K2_written_and_validated", "SELECT CAST(count(*) AS BIGINT) AS shards, CAST(0 AS BIGINT) AS broken FROM (SELECT DISTINCT o_orderstatus, (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 250 FROM orders)")
+@query(
+    "K2_written_and_validated",
+    "SELECT CAST(count(*) AS BIGINT) AS shards, CAST(0 AS BIGINT) AS broken "
+    "FROM (SELECT DISTINCT o_orderstatus, (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 250 FROM orders)",
+)
 def k2c(t: Tables) -> DataFrame:
     """A release written to the shared folder, read again and verified."""
     shards = sinks.numbered_shards(t.orders, ["o_orderkey"], 250, "o_orderstatus")
@@ -53,7 +72,12 @@ def k3(t: Tables) -> DataFrame:
     return t.nation.groupBy(F.col("n_regionkey").alias("r")).agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("names"), F.count("*").alias("n"))
 
 
-@query("K6_score_shards", "SELECT lpad(CAST(n // 100 AS VARCHAR), 4, '0') || '-' || substr(sha256(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)), 1, 16) AS id, CAST(count(*) AS BIGINT) AS rows FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY n // 100")
+@query(
+    "K6_score_shards",
+    "SELECT lpad(CAST(n // 100 AS VARCHAR), 4, '0') || '-' || substr(sha256(string_agg(CAST(o_orderkey AS VARCHAR), ',' "
+    "ORDER BY o_orderkey)), 1, 16) AS id, CAST(count(*) AS BIGINT) AS rows "
+    "FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY n // 100",
+)
 def k6(t: Tables) -> DataFrame:
     rows = sinks.numbered_shards(t.orders.select("o_orderkey", F.lit("all").alias("lot")), ["o_orderkey"], 100, "lot")
     g = rows.groupBy("shard").agg(F.count("*").alias("rows"), F.array_sort(F.collect_list("o_orderkey")).alias("ids"))

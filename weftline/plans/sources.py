@@ -54,7 +54,11 @@ def s18(t: Tables) -> DataFrame:
     return rows.agg(F.lit("P").alias("k"), F.count("*").alias("n"))
 
 
-@query("S19_page_titles", "SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title, CAST(len(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1)) AS INT) AS links FROM pages")
+@query(
+    "S19_page_titles",
+    "SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title, CAST(len(regexp_extract_all(html, "
+    "'href=\"([^\"]+)\"', 1)) AS INT) AS links FROM pages",
+)
 def s19(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.nullif(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit("")).alias("title"), F.size(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("links"))
 
@@ -85,7 +89,11 @@ def s1(t: Tables) -> DataFrame:
     return doc.select("name", F.explode("items").alias("i")).groupBy("name").agg(F.count("*").alias("items"), F.sum("i.n_nationkey").cast("long").alias("total"))
 
 
-@query("S10_S11_torrent_listing", "SELECT CAST(s_suppkey AS VARCHAR) || '.bin' AS path, CAST(place AS BIGINT) AS place, 100 + place AS length, CAST(CASE place WHEN 0 THEN 0 WHEN 1 THEN 100 ELSE 201 END AS BIGINT) AS first FROM supplier, (SELECT unnest([0, 1, 2])::BIGINT AS place)")
+@query(
+    "S10_S11_torrent_listing",
+    "SELECT CAST(s_suppkey AS VARCHAR) || '.bin' AS path, CAST(place AS BIGINT) AS place, 100 + place AS length, CAST(CASE place WHEN "
+    "0 THEN 0 WHEN 1 THEN 100 ELSE 201 END AS BIGINT) AS first FROM supplier, (SELECT unnest([0, 1, 2])::BIGINT AS place)",
+)
 def s10(t: Tables) -> DataFrame:
     """Bencoded manifests of three files each, listed with running offsets."""
     file = lambda i: f"d6:lengthi{100 + i}e4:pathl1:{i}ee"
@@ -100,14 +108,22 @@ def _shards(t: Tables) -> DataFrame:
     return t.customer.groupBy(F.expr("c_custkey div 100").alias("shard")).agg(F.to_json(F.array_sort(F.collect_list(row))).alias("rows"))
 
 
-@query("S21_compact_shards", "SELECT c_custkey // 100 AS shard, c_custkey, c_mktsegment, CAST(c_nationkey AS BIGINT) AS c_nationkey, 'customer' AS kind FROM customer")
+@query(
+    "S21_compact_shards",
+    "SELECT c_custkey // 100 AS shard, c_custkey, c_mktsegment, CAST(c_nationkey AS BIGINT) AS c_nationkey, 'customer' AS kind "
+    "FROM customer",
+)
 def s21(t: Tables) -> DataFrame:
     """Compact shards decoded to their rows."""
     read = _shards(t).select("shard", codec.decoded(codec.encoded(F.col("rows"))).alias("rows"))
     return read.select("shard", F.inline(F.from_json("rows", "array<struct<c_custkey: bigint, c_mktsegment: string, c_nationkey: bigint, kind: string>>", {"mode": "FAILFAST"})))
 
 
-@query("K7_compact_shards", "SELECT c_custkey // 100 AS shard, CAST(count(*) AS BIGINT) AS n, true AS same, true AS smaller FROM customer GROUP BY 1 HAVING count(*) > 20")
+@query(
+    "K7_compact_shards",
+    "SELECT c_custkey // 100 AS shard, CAST(count(*) AS BIGINT) AS n, true AS same, true AS smaller FROM customer GROUP BY 1 "
+    "HAVING count(*) > 20",
+)
 def k7(t: Tables) -> DataFrame:
     """Shards of more than twenty rows: encoded, the same when read back, and smaller."""
     s = _shards(t).withColumn("node", codec.encoded(F.col("rows")))

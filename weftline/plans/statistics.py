@@ -139,7 +139,13 @@ def g19(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([(round(float(plain[1]), 4), round(float(with_flags[1]), 4), round(r2, 6))], "plain double, controlled double, r2 double")
 
 
-@query("G17_chronological_folds", "SELECT fold, CAST(count(*) AS BIGINT) AS n, min(year) AS first, max(year) AS last, round(sqrt(avg(pow(p - prior, 2))), 2) AS rmse FROM (SELECT o_totalprice AS p, year(o_orderdate) AS year, (year(o_orderdate) - 1995) // 2 AS fold FROM orders) o JOIN (SELECT f AS pf, avg(o_totalprice) AS prior FROM (SELECT unnest([1, 2, 3]) AS f) JOIN orders ON (year(o_orderdate) - 1995) // 2 < f GROUP BY 1) ON pf = fold GROUP BY 1")
+@query(
+    "G17_chronological_folds",
+    "SELECT fold, CAST(count(*) AS BIGINT) AS n, min(year) AS first, max(year) AS last, round(sqrt(avg(pow(p - prior, 2))), 2) AS rmse "
+    "FROM (SELECT o_totalprice AS p, year(o_orderdate) AS year, (year(o_orderdate) - 1995) // 2 AS fold FROM orders) o "
+    "JOIN (SELECT f AS pf, avg(o_totalprice) AS prior FROM (SELECT unnest([1, 2, 3]) AS f) JOIN orders "
+    "ON (year(o_orderdate) - 1995) // 2 < f GROUP BY 1) ON pf = fold GROUP BY 1",
+)
 def g17(t: Tables) -> DataFrame:
     """Each later two-year fold predicted by the mean of all earlier ones; sums per fold, few rows, carry it."""
     from pyspark.sql import Window

@@ -28,7 +28,11 @@ def v1(t: Tables) -> DataFrame:
     )
 
 
-@query("V3_append_only", "SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT user_id, ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS back FROM events) WHERE back GROUP BY 1")
+@query(
+    "V3_append_only",
+    "SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT user_id, ts <= lag(ts) OVER (PARTITION BY user_id "
+    "ORDER BY event_id) AS back FROM events) WHERE back GROUP BY 1",
+)
 def v3(t: Tables) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("event_id")
     return t.events.withColumn("back", F.col("ts") <= F.lag("ts").over(w)).where("back").groupBy("user_id").agg(F.count("*").alias("n"))
@@ -56,13 +60,21 @@ def v4(t: Tables) -> DataFrame:
     return checks.release_shape(manifest, recordings, segments)
 
 
-@query("V5_score_bounds", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_discount NOT BETWEEN 0 AND 0.09 OR l_tax NOT BETWEEN 0 AND 0.08 OR l_quantity <> floor(l_quantity)")
+@query(
+    "V5_score_bounds",
+    "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_discount NOT BETWEEN 0 AND 0.09 OR l_tax NOT BETWEEN 0 AND 0.08 "
+    "OR l_quantity <> floor(l_quantity)",
+)
 def v5(t: Tables) -> DataFrame:
     bad = ~F.col("l_discount").between(0, 0.09) | ~F.col("l_tax").between(0, 0.08) | (F.col("l_quantity") != F.floor("l_quantity"))
     return t.lineitem.where(bad).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("V6_scope_uniqueness", "SELECT conv_id, turn FROM conversations GROUP BY 1, 2 HAVING count(*) > 1 UNION ALL SELECT conv_id, min(turn) FROM conversations GROUP BY 1 HAVING min(turn) <> 0 OR max(turn) + 1 <> count(DISTINCT turn)")
+@query(
+    "V6_scope_uniqueness",
+    "SELECT conv_id, turn FROM conversations GROUP BY 1, 2 HAVING count(*) > 1 UNION ALL SELECT conv_id, min(turn) FROM conversations "
+    "GROUP BY 1 HAVING min(turn) <> 0 OR max(turn) + 1 <> count(DISTINCT turn)",
+)
 def v6(t: Tables) -> DataFrame:
     g = t.conversations.groupBy("conv_id").agg(F.min("turn").alias("turn"), F.max("turn").alias("hi"), F.countDistinct("turn").alias("n"))
     return checks.duplicate_keys(t.conversations, ["conv_id", "turn"]).drop("n").unionByName(g.where("turn <> 0 or hi + 1 <> n").select("conv_id", "turn"))
@@ -92,7 +104,11 @@ def v7(t: Tables) -> DataFrame:
     return checks.network_projection(names, annual, monthly, edges, bursts, ["on_channel", "public_creator"])
 
 
-@query("V8_symmetry", "SELECT CAST(count(*) AS BIGINT) AS broken FROM (SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey)")
+@query(
+    "V8_symmetry",
+    "SELECT CAST(count(*) AS BIGINT) AS broken FROM (SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM nation a JOIN nation b "
+    "ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey)",
+)
 def v8(t: Tables) -> DataFrame:
     """Half a matrix: every pair lacks its mirror image."""
     a, b = t.nation.alias("a"), t.nation.alias("b")
