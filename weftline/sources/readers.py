@@ -25,20 +25,25 @@ def json_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> Da
 
 
 def ocr_words(spark: SparkSession, path: str) -> DataFrame:
-    """Word rows (level 5) of a 12-column OCR table."""
+    """Word rows (level 5) of 12-column OCR tables, with line: what orders the rows of a file as they stand in it.
+
+    line: file, place of the block that the task read, and a number that grows from row to row within it; so files may
+    be split and read in any order.
+    """
     names = "level page_num block_num par_num line_num word_num left top width height".split()
     schema = T.StructType([*[T.StructField(n, T.IntegerType()) for n in names], T.StructField("conf", T.DoubleType()), T.StructField("text", T.StringType())])
-    return spark.read.schema(schema).csv(path, sep="\t", header=True, quote="", mode="FAILFAST").where("level = 5")
+    rows = spark.read.schema(schema).csv(path, sep="\t", header=True, quote="", mode="FAILFAST")
+    line = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return rows.select("*", line.alias("line")).where("level = 5")
 
 
 def out_of_order(words: DataFrame) -> DataFrame:
-    """OCR words that do not follow their page's reading order strictly."""
+    """OCR words that do not follow their page's reading order strictly. A page lies in one file."""
     from pyspark.sql import Window
 
     place = F.struct("block_num", "par_num", "line_num", "word_num")
-    w = Window.partitionBy("page_num").orderBy("_at")
-    ordered = words.withColumn("_at", F.monotonically_increasing_id())
-    return ordered.withColumn("_before", F.lag(place).over(w)).where(F.col("_before") >= place).drop("_at", "_before")
+    w = Window.partitionBy("line.file", "page_num").orderBy("line.block", "line.row")
+    return words.withColumn("_before", F.lag(place).over(w)).where(F.col("_before") >= place).drop("_before")
 
 
 def exploded_segments(transcripts: DataFrame, key: str, segments: str, words: str) -> DataFrame:
