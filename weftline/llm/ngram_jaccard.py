@@ -326,7 +326,7 @@ def keep_representatives(docs: DataFrame, words: int = 5, num: int = 8, den: int
     """docs without the rows whose component has a smaller id; all columns and all other rows stay.
 
     Rows with a null id stay, and so do repeated rows of an id that stays: ids name texts. The ids to drop are set in a
-    filter of fixed size; only rows that hit it are shuffled, to be checked against the exact ids.
+    filter of bounded size; only rows that hit it are shuffled, to be checked against the exact ids.
     """
     scratch = Scratch(docs.sparkSession)
     found = _components(docs, words, num, den, doc_id, text, scratch)
