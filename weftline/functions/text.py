@@ -104,9 +104,17 @@ def partial_date(c: Column) -> tuple[Column, Column]:
     return F.year(valid), F.when(F.char_length(c) >= 7, F.date_format(valid, "yyyy-MM"))
 
 
+# The buckets of lengths, by the minutes they end before.
+LENGTHS = {"under-5": 5, "5-20": 20, "20-60": 60, "60-180": 180}
+LONGEST, NO_LENGTH = "180-plus", "unknown"
+
+
 def length_bucket(ms: Column) -> Column:
-    minutes = ms / 60000
-    return F.when(ms.isNull() | F.isnan(ms.cast("double")) | (ms <= 0), "unknown").when(minutes < 5, "under-5").when(minutes < 20, "5-20").when(minutes < 60, "20-60").when(minutes < 180, "60-180").otherwise("180-plus")
+    """The bucket of a length in milliseconds; unknown for null, NaN and what is not positive."""
+    bucket = F.when(ms.isNull() | F.isnan(ms.cast("double")) | (ms <= 0), NO_LENGTH)
+    for name, minutes in LENGTHS.items():
+        bucket = bucket.when(ms < minutes * 60_000, name)
+    return bucket.otherwise(LONGEST)
 
 
 def clock(seconds: Column) -> Column:
