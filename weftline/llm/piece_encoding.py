@@ -62,31 +62,34 @@ def suffix_array(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     keys = np.zeros(n + 8, np.uint64)
     for i in range(8):
         keys[:n] = (keys[:n] << np.uint64(8)) | padded[i : n + i]
-    order = np.argsort(keys[:n], kind="stable")
-    new = np.flatnonzero(np.concatenate(([True], np.diff(keys[order]) > 0))) if n else np.empty(0, np.int64)
+    order = np.argsort(keys[:n])
+    ordered = keys[order]
+    fresh = np.ones(n, bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    new = np.flatnonzero(fresh)
     size = np.diff(new, append=n)
     rank = np.empty(n, np.int64)
     rank[order] = np.repeat(new, size)
     ends = np.flatnonzero(padded[:n] == 0)
-    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+    left = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(n)
     width = 8
+    places = np.flatnonzero(np.repeat(size > 1, size))
     while True:
-        places = np.flatnonzero(np.repeat(size > 1, size))
         at = order[places]
         open_ = left[at] >= width
         places, at = places[open_], at[open_]
         if not len(at):
             return order, keys
         # A group is open as a whole: its members agree on all bytes so far. Places ascend with rank.
-        sorted_ = np.lexsort((rank[at + width], rank[at]))
-        at = at[sorted_]
+        both = rank[at] * n + rank[at + width]
+        sorted_ = np.argsort(both)
+        at, both = at[sorted_], both[sorted_]
         order[places] = at
-        own, rest = rank[at], rank[at + width]
-        first = np.concatenate(([True], (own[1:] != own[:-1]) | (rest[1:] != rest[:-1])))
-        starts = places[first]
-        rank[at] = np.repeat(starts, np.diff(np.flatnonzero(first), append=len(at)))
-        new = np.union1d(new, starts)
-        size = np.diff(new, append=n)
+        first = np.ones(len(at), bool)
+        first[1:] = both[1:] != both[:-1]
+        size = np.diff(np.flatnonzero(first), append=len(at))
+        rank[at] = np.repeat(places[first], size)
+        places = places[np.repeat(size > 1, size)]
         width *= 2
 
 
