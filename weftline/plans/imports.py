@@ -106,12 +106,12 @@ def _legacy(t: Tables) -> DataFrame:
 _LEGACY = f"""
     {_FILES}, first AS (SELECT l_orderkey, item, name FROM m WHERE l_linenumber = 1),
     c AS (SELECT c_name, c_custkey % 3 <> 0 AS mapped, item, name FROM customer LEFT JOIN first ON l_orderkey = (c_custkey * 7) % 300),
-    r AS (SELECT {_sql_source('legacy_himr_archive', 'legacy_catalog_entry', 'c_name')} AS from_id, {_FILE_ID} AS to_id FROM c WHERE mapped AND name IS NOT NULL)"""
+    r AS (SELECT {_sql_source('legacy_archive', 'legacy_catalog_entry', 'c_name')} AS from_id, {_FILE_ID} AS to_id FROM c WHERE mapped AND name IS NOT NULL)"""
 
 
 @query(
     "S5_legacy_tasks",
-    f"""{_LEGACY} SELECT {_sql_id('rtk', "'source_recovery'", _sql_source('legacy_himr_archive', 'legacy_catalog_entry', 'c_name'))} AS task_id, 'source_recovery' AS kind, CAST(1 AS BIGINT) AS entries FROM c WHERE NOT mapped
+    f"""{_LEGACY} SELECT {_sql_id('rtk', "'source_recovery'", _sql_source('legacy_archive', 'legacy_catalog_entry', 'c_name'))} AS task_id, 'source_recovery' AS kind, CAST(1 AS BIGINT) AS entries FROM c WHERE NOT mapped
     UNION ALL SELECT {_sql_id('rtk', "'shared_legacy_mapping'", 'to_id')}, 'shared_legacy_mapping', CAST(count(*) AS BIGINT) FROM r GROUP BY to_id HAVING count(*) > 1""",
 )
 def s5(t: Tables) -> DataFrame:
