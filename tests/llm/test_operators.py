@@ -15,7 +15,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from weftline.llm import common, fingerprints, language_id, license_scans, lm_scoring, ngram_jaccard, packing, piece_encoding, quality_rules, queries, secret_scans, token_counts
+from weftline.llm import common, fingerprints, language_id, license_scans, lm_scoring, ngram_jaccard, packing, periodic_runs, piece_encoding, quality_rules, queries, secret_scans, token_counts, vector_codes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -53,6 +53,7 @@ def run_all(frame, tmp_path):
         8: queries.packed_pieces(frame),
         9: license_scans.license_scans(frame),
         10: secret_scans.secret_scans(frame),
+        12: periodic_runs.periodic_runs(frame),
     }
 
 
@@ -569,3 +570,121 @@ def test_oracles(name, spark, data):
     from tests.oracle import connect, rows
 
     assert rows(queries.queries()[name](spark, data).toPandas()) == rows(connect(data).execute(queries.oracle_sql()[name]).df())
+
+
+def brute_runs(words):
+    found = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(12, 2 * q):
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def test_runs_of_random_words():
+    rng = random.Random(7)
+    for _ in range(600):
+        n, kinds = rng.randrange(500), rng.choice([1, 2, 3, 5, 80])
+        words = [str(rng.randrange(kinds)) for _ in range(n)]
+        for _ in range(rng.randrange(4) if n else 0):
+            start = rng.randrange(n)
+            period = rng.randrange(1, 2 + (n - start) // 2)
+            for i in range(start + period, min(n, start + period * rng.randrange(2, 6) + rng.randrange(period))):
+                words[i] = words[i - period]
+        assert periodic_runs.runs_of(words) == brute_runs(words)
+
+
+def test_runs_with_far_lags_and_long_texts():
+    base = [str(i) for i in range(3000)]
+    assert periodic_runs.runs_of(base + base + base[:100]) == [(0, 6100, 3000)]
+    assert periodic_runs.runs_of(["x", *base[:1024], *base[:1024], "y"]) == [(1, 2048, 1024)]
+    assert periodic_runs.runs_of(base + base[:-1]) == []
+    start = time.time()
+    assert periodic_runs.runs_of(["a"] * 300_000) == [(0, 300_000, 1)]
+    assert periodic_runs.runs_of([str(i) for i in range(300_000)]) == []
+    assert time.time() - start < 20
+
+
+def test_periodic_runs_query(spark, data, texts):
+    for r in queries.op12_periodic_runs(spark, data).collect():
+        words, h = WORD.findall(texts[r.doc_id] or ""), zlib.crc32(str(r.doc_id).encode())
+        if h % 10 == 0 and words:
+            a, g = h // 10 % len(words), h // 10
+            p = 1 + (len(words) - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        runs = brute_runs(words)
+        gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+        best = min(runs, key=lambda x: (-x[1], x[0], x[2])) if runs else (None,) * 3
+        assert (r.n_runs, r.start, r.length, r.period) == (len(runs), *best)
+        assert r.exponent_milli == (1000 * best[1] // best[2] if runs else None)
+        assert r.runs_sha256 == hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(" ".join(w for i, w in enumerate(words) if i not in gone).encode()).hexdigest()
+
+
+def brute_codes(x, parts, entries, rounds):
+    """(codes, errors, books) by the plain method."""
+    codes, errors, books = [], 0, []
+    for part in np.array_split(x, parts, axis=1):
+        book = part[:entries].copy()
+        for last in [False] * rounds + [True]:
+            far = ((part[:, None] - book[None]) ** 2).sum(-1)
+            own = far.argmin(1)
+            for j in range(0 if last else len(book)):
+                if (own == j).any():
+                    book[j] = part[own == j].sum(0) // (own == j).sum()
+        codes.append(own)
+        errors = errors + far.min(1)
+        books.append(book)
+    return np.stack(codes, 1), errors, books
+
+
+@pytest.mark.parametrize(("parts", "entries", "rounds", "spread"), [(4, 16, 4, 60), (3, 8, 5, 2), (1, 4, 0, 9), (2, 1, 3, 9)])
+def test_vector_codes_against_plain_rounds(spark, parts, entries, rounds, spread):
+    """A small spread makes ties and equal vectors frequent."""
+    rng = np.random.default_rng(spread)
+    x = rng.integers(-spread, spread, (300, 7))
+    frame = spark.createDataFrame([(i, (v / 1024).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    coded, books = vector_codes.vector_codes(frame, parts=parts, entries=entries, rounds=rounds)
+    found = sorted(coded.collect())
+    codes, errors, expected = brute_codes(x, parts, entries, rounds)
+    assert [r.codes for r in found] == codes.tolist()
+    assert [sum(r.errors) for r in found] == errors.tolist()
+    assert all((a == b).all() for a, b in zip(books, expected, strict=True))
+
+
+def test_elkan_bounds_prune_and_hold():
+    """Stored bounds never exceed the true distances, and after the first round few entries are looked at."""
+    rng = np.random.default_rng(3)
+    centres = rng.integers(-400, 400, (32, 8))
+    x = centres[rng.integers(0, 32, 2000)] + rng.integers(-20, 20, (2000, 8))
+    book, state = x[:32].copy(), vector_codes.State.fresh(2000, 32)
+    for _ in range(4):
+        halves = np.sqrt(((book[:, None] - book[None]) ** 2).sum(-1)) / 2
+        state.assign(x, book, halves)
+        true = np.sqrt(((x[:, None] - book[None]) ** 2).sum(-1))
+        scale, steps = state.packed()
+        state.lower = vector_codes.State.unpacked(scale, steps)
+        assert (state.lower <= true).all() and (state.upper >= true.min(1)).all()
+        new = np.array([x[state.own == j].sum(0) // max(1, (state.own == j).sum()) if (state.own == j).any() else book[j] for j in range(32)])
+        state.shift(np.sqrt(((new - book) ** 2).sum(-1)))
+        book = new
+    assert (state.lower <= state.upper[:, None]).mean() < 0.2
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0] * 8, "x", 1), (2, None, "x", 2), (3, [nan] + [0.0] * 7, None, 3), (4, [inf] + [0.0] * 7, None, 4), (5, [None] + [0.0] * 7, "x", 5), (6, [0.5] * 4, "x", 6), (7, [], None, 7), (None, [2.0] * 8, None, 8), (1, [1.0] * 8, "x", 1), (8, [1e30] * 8, "y", 9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string, codes int").withColumns({"at": F.lit(1), "v": F.lit("v"), "row": F.lit(2), "x": F.lit(3)})
+    coded, books = vector_codes.vector_codes(frame, entries=2)
+    found = {(r.vec_id, tuple(r.codes or ()), r.at, r.v, r.row, r.x) for r in coded.collect()}
+    # Both entries start at the repeated row of id 1 and the tie goes to 0, which the null id's vector then pulls away.
+    tail = (1, "v", 2, 3)
+    assert found == {(1, (1,) * 4, *tail), (None, (0,) * 4, *tail), (6, (), *tail), (7, (), *tail), (8, (), *tail)}
+    assert coded.count() == 6 and [b.tolist() for b in books] == [[[2048] * 2, [1024] * 2]] * 4
+    none, books = vector_codes.vector_codes(frame.limit(0))
+    assert none.columns == coded.columns and not none.count() and books == []

@@ -1,4 +1,4 @@
-"""DuckDB equivalents of the queries that SQL can express: op1 and op7. The others are tested in tests/llm."""
+"""DuckDB equivalents of the queries that SQL can express: op1, op7 and op13. The others are tested in tests/llm."""
 
 from weftline.llm.quality_rules import MAX_HOST_RATE, RULES
 
@@ -30,3 +30,24 @@ h AS (SELECT host, count(*) AS n, {_FAILS} FROM f GROUP BY 1), m AS (SELECT {_ME
 v AS (SELECT host, greatest({_SHRUNK}) <= {MAX_HOST_RATE} AS host_ok FROM h, k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({RULES["short"]}) OR ({RULES["repetitive"]}) AS base_failed, NOT (({RULES["short"]}) OR ({RULES["repetitive"]})) AND host_ok AS kept FROM f JOIN v USING (host)
 """
+
+# Squared distances from inner products of whole numbers under 2^53, exact in doubles; ties go to the lower index.
+_ASSIGN = """
+a{i} AS MATERIALIZED (SELECT r, v.p, any_value(v.x) AS x, min({{'d': CAST(v.xx - 2 * list_inner_product(v.x, c.x) + list_inner_product(c.x, c.x) AS BIGINT), 'j': c.j}}) AS m FROM v JOIN c{i} c ON c.p = v.p GROUP BY 1, 2)"""
+_MEANS_OF = """
+c{n} AS MATERIALIZED (SELECT c.p, c.j, coalesce(s.x, c.x) AS x FROM c{i} c LEFT JOIN (SELECT p, j, list(s ORDER BY k) AS x FROM (SELECT p, m.j AS j, k, floor(sum(x[k]) / count(*)) AS s FROM (SELECT p, m, x, unnest(range(1, len(x) + 1)) AS k FROM a{i}) GROUP BY 1, 2, 3) GROUP BY 1, 2) s ON s.p = c.p AND s.j = c.j)"""
+
+VECTOR_CODES = (
+    """
+WITH e AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT r, p, x, list_inner_product(x, x) AS xx FROM (SELECT r, p, x[p * (len(x) // 4) + 1 : (p + 1) * (len(x) // 4)] AS x FROM (SELECT *, unnest(range(4)) AS p FROM e))),
+c0 AS MATERIALIZED (SELECT p, r AS j, x FROM v WHERE r < 256),"""
+    + ",".join(_ASSIGN.format(i=i) + "," + _MEANS_OF.format(i=i, n=i + 1) for i in range(4))
+    + ","
+    + _ASSIGN.format(i=4)
+    + """,
+h AS (SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY p, j, k)) AS h FROM (SELECT p, j, unnest(x) AS y, unnest(range(len(x))) AS k FROM c4)),
+o AS (SELECT r, string_agg(lower(printf('%02x', m.j)), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a4 GROUP BY 1)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM o JOIN e USING (r), h
+"""
+)
