@@ -15,7 +15,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from weftline.llm import common, fingerprints, language_id, license_scans, lm_scoring, ngram_jaccard, packing, periodic_runs, piece_encoding, quality_rules, queries, secret_scans, token_counts, vector_codes
+from weftline.llm import common, fingerprints, language_id, license_scans, lm_scoring, ngram_jaccard, packing, periodic_runs, piece_encoding, quality_rules, queries, secret_scans, suffix_arrays, suffix_dedup, token_counts, vector_codes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -53,6 +53,7 @@ def run_all(frame, tmp_path):
         8: queries.packed_pieces(frame),
         9: license_scans.license_scans(frame),
         10: secret_scans.secret_scans(frame),
+        11: suffix_dedup.repeated_bytes(frame),
         12: periodic_runs.periodic_runs(frame),
     }
 
@@ -688,3 +689,60 @@ def test_odd_vectors(spark):
     assert coded.count() == 6 and [b.tolist() for b in books] == [[[2048] * 2, [1024] * 2]] * 4
     none, books = vector_codes.vector_codes(frame.limit(0))
     assert none.columns == coded.columns and not none.count() and books == []
+
+
+def brute_repeats(texts, width):
+    """(bytes, removed, spans, kept) by id: every string of width bytes against all earlier ones."""
+    seen, out = set(), {}
+    for at, text in sorted(texts.items()):
+        body = text.encode()
+        gone = bytearray(len(body))
+        for i in range(len(body) - width + 1):
+            if body[i : i + width] in seen:
+                gone[i : i + width] = b"\1" * width
+            seen.add(body[i : i + width])
+        out[at] = (len(body), sum(gone), sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone)), bytes(x for x, g in zip(body, gone, strict=True) if not g))
+    return out
+
+
+def test_induced_sorting():
+    rng = np.random.default_rng(11)
+    for _ in range(400):
+        n, kinds = int(rng.integers(1, 250)), int(rng.choice([1, 2, 3, 20, 250]))
+        t = rng.integers(0, kinds, n).astype(np.uint8)
+        if rng.random() < 0.4:
+            t = np.tile(t[: max(1, n // 7)], 9)[:n]
+        sa, plain = suffix_arrays.suffix_array(t, 256), t.tobytes()
+        assert sa.tolist() == sorted(range(n), key=lambda i: plain[i:])
+        shared = suffix_arrays.permuted_common_prefixes(t, sa)
+        for a, b in itertools.pairwise(sa.tolist()):
+            assert shared[b] == next((i for i, (x, y) in enumerate(zip(plain[a:], plain[b:], strict=False)) if x != y), n - max(a, b))
+    assert suffix_arrays.suffix_array(np.full(5000, 9, np.uint8), 256).tolist() == list(range(4999, -1, -1))
+
+
+@pytest.mark.parametrize(("width", "hot", "letters"), [(8, 4096, "abc"), (9, 1, "ab"), (30, 2, "abcdefghé ")])
+def test_repeated_bytes_against_all_strings(spark, width, hot, letters):
+    """hot = 1 and 2 send nearly all shared anchors through the split of hot ones."""
+    rng = random.Random(width)
+    base, texts = ["".join(rng.choices(letters, k=60)) for _ in range(6)], {}
+    for i in range(120):
+        text = "".join(rng.choices(letters, k=rng.randrange(120)))
+        for _ in range(rng.randrange(3)):
+            x = rng.randrange(60)
+            text += rng.choice(base)[x : x + rng.randrange(60)] + "a" * rng.choice([0, 0, 25])
+        texts[i] = text
+    texts |= {200 + i: texts[7 * i] for i in range(12)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: (r.n_bytes, sum(x.end - x.start for x in r.removed), len(r.removed), bytes(r.kept)) for r in suffix_dedup.repeated_bytes(frame, width=width, hot=hot).collect()}
+    assert found == brute_repeats(texts, width)
+
+
+def test_suffix_dedup_long_text_and_ties(spark):
+    """A text longer than the pieces it is hashed in repeats itself across their borders; ids and rows repeat; ids are null."""
+    rng = random.Random(5)
+    half = "".join(rng.choices("abcdefghijklmnop ", k=700_000))
+    rows = [(5, half + half), (1, "short"), (1, "short"), (2, half[300:900]), (2, half[300:900]), (None, half[310:500])]
+    found = collections.defaultdict(list)
+    for r in suffix_dedup.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r.doc_id].append([tuple(x) for x in r.removed])
+    assert found == {None: [[]], 1: [[], []], 2: [[(10, 200)]] * 2, 5: [[(300, 900), (700_000, 1_400_000)]]}

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,3 +82,59 @@ def partitions(spark: SparkSession) -> int:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+class BitFilter:
+    """Bits at the top of 64-bit hashes: what does not hit them is none of the keys. Broadcast, of bounded size.
+
+    It has `each` bits a key or more, as a power of two within `bounds`; beyond, it only lets more through. Tasks build
+    it in segments; the driver gets each segment once, as bytes.
+    """
+
+    SEGMENT_LOG2 = 20
+
+    def __init__(self, hashes: DataFrame, each: int = 8, bounds: tuple[int, int] = (20, 28)) -> None:
+        """hashes: one column of longs; repeated and null ones do no harm."""
+        spark = hashes.sparkSession
+        column = F.col(f"`{hashes.columns[0]}`")
+        self.log2 = log2 = min(bounds[1], max(bounds[0], (each * hashes.count()).bit_length()))
+        inner, schema = self.SEGMENT_LOG2, pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
+
+        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tables: dict[int, np.ndarray] = {}
+            for batch in batches:
+                slots = batch.column(1).to_numpy()
+                for segment in np.unique(slots >> inner).tolist():
+                    table = tables.setdefault(segment, np.zeros(1 << inner, bool))
+                    table[slots[slots >> inner == segment] & ((1 << inner) - 1)] = True
+            yield pa.RecordBatch.from_arrays([pa.array(list(tables), pa.int32()), pa.array([np.packbits(t, bitorder="little").tobytes() for t in tables.values()], pa.binary())], schema=schema)
+
+        slots = hashes.where(column.isNotNull()).select(self.slot(column).alias("slot"))
+        slots = slots.select(F.shiftright("slot", inner).alias("segment"), "slot").repartition(min(partitions(spark), 1 << (log2 - inner)), "segment")
+        table = np.zeros(1 << (log2 - 3), np.uint8)
+        for r in slots.mapInArrow(build, "segment int, bits binary").toLocalIterator():
+            table[r["segment"] << (inner - 3) : (r["segment"] + 1) << (inner - 3)] = np.frombuffer(r["bits"], np.uint8)
+        self.shared = spark.sparkContext.broadcast(table)
+
+    def slot(self, hashed: Column) -> Column:
+        return F.shiftrightunsigned(hashed, 64 - self.log2)
+
+    def hit(self, hashes: np.ndarray) -> np.ndarray:
+        """For hashes as unsigned 64-bit numbers."""
+        return self.hit_slots((hashes >> np.uint64(64 - self.log2)).astype(np.int64))
+
+    def hit_slots(self, slots: np.ndarray) -> np.ndarray:
+        return ((self.shared.value[slots >> 3] >> (slots & 7).astype(np.uint8)) & np.uint8(1)).astype(bool)
+
+    def may_hold(self, hashed: Column) -> Column:
+        """As a column; null hashes are held by none."""
+
+        @F.pandas_udf("boolean")
+        def maybe(slots: pd.Series) -> pd.Series:
+            return pd.Series(self.hit_slots(slots.to_numpy(np.int64)))
+
+        return F.coalesce(hashed.isNotNull() & maybe(self.slot(F.coalesce(hashed, F.lit(0)))), F.lit(False))
+
+    def drop(self) -> None:
+        """After its last reader has been written: frees the memory of driver and executors."""
+        self.shared.destroy()

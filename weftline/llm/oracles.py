@@ -1,4 +1,4 @@
-"""DuckDB equivalents of the queries that SQL can express: op1, op7 and op13. The others are tested in tests/llm."""
+"""DuckDB equivalents of the queries that SQL can express: op1, op7, op11 and op13. The others are tested in tests/llm."""
 
 from weftline.llm.quality_rules import MAX_HOST_RATE, RULES
 
@@ -51,3 +51,15 @@ o AS (SELECT r, string_agg(lower(printf('%02x', m.j)), '' ORDER BY p) AS code, C
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM o JOIN e USING (r), h
 """
 )
+
+# Bytes as hexadecimal digits; starts and ends count bytes from 1.
+SUFFIX_DEDUP = """
+WITH b AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i - 1, 200) AS s FROM (SELECT doc_id, x, unnest(range(1, len(x) // 2 - 98)) AS i FROM b)),
+l AS (SELECT doc_id, i FROM (SELECT doc_id, i, min({'d': doc_id, 'i': i}) OVER (PARTITION BY s) AS f FROM w) WHERE f <> {'d': doc_id, 'i': i}),
+g AS (SELECT doc_id, i, sum(apart) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS apart FROM l)),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 99 AS e FROM g GROUP BY doc_id, g),
+p AS (SELECT doc_id, a, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM (SELECT doc_id, a, e FROM s UNION ALL SELECT doc_id, len(x) // 2 + 1, NULL FROM b)),
+k AS (SELECT p.doc_id, string_agg(substr(x, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before - 1) AS BIGINT)), '' ORDER BY a) AS kept, coalesce(sum(e - a + 1), 0) AS n_removed, count(e) AS n_spans FROM p JOIN b USING (doc_id) GROUP BY p.doc_id)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256 FROM k JOIN b USING (doc_id)
+"""

@@ -21,6 +21,7 @@ from weftline.llm.periodic_runs import looped, periodic_runs
 from weftline.llm.piece_encoding import piece_encoding
 from weftline.llm.quality_rules import quality_rules
 from weftline.llm.secret_scans import secret_scans
+from weftline.llm.suffix_dedup import repeated_bytes
 from weftline.llm.token_counts import token_counts
 from weftline.llm.vector_codes import vector_codes
 
@@ -83,6 +84,12 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans(documents(spark, sf_dir))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_bytes(documents(spark, sf_dir))
+    n_removed = F.expr("aggregate(removed, 0L, (s, r) -> s + r.end - r.start)")
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over the documents with planted loops; the longest run is the first of equal ones by start, then period."""
     found = periodic_runs(looped(documents(spark, sf_dir)))
@@ -115,10 +122,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_license_scans": op9_license_scans,
         "op10_secret_scans": op10_secret_scans,
+        "op11_suffix_dedup": op11_suffix_dedup,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_vector_codes": op13_vector_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": oracles.NGRAM_JACCARD, "op7_quality_rules": oracles.QUALITY_RULES, "op13_vector_codes": oracles.VECTOR_CODES}
+    return {"op1_ngram_jaccard": oracles.NGRAM_JACCARD, "op7_quality_rules": oracles.QUALITY_RULES, "op11_suffix_dedup": oracles.SUFFIX_DEDUP, "op13_vector_codes": oracles.VECTOR_CODES}
