@@ -712,6 +712,7 @@ def test_induced_sorting():
         t = rng.integers(0, kinds, n).astype(np.uint8)
         if rng.random() < 0.4:
             t = np.tile(t[: max(1, n // 7)], 9)[:n]
+        n = len(t)
         sa, plain = suffix_arrays.suffix_array(t, 256), t.tobytes()
         assert sa.tolist() == sorted(range(n), key=lambda i: plain[i:])
         shared = suffix_arrays.permuted_common_prefixes(t, sa)
