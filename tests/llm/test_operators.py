@@ -109,6 +109,19 @@ def test_jaccard_links(docs, texts):
     assert {(r.a, r.b) for r in pairs.collect()} == expected
 
 
+def test_form_letters_do_not_meet(spark):
+    """Letters of 14 words that differ in the last: all share eleven shingles, none links; two sizes in one shingle do link."""
+    head = "we hereby confirm the receipt of your order and thank you for it"
+    rows = [(i, f"{head} number{i}") for i in range(40_000)] + [(50_000, f"{head} number7 dear")]
+    found = {r.doc_id: r.component_id for r in ngram_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()}
+    start = time.perf_counter()
+    frame = spark.range(200_000).select(F.col("id").alias("doc_id"), F.concat(F.lit(head + " number"), "id").alias("text"))
+    assert ngram_jaccard.jaccard_components(frame, 3, 90, 100).where("component_id <> doc_id").count() == 0
+    assert time.perf_counter() - start < 120
+    assert found.pop(50_000) == 7
+    assert all(k == v for k, v in found.items())
+
+
 def test_near_copies_chain(spark):
     base = [f"w{i}" for i in range(300)]
     rows = [(0, " ".join(base))]

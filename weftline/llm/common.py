@@ -42,6 +42,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.folder, self.names = spark, f"{shared_dir(spark)}/weftline-{uuid.uuid4().hex}", 0
+        self.held: list = []
 
     def save(self, df: DataFrame, name: str | None = None) -> DataFrame:
         """df written and read back; without a name it stays until the folder is cleared."""
@@ -50,6 +51,17 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def hold(self, shared):
+        """A broadcast value that release() frees."""
+        self.held.append(shared)
+        return shared
+
+    def release(self) -> None:
+        """Frees what is held: call when all that reads it has been written."""
+        for shared in self.held:
+            shared.destroy()
+        self.held = []
+
     def drop(self, *names: str) -> None:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
@@ -135,6 +147,6 @@ class BitFilter:
 
         return F.coalesce(hashed.isNotNull() & maybe(self.slot(F.coalesce(hashed, F.lit(0)))), F.lit(False))
 
-    def drop(self) -> None:
+    def destroy(self) -> None:
         """After its last reader has been written: frees the memory of driver and executors."""
         self.shared.destroy()

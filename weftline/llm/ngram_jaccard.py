@@ -21,18 +21,16 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import Scratch, small_batches, unused
+from weftline.llm.common import BitFilter, Scratch, small_batches, unused
 
 SKETCH_LOG2 = 22
 SEGMENT_LOG2 = 16
-#: Least and most bits of the filters for ids and shingles; between them, FILTER_BITS for each key.
-FILTER_LOG2, FILTER_BITS = (20, 28), 8
 #: Partitions that the rows of one class of copies are dealt over.
 SALTS = 32
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -99,9 +97,8 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
     return table
 
 
-def prefixes(docs: DataFrame, counts: np.ndarray, words: int, num: int, den: int) -> DataFrame:
+def prefixes(docs: DataFrame, counts: Broadcast, words: int, num: int, den: int) -> DataFrame:
     """doc_id, n, d1, d2 (the set's digest), prefix (rarest first), for every row of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
     def one(at: int | None, text: str | None) -> tuple:
@@ -110,7 +107,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, words: int, num: int, den: int
         if not n:
             return at, 0, 0, 0, []
         digest = np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), np.int64)
-        rare = shared.value[(h >> np.uint64(64 - SKETCH_LOG2)).astype(np.int64)]
+        rare = counts.value[(h >> np.uint64(64 - SKETCH_LOG2)).astype(np.int64)]
         order = np.lexsort((h, rare))[: n - -(-num * n // den) + 1]
         return at, n, int(digest[0]), int(digest[1]), h[order].view(np.int64)
 
@@ -121,41 +118,18 @@ def prefixes(docs: DataFrame, counts: np.ndarray, words: int, num: int, den: int
     return docs.mapInArrow(cut, "doc_id long, n long, d1 long, d2 long, prefix array<long>")
 
 
-class KeyFilter:
-    """Bits at the hashes of the keys: what does not hit them is no key. Broadcast; its size is bounded by FILTER_LOG2."""
+def _of(ids: DataFrame, name: str) -> DataFrame:
+    return ids.select(F.xxhash64(F.col(name).cast("long")).alias("hash"))
 
-    def __init__(self, keys: DataFrame, key: str, hashed: bool = False) -> None:
-        """hashed: the keys are hashes themselves."""
-        self.hashed = hashed
-        self.log2 = min(FILTER_LOG2[1], max(FILTER_LOG2[0], (FILTER_BITS * keys.count()).bit_length()))
-        bits = keys.select(self.slot(F.col(key)).alias("slot")).groupBy(F.shiftright("slot", 5).alias("word"))
-        found = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).toPandas()
-        table = np.zeros(1 << (self.log2 - 5), np.uint32)
-        table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
-        self.shared = keys.sparkSession.sparkContext.broadcast(table)
 
-    def slot(self, key: Column) -> Column:
-        return F.shiftrightunsigned(key if self.hashed else F.xxhash64(key.cast("long")), 64 - self.log2)
-
-    def hit(self, slots: np.ndarray) -> np.ndarray:
-        return ((self.shared.value[slots >> 5] >> (slots & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
-
-    def may_hold(self, key: Column) -> Column:
-        @F.pandas_udf("boolean")
-        def maybe(slots: pd.Series) -> pd.Series:
-            return pd.Series(self.hit(slots.to_numpy(np.int64)))
-
-        return maybe(self.slot(key))
-
-
-def verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose sets' Jaccard similarity is num/den or more; each pair's sets are compared once."""
-    ids = KeyFilter(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id")
+    ids = scratch.hold(BitFilter(_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id")))
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(ids.hit(batch.column(2).to_numpy())))
+            batch = batch.filter(pa.array(ids.hit(batch.column(2).to_numpy().view(np.uint64))))
             yield _rows(schema, [(i, shingle_set(t, words).tobytes()) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +147,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int)
                     out.append(i)
             yield batch.select([0, 1]).take(pa.array(out, pa.int64()))
 
-    found = docs.where("doc_id is not null").select("doc_id", "text", ids.slot(F.col("doc_id")).alias("slot")).mapInArrow(sets, "id long, set binary")
+    found = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("hash")).mapInArrow(sets, "id long, set binary")
     joined = pairs.join(found.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     joined = joined.join(found.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     return joined.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long").distinct()
@@ -204,7 +178,9 @@ def _prepared(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text
     """docs (doc_id, text); every row's set figures; and the prefix shingles that two classes or more hold, with their leaders."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = scratch.save(prefixes(docs, sketch(docs, words), words, num, den), "prefixes")
+    counts = scratch.hold(docs.sparkSession.sparkContext.broadcast(sketch(docs, words)))
+    sets = scratch.save(prefixes(docs, counts, words, num, den), "prefixes")
+    scratch.release()
     # Copies: equal sets. n and prefix are functions of the digest, so any row's will do. Different sets share at most
     # n of n + 1 shingles: where that is too little, as in the shortest texts, a set links with none but its copies.
     linkable = sets.where("n > 0 and doc_id is not null").where(F.lit(den) * F.col("n") >= F.lit(num) * (F.col("n") + 1))
@@ -212,7 +188,8 @@ def _prepared(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text
     sets = scratch.save(sets.drop("prefix"), "sets")
     scratch.drop("prefixes")
     shared = scratch.save(first.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared")
-    postings = scratch.save(_shared_postings(first, KeyFilter(shared, "token", hashed=True)), "postings")
+    postings = scratch.save(_shared_postings(first, scratch.hold(BitFilter(shared))), "postings")
+    scratch.release()
     scratch.drop("shared", "classes")
     # A shingle's leader: the class that has it earliest, so the one with the fewest rare shingles of its own.
     leaders = postings.groupBy("token").agg(F.count("*").alias("c"), F.min_by("rep", "at").alias("leader"), F.min("at").alias("leader_at")).where("c > 1").drop("c")
@@ -222,7 +199,7 @@ def _prepared(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text
     return docs, sets, common
 
 
-def _shared_postings(classes: DataFrame, shared: KeyFilter) -> DataFrame:
+def _shared_postings(classes: DataFrame, shared: BitFilter) -> DataFrame:
     """(token, rep, at) of each class's prefix shingles that hit the filter; at orders by place in the prefix, then size."""
     schema = pa.schema([("token", pa.int64()), ("rep", pa.int64()), ("at", pa.int64())])
 
@@ -232,7 +209,7 @@ def _shared_postings(classes: DataFrame, shared: KeyFilter) -> DataFrame:
             size = prefix.value_lengths().to_numpy(zero_copy_only=False)
             token = prefix.flatten().to_numpy()
             pos = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
-            kept = shared.hit((token.view(np.uint64) >> np.uint64(64 - shared.log2)).astype(np.int64))
+            kept = shared.hit(token.view(np.uint64))
             at = (pos << 31) + np.repeat(n.to_numpy(), size)
             columns = [token[kept], np.repeat(rep.to_numpy(), size)[kept], at[kept]]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
@@ -254,7 +231,7 @@ def jaccard_links(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10,
     reps = reps.select("d1", "d2", "rep", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     rows = sets.select("doc_id", "n", "d1", "d2", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
     members = rows.join(reps, ["d1", "d2", "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
-    return verified(pairs, docs, words, num, den), members
+    return verified(pairs, docs, words, num, den, scratch), members
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -275,14 +252,16 @@ def _components(docs: DataFrame, words: int, num: int, den: int, doc_id: str, te
     star = common.where((F.col("rep") != F.col("leader")) & fits).groupBy("rep", "leader").agg(F.count("*").alias("c"))
     star = star.groupBy("rep").agg(F.max_by("leader", "c").alias("leader"))
     star = scratch.save(star.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct(), "star")
-    links = scratch.save(verified(star, docs, words, num, den), "links")
+    links = scratch.save(verified(star, docs, words, num, den, scratch), "links")
+    scratch.release()
     labels = components(links, scratch, "stars")
     rest = _across(common, labels, star, num, den, scratch)
     scratch.drop("star")
     if rest.limit(1).count():
-        more = verified(rest, docs, words, num, den)
+        more = scratch.save(verified(rest, docs, words, num, den, scratch), "more")
+        scratch.release()
         labels = components(links.unionByName(more), scratch, "groups")
-    scratch.drop("across", "links")
+    scratch.drop("across", "links", "more")
     # Rows of one class may be a third of all: they are dealt out over salts, and only classes of copies carry those.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     copies = classes.join(labels, classes["rep"] == labels["id"], "left").select("d1", "d2", F.coalesce("label", "rep").alias("shared"), salts)
@@ -299,6 +278,28 @@ def _fits(n: Column, pos: Column, n2: Column, pos2: Column, num: int, den: int)
     return length & (F.lit(num + den) * F.least(n - pos, n2 - pos2) >= F.lit(num) * (n + n2))
 
 
+def _apart(num: int, den: int) -> int:
+    """Different sets of one size under this cannot link: they agree in all but one at most."""
+    return -(-(num + den) // (den - num))
+
+
+def _size_class(n: Column, num: int, den: int) -> Column:
+    """Small sizes are classes of their own; larger ones fall into steps of den/num, so that links reach one step at most.
+
+    Steps are wider by a little than den/num, more than rounding takes from the logarithm.
+    """
+    step = F.floor(F.log(n.cast("double")) / float(np.log(den / num) * (1 + 1e-9)))
+    return F.when(n < _apart(num, den), n).otherwise(F.lit(_apart(num, den)) + step).cast("long")
+
+
+def _partner_sizes(n: Column, num: int, den: int) -> Column:
+    """The size classes of the sets of n shingles or more that may link with a set of n."""
+    sizes = F.sequence(n + 1, F.floor(F.lit(den) * n / F.lit(num)).cast("long"))
+    small = F.array_distinct(F.transform(sizes, lambda m: _size_class(m, num, den)))
+    own = _size_class(n, num, den)
+    return F.when(n < _apart(num, den), small).otherwise(F.array(own, own + 1))
+
+
 def _across(common: DataFrame, labels: DataFrame, seen: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Candidate pairs (a, b) of classes in different components, past all filters and not checked yet; takes common's place."""
     named = common.select("token", "rep", "at").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
@@ -306,19 +307,29 @@ def _across(common: DataFrame, labels: DataFrame, seen: DataFrame, num: int, den
     scratch.drop("common")
     mixed = scratch.save(named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token"), "mixed")
     rows = named.join(mixed, "token").select("token", "rep", "label", F.expr("at % 2147483648L").alias("n"), F.expr("at div 2147483648L").alias("pos"))
-    rows = scratch.save(rows, "rows")
+    rows = scratch.save(rows.withColumn("size", _size_class(F.col("n"), num, den)), "rows")
     scratch.drop("named", "mixed")
-    x, y = rows.alias("x"), rows.alias("y")
+    # The smaller set of a pair asks for the sizes that its partners may have, so that sets of sizes that cannot link
+    # never meet, and neither do those whose common shingle comes too late for any partner.
+    least = F.when(F.col("n") < _apart(num, den), F.col("n") + 1).otherwise(F.col("n"))
+    asks = rows.where(F.lit(num + den) * (F.col("n") - F.col("pos")) >= F.lit(num) * (F.col("n") + least))
+    asks = asks.withColumn("wants", F.explode(_partner_sizes(F.col("n"), num, den)))
+    smallest = F.ceil(F.lit(num) * F.col("n") / F.lit(den))
+    gives = rows.where(F.lit(num + den) * (F.col("n") - F.col("pos")) >= F.lit(num) * (F.col("n") + smallest))
+    x, y = scratch.save(asks, "asks").alias("x"), scratch.save(gives, "gives").alias("y")
+    scratch.drop("rows")
     near = _fits(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), num, den)
-    hits = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label")) & near)
+    once = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.rep") < F.col("y.rep")))
+    hits = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.wants") == F.col("y.size")) & once & (F.col("x.label") != F.col("y.label")) & near)
     pairs = hits.groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).agg(
         F.count("*").alias("c"), F.max("x.pos").alias("pa"), F.max("y.pos").alias("pb"), F.first("x.n").alias("na"), F.first("y.n").alias("nb")
     )
     # Suffix filter: past the last common prefix shingle at most the shorter rest can agree, before it only those counted.
     rest = F.col("c") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
     pairs = pairs.where(F.lit(num + den) * rest >= F.lit(num) * (F.col("na") + F.col("nb")))
-    pairs = scratch.save(pairs.select("a", "b").join(seen, ["a", "b"], "left_anti"), "across")
-    scratch.drop("rows")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = scratch.save(pairs.join(seen, ["a", "b"], "left_anti"), "across")
+    scratch.drop("asks", "gives")
     return pairs
 
 
@@ -335,7 +346,7 @@ def keep_representatives(docs: DataFrame, words: int = 5, num: int = 8, den: int
     at = F.col(f"`{doc_id}`").cast("long")
     names = [F.col(f"`{c}`") for c in docs.columns]
     maybe, key = unused(docs, "maybe"), unused(docs, "key")
-    flagged = docs.select(*names, KeyFilter(drop, "id").may_hold(at).alias(maybe), at.alias(key))
+    flagged = docs.select(*names, BitFilter(_of(drop, "id")).may_hold(F.when(at.isNotNull(), F.xxhash64(at))).alias(maybe), at.alias(key))
     sure = flagged.where(~F.col(maybe) | F.col(key).isNull())
     checked = flagged.where(F.col(maybe) & F.col(key).isNotNull())
     checked = checked.join(drop.withColumnRenamed("id", key), key, "left_anti")

@@ -301,7 +301,7 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = scratch.save(shared_anchors(rows, width), "shared")
     anchors = BitFilter(shared, 16)
     found = scratch.save(kept_snippets(rows, anchors, width), "snippets")
-    anchors.drop()
+    anchors.destroy()
     scratch.drop("shared")
     distinct = scratch.save(found.groupBy("anchor", "snippet").agg(F.min(F.struct("o", "t", "start", "n")).alias("at")).select("anchor", "at.*"), "distinct")
     kinds = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
