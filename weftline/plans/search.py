@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import tokens
 from weftline.operators import folds, fulltext, graphs
+from weftline.operators.text_index import TextIndex
 from weftline.plans.folds import pack_sql
 from weftline.plans.registry import Tables, query
+from weftline.sources import publish
 
 TOKENS = r"list_filter(regexp_split_to_array(strip_accents(lower(text)), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 _BM25 = """WITH d AS (SELECT {key} AS id, {tokens} AS t FROM {table} WHERE {where}), s AS (SELECT id, len(t) AS n, {tfs} FROM d), g AS (SELECT count(*) AS n, avg(n) AS mean, {dfs} FROM s)
@@ -25,22 +30,38 @@ def _bm25_sql(table: str, key: str, alias: str, words: list[str], limit: int, wh
     )
 
 
+def _index(t: Tables, table: str, rows: DataFrame, facets: tuple[str, ...] = (), every: int = 25_000) -> TextIndex:
+    """The stored index of a table's rows (key, text, facets), built by the first query that asks while its files are as they are."""
+    at = hashlib.sha256(json.dumps([t.folder, table, every, publish.fingerprint(t.spark, f"{t.folder}/{table}.parquet")]).encode()).hexdigest()
+    index = TextIndex(t.spark, f"{graphs.shared_folder(t.spark)}/text-index-{at[:24]}")
+    if not index.segments():
+        index.add(rows, "key", "text", facets, every)
+    return index
+
+
+def _documents(t: Tables) -> TextIndex:
+    return _index(t, "documents", t.documents.select(F.col("doc_id").alias("key"), "text", "lang", "source", "n_chars"), ("lang", "source", "n_chars"))
+
+
+def _turns(t: Tables) -> TextIndex:
+    """A segment for about every thousand turns."""
+    return _index(t, "conversations", t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("key"), "text"), every=1_000)
+
+
 @query("T1_bm25_documents", _bm25_sql("documents", "doc_id", "doc_id", ["worthless", "the", "reserved"], 50))
 def t1(t: Tables) -> DataFrame:
-    found = fulltext.bm25(t.documents, "doc_id", "text", ["worthless", "the", "reserved"])
-    return found.select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(50)
+    return _documents(t).search(["worthless", "the", "reserved"], 50, digits=6).select(F.col("key").alias("doc_id"), "score")
 
 
 @query("T2_bm25_turns", _bm25_sql("conversations", "conv_id * 1000 + turn", "turn_id", ["the", "and"], 100))
 def t2(t: Tables) -> DataFrame:
-    rows = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text")
-    return fulltext.bm25(rows, "turn_id", "text", ["the", "and"]).select("turn_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "turn_id").limit(100)
+    return _turns(t).search(["the", "and"], 100, digits=6).select(F.col("key").alias("turn_id"), "score")
 
 
 @query("T3_bm25_filtered", _bm25_sql("documents", "doc_id", "doc_id", ["license", "mit"], 200, "lang = 'en' AND source IN ('src0', 'src1', 'src2') AND n_chars > 200"))
 def t3(t: Tables) -> DataFrame:
-    rows = t.documents.where("lang = 'en' and source in ('src0', 'src1', 'src2') and n_chars > 200")
-    return fulltext.bm25(rows, "doc_id", "text", ["license", "mit"]).select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(200)
+    found = _documents(t).search_among([["license", "mit"]], "lang = 'en' and source in ('src0', 'src1', 'src2') and n_chars > 200", digits=6)
+    return found.select(F.col("key").alias("doc_id"), "score").orderBy(F.desc("score"), "doc_id").limit(200)
 
 
 @query("T4_tokeniser", f"SELECT doc_id, CAST(len({TOKENS}) AS INT) AS n, CAST(len(list_distinct({TOKENS})) AS INT) AS kinds FROM documents")
@@ -78,8 +99,11 @@ _ALIASES = ("license", "licence", "licensed", "rights")
 )
 def t6(t: Tables) -> DataFrame:
     """The 200 best of each alias among two languages, merged by document: its best score and the aliases it matched."""
-    found = fulltext.fan_out(t.documents.where("lang in ('en', 'de')"), "doc_id", "text", list(_ALIASES), 200, digits=6)
-    return found.select("doc_id", "score", F.array_join("matched", ",").alias("matched"))
+    found = _documents(t).search_among([[q] for q in _ALIASES], "lang in ('en', 'de')", digits=6)
+    # Each task keeps 200 rows of a query before they meet.
+    best = found.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "key"))).where("place <= 200")
+    alias = F.array(*map(F.lit, _ALIASES))[F.col("query")]
+    return best.groupBy(F.col("key").alias("doc_id")).agg(F.max("score").alias("score"), F.array_join(F.array_sort(F.collect_set(alias)), ",").alias("matched"))
 
 
 @query(
@@ -88,8 +112,9 @@ def t6(t: Tables) -> DataFrame:
 )
 def t6_facets(t: Tables) -> DataFrame:
     """How many of the documents that match any alias each facet has."""
-    hit = F.arrays_overlap(tokens(F.col("text")), F.array(*[F.lit(q) for q in _ALIASES]))
-    return t.documents.where(hit).groupBy("source", "lang").agg(F.count("*").alias("n"))
+    index = _documents(t)
+    hits = index.postings(_ALIASES).select("segment", "cell", "key").distinct()
+    return index.docs().join(hits, ["segment", "cell", "key"]).groupBy("source", "lang").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -162,7 +187,7 @@ def t11(t: Tables) -> DataFrame:
 )
 def t12(t: Tables) -> DataFrame:
     """Reciprocal-rank fusion of the thirty best by BM25 and by cosine, six kept."""
-    b = fulltext.bm25(t.documents, "doc_id", "text", ["the"]).select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(30)
+    b = _documents(t).search(["the"], 30, digits=6).select(F.col("key").alias("doc_id"), "score")
     asked = F.array(*[F.lit(float(x)) for x in t.embeddings.where("vec_id = 0").first()["embedding"]])
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, c: a.cast("double") * c.cast("double")), F.lit(0.0), lambda s, z: s + z)
     v = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.round(dot("embedding", asked) / F.sqrt(dot("embedding", "embedding")), 9).alias("score")).orderBy(F.desc("score"), "doc_id").limit(30)
@@ -192,6 +217,36 @@ def t16(t: Tables) -> DataFrame:
     return rows.groupBy("source").agg(F.round(10000.0 * F.sum("hits") / F.sum("words"), 6).alias("rate"))
 
 
+_TURN_TOKENS = f"SELECT conv_id * 1000 + turn AS key, {TOKENS} AS t FROM conversations"
+
+
+@query(
+    "K8_flushed_index",
+    f"SELECT term, CAST(count(DISTINCT key) AS BIGINT) AS df, CAST(count(*) AS BIGINT) AS tf, CAST(min(key) AS BIGINT) AS first FROM (SELECT key, unnest(t) AS term FROM ({_TURN_TOKENS})) GROUP BY 1",
+)
+def k8(t: Tables) -> DataFrame:
+    """The stored blocks of all segments, a segment flushed for about every thousand turns: frequencies and first key of each term."""
+    index = _turns(t)
+    blocks = index.stored()
+    return blocks.groupBy("term").agg(F.sum("n").cast("long").alias("df"), F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda s, x: s + x)).alias("tf"), F.min("first").alias("first"))
+
+
+@query(
+    "T1_phrases",
+    f"SELECT doc_id, CAST(len(list_filter(range(1, len(t)), lambda i: t[i] = 'all' AND t[i + 1] = 'rights' AND t[i + 2] = 'reserved')) AS BIGINT) AS n FROM (SELECT doc_id, {TOKENS} AS t FROM documents) WHERE n > 0",
+)
+def t1_phrases(t: Tables) -> DataFrame:
+    return _documents(t).phrase(["all", "rights", "reserved"]).select(F.col("key").alias("doc_id"), "n")
+
+
+@query(
+    "T1_prefixes",
+    f"SELECT doc_id, CAST(len(list_distinct(m)) AS BIGINT) AS terms, CAST(len(m) AS BIGINT) AS n FROM (SELECT doc_id, list_filter({TOKENS}, lambda x: starts_with(x, 'licen')) AS m FROM documents) WHERE len(m) > 0",
+)
+def t1_prefixes(t: Tables) -> DataFrame:
+    return _documents(t).prefix("licen").select(F.col("key").alias("doc_id"), "terms", "n")
+
+
 @query("K10_W20_document_export", pack_sql("SELECT conv_id AS key, CAST(turn AS BIGINT) AS place, CAST(length(text) + 1 AS BIGINT) AS size FROM conversations", "key", 12_000, 10**9))
 def k10(t: Tables) -> DataFrame:
     """Turns of a conversation packed in order into documents of at most 12,000 characters; longer turns stand alone."""
