@@ -15,13 +15,15 @@ import numpy as np
 _STEP = (64, 1 << 18)
 
 
-def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order by symbol, and in that order each one's rank among its equals."""
-    order = np.argsort(symbols, kind="stable")
+def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A stable order by symbol, the symbols in it, and each one's rank among its equals."""
+    order = symbols.argsort(kind="stable")
     ordered = symbols[order]
-    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    sizes = np.diff(np.append(first, len(ordered)))
-    return order, np.arange(len(ordered)) - np.repeat(first, sizes)
+    places = np.arange(len(ordered))
+    first = np.empty(len(ordered), bool)
+    first[0] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return order, ordered, places - np.maximum.accumulate(places * first)
 
 
 def _induce(sa: np.ndarray, t: np.ndarray, small: np.ndarray, slots: np.ndarray, forward: bool) -> None:
@@ -30,18 +32,19 @@ def _induce(sa: np.ndarray, t: np.ndarray, small: np.ndarray, slots: np.ndarray,
     forward: L types from left to right, slots from bucket starts up; else S types from right to left, from the ends down.
     """
     n, at, size = len(sa), 0, 1024
+    sought = np.zeros(n + 2, bool)
+    np.not_equal(small, forward, out=sought[:n])
     view = sa if forward else sa[::-1]  # positions below count along the scan
     while at < n:
         end = min(n, at + size)
         before = view[at:end] - 1
-        found = np.flatnonzero(before >= 0)
-        found = found[small[before[found]] != forward]
+        # An empty slot gives -2, the first suffix -1: both look up what is of no type.
+        found = sought[before].nonzero()[0]
         size = min(2 * size, _STEP[1])
         if len(found):
             js = before[found]
-            order, rank = _grouped(t[js])
+            order, symbols, rank = _grouped(t[js])
             js, found = js[order], found[order]
-            symbols = t[js]
             to = slots[symbols] + rank
             lowest = int(to.min())
             if lowest < end:
@@ -67,13 +70,11 @@ def _types(t: np.ndarray) -> np.ndarray:
 def _scan_both(t: np.ndarray, small: np.ndarray, lms: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The array induced from the LMS suffixes, given in order."""
     n, ends = len(t), np.cumsum(counts)
-    sa = np.full(n, -1, np.int32)
-    order, rank = _grouped(t[lms])
-    placed = lms[order]
-    symbols = t[placed]
-    own = np.bincount(symbols, minlength=len(counts))
-    at = ends[symbols] - own[symbols] + rank
-    sa[at] = placed
+    sa, at = np.full(n, -1, np.int32), lms
+    if len(lms):
+        order, symbols, rank = _grouped(t[lms])
+        at = (ends - np.bincount(symbols, minlength=len(counts)))[symbols] + rank
+        sa[at] = lms[order]
     starts = ends - counts
     # The end itself comes first and induces the last suffix, which is of L type.
     sa[starts[t[-1]]] = n - 1
