@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 import time
 import zlib
 
@@ -485,21 +486,112 @@ def test_licenses_with_notices_between():
     assert license_scans.scan_text(BSD)[1] == ["BSD-3-Clause"]
 
 
-def test_license_sentences_against_patterns(texts):
-    """The sentence map against one regular expression a template, over the whole table."""
-    rules = []
-    for name, templates in license_scans.SENTENCES.items():
-        for t in templates:
-            pattern = "".join(f"(?:(?:{p}) )" + "?" * any(not x for x in p.split("|")) if i % 2 else re.sub(r"\* ?", "(?:[a-z0-9]+ )*?", p.strip() + " " * bool(p.strip())) for i, p in enumerate(re.split(r"[{}]", t)))
-            pattern = re.sub(r"\((?=\?:[^)]*\|\))", "(", pattern).replace("|)", ")")
-            rules.append((name, re.compile(pattern)))
-    for text in texts.values():
-        wanted = []
-        for a, b in license_scans.sentences(text):
-            sentence = license_scans.normalise(text[a:b])
-            if len(sentence) < 2000 and (name := next((n for n, p in rules if p.fullmatch(sentence + " ")), None)):
-                wanted.append((a, b, name))
-        assert license_scans.scan_text(text)[0] == wanted
+_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS"'
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{name}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT OR INCIDENTAL DAMAGES."""
+_GNU = """This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details.
+
+You should have received a copy of the GNU {kind}General Public License along with this {what}; if not, see <https://www.gnu.org/licenses/>."""
+#: Notices as their licences word them, and what they are; written down by hand, not from the sentence table.
+NOTICES = {
+    "MIT": f"""MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+{_AS_IS}, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE.""",
+    "ISC": f"""Copyright (c) 2004 Some One
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+{_AS_IS} AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
+    "BSD-2-Clause": _BSD.format(name=""),
+    "BSD-3-Clause": _BSD.format(name="\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"),
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution.""",
+    "BSL-1.0": """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software.""",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, for any purpose.",
+    "Apache-2.0": """Copyright 2019 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "GPL-2.0-or-later": _GNU.format(what="program", kind="", version="2"),
+    "GPL-3.0-or-later": _GNU.format(what="program", kind="", version="3").replace("software;", "software:").replace("Foundation;", "Foundation,"),
+    "LGPL-2.1-or-later": _GNU.format(what="library", kind="Lesser ", version="2.1"),
+    "AGPL-3.0-or-later": _GNU.format(what="program", kind="Affero ", version="3"),
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", ";; ", "-- ", "dnl ", "REM "])
+@pytest.mark.parametrize("width", [34, 47, 66, 79, 10_000])
+def test_license_notices_in_comments_and_wraps(mark, width):
+    for name, notice in NOTICES.items():
+        lines = [x for line in notice.split("\n") for x in (textwrap.wrap(line, width, break_long_words=False) or [""])]
+        text = "\n".join((mark + x).rstrip() for x in ["Some file, without end", "", *lines, "", "import everything"])
+        found, licences = license_scans.scan_text(f"/*\n{text}\n */" if mark == " * " else text)
+        assert licences == [name], (name, found)
+
+
+def test_license_statements():
+    cases = {
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": ["CC-BY-NC-SA"],
+        "Licensed under the CC BY-NC-ND 4.0 license.": ["CC-BY-NC-ND"],
+        "This text is licensed under Creative Commons Attribution-NoDerivatives 3.0 Unported License.": ["CC-BY-ND"],
+        "Licensed under CC BY-SA 4.0, see the file.": ["CC-BY-SA"],
+        "This document is licensed under the Creative Commons Attribution 4.0 International License": ["CC-BY"],
+        "Our code is released under the GNU General Public License, version 2 or later.": ["GPL-2.0-or-later"],
+        "Licensed under the GNU GPL v3.": ["GPL-3.0"],
+        "Licensed under the LGPLv2.1 or any later version.": ["LGPL-2.1-or-later"],
+        "Available under the GNU Affero General Public License v3 only.": ["AGPL-3.0"],
+        "Dual licensed under the MIT license or the Apache License, Version 2.0.": ["MIT", "Apache-2.0"],
+        "It is released under the zlib license.": ["Zlib"],
+        "Provided under the Eclipse Public License, version 1.0.": ["EPL-1.0"],
+        "Released under the 3-clause BSD license.": ["BSD-3-Clause"],
+        "Released under the\nMIT\nLicense.": ["MIT"],
+        "This work is not licensed under the MIT Licensing Board's rules.": [],
+        "Every licensed driver drove under the bridge.": [],
+    }
+    for text, names in cases.items():
+        assert license_scans.scan_text(text)[1] == names, (text, license_scans.scan_text(text))
+
+
+def test_spdx_expressions():
+    cases = {
+        "SPDX-License-Identifier: MIT OR Apache-2.0": ["MIT", "Apache-2.0"],
+        "/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) AND BSD-3-Clause */": ["GPL-2.0-only WITH Linux-syscall-note", "BSD-3-Clause"],
+        "<!-- SPDX-License-Identifier: CC-BY-4.0 -->": ["CC-BY-4.0"],
+        "# SPDX-License-Identifier: EPL-2.0 or later words": ["EPL-2.0", "later"],
+        "SPDX-License-Identifier: MIT and more": ["MIT", "more"],
+        "SPDX-License-Identifier: MIT AND": ["MIT"],
+        "SPDX-License-Identifier:": [],
+        "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: ISC": ["MIT", "ISC"],
+    }
+    for text, names in cases.items():
+        assert license_scans.scan_text(text)[1] == names, text
 
 
 def test_license_scan_is_linear():
