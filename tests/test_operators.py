@@ -1,5 +1,6 @@
 """Hand-computed cases of the core operators (FIXTURES.md), sources, sinks and streams."""
 
+import hashlib
 import json
 
 import numpy as np
@@ -177,6 +178,90 @@ def test_near_pairs_find_all(spark, monkeypatch):
         assert near == {(i, int(j)) for i in range(0, 120, 5) for j in np.argsort(-(unit @ unit[i]))[:4]}
 
 
+def clustered(rng, n, spread):
+    centres = rng.normal(size=(24, 16))
+    return centres[rng.integers(0, 24, n)] + rng.normal(size=(n, 16)) * spread
+
+
+@pytest.mark.parametrize("spread", [0.03, 3.0])
+def test_neighbours_in_reach(spark, monkeypatch, spread):
+    """Brute force on clustered and on formless vectors, with repeated, zero and null ones; clusters meet few others."""
+    monkeypatch.setattr(vectors, "BLOCK", 40)
+    rng = np.random.default_rng(4)
+    m = clustered(rng, 600, spread)
+    m[7] = m[8] = m[9]
+    m[11] = 0
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)] + [(600, None)], "id long, v array<double>").repartition(5)
+    unit = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+    cos = unit @ unit.T
+    for least in (0.9, 0.5, 0.0):
+        report = {}
+        found = {(r.a, r.b): r.similarity for r in vectors.near_pairs(frame, "id", "v", least, report).collect()}
+        sure = {(i, j) for i in range(600) for j in range(i + 1, 600) if cos[i, j] >= least + 1e-9}
+        maybe = {(i, j) for i in range(600) for j in range(i + 1, 600) if cos[i, j] >= least - 1e-9}
+        assert sure <= found.keys() <= maybe
+        assert least < 0.9 or spread > 1 or report["share"] < 0.3
+    queries = frame.where("id % 20 = 7")
+    report = {}
+    best = {}
+    for r in vectors.top_neighbours(frame, queries, "id", "v", 6, report).collect():
+        best.setdefault(r.a, []).append((r.b, r.similarity))
+    assert spread > 1 or report["share"] < 0.5
+    for i in range(7, 600, 20):
+        assert sorted(s for _, s in best[i]) == pytest.approx(np.sort(cos[i])[-6:])
+    near = {}
+    for r in vectors.euclidean_neighbours(frame, queries, "id", "v", 6).collect():
+        near.setdefault(r.a, []).append(r.distance)
+    for i in range(7, 600, 20):
+        d = np.delete(np.sqrt(((m - m[i]) ** 2).sum(1)), i)
+        assert sorted(near[i]) == pytest.approx(np.sort(d)[:6])
+    assert {r.b for r in vectors.top_neighbours(frame.limit(3), frame.where("id = 0"), "id", "v", 10).collect()} == {r.id for r in frame.limit(3).collect() if r.v}
+    assert vectors.near_pairs(frame.limit(0), "id", "v", 0.5).count() == 0
+
+
+def greedy_directed(n, similarity, needed, k, cap):
+    """One merge at a time along directed edges, all pairs across as similar as they have to be."""
+    edges = []
+    for i in range(n):
+        for j in sorted(range(n), key=lambda j: (-similarity[i][j], j))[:k]:
+            if j > i and similarity[i][j] >= needed[i][j]:
+                edges.append((-similarity[i][j], i, j))
+    group = {i: {i} for i in range(n)}
+    for _, i, j in sorted(edges):
+        x, y = group[i], group[j]
+        if x is not y and len(x) + len(y) <= cap and all(similarity[u][v] >= needed[u][v] for u in x for v in y):
+            x |= y
+            for v in y:
+                group[v] = x
+    return {frozenset(g) for g in group.values() if len(g) > 1}
+
+
+@pytest.mark.parametrize(("k", "cap"), [(3, 24), (5, 4), (32, 24)])
+def test_directed_edges_ask_for_merges(spark, k, cap):
+    rng = np.random.default_rng(k)
+    m = clustered(rng, 90, 0.5)
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    similarity = np.round(unit @ unit.T, 12)
+    entities = rng.integers(0, 40, 90)
+    frame = spark.createDataFrame([(i, r.tolist(), "", [str(e)]) for i, (r, e) in enumerate(zip(m, entities, strict=True))], "id long, v array<double>, text string, entities array<string>")
+    levels = (0.7, 0.75, 0.8)
+    needed = np.where(entities[:, None] == entities[None], levels[0], levels[2])
+    edges = vectors.account_edges(frame, "id", "v", levels, neighbours=k).cache()
+    groups = vectors.complete_link_groups(edges, cap)
+    members = {}
+    for r in groups.collect():
+        members.setdefault(r["group"], set()).add(r["id"])
+    assert {frozenset(g) for g in members.values() if len(g) > 1} == greedy_directed(90, similarity, needed, k, cap)
+    recordings = spark.createDataFrame([(i, f"r{i % 7}" if i % 5 else None) for i in range(90)], "id long, recording string")
+    for r in vectors.group_figures(edges, groups, recordings).collect():
+        ids = sorted(members[r["group"]])
+        inner = similarity[np.ix_(ids, ids)]
+        assert (r.members, r.least) == (len(ids), pytest.approx(inner.min(), abs=1e-5))
+        assert r.medoid == ids[int(np.argmax(np.round(inner.mean(axis=1), 12)))]
+        assert r.recordings == len({i % 7 for i in ids if i % 5})
+        assert r["id"] == "accounts_" + hashlib.sha256(json.dumps(ids, separators=(",", ":")).encode()).hexdigest()[:24]
+
+
 def test_required_similarity(spark):
     rows = [(1, "They married in 1990.", ["x"]), (2, "The divorce of 1990.", ["x"]), (3, "In 1990.", ["x"]), (4, "In 1990.", ["y"]), (5, "In 2001.", ["x"]), (6, "No year.", ["z"])]
     frame = spark.createDataFrame([(i, t, e, [1.0, i / 1000]) for i, t, e in rows], "id long, text string, entities array<string>, v array<double>")

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.graphs import written
+
 #: Rows of a block of vectors.
 BLOCK = 2000
+#: Most pivots of a table, and the rows that each is chosen from.
+PIVOTS, SAMPLE = 256, 8
 # Least similarities for a shared informative entity, a shared year, neither; and one that no cosine reaches.
 LEVELS = (0.82, 0.86, 0.90)
 INCOMPATIBLE = 1.01
@@ -50,62 +55,126 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
 
 
-def _blocked(left: DataFrame, right: DataFrame, key: str, column: str, work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, below: bool = False) -> DataFrame:
-    """work(rows of left, rows of right), as frames (id, v), for every block of left and every block of right.
+def _plain(column: pd.Series) -> np.ndarray:
+    return np.array(column.tolist(), np.float64)
 
-    Blocks have about BLOCK rows, dealt by hash of the key, so every group has a bounded size and none passes through
-    the driver. below: left and right are one table, and each pair of its blocks comes once.
-    """
-    n, m = (max(1, -(-x.count() // BLOCK)) for x in (left, right))
-    place = lambda parts: F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
-    rows = [F.col(key).alias("id"), F.col(column).alias("v")]
-    a = left.select(place(n).alias("i"), *rows).withColumn("j", F.explode(F.sequence(F.col("i") if below else F.lit(0), F.lit(m - 1))))
-    b = right.select(place(m).alias("j"), *rows).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("j") if below else F.lit(n - 1))))
-    return a.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(work, schema)
 
+def _angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ y.T, -1, 1))
 
-def _best(found: DataFrame, value: str, k: int, least: bool) -> DataFrame:
-    """The k best (value, then b) of each a, from each block's k best."""
-    key = F.col(value) if least else -F.col(value)
-    top = found.groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct(key.alias("s"), "b"))), 1, k).alias("top")).select("a", F.explode("top").alias("x"))
-    return top.select("a", "x.b", (F.col("x.s") if least else -F.col("x.s")).alias(value))
 
+def _lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(((x[:, None] - y[None]) ** 2).sum(-1), 0)) if len(x) * len(y) * x.shape[1] < 1 << 22 else np.stack([np.sqrt(((y - v) ** 2).sum(1)) for v in x])
 
-def top_neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int) -> DataFrame:
-    """(a, b, similarity): the k rows of vectors most cosine-similar to each query row, ties by id, itself included.
 
-    Blocks of queries meet blocks of vectors; only k rows a query and block are shuffled again.
-    """
+@dataclass
+class Reach:
+    """Pivots, the radius of each one's ball, the group it is in, and the groups' numbers of rows: what tasks need."""
 
-    def near(q: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(rows):
-            return pd.DataFrame({"a": [], "b": [], "similarity": []})
-        s = _matrix(q["v"]) @ _matrix(rows["v"]).T
-        at = rows["id"].to_numpy()
-        order = np.lexsort((np.broadcast_to(at, s.shape), -s), axis=1)[:, :k]
-        return pd.DataFrame({"a": np.repeat(q["id"].to_numpy(), order.shape[1]), "b": at[order].ravel(), "similarity": np.take_along_axis(s, order, 1).ravel()})
+    pivots: np.ndarray
+    radius: np.ndarray
+    group: np.ndarray
+    sizes: np.ndarray
 
-    return _best(_blocked(queries, vectors, key, column, near, "a long, b long, similarity double"), "similarity", k, least=False)
+    def groups(self, far: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """For rows with these distances from the pivots: the groups with a ball that may hold something within reach."""
+        balls = far <= (self.radius + reach[:, None]) * (1 + 1e-9) + 1e-7
+        return np.stack([balls[:, self.group == g].any(axis=1) for g in range(len(self.sizes))], axis=1)
 
 
-def euclidean_neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int) -> DataFrame:
-    """(a, b, distance): the k other rows nearest to each query row, ties by id. Blocked like top_neighbours()."""
-
-    def near(q: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(rows):
-            return pd.DataFrame({"a": [], "b": [], "distance": []})
-        m, at, names = np.array(rows["v"].tolist(), float), rows["id"].to_numpy(), q["id"].to_numpy()
-        d = np.sqrt(np.stack([((m - x) ** 2).sum(1) for x in np.array(q["v"].tolist(), float)]))
-        d[names[:, None] == at[None, :]] = np.inf
-        order = np.lexsort((np.broadcast_to(at, d.shape), d), axis=1)[:, :k]
-        found = pd.DataFrame({"a": np.repeat(names, order.shape[1]), "b": at[order].ravel(), "distance": np.take_along_axis(d, order, 1).ravel()})
-        return found[np.isfinite(found["distance"])]
-
-    return _best(_blocked(queries, vectors, key, column, near, "a long, b long, distance double"), "distance", k, least=True)
+class Balls:
+    """A table of vectors as balls around pivots, so that only balls in reach of each other meet; no pair is lost.
 
+    Pivots are a bounded number of the vectors, far from each other; every vector is at home with its nearest. Angles (and distances) obey
+    the triangle inequality: what lies within `reach` of some vector of a ball lies within its radius + reach of its
+    pivot. Balls next to each other form groups of about BLOCK rows; a group of more is dealt into parts. Radii and
+    counts of the groups, PIVOTS rows at most, are all that the driver gets.
+    """
 
-def near_pairs(vectors: DataFrame, key: str, column: str, least: float) -> DataFrame:
-    """(a, b, similarity), a < b: every pair of rows whose cosine is at least least. Exact: all blocks meet all blocks."""
+    def __init__(self, vectors: DataFrame, key: str, column: str, angles: bool) -> None:
+        rows = vectors.where(F.col(column).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("v"))
+        self.n, self.angles = rows.count(), angles
+        shape, measure = (_matrix, _angles) if angles else (_plain, _lengths)
+        few = max(1, min(PIVOTS, int(np.sqrt(self.n))))
+        sample = rows.orderBy(F.xxhash64("id"), "id").select("v").limit(SAMPLE * few).collect()
+        pivots = self._spread(shape(pd.Series([r["v"] for r in sample])), few, measure) if self.n else np.zeros((0, 1))
+
+        def at_home(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for x in frames:
+                far = measure(shape(x["v"]), pivots)
+                home = far.argmin(axis=1)
+                yield x.assign(ball=home, far=far[np.arange(len(x)), home])
+
+        self.homes = written(rows.mapInPandas(at_home, "id long, v array<double>, ball int, far double"))
+        figures = {r["ball"]: r for r in self.homes.groupBy("ball").agg(F.max("far").alias("radius"), F.count("*").alias("n")).collect()}
+        radius = np.array([figures[j]["radius"] if j in figures else -np.inf for j in range(len(pivots))])
+        counts = np.array([figures[j]["n"] if j in figures else 0 for j in range(len(pivots))], np.int64)
+        group = self._grouped(pivots, counts, measure)
+        self.reach = Reach(pivots, radius, group, np.bincount(group, weights=counts, minlength=1).astype(np.int64))
+
+    @staticmethod
+    def _spread(sample: np.ndarray, few: int, measure: Callable) -> np.ndarray:
+        """So many rows of the sample, each the one farthest from those before it: dense regions get a pivot each."""
+        chosen = [0]
+        far = measure(sample[:1], sample)[0]
+        while len(chosen) < few:
+            chosen.append(int(far.argmax()))
+            far = np.minimum(far, measure(sample[chosen[-1:]], sample)[0])
+        return sample[chosen]
+
+    @staticmethod
+    def _grouped(pivots: np.ndarray, counts: np.ndarray, measure: Callable) -> np.ndarray:
+        """The balls' groups: along a walk from each pivot to the nearest one left, BLOCK rows after BLOCK rows."""
+        left, at, total, group, out = np.ones(len(pivots), bool), 0, 0, 0, np.zeros(len(pivots), np.int64)
+        for _ in range(len(pivots)):
+            if total and total + counts[at] > BLOCK:
+                group, total = group + 1, 0
+            out[at], left[at] = group, False
+            total += counts[at]
+            if left.any():
+                far = measure(pivots[at : at + 1], pivots)[0]
+                at = int(np.where(left, far, np.inf).argmin())
+        return out
+
+    def parts(self, more: dict[int, int]) -> Column:
+        """array of (parts of the group's own rows, parts of the rows that visit it), by group."""
+        sizes = self.reach.sizes
+        own = [max(1, -(-int(n) // BLOCK)) for n in sizes]
+        visits = [max(1, -(-int(more.get(g, 0)) // BLOCK)) for g in range(len(sizes))]
+        return F.array(*[F.struct(F.lit(a).alias("own"), F.lit(b).alias("visits")) for a, b in zip(own, visits, strict=True)])
+
+    def meet(self, visitors: DataFrame, work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+        """work(own rows of a group, rows that visit it) for bounded parts of both; visitors: id, v, groups, and more."""
+        coming = {r["g"]: r["n"] for r in visitors.select(F.explode("groups").alias("g")).groupBy("g").agg(F.count("*").alias("n")).collect()}
+        self.compared = sum(int(self.reach.sizes[g]) * n for g, n in coming.items())
+        parts = self.parts(coming)
+        deal = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+        group = F.array(*[F.lit(int(g)) for g in self.reach.group])[F.col("ball")]
+        own = self.homes.select(group.alias("g"), "id", "v")
+        own = own.where(F.col("g").isin(list(coming))).withColumn("p", parts[F.col("g")])
+        own = own.select("g", deal(F.col("p.own")).alias("s"), F.explode(F.sequence(F.lit(0), F.col("p.visits") - 1)).alias("t"), "id", "v")
+        rest = [c for c in visitors.columns if c not in ("groups",)]
+        came = visitors.select(*rest, F.explode("groups").alias("g")).withColumn("p", parts[F.col("g")])
+        came = came.select("g", F.explode(F.sequence(F.lit(0), F.col("p.own") - 1)).alias("s"), deal(F.col("p.visits")).alias("t"), *rest)
+        return own.groupBy("g", "s", "t").cogroup(came.groupBy("g", "s", "t")).applyInPandas(work, schema)
+
+
+def near_pairs(vectors: DataFrame, key: str, column: str, least: float, report: dict | None = None) -> DataFrame:
+    """(a, b, similarity), a < b: every pair of rows whose cosine is at least least, exactly; null vectors have none.
+
+    A row visits the groups up to its own that are in reach. report: gets the share of all pairs that are compared.
+    """
+    balls = Balls(vectors, key, column, angles=True)
+    if not balls.n:
+        return balls.homes.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("similarity"))
+    within, reach = balls.reach, float(np.arccos(np.clip(least, -1, 1)))
+
+    def targets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in frames:
+            home = within.group[x["ball"].to_numpy()]
+            near = within.groups(_angles(_matrix(x["v"]), within.pivots), np.full(len(x), reach))
+            near &= np.arange(near.shape[1]) <= home[:, None]
+            yield pd.DataFrame({"id": x["id"], "v": x["v"], "home": home, "groups": [np.flatnonzero(r).tolist() for r in near]})
 
     def near(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
@@ -113,13 +182,97 @@ def near_pairs(vectors: DataFrame, key: str, column: str, least: float) -> DataF
         one, other = x["id"].to_numpy(), y["id"].to_numpy()
         s = _matrix(x["v"]) @ _matrix(y["v"]).T
         i, j = np.nonzero(s >= least)
-        # A block that meets itself has each pair twice.
-        same = len(one) == len(other) and set(one.tolist()) == set(other.tolist())
-        keep = one[i] < other[j] if same else one[i] != other[j]
+        # Rows of one group meet each other twice.
+        keep = (y["home"].to_numpy() != y["g"].to_numpy())[j] | (one[i] < other[j])
         i, j = i[keep], j[keep]
         return pd.DataFrame({"a": np.minimum(one[i], other[j]), "b": np.maximum(one[i], other[j]), "similarity": s[i, j]})
 
-    return _blocked(vectors, vectors, key, column, near, "a long, b long, similarity double", below=True)
+    visitors = written(balls.homes.mapInPandas(targets, "id long, v array<double>, home int, groups array<int>"))
+    found = balls.meet(visitors, near, "a long, b long, similarity double")
+    if report is not None:
+        report["share"] = balls.compared / max(1, balls.n * (balls.n + 1) / 2)
+    return found
+
+
+def _nearest(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int, angles: bool, itself: bool, report: dict | None = None) -> DataFrame:
+    """(a, b, far): the k rows nearest to each query by angle or distance, exactly, ties by id.
+
+    First each query looks into the groups of its nearest balls that hold k rows and one more; the k-th there bounds how
+    far it has to look. Then it visits the other groups within that reach.
+    """
+    balls = Balls(vectors, key, column, angles)
+    none = balls.homes.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("far"))
+    if not balls.n:
+        return none
+    shape, measure = (_matrix, _angles) if angles else (_plain, _lengths)
+    within = balls.reach
+    members = within.sizes[within.group]
+
+    def first(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in frames:
+            far = measure(shape(x["v"]), within.pivots)
+            out = []
+            for order in far.argsort(axis=1, kind="stable"):
+                groups, held = [], 0
+                for j in order.tolist():
+                    if (g := int(within.group[j])) not in groups:
+                        groups.append(g)
+                        held += int(members[j])
+                        if held > k:
+                            break
+                out.append(groups)
+            yield pd.DataFrame({"id": x["id"], "v": x["v"], "groups": out})
+
+    def near(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": [], "far": []})
+        names, at = y["id"].to_numpy(), x["id"].to_numpy()
+        # Cosines order ties as they are compared, so their negatives stand for the angle.
+        d = -(_matrix(y["v"]) @ _matrix(x["v"]).T) if angles else _lengths(_plain(y["v"]), _plain(x["v"]))
+        if not itself:
+            d[names[:, None] == at[None, :]] = np.inf
+        order = np.lexsort((np.broadcast_to(at, d.shape), d), axis=1)[:, :k]
+        found = pd.DataFrame({"a": np.repeat(names, order.shape[1]), "b": at[order].ravel(), "far": np.take_along_axis(d, order, 1).ravel()})
+        return found[np.isfinite(found["far"])]
+
+    def wider(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in frames:
+            bound = x["bound"].to_numpy(float)
+            reach = np.arccos(np.clip(-bound, -1, 1)) if angles else bound
+            reach = np.where(x["held"].to_numpy() < k, np.inf, reach)
+            more = within.groups(measure(shape(x["v"]), within.pivots), reach)
+            for i, groups in enumerate(x["groups"]):
+                more[i, list(groups)] = False
+            yield pd.DataFrame({"id": x["id"], "v": x["v"], "groups": [np.flatnonzero(r).tolist() for r in more]})
+
+    asked = queries.where(F.col(column).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("v"))
+    probes = written(asked.mapInPandas(first, "id long, v array<double>, groups array<int>"))
+    best = written(_best(balls.meet(probes, near, "a long, b long, far double"), "far", k, least=True))
+    compared = balls.compared
+    bounds = best.groupBy("a").agg(F.max("far").alias("bound"), F.count("*").alias("held"))
+    wide = probes.join(bounds, probes["id"] == bounds["a"], "left").select("id", "v", "groups", F.coalesce("bound", F.lit(0.0)).alias("bound"), F.coalesce("held", F.lit(0)).alias("held"))
+    visits = written(wide.mapInPandas(wider, "id long, v array<double>, groups array<int>").where(F.size("groups") > 0))
+    found = _best(best.unionByName(balls.meet(visits, near, "a long, b long, far double")), "far", k, least=True)
+    if report is not None:
+        report["share"] = (compared + balls.compared) / max(1, balls.n * probes.count())
+    return found
+
+
+def _best(found: DataFrame, value: str, k: int, least: bool) -> DataFrame:
+    """The k best (value, then b) of each a, from each block's k best."""
+    key = F.col(value) if least else -F.col(value)
+    top = found.groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct(key.alias("s"), "b"))), 1, k).alias("top")).select("a", F.explode("top").alias("x"))
+    return top.select("a", "x.b", (F.col("x.s") if least else -F.col("x.s")).alias(value))
+
+
+def top_neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int, report: dict | None = None) -> DataFrame:
+    """(a, b, similarity): the k rows of vectors most cosine-similar to each query row, ties by id, itself included."""
+    return _nearest(vectors, queries, key, column, k, True, True, report).select("a", "b", (-F.col("far")).alias("similarity"))
+
+
+def euclidean_neighbours(vectors: DataFrame, queries: DataFrame, key: str, column: str, k: int, report: dict | None = None) -> DataFrame:
+    """(a, b, distance): the k other rows nearest to each query row, ties by id."""
+    return _nearest(vectors, queries, key, column, k, False, False, report).select("a", "b", F.col("far").alias("distance"))
 
 
 def required_similarity(one: str, other: str, levels: tuple[float, float, float] = LEVELS) -> Column:
@@ -134,10 +287,10 @@ def required_similarity(one: str, other: str, levels: tuple[float, float, float]
     return F.when(apart("transitions") | apart("years"), F.lit(INCOMPATIBLE)).otherwise(level)
 
 
-def account_edges(accounts: DataFrame, key: str, column: str, levels: tuple[float, float, float] = LEVELS) -> DataFrame:
+def account_edges(accounts: DataFrame, key: str, column: str, levels: tuple[float, float, float] = LEVELS, neighbours: int | None = None) -> DataFrame:
     """(a, b, similarity) of all pairs of accounts (key, vector column, text, entities) as similar as they have to be.
 
-    Years and transitions are read from the text. An entity is informative if at most a tenth of the accounts, or five,
+    neighbours: adds proposed, whether b, the greater id, is among the so many best of a (itself included). Years and transitions are read from the text. An entity is informative if at most a tenth of the accounts, or five,
     have it.
     """
     n = accounts.count()
@@ -153,32 +306,53 @@ def account_edges(accounts: DataFrame, key: str, column: str, levels: tuple[floa
     pairs = near_pairs(accounts, key, column, min(levels))
     for side in ("a", "b"):
         pairs = pairs.join(facts.select(F.col(key).alias(side), F.col("facts").alias(f"facts_{side}")), side)
-    return pairs.where(F.col("similarity") >= required_similarity("facts_a", "facts_b", levels)).select("a", "b", "similarity")
+    pairs = pairs.where(F.col("similarity") >= required_similarity("facts_a", "facts_b", levels)).select("a", "b", "similarity")
+    if neighbours is None:
+        return pairs
+    best = top_neighbours(accounts, accounts, key, column, neighbours).where("a < b").select("a", "b", F.lit(True).alias("best"))
+    return pairs.join(best, ["a", "b"], "left").select("a", "b", "similarity", F.coalesce("best", F.lit(False)).alias("proposed"))
 
 
 def complete_link_groups(edges: DataFrame, cap: int) -> DataFrame:
     """(id, group): greedy merging along edges (a, b, similarity) from the best down, ties by ids; group: its least id.
 
-    Two groups merge only if every pair across is an edge and together they have at most cap members. Pairs of groups
+    With a column proposed, only edges for which it is true ask for a merge; all count as links. Two groups merge only
+    if every pair across is an edge and together they have at most cap members. Pairs of groups
     that are each other's best merge in the same round: no other merge could have come between, as a merged group's best
     pair is no better than its parts', so the result is that of one merge at a time. A round is a few joins and sums.
     """
-    from weftline.operators.graphs import written
-
-    edges = written(edges.select("a", "b", "similarity"))
+    edges = written(edges.select("a", "b", "similarity", F.col("proposed") if "proposed" in edges.columns else F.lit(True).alias("proposed")))
     groups = written(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("group")))
     while True:
         named = edges.join(groups.select(F.col("id").alias("a"), F.col("group").alias("ga")), "a").join(groups.select(F.col("id").alias("b"), F.col("group").alias("gb")), "b")
-        named = named.where("ga <> gb").select("a", "b", "similarity", F.least("ga", "gb").alias("x"), F.greatest("ga", "gb").alias("y"))
+        named = named.where("ga <> gb").select("a", "b", "similarity", "proposed", F.least("ga", "gb").alias("x"), F.greatest("ga", "gb").alias("y"))
         size = groups.groupBy("group").agg(F.count("*").alias("n"))
-        pairs = named.groupBy("x", "y").agg(F.count("*").alias("links"), F.max(F.struct("similarity", -F.col("a"), -F.col("b"))).alias("best"))
+        pairs = named.groupBy("x", "y").agg(F.count("*").alias("links"), F.max(F.when(F.col("proposed"), F.struct("similarity", -F.col("a"), -F.col("b")))).alias("best"))
         pairs = pairs.join(size.select(F.col("group").alias("x"), F.col("n").alias("nx")), "x").join(size.select(F.col("group").alias("y"), F.col("n").alias("ny")), "y")
         pairs = written(pairs.where((F.col("links") == F.col("nx") * F.col("ny")) & (F.col("nx") + F.col("ny") <= cap)).select("x", "y", "best"))
-        if not pairs.limit(1).count():
+        if not pairs.where("best is not null").limit(1).count():
             return groups
         top = pairs.select(F.explode(F.array("x", "y")).alias("g"), "best").groupBy("g").agg(F.max("best").alias("top"))
         mutual = pairs.join(top.select(F.col("g").alias("x"), F.col("top").alias("tx")), "x").join(top.select(F.col("g").alias("y"), F.col("top").alias("ty")), "y")
         merged = mutual.where("best = tx and best = ty").select(F.col("y").alias("group"), F.col("x").alias("into"))
         groups = written(groups.join(merged, "group", "left").select("id", F.coalesce("into", "group").alias("group")))
         # A pair of groups that may not merge now never may: its edges are needed no more.
-        edges = written(named.join(pairs.select("x", "y"), ["x", "y"], "left_semi").select("a", "b", "similarity"))
+        edges = written(named.join(pairs.select("x", "y"), ["x", "y"], "left_semi").select("a", "b", "similarity", "proposed"))
+
+
+def group_figures(edges: DataFrame, groups: DataFrame, recordings: DataFrame) -> DataFrame:
+    """One row a group of two or more: id, group, members, least (similarity), medoid, recordings (distinct ones).
+
+    Every pair of a group is an edge. The medoid is on average most like the others, ties to the least id. recordings:
+    (id, recording) of the accounts; null ones do not count. The id is a digest of the members' sorted ids.
+    """
+    ends = [groups.select(F.col("id").alias(x), F.col("group").alias(f"g{x}")) for x in ("a", "b")]
+    inner = edges.join(ends[0], "a").join(ends[1], "b").where("ga = gb")
+    means = inner.select(F.col("ga").alias("group"), F.explode(F.array("a", "b")).alias("id"), "similarity").groupBy("group", "id").agg(F.avg("similarity").alias("mean"), F.min("similarity").alias("least"))
+    figures = means.groupBy("group").agg(F.min("least").alias("least"), F.max_by("id", F.struct("mean", -F.col("id"))).alias("medoid"))
+    # A group has a bounded number of members.
+    ids = groups.groupBy("group").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    met = groups.join(recordings, "id").groupBy("group").agg(F.countDistinct("recording").alias("recordings"))
+    out = figures.join(ids, "group").join(met, "group", "left")
+    name = F.concat(F.lit("accounts_"), F.substring(F.sha2(F.to_json("ids").cast("binary"), 256), 1, 24))
+    return out.select(name.alias("id"), "group", F.size("ids").cast("long").alias("members"), F.round("least", 5).alias("least"), "medoid", F.coalesce("recordings", F.lit(0)).alias("recordings"))

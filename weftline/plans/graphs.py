@@ -160,7 +160,7 @@ def a35(t: Tables) -> DataFrame:
     "ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0) WHERE n <= 5",
 )
 def g11(t: Tables) -> DataFrame:
-    """Five exact Euclidean neighbours of the query rows: cosine's blocked search with vectors lifted so that order agrees."""
+    """Five exact Euclidean neighbours of the query rows."""
     v = F.transform("embedding", lambda x: x.cast("double"))
     return vectors.euclidean_neighbours(t.embeddings.select("vec_id", v.alias("v")), t.embeddings.where("vec_id % 50 = 0").select("vec_id", v.alias("v")), "vec_id", "v", 5).select("a", "b", F.round("distance", 5).alias("distance"))
 
@@ -183,11 +183,11 @@ _EDGES = f"""
     SELECT a, b, round(similarity, 5) AS similarity FROM p WHERE similarity >= needed"""
 
 
-def account_edges(t: Tables) -> DataFrame:
+def account_edges(t: Tables, neighbours: int | None = None) -> DataFrame:
     """Vectors as accounts: their class is the entity, the text is the document's of the same number."""
     texts = t.documents.select(F.col("doc_id").alias("vec_id"), "text")
     accounts = t.embeddings.join(texts, "vec_id", "left").select("vec_id", "embedding", "text", F.array(F.col("label").cast("string")).alias("entities"))
-    return vectors.account_edges(accounts, "vec_id", "embedding", _LEVELS)
+    return vectors.account_edges(accounts, "vec_id", "embedding", _LEVELS, neighbours)
 
 
 @query("G6_account_edges", _EDGES)
@@ -195,20 +195,29 @@ def g6_edges(t: Tables) -> DataFrame:
     return account_edges(t).withColumn("similarity", F.round("similarity", 5))
 
 
+@query(
+    "G6_directed_edges",
+    f"WITH e AS ({_EDGES}), u AS (SELECT vec_id, [x / sqrt(list_sum([y * y FOR y IN embedding::DOUBLE[]])) FOR x IN embedding::DOUBLE[]] AS v FROM embeddings), "
+    "n AS (SELECT x.vec_id AS a, y.vec_id AS b, row_number() OVER (PARTITION BY x.vec_id ORDER BY list_dot_product(x.v, y.v) DESC, y.vec_id) AS place FROM u x, u y) "
+    "SELECT a, b, similarity FROM e JOIN n USING (a, b) WHERE place <= 32",
+)
+def g6_directed(t: Tables) -> DataFrame:
+    """The edges that ask for a merge: to a greater id among the row's 32 best, itself included."""
+    return account_edges(t, 32).where("proposed").select("a", "b", F.round("similarity", 5).alias("similarity"))
+
+
 @query("G6_complete_link")
 def g6(t: Tables) -> DataFrame:
-    """Complete-link groups of at most 24 accounts, every pair of which is as similar as it has to be."""
-    return vectors.complete_link_groups(account_edges(t), 24)
+    """Complete-link groups of at most 24 accounts, every pair of which is as similar as it has to be; directed edges ask."""
+    return vectors.complete_link_groups(account_edges(t, 32), 24)
 
 
 @query("A37_G9_group_stats")
 def a37(t: Tables) -> DataFrame:
-    """Members, least similarity and medoid of each group, over its own pairs."""
-    near = graphs.written(account_edges(t))
-    groups = vectors.complete_link_groups(near, 24)
-    named = near.join(groups.select(F.col("id").alias("a"), F.col("group").alias("ga")), "a").join(groups.select(F.col("id").alias("b"), F.col("group").alias("gb")), "b").where("ga = gb")
-    ends = named.select("ga", F.explode(F.array("a", "b")).alias("id"), "similarity").groupBy("ga", "id").agg(F.avg("similarity").alias("mean"), F.min("similarity").alias("least"), F.count("*").alias("n"))
-    return ends.groupBy(F.col("ga").alias("group")).agg(F.count("*").alias("members"), F.round(F.min("least"), 6).alias("least"), F.max_by("id", F.struct("mean", -F.col("id"))).alias("medoid"))
+    """Id (digest of the members' ids), members, least similarity, medoid and distinct recordings of each group."""
+    near = graphs.written(account_edges(t, 32))
+    recordings = t.documents.select(F.col("doc_id").alias("id"), F.col("source").alias("recording"))
+    return vectors.group_figures(near, vectors.complete_link_groups(near, 24), recordings)
 
 
 @query(

@@ -171,7 +171,7 @@ _UNIT = "SELECT vec_id, label, [x / sqrt(list_sum([y * y FOR y IN v])) FOR x IN
     f"WHERE a.vec_id % 50 = 0) WHERE n <= 32 AND a <> b",
 )
 def j17(t: Tables) -> DataFrame:
-    """The 32 nearest rows, itself included, of every vector whose id divides by 50; blocked, against all rows."""
+    """The 32 nearest rows, itself included, of every vector whose id divides by 50, against all rows in reach."""
     return vectors.top_neighbours(t.embeddings, t.embeddings.where("vec_id % 50 = 0"), "vec_id", "embedding", 32).where("a <> b").select("a", "b", F.round("similarity", 5).alias("similarity"))
 
 
