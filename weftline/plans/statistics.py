@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators import matrices
+from weftline.operators import factor_checks, matrices
 from weftline.plans.registry import Tables, query
 
 _COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -112,6 +112,24 @@ def g16(t: Tables) -> DataFrame:
     return means.agg(F.round(F.percentile("mean", F.lit(0.025)), 2).alias("low"), F.round(F.percentile("mean", F.lit(0.975)), 2).alias("high"))
 
 
+@query("G16_stability")
+def g16_stability(t: Tables) -> DataFrame:
+    """The factor loadings of order lines with the percentiles of 500 refits, months of shipping drawn as clusters."""
+    rows = t.lineitem.select(F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.array(*[F.expr(m).cast("double") for m in _MEASURES]).alias("v"))
+    found = factor_checks.bootstrap(rows, "month", "v", factors=2)
+    name = F.array(*[F.lit(m) for m in _MEASURES])[F.col("variable")]
+    return found.select(name.alias("variable"), "factor", *[F.round(c, 5).alias(c) for c in ("loading", "low", "high")], "refits")
+
+
+@query("G17_masked_prediction")
+def g17_masked(t: Tables) -> DataFrame:
+    """Each measure of a year's lines predicted from the others under the moments of all earlier years."""
+    rows = t.lineitem.select(F.year("l_shipdate").alias("year"), F.array(*[F.expr(m).cast("double") for m in _MEASURES]).alias("v"))
+    found = factor_checks.masked_prediction(rows, "year", "v")
+    name = F.array(*[F.lit(m) for m in _MEASURES])[F.col("variable")]
+    return found.select("fold", name.alias("variable"), "trained", "n", F.round("rmse", 6).alias("rmse"), F.round("mean_rmse", 6).alias("mean_rmse"))
+
+
 @query("G18_change_points")
 def g18(t: Tables) -> DataFrame:
     """Segments of each status's monthly means; a series is one group of at most its months."""
