@@ -117,3 +117,14 @@ def degrees(edges: DataFrame) -> DataFrame:
 def mention_graph(mentions: DataFrame, entity: str, recording: str, basis: str) -> DataFrame:
     """(entity, recording, basis): one edge for each entity and recording that meet, with the sorted set of bases."""
     return mentions.groupBy(entity, recording).agg(F.array_sort(F.collect_set(basis)).alias(basis))
+
+
+def weighted_components(edges: DataFrame) -> DataFrame:
+    """One row for each component of edges (a, b, weight): component (least id), members, weight, place by weight, heaviest first."""
+    from weftline.operators import ranks
+
+    found = written(components(edges.select("a", "b")))
+    weights = edges.join(found, edges["a"] == found["id"]).groupBy("component").agg(F.sum("weight").alias("weight"))
+    sizes = found.groupBy("component").agg(F.count("*").alias("members"))
+    rows = weights.join(sizes, "component").withColumn("lot", F.lit(0))
+    return ranks.numbered(rows, "lot", [F.desc("weight"), F.asc("component")]).select("component", "members", "weight", (F.col("place") + 1).alias("place"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators import folds, graphs, vectors
+from weftline.operators import folds, graphs, networks, vectors
 from weftline.plans.registry import Tables, query
 
 _CHAIN = """
@@ -125,6 +125,105 @@ def a34(t: Tables) -> DataFrame:
     return graphs.degrees(co_mentions(t))
 
 
+_ERAS = ("early", "late")
+#: Events as mentions: a day is a recording, the user is who is named.
+_MENTIONS = """SELECT CAST(ts AS DATE) AS recording, 86400000 AS duration, CASE WHEN day(ts) <= 15 THEN 'early' ELSE 'late' END AS era,
+    user_id AS name, epoch_ms(ts) % 86400000 AS t, CAST(CASE WHEN event_type = 'view' THEN 0.5 ELSE 1.0 END AS DOUBLE) AS weight FROM events"""
+_NEAR = """SELECT {by} x.name AS a, y.name AS b, sum(x.weight * y.weight) AS weight FROM {of} x JOIN {of} y
+    ON x.recording = y.recording {on} AND x.name < y.name AND abs(x.t - y.t) <= 120000 GROUP BY ALL"""
+
+
+def _windowed_sql(draws: int) -> str:
+    moved = f"""SELECT * REPLACE ((t + ('0x' || substr(md5('7|' || draw || '|' || recording || '|' || name), 1, 12))::BIGINT % duration) % duration AS t)
+        FROM m, (SELECT unnest(range({draws})) AS draw)"""
+    return f"""WITH m AS ({_MENTIONS}), w AS ({_NEAR.format(by="x.era,", of="m", on="")}),
+    s AS (SELECT a, b, sum(weight) AS weight, {", ".join(f"coalesce(sum(weight) FILTER (era = '{e}'), 0.0) AS era_{e}" for e in _ERAS)} FROM w GROUP BY 1, 2 HAVING sum(weight) >= 3),
+    v AS MATERIALIZED ({moved}), c AS ({_NEAR.format(by="x.draw,", of="v", on="AND x.draw = y.draw")}),
+    f AS (SELECT a, b, sum(c.weight) AS total, count(*) FILTER (c.weight > s.weight + 1e-9) AS above, count(*) FILTER (abs(c.weight - s.weight) <= 1e-9) AS equal FROM c JOIN s USING (a, b) GROUP BY 1, 2)
+    SELECT a, b, weight, {", ".join(f"era_{e}" for e in _ERAS)}, round(coalesce(total, 0) / {draws}.0, 6) AS baseline, round(weight / nullif(coalesce(total, 0) / {draws}.0, 0), 6) AS lift,
+    round(100.0 * ({draws} - coalesce(above, 0) - coalesce(equal, 0) + coalesce(equal, 0) / 2) / {draws}, 6) AS percentile, round((1 + coalesce(above, 0) + coalesce(equal, 0)) / {draws + 1}.0, 6) AS p
+    FROM s LEFT JOIN f USING (a, b)"""
+
+
+@query("A32_G20_windowed_co_mentions", _windowed_sql(20))
+def a32_windowed(t: Tables) -> DataFrame:
+    """Names within two minutes of each other, by era, against twenty seeded circular shifts; weights of three or more."""
+    ms = F.unix_millis(F.col("ts").cast("timestamp")) % 86_400_000
+    rows = t.events.select(
+        F.to_date("ts").alias("recording"), F.lit(86_400_000).cast("long").alias("duration"), F.when(F.dayofmonth("ts") <= 15, "early").otherwise("late").alias("era"),
+        F.col("user_id").alias("name"), ms.alias("t"), F.when(F.col("event_type") == "view", 0.5).otherwise(1.0).alias("weight"),
+    )
+    found = networks.co_mentions(rows, list(_ERAS), draws=20, seed=7)
+    return found.select("a", "b", "weight", *[f"era_{e}" for e in _ERAS], *[F.round(c, 6).alias(c) for c in ("baseline", "lift", "percentile", "p")])
+
+
+_TRACKED = ("the", "la", "und", "license", "reserved")
+_LIST = ", ".join(f"'{n}'" for n in _TRACKED)
+_DATED = "SELECT doc_id, text, o_orderdate FROM documents JOIN orders ON o_orderkey = doc_id"
+_COUNTED = rf"""WITH l AS (SELECT o_orderdate, unnest(string_split(text, chr(10))) AS line FROM ({_DATED})),
+    w AS (SELECT strftime(o_orderdate, '{{form}}') AS period, list_filter(regexp_split_to_array(lower(line), '[^\p{{{{L}}}}\p{{{{N}}}}]+'), lambda x: x <> '') AS t, contains(line, '?') AS question FROM l),
+    k AS (SELECT period, name, CAST(sum(len(list_filter(t, lambda x: x = name))) AS BIGINT) AS n, CAST(sum(CASE WHEN question THEN 0 ELSE len(list_filter(t, lambda x: x = name)) END) AS BIGINT) AS strict
+          FROM w, (SELECT unnest([{_LIST}]) AS name) GROUP BY 1, 2),
+    d AS (SELECT period, sum(len(t)) AS words FROM w GROUP BY 1)"""
+
+
+def _named(t: Tables, form: str) -> tuple[DataFrame, DataFrame]:
+    """(period, name, n, strict) and (period, words) of the dated documents; strict leaves question-shaped lines out."""
+    dated = t.documents.join(t.orders.select(F.col("o_orderkey").alias("doc_id"), "o_orderdate"), "doc_id")
+    lines = dated.select(F.date_format("o_orderdate", form).alias("period"), F.explode(F.split("text", "\n")).alias("line"))
+    words = lines.select("period", F.contains("line", F.lit("?")).alias("question"), F.array_remove(F.split(F.lower("line"), r"[^\p{L}\p{N}]+"), "").alias("t"))
+    count = lambda name: F.size(F.filter("t", lambda x: x == name))
+    hits = [F.struct(F.lit(n).alias("name"), count(n).alias("n")) for n in _TRACKED]
+    named = words.select("period", "question", F.explode(F.array(*hits)).alias("h"))
+    counts = named.groupBy("period", "h.name").agg(F.sum("h.n").alias("n"), F.sum(F.when(F.col("question"), 0).otherwise(F.col("h.n"))).cast("long").alias("strict"))
+    return counts, words.groupBy("period").agg(F.sum(F.size("t")).alias("words"))
+
+
+@query(
+    "T16_monthly_rates",
+    _COUNTED.format(form="%Y-%m") + " SELECT period, name, n, round(10000.0 * n / nullif(words, 0), 6) AS rate, round(10000.0 * strict / nullif(words, 0), 6) AS strict_rate, "
+    "round(n / nullif(sum(n) OVER (PARTITION BY period), 0), 6) AS share FROM k JOIN d USING (period)",
+)
+def t16_monthly(t: Tables) -> DataFrame:
+    """Matches of each tracked name per 10,000 words by month, with and without question-shaped lines, and its share of the month's."""
+    counts, words = _named(t, "yyyy-MM")
+    totals = counts.groupBy("period").agg(F.sum("n").alias("all"))
+    rate = lambda c: F.round(10_000.0 * F.col(c) / F.when(F.col("words") > 0, F.col("words")), 6)
+    found = counts.join(words, "period").join(totals, "period")
+    return found.select("period", "name", "n", rate("n").alias("rate"), rate("strict").alias("strict_rate"), F.round(F.col("n") / F.when(F.col("all") > 0, F.col("all")), 6).alias("share"))
+
+
+@query(
+    "A33_annual_names",
+    _COUNTED.format(form="%Y") + f""", s AS (SELECT period, CAST(sum(n) AS BIGINT) AS matches, max(n) AS top, count(*) FILTER (n >= 5) AS active_names, sum(CASE WHEN n > 0 THEN n * ln(n) END) AS h FROM k GROUP BY 1),
+    g AS (SELECT count(DISTINCT name) FILTER (n > 0) AS known FROM k)
+    SELECT period, CAST(words AS BIGINT) AS words, matches, round(10000.0 * matches / words, 6) AS rate, round(CASE WHEN matches > 0 AND known > 1 THEN (ln(matches) - h / matches) / ln(known) END, 6) AS spread,
+    round(top / nullif(matches, 0), 6) AS top_share, active_names FROM d JOIN s USING (period), g""",
+)
+def a33_annual(t: Tables) -> DataFrame:
+    """Yearly words, rate per 10,000 words, evenness, top share and active names (five matches or more)."""
+    counts, words = _named(t, "yyyy")
+    found = networks.period_rates(counts, words, "period")
+    return found.select("period", "words", "matches", *[F.round(c, 6).alias(c) for c in ("rate", "spread", "top_share")], "active_names")
+
+
+_CO_SUPPLIED = "SELECT a.l_suppkey AS a, b.l_suppkey AS b, count(DISTINCT a.l_partkey) AS weight FROM lineitem a JOIN lineitem b ON a.l_partkey = b.l_partkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2 HAVING count(DISTINCT a.l_partkey) >= 2"
+
+
+@query(
+    "G3_weighted_components",
+    f"WITH RECURSIVE w AS MATERIALIZED ({_CO_SUPPLIED}), e AS (SELECT a, b FROM w UNION SELECT b, a FROM w), r(id, c) AS (SELECT a, a FROM e UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id), "
+    "n AS (SELECT id, min(c) AS component FROM r GROUP BY 1), s AS (SELECT component, sum(weight) AS weight FROM w JOIN n ON id = a GROUP BY 1), m AS (SELECT component, count(*) AS members FROM n GROUP BY 1) "
+    "SELECT component, CAST(members AS BIGINT) AS members, CAST(weight AS BIGINT) AS weight, row_number() OVER (ORDER BY weight DESC, component) AS place FROM s JOIN m USING (component)",
+)
+def g3_weighted(t: Tables) -> DataFrame:
+    """Components of the suppliers that share two parts or more, the heaviest first."""
+    held = graphs.written(t.lineitem.select("l_partkey", "l_suppkey").distinct())
+    pairs = held.withColumnRenamed("l_suppkey", "a").join(held.withColumnRenamed("l_suppkey", "b"), "l_partkey").where("a < b")
+    edges = graphs.written(pairs.groupBy("a", "b").agg(F.count("*").alias("weight")).where("weight >= 2"))
+    return graphs.weighted_components(edges)
+
+
 @query(
     "G20_shift_baseline",
     """WITH m AS (SELECT DISTINCT l_orderkey AS k, l_suppkey % 10 AS g, l_suppkey FROM lineitem),
