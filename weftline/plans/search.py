@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import tokens
-from weftline.operators import folds, fulltext, graphs
+from weftline.operators import entities, folds, fulltext, graphs
 from weftline.operators.text_index import TextIndex
 from weftline.plans.folds import pack_sql
 from weftline.plans.registry import Tables, query
@@ -141,6 +141,24 @@ def t8(t: Tables) -> DataFrame:
     return found.groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs")).where("docs >= 2")
 
 
+_CAPITALISED = rf"""SELECT doc_id, unnest(list_distinct(list_concat(regexp_extract_all(text, '{entities.PHRASE}', 0), regexp_extract_all(text, '{entities.INTRODUCED}', 1)))) AS label FROM documents""".replace("[ '-]", "[ ''-]")
+_DISCOVERED = rf"""SELECT label, count(DISTINCT doc_id) AS docs FROM ({_CAPITALISED}) WHERE NOT regexp_matches(label, '^(?:{entities.LEAD_IN})\b', 'i') AND NOT regexp_matches(label, '\b(?:{entities.CALENDAR})\b', 'i') GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2"""
+
+
+@query("T8_discovered_phrases", _DISCOVERED)
+def t8_discovered(t: Tables) -> DataFrame:
+    return entities.discovered(t.documents, "doc_id", "text")
+
+
+@query("T9_gazetteer_mentions")
+def t9(t: Tables) -> DataFrame:
+    """Entities (the words that open a document as speakers, places, platforms, discovered phrases) with the documents that mention them, and how often."""
+    speakers = t.documents.select(F.regexp_extract("text", r"^\p{Lu}\p{L}+", 0).alias("label")).where("label <> ''").distinct()
+    names = graphs.written(entities.gazetteer(speakers, entities.discovered(t.documents, "doc_id", "text")))
+    found = entities.mentions(t.documents, "doc_id", "text", names)
+    return found.groupBy("label").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs")).join(names, "label").select("id", "label", "type", "n", "docs")
+
+
 _TITLE = _MENTION.replace("text", "split_part(text, chr(10), 1)")
 
 
