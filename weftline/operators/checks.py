@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.operators import ranks
+from weftline.operators.graphs import written
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
@@ -52,9 +55,10 @@ def release_shape(manifest: DataFrame, recordings: DataFrame, segments: DataFram
     held = recordings.groupBy("shard").agg(F.count("*").alias("held"), F.min("id").alias("lo"), F.max("id").alias("hi"))
     both = manifest.join(held, "shard", "full_outer")
     differ = ~F.coalesce((F.col("rows") == F.col("held")) & (F.col("first_id") == F.col("lo")) & (F.col("last_id") == F.col("hi")), F.lit(False))
-    # Ranges in the order of the manifest's shards, of which there are few.
-    after = Window.orderBy("first_id")
-    overlap = manifest.withColumn("next", F.lead("first_id").over(after)).where("next <= last_id")
+    # Each range beside the next one: numbered without a sort in one task.
+    placed = written(ranks.numbered(manifest.select("shard", "first_id", "last_id").withColumn("lot", F.lit(0)), "lot", ["first_id", "last_id", "shard"]))
+    following = placed.select((F.col("place") - 1).alias("place"), F.col("first_id").alias("next"))
+    overlap = placed.join(following, "place").where("next <= last_id")
     inner = Window.partitionBy("id").orderBy("place")
     late = segments.withColumn("before", F.lag("start").over(inner)).where("start < before")
     numbers = segments.groupBy("id").agg(F.min("place").alias("lo"), F.max("place").alias("hi"), F.count("*").alias("n"), F.countDistinct("place").alias("kinds"))

@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators import fulltext
+from weftline.operators import fulltext, graphs
 from weftline.operators.graphs import shared_folder
 from weftline.plans.registry import Tables, query
 from weftline.plans.search import TOKENS
 from weftline.sources import sinks
+from weftline.sources.releases import Releases
 
 
 def _release(t: Tables) -> DataFrame:
@@ -67,6 +68,51 @@ def k2c(t: Tables) -> DataFrame:
     return manifest.agg(F.count("*").alias("shards"), F.lit(broken).cast("long").alias("broken"))
 
 
+_CELL = "o_orderkey // 1000"
+
+
+@query(
+    "K2_reused_shards",
+    f"""WITH s AS (SELECT {_CELL} AS shard, CAST(count(*) AS BIGINT) AS n, bool_or(o_orderkey BETWEEN lo AND hi) AS touched
+        FROM orders, (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 2 AS lo, min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 2 + (max(o_orderkey) - min(o_orderkey)) // 100 AS hi FROM orders) GROUP BY 1)
+    SELECT 1 AS release, count(*) AS shards, count(*) AS written, CAST(sum(n) AS BIGINT) AS rows FROM s UNION ALL SELECT 2, count(*), count(*) FILTER (touched), CAST(sum(n) AS BIGINT) FROM s""",
+)
+def k2_reused(t: Tables) -> DataFrame:
+    """A release of all orders, then one in which the prices of a hundredth of the keys have changed: what each writes."""
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", F.expr("o_orderkey div 1000").alias("shard"))
+    lo, hi = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    middle = lo + (hi - lo) // 2
+    later = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey").between(middle, middle + (hi - lo) // 100), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    releases = Releases(t.spark, f"{shared_folder(t.spark)}/releases-{uuid.uuid4().hex}")
+    done = [releases.publish({"orders": (rows, "shard")}) for rows in (orders, later)]
+    return t.spark.createDataFrame([(i + 1, d.shards, d.written, d.rows) for i, d in enumerate(done)], "release int, shards long, written long, rows long")
+
+
+_KEPT = "SELECT c_custkey AS id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)"
+
+
+@query(
+    "K3_graph_tree",
+    f"""WITH k AS ({_KEPT}), o AS (SELECT * FROM orders WHERE o_custkey IN (FROM k)),
+    s AS (SELECT 'nodes' AS "table", CAST(c_nationkey AS VARCHAR) AS shard FROM customer WHERE c_custkey IN (FROM k)
+      UNION ALL SELECT 'edges', CAST(o_orderkey // 5000 AS VARCHAR) FROM (SELECT DISTINCT o_orderkey, o_custkey FROM o WHERE o_orderstatus = 'F')
+      UNION ALL SELECT 'evidence', CAST(o_orderkey // 5000 AS VARCHAR) FROM o WHERE o_totalprice > 300000)
+    SELECT "table", shard, count(*) AS rows FROM s GROUP BY 1, 2""",
+)
+def k3_tree(t: Tables) -> DataFrame:
+    """The graph as a release: customers that have both participants (orders that are done) and evidence (dear ones) are its
+    nodes; edges and evidence go with them, each table in shards of its own."""
+    link = lambda c: t.orders.where(c).select(F.col("o_custkey").alias("id"))
+    kept = graphs.written(graphs.pruned(t.customer.select(F.col("c_custkey").alias("id")), {"participants": link("o_orderstatus = 'F'"), "evidence": link("o_totalprice > 300000")}))
+    nodes = t.customer.join(kept, F.col("c_custkey") == F.col("id"), "left_semi").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("label"), F.col("c_nationkey").alias("shard"))
+    rows = t.orders.join(kept, F.col("o_custkey") == F.col("id"), "left_semi").withColumn("shard", F.expr("o_orderkey div 5000"))
+    edges = rows.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("node"), F.col("o_orderkey").alias("event"), "shard").distinct()
+    evidence = rows.where("o_totalprice > 300000").select(F.col("o_orderkey").alias("event"), F.col("o_totalprice").alias("price"), "shard")
+    releases = Releases(t.spark, f"{shared_folder(t.spark)}/releases-{uuid.uuid4().hex}")
+    releases.publish({"nodes": (nodes, "shard"), "edges": (edges, "shard"), "evidence": (evidence, "shard")})
+    return releases.manifest().select("table", "shard", "rows")
+
+
 @query("K3_graph_release", "SELECT n_regionkey AS r, string_agg(n_name, ',' ORDER BY n_name) AS names, CAST(count(*) AS BIGINT) AS n FROM nation GROUP BY 1")
 def k3(t: Tables) -> DataFrame:
     return t.nation.groupBy(F.col("n_regionkey").alias("r")).agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("names"), F.count("*").alias("n"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.operators import checks
+from weftline.operators import checks, log_proofs
+from weftline.operators.graphs import written
 from weftline.plans.registry import Tables, query
 
 
@@ -114,3 +115,24 @@ def v8(t: Tables) -> DataFrame:
     a, b = t.nation.alias("a"), t.nation.alias("b")
     half = a.join(b, (F.col("a.n_regionkey") == F.col("b.n_regionkey")) & (F.col("a.n_nationkey") < F.col("b.n_nationkey"))).select(F.col("a.n_nationkey").alias("a"), F.col("b.n_nationkey").alias("b"), F.lit(1.0).alias("v"))
     return checks.asymmetric(half, "a", "b", "v").agg(F.count("*").alias("broken"))
+
+
+@query(
+    "V3_log_extended",
+    """WITH o AS (SELECT user_id AS key, event_id, CASE WHEN user_id % 11 = 3 AND event_id % 5 = 0 THEN 'edited' ELSE event_type END AS kind FROM events WHERE event_id * 10 < (SELECT max(event_id) * 8 FROM events)),
+    n AS (SELECT user_id AS key, event_id, event_type AS kind FROM events WHERE NOT (user_id % 7 = 2 AND event_id % 10 = 1)),
+    x AS (SELECT key, event_id, kind, row_number() OVER (PARTITION BY key ORDER BY event_id) - 1 AS place FROM o), y AS (SELECT key, event_id, kind, row_number() OVER (PARTITION BY key ORDER BY event_id) - 1 AS place FROM n),
+    d AS (SELECT coalesce(x.key, y.key) AS key, coalesce(x.place, y.place) AS place, x.event_id AS was, y.event_id AS now, x.event_id IS NOT NULL AND (y.event_id IS NULL OR x.event_id <> y.event_id OR x.kind <> y.kind) AS breach FROM x FULL JOIN y ON x.key = y.key AND x.place = y.place),
+    f AS (SELECT key, CAST(min(place) FILTER (breach) AS BIGINT) AS place, count(was) AS n, count(now) AS m FROM d GROUP BY 1)
+    SELECT key, place, CASE WHEN n = 0 THEN 'added' WHEN m = 0 THEN 'removed' WHEN place IS NOT NULL THEN 'breach' WHEN n = m THEN 'same' ELSE 'extended' END AS verdict FROM f""",
+)
+def v3_extended(t: Tables) -> DataFrame:
+    """Two snapshots of the event log by user: most users' histories were extended, some were edited or cut."""
+    kind = F.when((F.col("user_id") % 11 == 3) & (F.col("event_id") % 5 == 0), "edited").otherwise(F.col("event_type"))
+    last = t.events.agg(F.max("event_id")).first()[0]
+    old = t.events.where(F.col("event_id") * 10 < last * 8).select("user_id", "event_id", kind.alias("kind"))
+    new = t.events.where("not (user_id % 7 = 2 and event_id % 10 = 1)").select("user_id", "event_id", F.col("event_type").alias("kind"))
+    chains = [written(log_proofs.chained(x, "user_id", ["event_id"], ["event_id", "kind"])) for x in (old, new)]
+    found = log_proofs.compared(*chains)
+    breach = F.col("verdict").isin("changed", "deleted", "inserted", "reordered")
+    return found.select("key", "place", F.when(breach, "breach").otherwise(F.col("verdict")).alias("verdict"))
