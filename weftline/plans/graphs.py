@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators import folds, graphs, networks, vectors
+from weftline.operators import folds, graphs, networks, pieces, vectors
 from weftline.plans.registry import Tables, query
 
 _CHAIN = """
@@ -427,3 +427,39 @@ def g9(t: Tables) -> DataFrame:
     g = members.groupBy("user_id").agg(F.min("grp").alias("grp"), F.count("*").alias("n"), F.min("d").alias("d"))
     good = (F.col("n") == 1) & (F.col("d") == F.sha2(F.col("event_type").cast("binary"), 256))
     return t.events.select("user_id", "event_type").distinct().join(g, "user_id", "left").select("user_id", "event_type", F.when(good, F.col("grp")).alias("grp"))
+
+
+_PIECE = 1 << 20
+_FILES = f"""f AS MATERIALIZED (SELECT l_suppkey AS payload, l_orderkey AS k, l_linenumber AS n, size, l_returnflag AS flag, l_quantity AS q, "end" - size AS begin, "end", total, ("end" - size) // {_PIECE} AS first, ("end" - 1) // {_PIECE} AS last
+    FROM (SELECT *, CAST(sum(size) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, size, l_returnflag, l_quantity ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "end", CAST(sum(size) OVER (PARTITION BY l_suppkey) AS BIGINT) AS total
+          FROM (SELECT *, CAST(floor(l_extendedprice * 100) AS BIGINT) AS size FROM lineitem))),
+    v AS MATERIALIZED (SELECT DISTINCT payload, unnest(range(first, last + 1)) AS p FROM f WHERE flag = 'R' OR q > 45)"""
+
+
+def _payloads(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Order lines as files of their supplier's payload; what was returned or is large has been verified, by two sources."""
+    files = t.lineitem.select(F.col("l_suppkey").alias("payload"), F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.floor(F.col("l_extendedprice") * 100).alias("size"), "l_returnflag", "l_quantity")
+    files = graphs.written(pieces.spans(files, "payload", ["k", "n", "size", "l_returnflag", "l_quantity"], "size", _PIECE))
+    verified = pieces.merged(*[pieces.bitmaps(files.where(c), "payload") for c in ("l_returnflag = 'R'", "l_quantity > 45")])
+    return files, graphs.written(verified)
+
+
+@query(
+    "G25_A36_file_coverage",
+    f"""WITH {_FILES}, c AS (SELECT payload, k, n, begin, sum(least("end", (p + 1) * {_PIECE}) - greatest(begin, p * {_PIECE})) AS covered FROM (SELECT payload, k, n, begin, "end", unnest(range(first, last + 1)) AS p FROM f) JOIN v USING (payload, p) GROUP BY 1, 2, 3, 4)
+    SELECT payload, k, n, begin, size AS bytes, CAST(coalesce(covered, 0) AS BIGINT) AS covered, last - first + 1 AS pieces, least((last + 1) * {_PIECE}, total) - first * {_PIECE} AS capacity FROM f LEFT JOIN c USING (payload, k, n, begin)""",
+)
+def g25_files(t: Tables) -> DataFrame:
+    """Bytes of each file in verified pieces, and the capacity of the pieces that it touches. Line numbers repeat in the tables; where a file begins tells them apart."""
+    files, verified = _payloads(t)
+    return pieces.covered(files, "payload", ["k", "n", "begin"], verified, _PIECE)
+
+
+@query(
+    "G25_payload_coverage",
+    f"""WITH {_FILES}, t AS (SELECT payload, any_value(total) AS bytes, (any_value(total) - 1) // {_PIECE} + 1 AS pieces FROM f GROUP BY 1)
+    SELECT payload, bytes, pieces, CAST(count(p) AS BIGINT) AS verified, CAST(coalesce(sum(least((p + 1) * {_PIECE}, bytes) - p * {_PIECE}), 0) AS BIGINT) AS covered FROM t LEFT JOIN v USING (payload) GROUP BY 1, 2, 3""",
+)
+def g25_payloads(t: Tables) -> DataFrame:
+    files, verified = _payloads(t)
+    return pieces.payloads(files, "payload", verified, _PIECE)
