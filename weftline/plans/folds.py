@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators import folds
 from weftline.plans.registry import Tables, query
+from weftline.streaming import keyed_state
 
 
 def pack_sql(rows: str, lot: str, most_size: int, most_rows: int) -> str:
@@ -58,3 +59,32 @@ def r6(t: Tables) -> DataFrame:
     """Five-minute result cache: the first request of a key and bucket computes, the others hit."""
     bucket = F.expr("unix_seconds(cast(ts as timestamp)) div 300")
     return t.events.groupBy("user_id", "event_type", bucket.alias("bucket")).agg(F.min("event_id").alias("event_id"), (F.count("*") - 1).alias("hits"))
+
+
+_REQUESTS = """SELECT CAST(user_id AS VARCHAR) AS key, epoch_us(ts) // 1000 AS "at", event_id AS id, event_type AS what, event_type = 'error' AS failed FROM events"""
+
+
+@query(
+    "R5_clock_limits",
+    f"""WITH RECURSIVE q AS ({_REQUESTS}), s AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY "at", id) AS i FROM q),
+    r AS (SELECT key, "at", id, what, i, 'admitted' AS outcome, "at" // 86400000 AS day, "at" // 3600000 AS hour, 1 AS today, 1 AS this_hour, "at" AS last FROM s WHERE i = 1
+    UNION ALL SELECT key, "at", id, what, i, CASE WHEN ok THEN 'admitted' ELSE 'refused' END, day, hour, today + CASE WHEN ok THEN 1 ELSE 0 END, this_hour + CASE WHEN ok THEN 1 ELSE 0 END, CASE WHEN ok THEN "at" ELSE last END
+    FROM (SELECT *, today < 3 AND this_hour < 1 AND (last IS NULL OR "at" - last >= 600000) AS ok FROM (
+          SELECT s.key, s."at", s.id, s.what, s.i, s."at" // 86400000 AS day, s."at" // 3600000 AS hour, CASE WHEN s."at" // 86400000 = r.day THEN r.today ELSE 0 END AS today,
+          CASE WHEN s."at" // 3600000 = r.hour THEN r.this_hour ELSE 0 END AS this_hour, CASE WHEN s."at" // 86400000 = r.day THEN r.last END AS last FROM r JOIN s ON s.key = r.key AND s.i = r.i + 1)))
+    SELECT key, "at", id, what, outcome FROM r""",
+)
+def r5_clock(t: Tables) -> DataFrame:
+    """Requests of each user under limits by day and clock hour and a gap of ten minutes; tight, so that some are refused."""
+    return keyed_state.decided(_requests(t), keyed_state.limited(per_day=3, per_hour=1, gap=600_000))
+
+
+@query("R6_keyed_cache")
+def r6_cache(t: Tables) -> DataFrame:
+    """Outcomes of each user's requests with a result cache of two days at most and a cooldown of an hour after errors."""
+    return keyed_state.decided(_requests(t), keyed_state.cached(lifetime=2 * 86_400_000, cooldown=3_600_000))
+
+
+def _requests(t: Tables) -> DataFrame:
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    return t.events.select(F.col("user_id").cast("string").alias("key"), at.alias("at"), F.col("event_id").alias("id"), F.col("event_type").alias("what"), (F.col("event_type") == "error").alias("failed"))

@@ -128,7 +128,7 @@ def a34(t: Tables) -> DataFrame:
 _ERAS = ("early", "late")
 #: Events as mentions: a day is a recording, the user is who is named.
 _MENTIONS = """SELECT CAST(ts AS DATE) AS recording, 86400000 AS duration, CASE WHEN day(ts) <= 15 THEN 'early' ELSE 'late' END AS era,
-    user_id AS name, epoch_ms(ts) % 86400000 AS t, CAST(CASE WHEN event_type = 'view' THEN 0.5 ELSE 1.0 END AS DOUBLE) AS weight FROM events"""
+    user_id AS name, epoch_us(ts) // 1000 % 86400000 AS t, CAST(CASE WHEN event_type = 'view' THEN 0.5 ELSE 1.0 END AS DOUBLE) AS weight FROM events"""
 _NEAR = """SELECT {by} x.name AS a, y.name AS b, sum(x.weight * y.weight) AS weight FROM {of} x JOIN {of} y
     ON x.recording = y.recording {on} AND x.name < y.name AND abs(x.t - y.t) <= 120000 GROUP BY ALL"""
 

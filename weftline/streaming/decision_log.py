@@ -1,7 +1,6 @@
 """Structured Streaming over append-only logs: the current state per key is kept by foreachBatch, exactly once per batch.
 
-The reference has no streams; these map its logs, their current views and its imports (R1, R3, R4) to micro-batches,
-and events to windows (an extension).
+These map append-only logs, their current views and imports (R1, R3, R4) to micro-batches.
 """
 
 from __future__ import annotations
@@ -75,9 +74,3 @@ def current_rows(spark: SparkSession, path: str) -> DataFrame:
 def current_state(spark: SparkSession, path: str, keys: list[str], sequence: str) -> DataFrame:
     """The latest row of each key, from the newest base and the deltas after it."""
     return _latest(current_rows(spark, path), keys, sequence)
-
-
-def windowed_counts(events: DataFrame, at: str, kind: str, width: str = "1 day", late: str = "2 hours") -> DataFrame:
-    """Counts and sums by tumbling event-time window and kind; rows later than the watermark are left out."""
-    timed = events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)
-    return timed.groupBy(F.window(at, width).alias("w"), kind).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), kind, "n", "total")
