@@ -852,3 +852,21 @@ def test_suffix_dedup_long_text_and_ties(spark):
     for r in suffix_dedup.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         found[r.doc_id].append([tuple(x) for x in r.removed])
     assert found == {None: [[]], 1: [[], []], 2: [[(10, 200)]] * 2, 5: [[(300, 900), (700_000, 1_400_000)]]}
+
+
+def test_rows_without_ids_are_their_own_next(spark):
+    frame = spark.createDataFrame([(None, "one two three."), (None, "other"), (7, "seven seven."), (3, "three.")], "doc_id long, text string")
+    found = fingerprints.fingerprints(frame).collect()
+    assert len(found) == 4
+    own = {r.n_chars: r for r in found if r.doc_id is None}
+    assert own[14].edited_sha256 == hashlib.sha256(b"one two three."[:10] + b"one ").hexdigest() and own[14].near_next == own[5].near_next == 1.0
+    by_id = {r.doc_id: r for r in found if r.doc_id is not None}
+    assert by_id[7].edited_sha256 == hashlib.sha256(b"seven seven."[:8] + b"thre").hexdigest()
+    assert by_id[3].edited_sha256 == hashlib.sha256(b"three."[:4] + b"se").hexdigest()
+    assert fingerprints.fingerprints(frame.where("doc_id is null")).count() == 2
+
+
+def test_only_the_most_frequent_labels_are_learned(spark):
+    rows = [("aaa bbb aaa bbb aaa", "x"), ("ccc ddd ccc ddd", "y"), ("zz", "stray")] + [("q", f"odd{i}") for i in range(30)]
+    filters = language_id.fit(spark.createDataFrame(rows, "text string, lang string"), most=2)
+    assert filters.languages == ["x", "y"] and filters.predict("bbb aaa bbb")[0] == "x"

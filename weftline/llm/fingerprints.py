@@ -102,13 +102,14 @@ def with_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows (bucket, peek, order, doc_id, text), sorted so that each row's next one by descending id follows it.
 
     Ids are cut into ranges by approximate quantiles. The last row of a range needs the first of the following range:
-    that row is sent along as a peek row, so neighbours never meet in a global sort. Null ids come last; equal ids
-    are ordered by text.
+    that row is sent along as a peek row, so neighbours never meet in a global sort. Equal ids are ordered by text. Rows
+    with a null id have no place in the order: they are dealt by their texts to buckets below 0.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("order", F.coalesce("doc_id", F.lit(-(2**63))))
     n = 4 * partitions(spark)
+    apart = rows.where("doc_id is null").select((-1 - F.pmod(F.xxhash64("text"), F.lit(n))).cast("int").alias("bucket"), F.lit(False).alias("peek"), F.lit(0).cast("long").alias("order"), "doc_id", "text")
+    rows = rows.where("doc_id is not null").withColumn("order", F.col("doc_id"))
     cuts = sorted({int(x) for x in rows.approxQuantile("order", [i / n for i in range(1, n)], 0.25 / n)})
     # bucket = how many cuts lie above the id: 0 holds the largest ids.
     bucket = F.lit(0)
@@ -118,12 +119,12 @@ def with_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     firsts = rows.groupBy("bucket").agg(F.max("order").alias("order")).collect()
     found = sorted((r["bucket"], r["order"]) for r in firsts)
     if not found:
-        return rows.select("bucket", F.lit(False).alias("peek"), "order", "doc_id", "text")
+        return apart
     after = [(found[i - 1][0], found[i][1]) for i in range(len(found))]
     peeks = spark.createDataFrame(after, "bucket int, order long")
     heads = rows.select("order", "text").join(F.broadcast(peeks.select("order").distinct()), "order", "left_semi").groupBy("order").agg(F.min("text").alias("text"))
     peeks = heads.join(F.broadcast(peeks), "order").select("bucket", F.lit(True).alias("peek"), "order", F.lit(None).cast("long").alias("doc_id"), "text")
-    both = rows.select("bucket", F.lit(False).alias("peek"), "order", "doc_id", "text").unionByName(peeks)
+    both = rows.select("bucket", F.lit(False).alias("peek"), "order", "doc_id", "text").unionByName(peeks).unionByName(apart)
     return both.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "peek", F.desc("order"), "text")
 
 
@@ -143,12 +144,18 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """One row per row of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last floor(n_chars/3) code points replaced by as many of the next document's first (or all
-    of them), in descending order of id, the first following the last. A null text is empty. A single row is its own
-    next; an empty table gives no rows.
+    of them), in descending order of id, the first following the last. A null text is empty. A single row and a row with
+    a null id are their own next; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
+    def row(at: int | None, body: str, mark: str, memo: dict, following: str, its_mark: str) -> tuple:
+        n = len(body)
+        edited = body[: n - n // 3] + following[: n // 3]
+        edited_mark = mark if edited == body else fingerprint(edited, memo)
+        return at, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), mark, edited_mark, likeness(mark, edited_mark), likeness(mark, its_mark)
+
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
@@ -156,12 +163,11 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             for bucket, peek, _, at, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 memo: dict[tuple[str, bool], str] = {}
                 mark = fingerprint(body, memo)
+                if bucket < 0:
+                    out.append(row(at, body, mark, memo, body, mark))
+                    continue
                 if last and last[0] == bucket:
-                    _, before, was, was_mark, was_memo = last
-                    n = len(was)
-                    edited = was[: n - n // 3] + body[: n // 3]
-                    edited_mark = was_mark if edited == was else fingerprint(edited, was_memo)
-                    out.append((before, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), was_mark, edited_mark, likeness(was_mark, edited_mark), likeness(was_mark, mark)))
+                    out.append(row(*last[1:], body, mark))
                 last = None if peek else (bucket, at, body, mark, memo)
             columns = list(zip(*out, strict=True)) or [[]] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

@@ -25,7 +25,7 @@ TYPICAL = 0.25
 #: ... and at least this rate in itself, so that a few odd trigrams don't count.
 LEAST_RATE = 2e-6
 UNDETERMINED = "und"
-#: Most languages: the filter, 8 MB for each 64 of them, is broadcast.
+#: Languages that are learned, those with the most text: the filter, 8 MB for each 64 of them, is broadcast.
 MOST_LANGUAGES = 512
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -83,10 +83,11 @@ class Filters:
         return self.languages[best], float(rates[best])
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", most: int = MOST_LANGUAGES) -> Filters:
     """Filters of all rows with text and language. No such rows: filters without languages, which predict `und`.
 
-    More than MOST_LANGUAGES different labels raise ValueError.
+    most: of more labels than that, those with the most trigrams are learned, ties by name; the rows of the others,
+    as stray values of a dirty column are, teach nothing. All rows are counted.
     """
     spark = labelled.sparkSession
     small_batches(spark)
@@ -94,10 +95,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     counts = rows.mapInPandas(_count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     scratch = Scratch(spark)
     counts = scratch.save(counts, "counts")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()}
     languages = sorted(totals)
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"{len(languages)} different languages, more than {MOST_LANGUAGES}: are these labels?")
     places = spark.createDataFrame([(x, i, float(totals[x])) for i, x in enumerate(languages)], "lang string, place int, total double")
     rates = counts.join(F.broadcast(places), "lang").select("key", "place", (F.col("n") / F.col("total")).alias("rate"))
     # The languages of one trigram, at most as many as there are: gathered in a row, not joined with itself.
@@ -116,7 +115,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
 def predict(docs: DataFrame, filters: Filters, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """All columns of docs, with lang_pred and score (0 to 1) added or replaced.
 
-    Null, empty and letterless texts: `und`, 0. Rows stay as they are, repeated ones too.
+    Null, empty and letterless texts: `und`, 0. A long text is looked up in one pass over its trigrams. Rows stay as they
+    are, repeated ones too; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(filters)
