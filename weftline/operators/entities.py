@@ -22,6 +22,8 @@ LEAD_IN = (
     "Should|Can|Some|Several|Many|Most|More|Other|Only|Any|All|Still|Also|About|Around|As|At|By|For|From|In|Into|Is|It|Its|On|Since|To|Until|With|Without|No|Not"
 )
 CALENDAR = "January|February|March|April|May|June|July|August|September|October|November|December|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday"
+# Word borders are those of ASCII, whatever the expression engine thinks of other letters.
+_BORDER = ("(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])")
 #: Characters of the names that one automaton takes; more are dealt over several.
 AUTOMATON = 4_000_000
 
@@ -33,7 +35,8 @@ def may_be_name(label: Column) -> Column:
 
 def discovered(docs: DataFrame, key: str, text: str, least: int = 2) -> DataFrame:
     """(label, docs): name-like phrases, and single names that are introduced as such, that `least` documents or more have."""
-    both = F.concat(F.regexp_extract_all(F.col(text), F.lit(PHRASE), F.lit(0)), F.regexp_extract_all(F.col(text), F.lit(INTRODUCED), F.lit(1)))
+    within = lambda p: F.lit(p.removeprefix(r"\b").removesuffix(r"\b").join(_BORDER))
+    both = F.concat(F.regexp_extract_all(F.col(text), within(PHRASE), F.lit(0)), F.regexp_extract_all(F.col(text), within(INTRODUCED), F.lit(1)))
     found = docs.select(key, F.explode(F.array_distinct(both)).alias("label")).where(may_be_name(F.col("label")))
     return found.groupBy("label").agg(F.countDistinct(key).alias("docs")).where(F.col("docs") >= least)
 

@@ -344,12 +344,16 @@ def g23(t: Tables) -> DataFrame:
 
 @query(
     "G26_identity_projection",
-    "SELECT conv_id, turn, CAST(turn * 1000 AS BIGINT) AS start_ms, CAST(least(turn * 1000 + length(text), 3000) AS BIGINT) AS end_ms "
-    "FROM conversations WHERE turn * 1000 < 3000",
+    "SELECT conv_id, turn, CAST(turn * 1000 AS BIGINT) AS start_ms, CAST(least(turn * 1000 + length(text), ends) AS BIGINT) AS end_ms, turn * 1000 + length(text) > ends AS overran "
+    "FROM (SELECT *, count(*) OVER (PARTITION BY conv_id) * 1000 - 500 AS ends FROM conversations) WHERE turn * 1000 < ends",
 )
 def g26(t: Tables) -> DataFrame:
+    """Turns on the time line of their recording, not shifted: what runs over its end is cut there, what begins behind it goes."""
+    ends = t.conversations.groupBy("conv_id").agg((F.count("*") * 1000 - 500).alias("ends"))
     start = F.col("turn") * 1000
-    return t.conversations.where(start < 3000).select("conv_id", "turn", start.alias("start_ms"), F.least(start + F.char_length("text"), F.lit(3000)).cast("long").alias("end_ms"))
+    end = start + F.char_length("text")
+    rows = t.conversations.join(ends, "conv_id").where(start < F.col("ends"))
+    return rows.select("conv_id", "turn", start.cast("long").alias("start_ms"), F.least(end, F.col("ends")).cast("long").alias("end_ms"), (end > F.col("ends")).alias("overran"))
 
 
 @query(
