@@ -74,3 +74,10 @@ def current_rows(spark: SparkSession, path: str) -> DataFrame:
 def current_state(spark: SparkSession, path: str, keys: list[str], sequence: str) -> DataFrame:
     """The latest row of each key, from the newest base and the deltas after it."""
     return _latest(current_rows(spark, path), keys, sequence)
+
+
+def windowed_counts(events: DataFrame, at: str, kind: str, width: str = "1 day", late: str = "2 hours") -> DataFrame:
+    """Counts and sums by tumbling event-time window and kind. In complete mode every row counts and every window stays;
+    in append mode, as keyed_state.closed_windows() has it, rows behind the watermark are dropped."""
+    timed = events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)
+    return timed.groupBy(F.window(at, width).alias("w"), kind).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), kind, "n", "total")
