@@ -4,7 +4,7 @@ The model is the trie of byte contexts up to ORDER with counts from all training
 context that has seen it; each longer context on the way is left by an escape, and symbols that context had
 are excluded below. Escapes are estimated from the symbols a context has seen once (method X): in large contexts those,
 not all its symbols, tell how often a new one comes. In a fixed trie the symbols excluded at an order are those of the context one longer, so a symbol's
-whole chain of escapes is a function of its (ORDER+1)-gram alone, computed once a gram with one shuffle by context.
+whole chain of escapes is a function of its (ORDER+1)-gram alone, computed once a gram by joins from the shortest order up.
 
 Scoring sums a table over each text's grams (and words). The table grows with the corpus and is never broadcast whole:
 keys with at least a 2**-HEAVY_LOG2 share of all occurrences, at most that many, go into a slot table of fixed size on
@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.common import id_remainder, saved, small_batches
@@ -134,48 +134,52 @@ def count_keys(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "kind int, key long, n_train long, n_all long").groupBy("kind", "key").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
 
 
-def gram_values(grams: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """log10 PPM probability of each gram's last symbol after its others.
+def gram_values(grams: DataFrame) -> DataFrame:
+    """(key, n_all, value) of grams (key, n_train, n_all): log10 PPM probability of a gram's last symbol after its others.
 
-    grams: all grams whose contexts end in the same two symbols (of one or more such contexts); n: their training
-    counts, 0 for grams met only outside training. pairs: counts[previous, symbol] over the whole corpus.
+    Orders are built from the shortest up. A row of an order knows its count, its context's figures, and what its symbol
+    costs further down when this context has not seen it (below): the next shorter context's figures, less those of the
+    symbols that this context has seen. So an order is one join with the order before, by the gram without its first
+    symbol, and one window by context, of at most SYMBOLS rows. Nothing grows but the number of contexts.
     """
-    tables = []
-    for k in range(ORDER, 1, -1):
-        unique, at = np.unique(grams & ((1 << (_BITS * (k + 1))) - 1), return_inverse=True)
-        count = np.bincount(at, n, len(unique))
-        contexts, of = np.unique(unique >> _BITS, return_inverse=True)
-        total, once = np.bincount(of, count, len(contexts)), np.bincount(of, count == 1, len(contexts))
-        tables.append((unique, at, count, of, total, once))
-    result, left = np.zeros(len(grams)), np.ones(len(grams), bool)
-    # What the context one longer excludes here: the sum of its symbols' counts, and how many are seen once.
-    gone, gone_once = np.zeros(len(grams)), np.zeros(len(grams))
-
-    def code(count: np.ndarray, total: np.ndarray, once: np.ndarray) -> None:
-        total, escapes = total - gone, once - gone_once + 1
-        with np.errstate(divide="ignore", invalid="ignore"):
-            hit = left & (count > 0)
-            result[hit] += np.log10(count / (total + escapes))[hit]
-            miss = left & (count == 0) & (total > 0)
-            result[miss] += np.log10(escapes / (total + escapes))[miss]
-        left[hit] = False
-
-    previous, symbol = (grams >> _BITS) & 511, grams & 511
-    single = pairs.sum(0)
-    for i, (unique, at, count, of, total, once) in enumerate(tables):
-        code(count[at], total[of[at]], once[of[at]])
-        if i + 1 < len(tables):
-            shorter, _, below, *_ = tables[i + 1]
-            lower = below[np.searchsorted(shorter, unique & ((1 << (_BITS * (ORDER - i))) - 1))]
+    tables = {ORDER: grams}
+    for order in range(ORDER - 1, -1, -1):
+        end = F.col("key").bitwiseAND(F.lit((1 << (_BITS * (order + 1))) - 1))
+        tables[order] = tables[order + 1].groupBy(end.alias("key")).agg(F.sum("n_train").alias("n_train"))
+    over = Window.partitionBy("context")
+    count, lower = F.col("n_train"), F.col("lower_n")
+    seen = count > 0
+    within = lambda c: F.sum(c).over(over)
+    figures = {
+        "total": within(count),
+        "once": within((count == 1).cast("long")),
+        "gone": within(F.when(seen, lower).otherwise(0)),
+        "gone_once": within((seen & (lower == 1)).cast("long")),
+        "kinds": within(seen.cast("long")),
+    }
+
+    def coded(n: Column, total: Column, once: Column, below: Column) -> Column:
+        """A symbol of n in a context of that total: coded, or escaped from and coded below. Empty contexts cost nothing."""
+        whole = total + once + 1
+        return F.when(n > 0, F.log10(n / whole)).when(total > 0, F.log10((once + 1) / whole) + below).otherwise(below)
+
+    found = None
+    for order in range(ORDER + 1):
+        rows = tables[order]
+        if found is None:
+            rows = rows.select("key", "n_train", F.lit(0).cast("long").alias("lower_n"))
         else:
-            lower = pairs[(unique >> _BITS) & 511, unique & 511]
-        used = np.where(count > 0, lower, 0)
-        gone, gone_once = np.bincount(of, used, len(total))[of[at]], np.bincount(of, used == 1, len(total))[of[at]]
-    code(pairs[previous, symbol], pairs.sum(1)[previous], (pairs == 1).sum(1)[previous])
-    gone, gone_once = ((pairs > 0) @ single)[previous], ((pairs > 0) @ (single == 1))[previous]
-    code(single[symbol], np.full(len(grams), single.sum()), np.full(len(grams), (single == 1).sum()))
-    result[left] -= np.log10(SYMBOLS - (single > 0).sum()) if left.any() else 0
-    return result
+            # Up to two symbols, an order has at most SYMBOLS ** 2 rows.
+            shorter = F.broadcast(found) if order <= 2 else found
+            rows = rows.withColumn("lower", F.col("key").bitwiseAND(F.lit((1 << (_BITS * order)) - 1))).join(shorter, "lower")
+        rows = rows.withColumn("context", F.shiftright("key", _BITS)).withColumns(figures)
+        if found is None:
+            below = -F.log10(F.lit(SYMBOLS) - F.col("kinds"))
+        else:
+            below = coded(lower, F.col("lower_total") - F.col("gone"), F.col("lower_once") - F.col("gone_once"), F.col("below"))
+        if order == ORDER:
+            return rows.select("key", "n_all", coded(count, F.col("total"), F.col("once"), below).alias("value"))
+        found = rows.select(F.col("key").alias("lower"), count.alias("lower_n"), F.col("total").alias("lower_total"), F.col("once").alias("lower_once"), below.alias("below"))
 
 
 class Slots:
@@ -233,18 +237,7 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds
     below = np.log10(tokens + ADD * (words["kinds"] + (n_docs > 0) + 1))
     end = np.log10(n_docs + ADD) - below
 
-    # Two-symbol counts, at most SYMBOLS ** 2 rows, are the only part of the trie that every group needs.
-    pairs = np.zeros((512, 512))
-    two = counts.where(F.col("kind") == GRAMS).groupBy((F.col("key") % (1 << 18)).alias("two")).agg(F.sum("n_train").alias("n")).where("n > 0").toPandas()
-    pairs[two["two"].to_numpy(np.int64) >> _BITS, two["two"].to_numpy(np.int64) & 511] = two["n"]
-    pairs = pairs[:SYMBOLS, :SYMBOLS]
-
-    def valued(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"key": frame["key"], "n_all": frame["n_all"], "value": gram_values(frame["key"].to_numpy(), frame["n_train"].to_numpy(), pairs)})
-
-    buckets = max(64, -(-grams["kinds"] // 200_000))
-    context = F.pmod(F.xxhash64(F.expr(f"shiftright(key, {_BITS}) % {1 << 18}")), F.lit(buckets))
-    by_gram = counts.where(F.col("kind") == GRAMS).groupBy(context.alias("context")).applyInPandas(valued, "key long, n_all long, value double")
+    by_gram = gram_values(counts.where(F.col("kind") == GRAMS).select("key", "n_train", "n_all"))
     by_word = counts.where(F.col("kind") == WORDS).select("key", "n_all", F.when(F.col("n_train") > 0, F.log10(F.col("n_train") + ADD)).otherwise(F.lit(None)).alias("value"))
     unknown = float(np.log10(ADD))
     by_word = by_word.select(F.lit(WORDS).alias("kind"), "key", "n_all", (F.coalesce("value", F.lit(unknown)) - float(below)).alias("value"), F.col("value").isNotNull().alias("known"))
