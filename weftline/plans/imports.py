@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators import reconcile
 from weftline.operators.graphs import shared_folder
 from weftline.plans.registry import Tables, query
 from weftline.sources import importers, readers
@@ -341,3 +342,100 @@ def g24(t: Tables) -> DataFrame:
     first = line(1).select(item.alias("item"), F.concat(day, F.lit("-Part  "), F.col("l_partkey").cast("string"), F.lit(".mp4")).alias("name"))
     lost = line(3).select(F.lit("other").alias("item"), F.concat(F.lit("lost-"), F.col("l_partkey").cast("string"), F.lit(".mp4")).alias("name"))
     return importers.reconciled(second.union(first).union(lost).distinct(), files).select("item", "name", "state")
+
+
+# Lines are files: by line number their names end in an id, in one before .ia.OGV, in a format label or an audio suffix,
+# have it in the middle or nowhere; titles carry it for some, another one for others. Four of five parts have a source
+# of their own, most of these a recording; every seventh source is linked with a second one.
+_NUMBERED = "lpad(CAST(l_partkey AS VARCHAR(20)), 11, 'v')"
+_BRACKETED = f"""'Part ' || l_partkey || CASE l_linenumber WHEN 1 THEN ' [' || {_NUMBERED} || '].mp4' WHEN 2 THEN ' [' || {_NUMBERED} || '].ia.OGV' WHEN 3 THEN ' [' || {_NUMBERED} || '] 480p.mkv'
+    WHEN 4 THEN ' [' || {_NUMBERED} || '].m4a' WHEN 5 THEN ' [' || {_NUMBERED} || '] two.mp4' WHEN 6 THEN ' [' || l_partkey || '].m4a' ELSE '.webm' END"""
+_TITLED = f"""CASE WHEN l_suppkey % 4 = 0 THEN 'Part [' || {_NUMBERED} || ']' WHEN l_suppkey % 9 = 1 THEN 'Part [' || lpad(CAST(l_suppkey AS VARCHAR(20)), 11, 'w') || ']' ELSE 'Part' END"""
+_KEY = "'f' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+_NATIVE = """nat AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 11, 'v') AS video_id, 'y' || p_partkey AS native_source_id, CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 THEN 'r' || p_partkey END AS rec FROM part WHERE p_partkey % 5 <> 0)"""
+_STATE = "CASE WHEN native_source_id IS NULL THEN 'missing_native_source' WHEN rec IS NULL THEN 'native_source_without_unique_recording' ELSE 'unique_native_recording' END"
+# The terminal id, with a video suffix or none.
+_TERMINAL = r"'\[([A-Za-z0-9_-]{11})\]((\.(?i:ia))?\.(?i:mp4|webm|ogv|mkv|mov|m4v))?$'"
+
+
+def _bracketed(t: Tables) -> DataFrame:
+    rows = t.lineitem
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.expr(_KEY).alias("source_id"), F.expr("'r' || l_suppkey").alias("recording_id"), F.expr(_BRACKETED).alias("name"), F.expr(_TITLED).alias("title"))
+
+
+def _natives(t: Tables) -> tuple[DataFrame, DataFrame]:
+    part = t.part.where("p_partkey % 5 <> 0").select("p_partkey", F.expr("'y' || p_partkey").alias("source_id"), F.expr("'r' || p_partkey").alias("recording_id"))
+    natives = part.select(F.lpad(F.col("p_partkey").cast("string"), 11, "v").alias("video_id"), "source_id", F.when(F.col("p_partkey") % 3 != 0, F.col("recording_id")).alias("expected"))
+    second = part.where("p_partkey % 7 = 0").select("source_id", F.lit("r0").alias("recording_id"))
+    return natives, part.select("source_id", "recording_id").unionByName(second)
+
+
+@query(
+    "G24_bracket_plan",
+    f"""WITH {_NATIVE}, f AS (SELECT DISTINCT {_KEY} AS source_id, 'r' || l_suppkey AS recording_id, {_BRACKETED} AS name, {_TITLED} AS title FROM lineitem),
+    b AS (SELECT source_id, recording_id, nullif(regexp_extract(name, {_TERMINAL}, 1), '') AS by_name, nullif(regexp_extract(title, {_TERMINAL}, 1), '') AS by_title FROM f WHERE name NOT LIKE '%.m4a'),
+    g AS (SELECT *, coalesce(by_name, by_title) AS video_id, CASE WHEN by_name = by_title THEN 'name_and_title' WHEN by_name IS NOT NULL THEN 'name' ELSE 'title' END AS basis FROM b
+          WHERE coalesce(by_name, by_title) IS NOT NULL AND coalesce(by_name = by_title, true)),
+    p AS (SELECT g.*, native_source_id, rec FROM g LEFT JOIN nat USING (video_id)),
+    o AS (SELECT DISTINCT video_id, recording_id, rec FROM p), a AS (SELECT video_id, min(recording_id) AS anchor FROM o GROUP BY 1)
+    SELECT 'source_to_locator' AS kind, video_id, source_id AS left_id, coalesce(native_source_id, video_id) AS right_id, basis, {_STATE} AS resolution_state FROM p
+    UNION ALL SELECT 'recording_to_native', video_id, recording_id, rec, 'shared_id', 'unique_native_recording' FROM o WHERE rec <> recording_id
+    UNION ALL SELECT 'repeat', video_id, anchor, recording_id, 'shared_id', 'repeat' FROM o JOIN a USING (video_id) WHERE recording_id > anchor
+    UNION ALL SELECT 'issue', NULL, source_id, recording_id, by_name, by_title FROM b WHERE by_name <> by_title""",
+)
+def g24_brackets(t: Tables) -> DataFrame:
+    """Candidates and issues of all lines as archive files."""
+    plan = reconcile.bracket_plan(_bracketed(t), *_natives(t))
+    issues = plan["issues"].select(F.lit("issue").alias("kind"), F.lit(None).cast("string").alias("video_id"), F.col("source_id").alias("left_id"), F.col("recording_id").alias("right_id"), F.col("by_name").alias("basis"), F.col("by_title").alias("resolution_state"))
+    return plan["candidates"].unionByName(issues)
+
+
+@query(
+    "G24_suffix_plan",
+    f"""WITH {_NATIVE}, f AS (SELECT l_returnflag AS directory, l_linenumber AS n, {_KEY} AS source_id, {_NUMBERED} AS video_id FROM lineitem WHERE l_returnflag IN ('A', 'R'))
+    SELECT 'candidate' AS kind, source_id, CASE n WHEN 3 THEN 'format_label_video' WHEN 4 THEN 'audio_only' ELSE 'terminal' END AS detail, coalesce(native_source_id, video_id) AS right_id, {_STATE} AS state, CAST(1 AS BIGINT) AS n
+    FROM f LEFT JOIN nat USING (video_id) WHERE n <= 4
+    UNION ALL SELECT 'reject', directory, 'audio_only_invalid_id', NULL, NULL, CAST(count(*) AS BIGINT) FROM f WHERE n = 6 GROUP BY 2""",
+)
+def g24_suffixes(t: Tables) -> DataFrame:
+    """Lines of two return flags as payload files, the flags as first directories."""
+    files = t.lineitem.select(F.expr(_KEY).alias("source_id"), F.concat_ws("/", "l_returnflag", F.col("l_orderkey").cast("string"), F.expr(_BRACKETED)).alias("path"))
+    plan = reconcile.suffix_plan(files, *_natives(t), ["A", "R"])
+    good = plan["candidates"].select(F.lit("candidate").alias("kind"), "source_id", F.col("lane").alias("detail"), "right_id", F.col("resolution_state").alias("state"), F.lit(1).cast("long").alias("n"))
+    text = F.lit(None).cast("string")
+    return good.unionByName(plan["rejects"].select(F.lit("reject").alias("kind"), F.col("directory").alias("source_id"), F.col("reason").alias("detail"), text.alias("right_id"), text.alias("state"), "n"))
+
+
+@query(
+    "G24_hint_plan",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS native_id, CASE WHEN n = 0 THEN 'provider_missing' WHEN moved OR (hinted AND o_orderkey % 13 = 5) THEN 'url_differs' WHEN hinted THEN 'late_provider' ELSE 'already_provider' END AS class,
+    CASE WHEN n > 0 AND NOT moved AND hinted AND o_orderkey % 13 <> 5 THEN 'h' || o_orderkey END AS left_id, CASE WHEN n > 0 AND NOT moved AND hinted AND o_orderkey % 13 <> 5 THEN 'p' || o_orderkey END AS right_id
+    FROM (SELECT *, o_orderstatus = 'O' AS hinted, o_orderkey % 11 = 3 AS moved, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n FROM orders)""",
+)
+def g24_hints(t: Tables) -> DataFrame:
+    """Orders as a captured list of addresses, their lines as the files a provider has, open ones hinted before."""
+    key = F.col("o_orderkey")
+    address = lambda c, other: F.concat(F.lit("https://archive.org/download/"), c.cast("string"), F.when(other, "/moved").otherwise(""))
+    listed = t.orders.select(key.cast("string").alias("native_id"), address(key, F.lit(False)).alias("url"))
+    line = F.col("l_orderkey")
+    providers = t.lineitem.select(line.cast("string").alias("native_id"), F.concat(F.lit("p"), line.cast("string")).alias("source_id"), address(line, line % 11 == 3).alias("url"))
+    hints = t.orders.where("o_orderstatus = 'O'").select(key.cast("string").alias("native_id"), F.concat(F.lit("h"), key.cast("string")).alias("source_id"), address(key, key % 13 == 5).alias("url"))
+    return reconcile.hint_plan(listed, hints, providers).drop("url")
+
+
+@query(
+    "G24_assignment",
+    f"""WITH f AS (SELECT DISTINCT {_KEY} AS id, l_orderkey % 3 = 0 AS wanted, CASE WHEN l_linenumber <= 5 THEN {_NUMBERED} END AS video, l_quantity AS size, {_BRACKETED} AS name FROM lineitem),
+    l AS (SELECT * FROM f WHERE wanted), r AS (SELECT * FROM f WHERE NOT wanted),
+    n0 AS (SELECT a.id, b.id AS other FROM (SELECT *, row_number() OVER (PARTITION BY video, size, name ORDER BY id) AS k FROM l WHERE video IS NOT NULL) a JOIN (SELECT *, row_number() OVER (PARTITION BY video, size, name ORDER BY id) AS k FROM r) b USING (video, size, name, k)),
+    l1 AS (SELECT * FROM l WHERE id NOT IN (SELECT id FROM n0)), r1 AS (SELECT * FROM r WHERE id NOT IN (SELECT other FROM n0)),
+    n1 AS (SELECT a.id, b.id AS other FROM (SELECT *, row_number() OVER (PARTITION BY video, size ORDER BY id) AS k FROM l1 WHERE video IS NOT NULL) a JOIN (SELECT *, row_number() OVER (PARTITION BY video, size ORDER BY id) AS k FROM r1) b USING (video, size, k)),
+    l2 AS (SELECT * FROM l1 WHERE id NOT IN (SELECT id FROM n1)), r2 AS (SELECT * FROM r1 WHERE id NOT IN (SELECT other FROM n1)),
+    n2 AS (SELECT a.id, b.id AS other FROM (SELECT *, row_number() OVER (PARTITION BY video ORDER BY id) AS k FROM l2 WHERE video IS NOT NULL) a JOIN (SELECT *, row_number() OVER (PARTITION BY video ORDER BY id) AS k FROM r2) b USING (video, k))
+    SELECT id, other, 0 AS level, NULL AS reason FROM n0 UNION ALL SELECT id, other, 1, NULL FROM n1 UNION ALL SELECT id, other, 2, NULL FROM n2
+    UNION ALL SELECT id, NULL, NULL, CASE WHEN video IS NULL THEN 'no_key' WHEN video IN (SELECT video FROM r WHERE video IS NOT NULL) THEN 'outnumbered' ELSE 'no_counterpart' END FROM l2 WHERE id NOT IN (SELECT id FROM n2)""",
+)
+def g24_assignment(t: Tables) -> DataFrame:
+    """Files of every third order against all others: by id, size and name, then by id and size, then by id."""
+    rows = _bracketed(t).select(F.col("source_id").alias("id"), (F.col("l_orderkey") % 3 == 0).alias("wanted"), F.when(F.col("l_linenumber") <= 5, F.lpad(F.col("l_partkey").cast("string"), 11, "v")).alias("video"), F.col("l_quantity").alias("size"), "name").distinct()
+    return reconcile.assigned(rows.where("wanted"), rows.where("not wanted"), [["video", "size", "name"], ["video", "size"], ["video"]])
