@@ -11,6 +11,11 @@ from weftline.operators import ranks
 from weftline.operators.graphs import written
 
 
+# Fixed values of summary releases.
+SUMMARY_KINDS = ["archive", "yearly", "monthly", "transcript"]
+RESERVED_IDS = ["browse", "index", "search"]
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
@@ -109,3 +114,58 @@ def network_projection(names: DataFrame, annual: DataFrame, monthly: DataFrame,
             "bursts": bursts.where(~F.coalesce(F.col("start").rlike(month) & F.col("end").rlike(month) & (F.col("start") <= F.col("end")) & (F.col("months") >= 1), F.lit(False))),
         }
     )
+
+
+def summary_release(summaries: DataFrame, items: DataFrame, published: DataFrame, sections: Sequence[str], classes: Sequence[str], prepared: bool = False) -> DataFrame:
+    """(check, violations) of a release of summaries (id, kind, period, title, recording_id, publication), their items (id,
+    section, text, classification, sources) and the published recordings (recording_id).
+
+    Ids are slugs, unique and not reserved; a kind has the period that fits it; a transcript's summary is of a published
+    recording, any other of none; a scope (kind with its recording or period) has one summary. Every summary has items
+    in the first section, none has over 100 in one. An item has a text, a class that fits its section, and sources:
+    at least one, none twice, all published, and for a transcript its own recording alone.
+    """
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    written_text = lambda c, most: (F.trim(c) != "") & (F.char_length(c) <= most)
+    kind, period = F.col("kind"), F.col("period")
+    transcript = F.coalesce(kind == "transcript", F.lit(False))
+    fits = (
+        F.when(kind == "archive", period.isNull())
+        .when(kind == "yearly", period.rlike(r"^\d{4}$"))
+        .when(kind == "monthly", period.isNull() | period.rlike(r"^\d{4}-\d{2}$"))
+        .when(kind == "transcript", period.isNull() | period.rlike(r"^\d{4}-\d{2}$"))
+    )
+    scopes = summaries.select("kind", F.when(transcript, F.col("recording_id")).otherwise(period).alias("scope"))
+    released = published.select("recording_id").where("recording_id is not null").distinct()
+    unreleased = summaries.where(transcript).join(released, "recording_id", "left_anti")
+    opened = summaries.join(items.where(F.col("section") == sections[0]).select("id").distinct(), "id", "left_anti")
+    sources = F.coalesce("sources", F.array().cast("array<string>"))
+    doubled = (F.size(sources) == 0) | (F.size(F.array_distinct(sources)) < F.size(sources))
+    each = items.select("id", F.explode("sources").alias("recording_id"))
+    unlisted = each.join(released, "recording_id", "left_anti")
+    own = summaries.where(transcript).select("id", F.col("recording_id").alias("own"))
+    foreign = each.join(own, "id").where(~F.col("recording_id").eqNullSafe(F.col("own")))
+    fitting = F.col("classification").isin(list(classes)) & ((F.col("section") != "uncertainties") | (F.col("classification") == "uncertainty"))
+    return report(
+        {
+            "ids": summaries.where(no(F.col("id").rlike(r"^[a-z0-9][a-z0-9-]{0,95}$") & ~F.col("id").isin(RESERVED_IDS))),
+            "unique ids": duplicate_keys(summaries, ["id"]),
+            "kinds": summaries.where(no(kind.isin(SUMMARY_KINDS))),
+            "publication": summaries.where(no(F.col("publication").isin(["approved", "prepared"] if prepared else ["approved"]))),
+            "titles": summaries.where(no(written_text(F.col("title"), 500))),
+            "periods": summaries.where(period.isNotNull() & no(period.rlike(r"^(19|20)\d{2}(-(0[1-9]|1[0-2]))?$"))),
+            "kind and period": summaries.where(kind.isin(SUMMARY_KINDS) & no(fits)),
+            "unreleased": unreleased,
+            "recordings": summaries.where(~transcript & F.col("recording_id").isNotNull()),
+            "unique scopes": duplicate_keys(scopes, ["kind", "scope"]),
+            "empty": opened,
+            "sections": items.where(no(F.col("section").isin(list(sections)))),
+            "long sections": items.groupBy("id", "section").agg(F.count("*").alias("n")).where("n > 100"),
+            "texts": items.where(no(written_text(F.col("text"), 4000))),
+            "classes": items.where(no(fitting)),
+            "sources": items.where(doubled),
+            "unreleased sources": unlisted,
+            "foreign sources": foreign,
+            "orphans": orphans(items, "id", summaries, "id"),
+        }
+    )

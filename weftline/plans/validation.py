@@ -136,3 +136,51 @@ def v3_extended(t: Tables) -> DataFrame:
     found = log_proofs.compared(*chains)
     breach = F.col("verdict").isin("changed", "deleted", "inserted", "reordered")
     return found.select("key", "place", F.when(breach, "breach").otherwise(F.col("verdict")).alias("verdict"))
+
+
+# Orders as summaries of four kinds, lines as their items, nine of ten customers as published recordings.
+_SUMMARY_SQL = """WITH s AS (SELECT CASE WHEN o_orderkey % 97 = 5 THEN 'S ' ELSE 's-' END || o_orderkey AS id, ['archive', 'yearly', 'monthly', 'transcript', 'weekly'][CASE WHEN o_orderkey % 101 = 7 THEN 5 ELSE o_orderkey % 4 + 1 END] AS kind,
+      CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y-%m-%d') WHEN o_orderkey % 4 = 1 THEN strftime(o_orderdate, '%Y') WHEN o_orderkey % 4 = 2 THEN strftime(o_orderdate, '%Y-%m') END AS period,
+      CASE WHEN o_orderkey % 4 = 3 OR o_orderkey % 50 = 0 THEN 'r' || o_custkey END AS recording_id, CASE WHEN o_orderpriority LIKE '1%' THEN 'prepared' ELSE 'approved' END AS publication FROM orders),
+    i AS (SELECT CASE WHEN l_orderkey % 97 = 5 THEN 'S ' ELSE 's-' END || l_orderkey AS id, CASE l_linenumber WHEN 1 THEN 'summary' WHEN 2 THEN 'uncertainties' WHEN 3 THEN 'topics' ELSE 'other' END AS section, CASE WHEN l_quantity > 1 THEN 'text' ELSE ' ' END AS text,
+      CASE l_returnflag WHEN 'R' THEN 'uncertainty' WHEN 'A' THEN 'observed' ELSE 'told' END AS classification, CASE WHEN l_tax = 0 THEN NULL ELSE ['r' || l_suppkey, 'r' || (l_partkey % 100 * 10)] END AS sources FROM lineitem),
+    p AS (SELECT 'r' || c_custkey AS recording_id FROM customer WHERE c_custkey % 10 <> 0), e AS (SELECT id, unnest(sources) AS recording_id FROM i)
+    SELECT 'ids' AS "check", CAST(count(*) AS BIGINT) AS violations FROM s WHERE id LIKE 'S %' UNION ALL SELECT 'unique ids', count(*) FROM (SELECT id FROM s GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'kinds', count(*) FROM s WHERE kind = 'weekly' UNION ALL SELECT 'publication', count(*) FROM s WHERE publication = 'prepared' UNION ALL SELECT 'titles', 0 UNION ALL SELECT 'periods', count(*) FROM s WHERE length(period) = 10
+    UNION ALL SELECT 'kind and period', count(*) FROM s WHERE (kind = 'archive' AND period IS NOT NULL) OR (kind = 'yearly' AND coalesce(length(period), 0) <> 4) OR (kind IN ('monthly', 'transcript') AND length(period) <> 7)
+    UNION ALL SELECT 'unreleased', count(*) FROM s WHERE kind = 'transcript' AND (recording_id IS NULL OR recording_id NOT IN (SELECT recording_id FROM p)) UNION ALL SELECT 'recordings', count(*) FROM s WHERE kind <> 'transcript' AND recording_id IS NOT NULL
+    UNION ALL SELECT 'unique scopes', count(*) FROM (SELECT kind, CASE WHEN kind = 'transcript' THEN recording_id ELSE period END AS scope FROM s GROUP BY 1, 2 HAVING count(*) > 1)
+    UNION ALL SELECT 'empty', count(*) FROM s WHERE id NOT IN (SELECT id FROM i WHERE section = 'summary') UNION ALL SELECT 'sections', count(*) FROM i WHERE section = 'other'
+    UNION ALL SELECT 'long sections', count(*) FROM (SELECT id, section FROM i GROUP BY 1, 2 HAVING count(*) > 100) UNION ALL SELECT 'texts', count(*) FROM i WHERE text = ' '
+    UNION ALL SELECT 'classes', count(*) FROM i WHERE classification = 'told' OR (section = 'uncertainties' AND classification <> 'uncertainty') UNION ALL SELECT 'sources', count(*) FROM i WHERE sources IS NULL OR sources[1] = sources[2]
+    UNION ALL SELECT 'unreleased sources', count(*) FROM e WHERE recording_id NOT IN (SELECT recording_id FROM p) UNION ALL SELECT 'foreign sources', count(*) FROM e JOIN s USING (id) WHERE kind = 'transcript' AND e.recording_id IS DISTINCT FROM s.recording_id
+    UNION ALL SELECT 'orphans', count(*) FROM i WHERE id NOT IN (SELECT id FROM s)"""
+
+
+@query("V6_summary_release", _SUMMARY_SQL)
+def v6_release(t: Tables) -> DataFrame:
+    """What is wrong with orders and lines as a release of summaries."""
+    key, line = F.col("o_orderkey"), F.col("l_orderkey")
+    name = lambda k: F.concat(F.when(k % 97 == 5, "S ").otherwise("s-"), k.cast("string"))
+    recording = lambda c: F.concat(F.lit("r"), c.cast("string"))
+    kinds = F.array(*[F.lit(k) for k in checks.SUMMARY_KINDS])
+    day = lambda form: F.date_format("o_orderdate", form)
+    period = F.when(F.col("o_orderstatus") == "P", day("yyyy-MM-dd")).when(key % 4 == 1, day("yyyy")).when(key % 4 == 2, day("yyyy-MM"))
+    summaries = t.orders.select(
+        name(key).alias("id"),
+        F.when(key % 101 == 7, "weekly").otherwise(F.get(kinds, (key % 4).cast("int"))).alias("kind"),
+        period.alias("period"),
+        F.lit("A summary").alias("title"),
+        F.when((key % 4 == 3) | (key % 50 == 0), recording(F.col("o_custkey"))).alias("recording_id"),
+        F.when(F.col("o_orderpriority").startswith("1"), "prepared").otherwise("approved").alias("publication"),
+    )
+    number, flag = F.col("l_linenumber"), F.col("l_returnflag")
+    items = t.lineitem.select(
+        name(line).alias("id"),
+        F.when(number == 1, "summary").when(number == 2, "uncertainties").when(number == 3, "topics").otherwise("other").alias("section"),
+        F.when(F.col("l_quantity") > 1, "text").otherwise(" ").alias("text"),
+        F.when(flag == "R", "uncertainty").when(flag == "A", "observed").otherwise("told").alias("classification"),
+        F.when(F.col("l_tax") != 0, F.array(recording(F.col("l_suppkey")), recording(F.col("l_partkey") % 100 * 10))).alias("sources"),
+    )
+    published = t.customer.where("c_custkey % 10 <> 0").select(recording(F.col("c_custkey")).alias("recording_id"))
+    return checks.summary_release(summaries, items, published, ["summary", "uncertainties", "topics"], ["observed", "uncertainty"])
