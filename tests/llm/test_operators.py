@@ -854,6 +854,22 @@ def test_suffix_dedup_long_text_and_ties(spark):
     assert found == {None: [[]], 1: [[], []], 2: [[(10, 200)]] * 2, 5: [[(300, 900), (700_000, 1_400_000)]]}
 
 
+def test_lone_snippets_go_no_further(spark):
+    """Lots and the filter of anchors go by upper bits, which must be even: single texts beside copied ones are dropped."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, rng.integers(97, 123, 2000))) for _ in range(400)]
+    rows = [(i, 0, x) for i, x in enumerate([*texts, *texts[:200]])]
+    frame = spark.createDataFrame(rows, "o long, t long, text string")
+    data, starts, _, _ = next(suffix_dedup.pieces([x.encode() for x in texts], 100))
+    lots = np.bincount((suffix_dedup.snippets(data, starts, 100)[0] >> np.uint64(60)).astype(int), minlength=16)
+    assert lots.max() < 1.5 * lots.mean()
+    shared = suffix_dedup.shared_anchors(frame, 100)
+    kept = suffix_dedup.kept_snippets(frame, suffix_dedup.BitFilter(shared, 16), 100).groupBy("o").count().collect()
+    alone = sum(r["count"] for r in kept if 200 <= r.o < 400)
+    both = [sum(r["count"] for r in kept if lo <= r.o < lo + 200) for lo in (0, 400)]
+    assert both[0] == both[1] > 9000 and alone < 0.05 * both[0]
+
+
 def test_rows_without_ids_are_their_own_next(spark):
     frame = spark.createDataFrame([(None, "one two three."), (None, "other"), (7, "seven seven."), (3, "three.")], "doc_id long, text string")
     found = fingerprints.fingerprints(frame).collect()
