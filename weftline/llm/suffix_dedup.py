@@ -277,14 +277,22 @@ def hot_spans(found: DataFrame, scratch: Scratch, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     rows = found.select("o", "t", "start", "body").mapInArrow(strings, "h1 long, h2 long, o long, t long, start long")
-    return later_than_first(scratch.save(rows.withColumn("n", F.lit(1)), "strings"), ["h1", "h2"])
+    rows = scratch.save(rows.withColumn("n", F.lit(1)), "strings")
+    return later_than_first(rows, scratch.save(earliest(rows, ["h1", "h2"]).where("copies > 1"), "first"), ["h1", "h2"])
 
 
-def later_than_first(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Spans (o, t, start, n) of the rows that are not the earliest of their key."""
-    first = rows.groupBy(*key).agg(F.min(F.struct("o", "t", "start")).alias("first"), F.max(F.struct("o", "t", "start")).alias("last"))
-    first = first.where("first <> last").select(*key, "first")
-    return rows.join(first, key).where(F.struct("o", "t", "start") != F.col("first")).select("o", "t", "start", "n")
+def earliest(rows: DataFrame, key: list[str]) -> DataFrame:
+    """One row per key: at (o, t, start, n; the earliest) and its copies."""
+    return rows.groupBy(*key).agg(F.min(F.struct("o", "t", "start", "n")).alias("at"), F.count("*").alias("copies"))
+
+
+def later_than_first(rows: DataFrame, first: DataFrame, key: list[str]) -> DataFrame:
+    """Spans (o, t, start, n) of the rows that are not the earliest of their key.
+
+    first: of earliest(), those with copies, saved: a join right behind the aggregation could not be split where a key has many rows.
+    """
+    first = first.select(*key, F.col("at").alias("first"))
+    return rows.join(first, key).where(F.struct("o", "t", "start", "n") != F.col("first")).select("o", "t", "start", "n")
 
 
 def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, hot: int = HOT) -> DataFrame:
@@ -307,15 +315,17 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = scratch.save(kept_snippets(rows, anchors, width), "snippets")
     anchors.destroy()
     scratch.drop("shared")
-    distinct = scratch.save(found.groupBy("anchor", "snippet").agg(F.min(F.struct("o", "t", "start", "n")).alias("at")).select("anchor", "at.*"), "distinct")
-    kinds = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    spans = scratch.save(later_than_first(found, ["anchor", "snippet"]), "copies")
+    distinct = scratch.save(earliest(found, ["anchor", "snippet"]), "distinct")
+    spans = scratch.save(later_than_first(found, distinct.where("copies > 1"), ["anchor", "snippet"]), "copies")
     scratch.drop("snippets")
-    bodies = scratch.save(with_bodies(distinct.join(kinds, "anchor"), rows, width), "bodies")
-    scratch.drop("distinct")
+    kinds = scratch.save(distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
+    differing = scratch.save(distinct.join(kinds, "anchor").select("anchor", "at.*", "kinds"), "differing")
+    scratch.drop("distinct", "kinds")
+    bodies = scratch.save(with_bodies(differing, rows, width), "bodies")
+    scratch.drop("differing")
     spans = spans.unionByName(scratch.save(shard_spans(bodies.where(F.col("kinds") <= hot), width), "sorted"))
     spans = spans.unionByName(scratch.save(hot_spans(bodies.where(F.col("kinds") > hot), scratch, width), "hot"))
-    scratch.drop("bodies", "strings")
+    scratch.drop("bodies", "strings", "first")
     return cut_out(rows, spans, width)
 
 
