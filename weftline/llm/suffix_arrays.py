@@ -1,126 +1,52 @@
-"""Suffix arrays by induced sorting and permuted common prefixes, in numpy.
+"""Suffix arrays by multiplied ranks and permuted common prefixes, in numpy.
 
-Suffixes are of S type where they are less than the next one, else of L type; an S suffix after an L one is leftmost-
-smaller (LMS). LMS substrings are sorted by one induction and named; if names repeat, the string of names is sorted by
-recursion; a second induction from the LMS suffixes in order gives the array. An induction scans the array once; here
-it takes as many entries at a time as none of them fills a slot among themselves, so each step is a few array
-operations and the result that of scanning one by one. Linear work beside the sorting of small integers.
+Suffixes are sorted by as many first symbols as fit into 64 bits. From then on each has a rank, that of the symbols it
+was sorted by so far; those that share theirs are sorted by their ranks and those that stand a depth, two depths and so
+on after them, as many as fit into 64 bits (three for up to two million symbols), until all differ. A round is one sort
+of whole numbers, only of what still shares a rank, and the depth grows at least twofold: n log(n)^2 work at worst.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Entries of the shortest and the longest step of an induction.
-_STEP = (64, 1 << 18)
-
-
-def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A stable order by symbol, the symbols in it, and each one's rank among its equals."""
-    order = symbols.argsort(kind="stable")
-    ordered = symbols[order]
-    places = np.arange(len(ordered))
-    first = np.empty(len(ordered), bool)
-    first[0] = True
-    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
-    return order, ordered, places - np.maximum.accumulate(places * first)
-
-
-def _induce(sa: np.ndarray, t: np.ndarray, small: np.ndarray, slots: np.ndarray, forward: bool) -> None:
-    """One scan: every entry j whose predecessor j - 1 is of the type sought puts it into the next slot of its symbol.
-
-    forward: L types from left to right, slots from bucket starts up; else S types from right to left, from the ends down.
-    """
-    n, at, size = len(sa), 0, 1024
-    sought = np.zeros(n + 2, bool)
-    np.not_equal(small, forward, out=sought[:n])
-    view = sa if forward else sa[::-1]  # positions below count along the scan
-    while at < n:
-        end = min(n, at + size)
-        before = view[at:end] - 1
-        # An empty slot gives -2, the first suffix -1: both look up what is of no type.
-        found = sought[before].nonzero()[0]
-        size = min(2 * size, _STEP[1])
-        if len(found):
-            js = before[found]
-            order, symbols, rank = _grouped(t[js])
-            js, found = js[order], found[order]
-            to = slots[symbols] + rank
-            lowest = int(to.min())
-            if lowest < end:
-                # What stands before the first slot to be filled is final; the rest waits for its turn.
-                end, size = lowest, max(_STEP[0], (lowest - at) * 2)
-                keep = found < end - at
-                js, symbols, to = js[keep], symbols[keep], to[keep]
-            view[to] = js
-            slots[symbols] = to + 1
-        at = end
-
-
-def _types(t: np.ndarray) -> np.ndarray:
-    """True where a suffix is less than the next one; the end is less than everything."""
-    n = len(t)
-    rise = np.zeros(n, np.int8)
-    rise[:-1] = np.sign(t[1:].astype(np.int64) - t[:-1])
-    rise[-1] = -1
-    decided = np.where(rise != 0, np.arange(n), n)
-    return rise[np.minimum.accumulate(decided[::-1])[::-1]] > 0
-
-
-def _scan_both(t: np.ndarray, small: np.ndarray, lms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The array induced from the LMS suffixes, given in order."""
-    n, ends = len(t), np.cumsum(counts)
-    sa, at = np.full(n, -1, np.int32), lms
-    if len(lms):
-        order, symbols, rank = _grouped(t[lms])
-        at = (ends - np.bincount(symbols, minlength=len(counts)))[symbols] + rank
-        sa[at] = lms[order]
-    starts = ends - counts
-    # The end itself comes first and induces the last suffix, which is of L type.
-    sa[starts[t[-1]]] = n - 1
-    starts[t[-1]] += 1
-    _induce(sa, t, small, starts, forward=True)
-    sa[at] = -1
-    _induce(sa, t, small, n - ends, forward=False)
-    return sa
-
-
-def _names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    """Names of the LMS substrings in their order: equal ones have one name."""
-    end = np.zeros(len(t) + 1, np.int32)
-    end[lms[:-1]] = lms[1:]
-    a, b = ordered[:-1], ordered[1:]
-    same = (end[a] - a == end[b] - b) & (end[a] > 0) & (end[b] > 0)
-    live, step = np.flatnonzero(same), 0
-    while len(live):
-        agree = t[a[live] + step] == t[b[live] + step]
-        same[live[~agree]] = False
-        live = live[agree]
-        live = live[a[live] + step < end[a[live]]]
-        step += 1
-    return np.concatenate(([0], np.cumsum(~same)))
-
 
 def suffix_array(t: np.ndarray, kinds: int) -> np.ndarray:
     """Start positions of the suffixes of t (whole numbers under kinds) in order; an end is less than any symbol."""
     n = len(t)
     if n < 2:
         return np.arange(n, dtype=np.int32)
-    small = _types(t)
-    lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32)
-    counts = np.bincount(t, minlength=kinds)
-    sa = _scan_both(t, small, lms, counts)
-    if len(lms) < 2:
-        return sa
-    marked = np.zeros(n, bool)
-    marked[lms] = True
-    ordered = sa[marked[sa]]
-    names = _names(t, lms, ordered)
-    if names[-1] + 1 < len(lms):
-        by_place = np.empty(n, np.int32)
-        by_place[ordered] = names
-        ordered = lms[suffix_array(by_place[lms], int(names[-1]) + 1)]
-    return _scan_both(t, small, ordered, counts)
+    # A symbol and a rank take one more value, zero: the end.
+    symbol, size = int(kinds).bit_length(), n.bit_length()
+    depth, ranks = 64 // symbol, 64 // size
+    padded = np.zeros(n + depth - 1, np.uint64)
+    padded[:n] = t
+    padded[:n] += np.uint64(1)
+    key = padded[:n].copy()
+    for k in range(1, depth):
+        key <<= np.uint64(symbol)
+        key |= padded[k : k + n]
+    sa, rank = np.empty(n, np.int32), np.zeros(n + 1, np.uint64)
+    # Open slots of the array and the suffixes in them: those of one rank stand together.
+    slots = at = np.arange(n, dtype=np.int32)
+    while True:
+        order = key.argsort()
+        at, key = at[order], key[order]
+        sa[slots] = at
+        new = np.ones(len(at) + 1, bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:-1])
+        first = np.flatnonzero(new)
+        rank[at] = np.repeat(slots[first[:-1]] + 1, np.diff(first))
+        shared = ~(new[:-1] & new[1:])
+        slots, at = slots[shared], at[shared]
+        if not len(at):
+            return sa
+        key = rank[at]
+        for k in range(1, ranks):
+            key <<= np.uint64(size)
+            # Beyond the end: the last rank, which is zero.
+            key |= rank.take(at + k * depth, mode="clip")
+        depth *= ranks
 
 
 def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:

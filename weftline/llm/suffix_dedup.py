@@ -8,7 +8,7 @@ Equal strings have equal anchors, so shards are dealt by anchor:
    whose anchor stands alone in all texts has no equal anywhere and goes no further (a bit filter drops nearly all).
 2. Snippets that are equal as a whole collapse: all but the earliest are repeats.
 3. What is left differs somewhere but has an anchor in common: the few snippets at the ends of copies and around
-   edits. A shard of them gets a suffix array by induced sorting and permuted common prefixes; where neighbours share
+   edits. A shard of them gets a suffix array by sorted ranks and permuted common prefixes; where neighbours share
    `width` bytes or more, all but the earliest start of the run are repeats.
 4. An anchor with more than HOT different snippets (a line that many texts have in different surroundings) is split:
    its strings meet by hash, one row each, and the earliest stays.
@@ -191,20 +191,25 @@ def later_starts(bodies: list[bytes], doc: np.ndarray, start: np.ndarray, width:
     sa = suffix_array(t, 256)
     shared = permuted_common_prefixes(t, sa)[sa]
     begins = np.cumsum(sizes) - sizes
-    of = np.repeat(np.arange(len(bodies)), sizes)
-    inner = np.arange(len(t)) - begins[of]
-    place = (doc[of].astype(np.int64) << 40) | (start[of] + inner)
-    whole = inner + width < sizes[of]
-    runs = np.flatnonzero(shared < width)
-    earliest = np.minimum.reduceat(place[sa], runs)
-    later = np.zeros(len(t), bool)
-    later[sa] = place[sa] != np.repeat(earliest, np.diff(np.append(runs, len(sa))))
-    later &= whole
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], later.view(np.int8), [0]))))
     out: list[list[tuple[int, int]]] = [[] for _ in bodies]
+    # Slots of the array that share width symbols with a neighbour: few.
+    meets = shared >= width
+    slots = np.flatnonzero(meets | np.append(meets[1:], False))
+    if not len(slots):
+        return out
+    at = sa[slots]
+    of = np.searchsorted(begins, at, side="right") - 1
+    inner = at - begins[of]
+    place = (doc[of].astype(np.int64) << 40) | (start[of] + inner)
+    runs = np.flatnonzero(~meets[slots])
+    earliest = np.repeat(np.minimum.reduceat(place, runs), np.diff(np.append(runs, len(slots))))
+    later = np.zeros(len(t), np.int8)
+    later[at[(place != earliest) & (inner + width < sizes[of])]] = 1
+    edges = np.flatnonzero(np.diff(later, prepend=0, append=0))
+    of = np.searchsorted(begins, edges[::2], side="right") - 1
     # The end marks, never later themselves, part the snippets.
-    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-        out[of[a]].append((int(inner[a]), b - a))
+    for i, a, n in zip(of.tolist(), (edges[::2] - begins[of]).tolist(), (edges[1::2] - edges[::2]).tolist(), strict=True):
+        out[i].append((a, n))
     return out
 
 
@@ -330,9 +335,9 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def cut_out(rows: DataFrame, spans: DataFrame, width: int) -> DataFrame:
-    """The result from the spans of starts; only texts that may have some are shuffled to them."""
+    """The result from the spans of starts; only texts that may have some are shuffled to them and sent to Python."""
     hits = BitFilter(spans.select(F.xxhash64("o", "t")).distinct())
-    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    span, spans_type = pa.struct([("start", pa.int64()), ("end", pa.int64())]), "array<struct<start: long, end: long>>"
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", pa.list_(span)), ("kept", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,5 +361,6 @@ def cut_out(rows: DataFrame, spans: DataFrame, width: int) -> DataFrame:
     own = spans.groupBy("o", "t").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     marked = rows.withColumn("some", hits.may_hold(F.xxhash64("o", "t")))
     with_spans = marked.where("some").join(own, ["o", "t"], "left").select("doc_id", "text", "spans")
-    without = marked.where("not some").select("doc_id", "text", F.lit(None).cast(own.schema["spans"].dataType).alias("spans"))
-    return with_spans.unionByName(without).mapInArrow(cut, "doc_id long, n_bytes long, removed array<struct<start: long, end: long>>, kept binary")
+    parted = with_spans.mapInArrow(cut, f"doc_id long, n_bytes long, removed {spans_type}, kept binary")
+    whole = [F.octet_length("text").cast("long").alias("n_bytes"), F.array().cast(spans_type).alias("removed"), F.col("text").cast("binary").alias("kept")]
+    return parted.unionByName(marked.where("not some").select("doc_id", *whole))
