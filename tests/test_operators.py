@@ -164,6 +164,18 @@ def test_complete_link_against_one_merge_at_a_time(spark):
     assert grouped(spark, edges, 24) == greedy_groups(edges, 24)
 
 
+@pytest.mark.parametrize(("bits", "most"), [(32, 8), (32, 10), (8, 3), (5, 4), (4, 4)])
+def test_hamming_pairs_find_all(spark, bits, most):
+    """Hashes that differ from 0 by up to most bits, in every spread of them over the bits; a null vector has no bit set."""
+    even = sum(1 << i * bits // most for i in range(most))
+    rng = np.random.default_rng(bits)
+    hashes = [0, even, (1 << most) - 1, *(int(sum(1 << int(i) for i in rng.choice(bits, min(bits, most + k % 2), replace=False))) for k in range(150))]
+    frame = spark.createDataFrame(list(enumerate(hashes)), "id long, h long").withColumn("g", F.col("id") % 2)
+    found = {(r.a, r.b): r.distance for r in vectors.hamming_pairs(frame.union(frame.selectExpr("id", "h", "7 as g")), "id", "g", "h", bits, most).where("a < b").collect()}
+    assert found == {(i, j): d for i in range(153) for j in range(i + 1, 153) if (d := (hashes[i] ^ hashes[j]).bit_count()) <= most}
+    assert [r.h for r in vectors.sign_hash(spark.createDataFrame([([1.0, -1.0, 2.0],), (None,)], "v array<double>"), "v", 3).collect()] == [5, 0]
+
+
 def test_near_pairs_find_all(spark, monkeypatch):
     rng = np.random.default_rng(1)
     m = rng.normal(size=(120, 8))
