@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import re
 
 import numpy as np
 import pytest
@@ -274,6 +275,37 @@ def test_directed_edges_ask_for_merges(spark, k, cap):
         assert r["id"] == "accounts_" + hashlib.sha256(json.dumps(ids, separators=(",", ":")).encode()).hexdigest()[:24]
 
 
+@pytest.mark.parametrize(("k", "cap", "few"), [(5, 4, 0), (32, 24, 20), (3, 6, 4096)])
+def test_account_groups_without_all_edges(spark, monkeypatch, k, cap, few):
+    """As one merge at a time, with facts that forbid pairs, copies of vectors, and accounts with no edge among their best."""
+    monkeypatch.setattr(vectors, "FEW", few)
+    monkeypatch.setattr(vectors, "ROUNDS", 2)
+    rng = np.random.default_rng(k)
+    m = clustered(rng, 90, 0.5)
+    m[40:50] = m[40]
+    said = [["", "In 1990.", "In 1991.", "They married.", "They divorced in 1990."][i] for i in rng.integers(0, 5, 90)]
+    entities = rng.integers(0, 30, 90)
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    similarity = np.round(unit @ unit.T, 12)
+    levels = (0.7, 0.75, 0.8)
+    year, move = [re.findall(r"\d{4}", t) for t in said], [[w for w in ("married", "divorced") if w in t] for t in said]
+    apart = lambda c, i, j: bool(c[i] and c[j] and not set(c[i]) & set(c[j]))
+    bar = lambda i, j: 1.01 if apart(year, i, j) or apart(move, i, j) else 0.7 if entities[i] == entities[j] else 0.75 if set(year[i]) & set(year[j]) else 0.8
+    needed = np.array([[bar(i, j) for j in range(90)] for i in range(90)])
+    frame = spark.createDataFrame([(i, r.tolist(), t, [str(e)]) for i, (r, t, e) in enumerate(zip(m, said, entities, strict=True))], "id long, v array<double>, text string, entities array<string>")
+    linked = {(i, j) for i in range(90) for j in range(i + 1, 90) if similarity[i, j] >= needed[i, j]}
+    assert {(r.a, r.b) for r in vectors.account_edges(frame, "id", "v", levels).collect()} == linked
+    facts = vectors.account_facts(frame, "id", "v")
+    groups = vectors.account_groups(facts, levels, k, cap)
+    members = {}
+    for r in groups.collect():
+        members.setdefault(r["group"], set()).add(r["id"])
+    assert all(g == min(ids) for g, ids in members.items()) and set().union(*members.values()) == {i for pair in linked for i in pair}
+    assert {frozenset(g) for g in members.values() if len(g) > 1} == greedy_directed(90, similarity, needed, k, cap)
+    inner = {(r.a, r.b): r.similarity for r in vectors.inner_edges(groups, facts).collect()}
+    assert inner == {(i, j): pytest.approx(similarity[i, j]) for g in members.values() for i in g for j in g if i < j}
+
+
 def test_required_similarity(spark):
     rows = [(1, "They married in 1990.", ["x"]), (2, "The divorce of 1990.", ["x"]), (3, "In 1990.", ["x"]), (4, "In 1990.", ["y"]), (5, "In 2001.", ["x"]), (6, "No year.", ["z"])]
     frame = spark.createDataFrame([(i, t, e, [1.0, i / 1000]) for i, t, e in rows], "id long, text string, entities array<string>, v array<double>")
