@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from weftline.operators import reconcile
+from weftline.plans import registry
 
 ID = "abcDEF_-123"
 NAMES = {
@@ -138,3 +140,10 @@ def test_assignment_takes_pairs_by_level(spark):
     empty = spark.createDataFrame([], schema)
     assert reconcile.assigned(empty, frames[1], levels).count() == 0
     assert {r.reason for r in reconcile.assigned(frames[0], empty, levels).collect()} == {"no_key", "no_counterpart"}
+
+
+@pytest.mark.parametrize("name", ["G24_bracket_plan"])
+def test_patterns_are_matched_once(spark, data, name):
+    """What is returned is read from written ids: no pattern is left in its plan, to be matched again in every branch."""
+    plan = registry.queries()[name](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan and "RLIKE" not in plan

@@ -83,13 +83,15 @@ def bracket_plan(files: DataFrame, natives: DataFrame, links: DataFrame) -> dict
     recording of an id with the least one. Files that are no video are not read; repeated rows count once.
     """
     video = F.col("name").rlike(rf"\.(?i:{VIDEO_SUFFIXES})\z")
-    rows = files.where(video).select("source_id", "recording_id", bracket_id(F.col("name")).alias("by_name"), bracket_id(F.col("title")).alias("by_title")).distinct()
+    hint = F.contains("name", F.lit("[")) | F.contains("title", F.lit("["))
+    # Written before anything is asked of the ids: filters on them would be pushed down and match the patterns again, in every branch.
+    rows = written(files.where(F.coalesce(hint, F.lit(True)) & video).select("source_id", "recording_id", bracket_id(F.col("name")).alias("by_name"), bracket_id(F.col("title")).alias("by_title")).distinct())
     rows = rows.where("by_name is not null or by_title is not null")
     both = F.col("by_name").isNotNull() & F.col("by_title").isNotNull()
     conflict = both & (F.col("by_name") != F.col("by_title"))
     basis = F.when(both, "name_and_title").when(F.col("by_name").isNotNull(), "name").otherwise("title")
     good = rows.where(~conflict).select("source_id", "recording_id", F.coalesce("by_name", "by_title").alias("video_id"), basis.alias("basis"))
-    placed = good.join(resolved(good, natives, links), "video_id")
+    placed = written(good.join(resolved(good, natives, links), "video_id"))
     candidate = lambda kind, left, right, base, state: [F.lit(kind).alias("kind"), "video_id", F.col(left).alias("left_id"), right.alias("right_id"), base.alias("basis"), state.alias("resolution_state")]
     shared = F.lit("shared_id")
     locators = placed.select(*candidate("source_to_locator", "source_id", F.coalesce("native_source_id", "video_id"), F.col("basis"), F.col("resolution_state")))
