@@ -142,7 +142,7 @@ def test_assignment_takes_pairs_by_level(spark):
     assert {r.reason for r in reconcile.assigned(frames[0], empty, levels).collect()} == {"no_key", "no_counterpart"}
 
 
-@pytest.mark.parametrize("name", ["G24_bracket_plan"])
+@pytest.mark.parametrize("name", ["G24_bracket_plan", "G24_suffix_plan"])
 def test_patterns_are_matched_once(spark, data, name):
     """What is returned is read from written ids: no pattern is left in its plan, to be matched again in every branch."""
     plan = registry.queries()[name](spark, data)._jdf.queryExecution().optimizedPlan().toString()

@@ -111,7 +111,8 @@ def suffix_plan(files: DataFrame, natives: DataFrame, links: DataFrame, director
     parts = F.split("path", "/")
     rows = files.select("source_id", F.element_at(parts, 1).alias("directory"), F.element_at(parts, -1).alias("name")).where((F.size(parts) > 1) & F.col("directory").isin(list(directories)))
     found = F.coalesce(_id(F.col("name"), FORMAT_LABEL), _id(F.col("name"), AUDIO_ONLY), bracket_id(F.col("name")))
-    named = rows.select("source_id", "directory", lane(F.col("name")).alias("lane"), found.alias("video_id"), rejection(F.col("name")).alias("reason"))
+    # Written first, as in bracket_plan; the names go no further.
+    named = written(rows.select("source_id", "directory", lane(F.col("name")).alias("lane"), found.alias("video_id"), rejection(F.col("name")).alias("reason")))
     good = named.where("lane is not null")
     candidates = good.join(resolved(good, natives, links), "video_id").select("source_id", "lane", "video_id", F.coalesce("native_source_id", "video_id").alias("right_id"), "resolution_state")
     return {"candidates": candidates, "rejects": named.where("reason is not null").groupBy("directory", "reason").agg(F.count("*").alias("n"))}
