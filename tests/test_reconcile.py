@@ -147,3 +147,11 @@ def test_patterns_are_matched_once(spark, data, name):
     """What is returned is read from written ids: no pattern is left in its plan, to be matched again in every branch."""
     plan = registry.queries()[name](spark, data)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract" not in plan and "RLIKE" not in plan
+
+
+def test_captured_documents_are_compressed(spark):
+    from weftline.plans import imports
+
+    rows = spark.range(50).selectExpr("id", "repeat('payload', 20) as name")
+    found = imports._json(registry.Tables(spark, ""), rows, "id long, name string")
+    assert all(f.endswith(".gz") for f in found.inputFiles()) and sorted(r.id for r in found.collect()) == list(range(50))
